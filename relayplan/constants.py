@@ -5,8 +5,10 @@ differ. They are listed here plainly and together.
 """
 
 # --- fixed values: event envelope -------------------------------------------
-EVENT_BUS_NAME = "OrcaBusMain"            # only accepted bus name
+EVENT_BUS_NAME = "OrcaBusMain"            # external bus; only accepted bus name
+INTERNAL_BUS_NAME = "OrcaBusICAv2DataCopyInternal"   # internal bus (sub-folder copies, job ids)
 DETAIL_TYPE = "ICAv2DataCopySync"         # only accepted detail type
+EVENT_SOURCE = "orcabus.icav2datacopymanager"        # source of internal events
 
 # --- fixed values: URIs --------------------------------------------------------
 PROJECT_SCHEME = "icav2"                  # project data URIs

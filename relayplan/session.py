@@ -22,6 +22,7 @@ DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
@@ -32,6 +33,7 @@ def build_session(master: str | None = None, app: str = "relayplan",
     if master:
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("RELAYPLAN_DRIVER_MEM", "16g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
