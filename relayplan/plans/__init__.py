@@ -1,4 +1,4 @@
 """Named queries. Importing this package registers all of them."""
 
-from relayplan.plans import q_events, q_expand, q_jobs, q_planning, q_rename  # noqa: F401
+from relayplan.plans import q_events, q_expand, q_jobs, q_planning, q_rename, q_stream  # noqa: F401
 from relayplan.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -21,9 +21,13 @@ from relayplan import constants as K
 from relayplan.sources.tables import Tables
 
 
-def request_event_bodies(t: Tables, internal: bool = False) -> DataFrame:
-    """(request_id, body) with body the JSON event text."""
-    r = t.requests
+def request_event_bodies(t: Tables, internal: bool = False, requests: DataFrame | None = None) -> DataFrame:
+    """(request_id, body) with body the JSON event text.
+
+    ``requests`` may be a streaming DataFrame; the per-request lists are
+    static and joined stream-static.
+    """
+    r = t.requests if requests is None else requests
     s = (t.request_sources.groupBy("request_id")
            .agg(F.sort_array(F.collect_list(F.struct("pos", "source_uri"))).alias("_s")))
     rn = (t.renaming_map.groupBy("request_id")

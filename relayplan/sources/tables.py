@@ -38,6 +38,40 @@ def folder_id(project_id, path) -> F.Column:
     return F.concat(F.lit("fol."), F.substring(F.md5(F.concat(project_id, F.lit(":"), path)), 1, 16))
 
 
+def requests_from_orders(o: DataFrame) -> DataFrame:
+    """Copy requests from order rows (batch or streaming): every tenth order."""
+    o = o.filter(F.col("o_orderkey") % 10 == 0)
+    ck = F.col("o_custkey")
+    ok = F.col("o_orderkey")
+    return o.select(
+        ok.alias("request_id"),
+        (ck % 5).alias("kind"),
+        F.concat(F.lit("prj-"), _s(ok % 8)).alias("project_id"),
+        F.concat(F.lit("dst-"), _s(ck % 4)).alias("dest_project_id"),
+        F.concat(F.lit("/copies/"), _s(ok), F.lit("/")).alias("dest_path"),
+        F.concat(F.when(ck % 29 == 0, F.lit("gs")).otherwise(F.lit(K.PROJECT_SCHEME)),
+                 F.lit("://dst-"), _s(ck % 4), F.lit("/copies/"), _s(ok),
+                 F.when(ck % 23 == 0, F.lit("")).otherwise(F.lit("/"))).alias("destination_uri"),
+        F.concat(F.lit("/runs/"), _s(F.year("o_orderdate")), F.lit("/"), _s(ok), F.lit("/")).alias("src_folder"),
+        ck.alias("o_custkey"),
+        F.col("o_orderdate").alias("requested_at"),
+        F.md5(_s(ok)).alias("task_token"),
+    )
+
+
+def job_events_from_events(e: DataFrame) -> DataFrame:
+    """Job-state notifications from event rows (batch or streaming): five
+    consecutive events per job, status by event type."""
+    j = F.floor(F.col("event_id") / 5)
+    st = (F.when(F.col("event_type") == "click", F.lit("WAITING_FOR_RESOURCES"))
+           .when(F.col("event_type") == "view", F.lit("RUNNING"))
+           .when(F.col("event_type") == "signup", F.lit("SUCCEEDED"))
+           .when(F.col("event_type") == "purchase", F.lit("PARTIALLY_SUCCEEDED"))
+           .otherwise(F.lit("FAILED")))
+    return e.select("event_id", F.concat(F.lit("job-"), _s(j)).alias("job_id"), j.alias("j"),
+                    "ts", st.alias("status"))
+
+
 class Tables:
     """The logical tables of one data directory, built lazily and shared
     within a query so that Spark can reuse identical exchanges."""
@@ -52,24 +86,7 @@ class Tables:
     # -- requests -------------------------------------------------------------
     @cached_property
     def requests(self) -> DataFrame:
-        o = self.raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-        o = o.filter(F.col("o_orderkey") % 10 == 0)
-        ck = F.col("o_custkey")
-        ok = F.col("o_orderkey")
-        return o.select(
-            ok.alias("request_id"),
-            (ck % 5).alias("kind"),
-            F.concat(F.lit("prj-"), _s(ok % 8)).alias("project_id"),
-            F.concat(F.lit("dst-"), _s(ck % 4)).alias("dest_project_id"),
-            F.concat(F.lit("/copies/"), _s(ok), F.lit("/")).alias("dest_path"),
-            F.concat(F.when(ck % 29 == 0, F.lit("gs")).otherwise(F.lit(K.PROJECT_SCHEME)),
-                     F.lit("://dst-"), _s(ck % 4), F.lit("/copies/"), _s(ok),
-                     F.when(ck % 23 == 0, F.lit("")).otherwise(F.lit("/"))).alias("destination_uri"),
-            F.concat(F.lit("/runs/"), _s(F.year("o_orderdate")), F.lit("/"), _s(ok), F.lit("/")).alias("src_folder"),
-            ck.alias("o_custkey"),
-            F.col("o_orderdate").alias("requested_at"),
-            F.md5(_s(ok)).alias("task_token"),
-        )
+        return requests_from_orders(self.raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"]))
 
     # -- source-project inventory -------------------------------------------
     @cached_property
@@ -237,15 +254,7 @@ class Tables:
     # -- job states and registry -------------------------------------------------
     @cached_property
     def job_status_events(self) -> DataFrame:
-        e = self.raw("events", ["event_id", "ts", "event_type"])
-        j = F.floor(F.col("event_id") / 5)
-        st = (F.when(F.col("event_type") == "click", F.lit("WAITING_FOR_RESOURCES"))
-               .when(F.col("event_type") == "view", F.lit("RUNNING"))
-               .when(F.col("event_type") == "signup", F.lit("SUCCEEDED"))
-               .when(F.col("event_type") == "purchase", F.lit("PARTIALLY_SUCCEEDED"))
-               .otherwise(F.lit("FAILED")))
-        return e.select("event_id", F.concat(F.lit("job-"), _s(j)).alias("job_id"), j.alias("j"),
-                        "ts", st.alias("status"))
+        return job_events_from_events(self.raw("events", ["event_id", "ts", "event_type"]))
 
     @cached_property
     def job_registry(self) -> DataFrame:
