@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from relayplan import constants as K
 from relayplan.functions import uri as U
-from relayplan.functions.predicates import part_class
+from relayplan.functions.predicates import is_partial, part_class
 from relayplan.operators.resolve import FILE_KIND, parse_destinations
 
 COPY, REPLACE_PARTIAL, SKIP, CONFLICT = "COPY", "REPLACE_PARTIAL", "SKIP", "CONFLICT"
@@ -47,7 +47,7 @@ def transfer_action(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame:
         F.col("data_id").alias("existing_id"))
     j = targets.join(ex, ["target_project", "target_path"], "left")
     action = (F.when(F.col("existing_status").isNull(), F.lit(COPY))
-               .when(F.col("existing_status") == K.PARTIAL, F.lit(REPLACE_PARTIAL))
+               .when(is_partial("existing_status"), F.lit(REPLACE_PARTIAL))
                .when(F.col("existing_size").eqNullSafe(F.col("size")), F.lit(SKIP))
                .otherwise(F.lit(CONFLICT)))
     return j.withColumn("action", action)
@@ -83,7 +83,7 @@ def partials_to_delete(targets: DataFrame, dest_inventory: DataFrame) -> DataFra
     of the request's source names. ``left_semi`` on (project, folder, name)."""
     want = targets.select(F.col("target_project").alias("project_id"),
                           F.col("target_folder").alias("_folder"), "name").distinct()
-    p = dest_inventory.filter((F.col("data_type") == K.FILE) & (F.col("status") == K.PARTIAL)) \
+    p = dest_inventory.filter((F.col("data_type") == K.FILE) & is_partial("status")) \
                       .withColumn("_folder", U.parent("path"))
     return p.join(want, ["project_id", "_folder", "name"], "left_semi").select("project_id", "path")
 

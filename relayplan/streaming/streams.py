@@ -170,32 +170,34 @@ def _release(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState,
         registered, released, bs, bts, bev = state.get
     else:
         registered, released, bs, bts, bev = False, False, None, None, None
-    rows = pd.concat(list(pdfs), ignore_index=True)
-    rows = rows.assign(_o=(rows["kind"] != "REG").astype(int)).sort_values(["ts_us", "_o", "event_id"])
-    out = []
-    last_ts = None
-    for r in rows.itertuples(index=False):
-        last_ts = r.ts_us
+    kinds, stats, tss, evs = [], [], [], []
+    for pdf in pdfs:
+        kinds += pdf["kind"].tolist()
+        stats += pdf["status"].tolist()
+        tss += pdf["ts_us"].tolist()
+        evs += pdf["event_id"].tolist()
+    order = sorted(range(len(kinds)), key=lambda i: (tss[i], kinds[i] != "REG", evs[i]))
+    out = None
+    for i in order:
         if released:
-            continue
-        if r.kind == "REG":
+            break
+        if kinds[i] == "REG":
             registered = True
             if bs is not None:
-                out.append((key[0], bs, bts, bev))
-                released = True
-        elif r.status not in _NON_TERMINAL:
+                out, released = (key[0], bs, bts, bev), True
+        elif stats[i] not in _NON_TERMINAL:
             if registered:
-                out.append((key[0], r.status, int(r.ts_us), int(r.event_id)))
-                released = True
-            elif bs is None or (r.ts_us, r.event_id) < (bts, bev):
-                bs, bts, bev = r.status, int(r.ts_us), int(r.event_id)
+                out, released = (key[0], stats[i], int(tss[i]), int(evs[i])), True
+            elif bs is None or (tss[i], evs[i]) < (bts, bev):
+                bs, bts, bev = stats[i], int(tss[i]), int(evs[i])
     state.update((registered, released, bs, bts, bev))
+    last_ts = max(tss) if tss else None
     base = bts if (bs is not None and not registered) else last_ts
     wait = hold_us if not released and not registered else tombstone_us
     if base is not None:
         state.setTimeoutTimestamp(int(base // 1000) + int(wait // 1000))
-    if out:
-        yield pd.DataFrame(out, columns=["job_id", "status", "ts_us", "event_id"])
+    if out is not None:
+        yield pd.DataFrame([out], columns=["job_id", "status", "ts_us", "event_id"])
 
 
 def release_waiting(registrations: DataFrame, statuses: DataFrame, hold: str = "1 day",
@@ -206,7 +208,8 @@ def release_waiting(registrations: DataFrame, statuses: DataFrame, hold: str = "
     tomb_us = _interval_us(tombstone)
     r = registrations.select("job_id", F.lit("REG").alias("kind"), "ts",
                              F.lit(None).cast("string").alias("status"), F.lit(-1).cast("long").alias("event_id"))
-    s = statuses.select("job_id", F.lit("STATUS").alias("kind"), "ts", "status", F.col("event_id").cast("long"))
+    s = (statuses.filter(~non_terminal("status"))
+                 .select("job_id", F.lit("STATUS").alias("kind"), "ts", "status", F.col("event_id").cast("long")))
     u = r.unionByName(s).withColumn("ts_us", F.unix_micros("ts")).withWatermark("ts", hold)
 
     def fn(key, pdfs, state):
