@@ -34,6 +34,7 @@ def build_session(master: str | None = None, app: str = "relayplan",
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.driver.memory", os.environ.get("RELAYPLAN_DRIVER_MEM", "16g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:

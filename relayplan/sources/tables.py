@@ -11,6 +11,7 @@ from documents, job-state notifications from events.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | No
     return df.select(*cols) if cols else df
 
 
+def input_bytes(sf_dir: str, names) -> int | None:
+    """Total bytes of local table files; None when not on a local file system."""
+    base = sf_dir[len("file:"):] if sf_dir.startswith("file:") else sf_dir
+    if "://" in base:
+        return None
+    total = 0
+    for n in names:
+        p = os.path.join(base, f"{n}.parquet")
+        if os.path.isfile(p):
+            total += os.path.getsize(p)
+        elif os.path.isdir(p):
+            for root, _, fs in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in fs)
+        else:
+            return None
+    return total
+
+
 def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -76,9 +95,45 @@ class Tables:
     """The logical tables of one data directory, built lazily and shared
     within a query so that Spark can reuse identical exchanges."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._materialize = materialize
+
+    @cached_property
+    def materialize(self) -> bool:
+        """Whether shared derived tables are written once per query.
+
+        ``relayplan.materialize``: ``true`` / ``false`` / ``auto`` (default).
+        ``auto`` materializes when the inputs are larger than
+        ``relayplan.materialize.minBytes`` (1 GiB) or their size is unknown
+        (remote storage): there, recomputing a derivation per consumer costs
+        more than one write; below it, fixed job overhead dominates.
+        """
+        if self._materialize is not None:
+            return self._materialize
+        mode = (self.spark.conf.get("relayplan.materialize", "auto") or "auto").lower()
+        if mode in ("true", "false"):
+            return mode == "true"
+        limit = int(self.spark.conf.get("relayplan.materialize.minBytes", str(1 << 30)))
+        n = input_bytes(self.sf_dir, ("lineitem", "orders"))
+        return n is None or n >= limit
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table many branches of one query read, and read it back.
+
+        Column pruning gives every consumer a different projection, so Spark
+        cannot reuse the exchange and would recompute the derivation per
+        branch. Writing it once as parquet in the shared folder computes it
+        once, survives executor loss (lineage is cut at a durable table) and
+        keeps column pruning and filter pushdown for every reader.
+        """
+        if not self.materialize:
+            return df
+        from relayplan.session import scratch_path
+        path = scratch_path(self.spark, f"tbl-{name}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def raw(self, name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, cols)
@@ -107,7 +162,7 @@ class Tables:
                  .when(F.col("q") > 16, F.concat(F.md5(key), F.lit("-"), _s(F.ceil(F.col("q") / 16))))
                  .otherwise(F.md5(key)))
         pid = F.concat(F.lit("prj-"), _s(lk % 8))
-        return g.select(
+        return self._keep("files", g.select(
             pid.alias("project_id"),
             F.concat(F.lit("fil."), key).alias("data_id"),
             F.lit(K.FILE).alias("data_type"),
@@ -120,7 +175,7 @@ class Tables:
             pid.alias("owning_project_id"),
             lk.alias("l_orderkey"),
             ln.alias("l_linenumber"),
-        )
+        ))
 
     @cached_property
     def folders(self) -> DataFrame:
@@ -132,7 +187,7 @@ class Tables:
         a = (self.files.select("project_id", F.explode(U.ancestors("path")).alias("path"))
                        .filter(F.col("path") != "/")
                        .distinct())
-        return a.select(
+        return self._keep("folders", a.select(
             "project_id",
             folder_id(F.col("project_id"), F.col("path")).alias("data_id"),
             F.lit(K.FOLDER).alias("data_type"),
@@ -142,7 +197,7 @@ class Tables:
             F.lit(None).cast("string").alias("etag"),
             F.lit("AVAILABLE").alias("status"),
             F.col("project_id").alias("owning_project_id"),
-        )
+        ))
 
     @cached_property
     def inventory(self) -> DataFrame:
@@ -174,12 +229,12 @@ class Tables:
         d = self.raw("documents", ["doc_id", "lang", "source"])
         r = self.requests.filter(F.col("kind") == 4).select("request_id")
         j = r.join(d, d.doc_id == self._doc_pick())
-        return j.select(
+        return self._keep("external_sources", j.select(
             "request_id",
             F.concat(F.lit("s3://"), F.col("source"), F.lit("/")).alias("ext_prefix"),
             F.concat(F.lit("s3://"), F.col("source"), F.lit("/"), F.col("lang"), F.lit("/doc_"),
                      _s("doc_id"), F.lit(".txt")).alias("uri"),
-        )
+        ))
 
     # -- request sources ------------------------------------------------------
     @cached_property
@@ -194,7 +249,7 @@ class Tables:
               .select("request_id", F.col("l_linenumber").alias("pos"),
                       U.project_uri(f.project_id, f.path).alias("source_uri")))
         c = (self.external_sources.select("request_id", F.lit(1).alias("pos"), F.col("uri").alias("source_uri")))
-        return a.unionByName(b).unionByName(c)
+        return self._keep("request_sources", a.unionByName(b).unionByName(c))
 
     # -- destination-project inventory ----------------------------------------
     @cached_property
@@ -249,7 +304,7 @@ class Tables:
         out = b1
         for b in (b2, b3, b4, b5, b6, b7):
             out = out.unionByName(b)
-        return out
+        return self._keep("renaming_map", out)
 
     # -- job states and registry -------------------------------------------------
     @cached_property
