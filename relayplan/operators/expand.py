@@ -26,17 +26,29 @@ def file_ancestors(inventory: DataFrame) -> DataFrame:
                     "data_id", "path", "name", "size", "etag")
 
 
-def expand_recursive(resolved: DataFrame, requests: DataFrame, inventory: DataFrame) -> DataFrame:
+def expand_recursive(resolved: DataFrame, requests: DataFrame, inventory: DataFrame,
+                     salt: int = 1) -> DataFrame:
     """J-5: every file below each FOLDER source, with its destination path
     ``dest/<folder name>/<path relative to the folder>``.
 
+    ``salt > 1`` spreads every (project, folder) key over ``salt`` join
+    partitions: file rows get ``hash(data_id) % salt``, folder-source rows are
+    replicated once per salt value. Use it where a few folders own most files
+    and adaptive skew-join splitting is off; by default AQE splits skewed
+    partitions at run time.
+
     request_id, data_id, size, etag, source_folder, dest_project, dest_path
     """
     src = (resolved.filter(F.col("kind") == FOLDER_KIND)
                    .select("request_id", "project_id", F.col("path").alias("folder"),
                            F.col("name").alias("folder_name")))
     files = file_ancestors(inventory)
-    j = src.join(files, ["project_id", "folder"])
+    keys = ["project_id", "folder"]
+    if salt > 1:
+        src = src.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        files = files.withColumn("_salt", F.pmod(F.xxhash64("data_id"), F.lit(salt)).cast("int"))
+        keys = keys + ["_salt"]
+    j = src.join(files, keys)
     d = parse_destinations(requests).select("request_id", "dest_project", "dest_folder")
     j = j.join(d, "request_id")
     rel = U.relative_to(F.col("path"), F.col("folder"))

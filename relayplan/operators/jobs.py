@@ -129,16 +129,39 @@ def heartbeat_ticks(events: DataFrame, every: str = K.HEARTBEAT_EVERY) -> DataFr
              .agg(F.count_distinct("job_id").alias("jobs")))
 
 
-def heartbeat_timeouts(events: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS) -> DataFrame:
+def heartbeat_timeouts(events: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS,
+                       bucket: str = "1 hour") -> DataFrame:
     """T-5 (batch): gaps between consecutive signs of life of a job longer
-    than the limit. ``lag`` over the job's own notifications."""
-    w = Window.partitionBy("job_id").orderBy("ts", "event_id")
-    g = events.withColumn("prev_ts", F.lag("ts").over(w))
-    us = F.expr("timestampdiff(MICROSECOND, prev_ts, ts)")
-    return (g.filter(F.col("prev_ts").isNotNull())
-             .withColumn("gap_us", us)
-             .filter(F.col("gap_us") > F.lit(limit_seconds * 1_000_000))
-             .withColumn("gap_seconds", F.floor(F.col("gap_us") / 1_000_000)))
+    than the limit.
+
+    A plain ``lag`` over ``partitionBy(job_id)`` puts one job's whole
+    history in one task. Here ``lag`` runs per (job, time bucket); the first
+    event of a bucket takes its predecessor from the summary of the job's
+    previous non-empty bucket (one row per bucket, ``max(ts)``), so a job
+    with a large share of all events is spread over many tasks.
+    """
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    width = _interval_micros(bucket)
+    e = events.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / width))
+    w = Window.partitionBy("job_id", "_b").orderBy("_us", "event_id")
+    inner = e.withColumn("_prev", F.lag("_us").over(w))
+    summ = e.groupBy("job_id", "_b").agg(F.max("_us").alias("_last"))
+    summ = summ.withColumn("_prev_bucket_last",
+                           F.lag("_last").over(Window.partitionBy("job_id").orderBy("_b")))
+    j = inner.join(summ.select("job_id", "_b", "_prev_bucket_last"), ["job_id", "_b"])
+    prev = F.coalesce(F.col("_prev"), F.col("_prev_bucket_last"))
+    gap = F.col("_us") - prev
+    return (j.withColumn("gap_us", gap)
+             .filter(prev.isNotNull() & (F.col("gap_us") > F.lit(limit_seconds * 1_000_000)))
+             .withColumn("gap_seconds", F.floor(F.col("gap_us") / 1_000_000))
+             .drop("_us", "_b", "_prev", "_prev_bucket_last"))
+
+
+def _interval_micros(text: str) -> int:
+    n, unit = text.split()
+    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
+            "day": 86400, "days": 86400}[unit]
+    return int(n) * mult * 1_000_000
 
 
 def status_outcomes(status: F.Column) -> dict[str, F.Column]:

@@ -43,7 +43,10 @@ union all select n.request_id, concat('Detail.payload.renamingMapList[', cast(n.
 
 
 def parsed_request_events(t: Tables, internal: bool = False):
-    return EV.parse_requests(request_event_bodies(t, internal))
+    """Parsed events; oversize and malformed messages are quarantined (S-12)."""
+    parsed = EV.parse_requests(request_event_bodies(t, internal))
+    good, _ = EV.quarantine(parsed, EV.message_problem())
+    return good
 
 
 @query("validate_requests", VALIDATE_SQL)

@@ -135,6 +135,12 @@ def parse_status_bodies(df: DataFrame, body_col: str = "body") -> DataFrame:
               .drop("item"))
 
 
+def message_problem(body_col: str = "body") -> F.Column:
+    """Why a message cannot be handled: OVERSIZE (no body), MALFORMED_JSON."""
+    return (F.when(F.col(body_col).isNull(), F.lit("OVERSIZE"))
+             .when(F.col(CORRUPT).isNotNull(), F.lit("MALFORMED_JSON")))
+
+
 def quarantine(df: DataFrame, reasons: F.Column) -> tuple[DataFrame, DataFrame]:
     """S-12: split rows into (good, bad); ``reasons`` is a nullable string
     column, non-null marks a row for the side table."""

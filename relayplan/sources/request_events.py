@@ -20,20 +20,42 @@ from pyspark.sql import functions as F
 from relayplan import constants as K
 from relayplan.sources.tables import Tables
 
+# Largest list one event may carry (a bus message is limited in size; at
+# ~100 bytes per URI a 256 KB message holds a few thousand entries).
+MAX_LIST_ITEMS = 10_000
 
-def request_event_bodies(t: Tables, internal: bool = False, requests: DataFrame | None = None) -> DataFrame:
+
+def _bounded_collect(df: DataFrame, item: F.Column, alias: str, max_items: int):
+    """Per request: the sorted list of ``item`` for requests with at most
+    ``max_items`` rows, and the ids of the requests above it.
+
+    The count is an algebraic aggregate (combined map-side), so a hot request
+    is counted, not gathered; only bounded groups reach ``collect_list``.
+    """
+    n = df.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
+    ok = df.join(n.filter(F.col("_n") <= max_items).select("request_id"), "request_id", "left_semi")
+    lists = ok.groupBy("request_id").agg(F.sort_array(F.collect_list(item)).alias(alias))
+    big = n.filter(F.col("_n") > max_items).select("request_id")
+    return lists, big
+
+
+def request_event_bodies(t: Tables, internal: bool = False, requests: DataFrame | None = None,
+                         max_items: int = MAX_LIST_ITEMS) -> DataFrame:
     """(request_id, body) with body the JSON event text.
 
     ``requests`` may be a streaming DataFrame; the per-request lists are
-    static and joined stream-static.
+    static and joined stream-static. An event is one bus message, so its
+    lists are bounded: a request with a list longer than ``max_items`` gets
+    a NULL body (quarantined as OVERSIZE) and its rows are never collected.
     """
     r = t.requests if requests is None else requests
-    s = (t.request_sources.groupBy("request_id")
-           .agg(F.sort_array(F.collect_list(F.struct("pos", "source_uri"))).alias("_s")))
-    rn = (t.renaming_map.groupBy("request_id")
-            .agg(F.sort_array(F.collect_list(F.struct("item", "input_uri", "data_id", "output_file_name"))).alias("_r")))
-    ex = t.external_sources.groupBy("request_id").agg(F.sort_array(F.collect_list("uri")).alias("_x"))
-    j = r.join(s, "request_id", "left").join(rn, "request_id", "left").join(ex, "request_id", "left")
+    s, big_s = _bounded_collect(t.request_sources, F.struct("pos", "source_uri"), "_s", max_items)
+    rn, big_r = _bounded_collect(t.renaming_map, F.struct("item", "input_uri", "data_id", "output_file_name"),
+                                 "_r", max_items)
+    ex, big_x = _bounded_collect(t.external_sources, F.col("uri"), "_x", max_items)
+    big = big_s.unionByName(big_r).unionByName(big_x).distinct().withColumn("_big", F.lit(True))
+    j = (r.join(s, "request_id", "left").join(rn, "request_id", "left").join(ex, "request_id", "left")
+          .join(big, "request_id", "left"))
 
     rid = F.col("request_id")
     is_int = ((F.floor(rid / 10) % 3) == 1) if internal else F.lit(False)
@@ -62,4 +84,5 @@ def request_event_bodies(t: Tables, internal: bool = False, requests: DataFrame
         F.lit(K.DETAIL_TYPE).alias("DetailType"),
         detail.alias("Detail"),
     )
-    return j.select("request_id", F.to_json(ev).alias("body"))
+    body = F.when(F.col("_big").isNull(), F.to_json(ev))
+    return j.select("request_id", body.alias("body"))

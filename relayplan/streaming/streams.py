@@ -93,7 +93,7 @@ def stream_validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     bodies = request_event_bodies(t, requests=requests_from_orders(orders))
     parsed = EV.parse_requests(bodies)
-    good, bad = EV.quarantine(parsed, F.when(F.col(EV.CORRUPT).isNotNull(), F.lit("MALFORMED_JSON")))
+    good, bad = EV.quarantine(parsed, EV.message_problem())
     run_to_completion(bad.select("request_id", "reason", F.col(EV.CORRUPT).alias("body")), "request-quarantine")
     out = run_to_completion(validate_requests(good), "validate-requests")
     schema = T.StructType([T.StructField("request_id", T.LongType()), T.StructField("field", T.StringType()),

@@ -139,3 +139,37 @@ def test_registry_ops(spark):
     left = sorted(r.id for r in J.delete_registry(reg, done).collect())
     assert left == ["j1", "j3"]          # OTHER rows are not job ids
     assert dict(J.pending_count(reg).collect()) == {"JOB_ID": 2, "OTHER": 1}
+
+
+def test_salted_expansion_is_identical(spark, sf_small):
+    t = Tables(spark, sf_small)
+    resolved = R.resolve_sources(t.request_sources, t.inventory)
+    plain = X.expand_recursive(resolved, t.requests, t.inventory).select("request_id", "data_id", "dest_path")
+    salted = X.expand_recursive(resolved, t.requests, t.inventory, salt=7).select("request_id", "data_id", "dest_path")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+
+
+def test_timeouts_split_by_bucket_equal_plain_lag(spark, sf_small):
+    """Bucketed lag with boundary stitching = one lag over the whole job."""
+    from pyspark.sql import Window
+    e = Tables(spark, sf_small).job_status_events
+    got = J.heartbeat_timeouts(e, bucket="1 hour").select("job_id", "event_id", "gap_seconds")
+    w = Window.partitionBy("job_id").orderBy("ts", "event_id")
+    ref = (e.withColumn("p", F.lag("ts").over(w)).filter(F.col("p").isNotNull())
+             .withColumn("g", F.expr("timestampdiff(MICROSECOND, p, ts)")).filter("g > 300000000")
+             .select("job_id", "event_id", F.floor(F.col("g") / 1000000).alias("gap_seconds")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+    tiny = J.heartbeat_timeouts(e, bucket="1 minute").select("job_id", "event_id", "gap_seconds")
+    assert sorted(map(tuple, tiny.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_oversize_request_is_quarantined_not_collected(spark, sf_small):
+    from relayplan.sources import events as EV
+    from relayplan.sources.request_events import request_event_bodies
+    t = Tables(spark, sf_small)
+    b = request_event_bodies(t, max_items=3)
+    parsed = EV.parse_requests(b)
+    good, bad = EV.quarantine(parsed, EV.message_problem())
+    n_big = t.request_sources.groupBy("request_id").count().filter("count > 3").count()
+    assert bad.filter("reason = 'OVERSIZE'").count() >= n_big > 0
+    assert good.count() + bad.count() == t.requests.count()
