@@ -52,13 +52,15 @@ def idempotent_sink(out_path: str):
 
 
 def run_to_completion(df: DataFrame, name: str, output_mode: str = "append",
-                      available_now: bool = True, sink_path: str | None = None) -> str:
+                      available_now: bool = True, sink_path: str | None = None,
+                      checkpoint: str | None = None) -> str:
     """Start ``df`` with an idempotent parquet sink, wait for it to drain
-    (``available_now``) and return the sink path."""
+    (``available_now``) and return the sink path. Passing the same
+    ``checkpoint`` and ``sink_path`` again resumes where the last run stopped."""
     spark = df.sparkSession
     out = sink_path or scratch_path(spark, f"{name}-out")
     w = (df.writeStream.outputMode(output_mode)
-           .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt"))
+           .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-ckpt"))
            .foreachBatch(idempotent_sink(out)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=K.STATUS_BATCH_WINDOW)
     q = w.queryName(f"{name}_{abs(hash(out)) % 10**8}").start()
@@ -206,11 +208,14 @@ def release_waiting(registrations: DataFrame, statuses: DataFrame, hold: str = "
     ts, event_id), both streaming, keyed state per job id."""
     hold_us = _interval_us(hold)
     tomb_us = _interval_us(tombstone)
-    r = registrations.select("job_id", F.lit("REG").alias("kind"), "ts",
-                             F.lit(None).cast("string").alias("status"), F.lit(-1).cast("long").alias("event_id"))
-    s = (statuses.filter(~non_terminal("status"))
+    # One watermark per input: the global watermark is the minimum of the
+    # two, so registrations running ahead never make notifications "late".
+    r = (registrations.withWatermark("ts", hold)
+                      .select("job_id", F.lit("REG").alias("kind"), "ts",
+                              F.lit(None).cast("string").alias("status"), F.lit(-1).cast("long").alias("event_id")))
+    s = (statuses.withWatermark("ts", hold).filter(~non_terminal("status"))
                  .select("job_id", F.lit("STATUS").alias("kind"), "ts", "status", F.col("event_id").cast("long")))
-    u = r.unionByName(s).withColumn("ts_us", F.unix_micros("ts")).withWatermark("ts", hold)
+    u = r.unionByName(s).withColumn("ts_us", F.unix_micros("ts"))
 
     def fn(key, pdfs, state):
         return _release(key, pdfs, state, hold_us, tomb_us)
