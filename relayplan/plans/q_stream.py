@@ -44,6 +44,17 @@ def q_stream_release_waiting(spark, d):
     return r.select("job_id", "status", F.date_format(F.timestamp_micros("ts_us"), TS_FMT).alias("ts"))
 
 
+@query("stream_heartbeat_timeouts", f"""
+g as (select job_id, ts, epoch_us(ts) - epoch_us(lag(ts) over (partition by job_id order by ts, event_id)) as gap_us from job)
+select job_id, {SQL_TS.format(c='ts')} as ts, cast(floor(gap_us/1000000) as bigint) as gap_seconds
+from g where gap_us > 300000000
+""")
+def q_stream_heartbeat_timeouts(spark, d):
+    r = S.stream_heartbeat_timeouts(spark, d)
+    return r.select("job_id", F.date_format(F.timestamp_micros("ts_us"), TS_FMT).alias("ts"),
+                    F.floor(F.col("gap_us") / 1_000_000).cast("bigint").alias("gap_seconds"))
+
+
 @query("quarantine", """
 b as (select event_id, case when event_id%50=0 then substr(props,2)
         when event_id%50=25 then replace(props,'"k"','"x"') else props end as p from events)

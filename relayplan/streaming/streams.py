@@ -245,3 +245,60 @@ def stream_release_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rel = release_waiting(regs, st)
     path = run_to_completion(rel, "release-waiting")
     return read_sink(spark, path, RELEASE_OUT)
+
+
+# -- T-5: heartbeat timeouts (stateful) ---------------------------------------------
+
+TIMEOUT_OUT = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("event_id", T.LongType()),
+                            T.StructField("ts_us", T.LongType()), T.StructField("gap_us", T.LongType())])
+TIMEOUT_STATE = T.StructType([T.StructField("last_us", T.LongType()), T.StructField("last_event_id", T.LongType())])
+
+
+def _gaps(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState, limit_us: int,
+          retention_us: int) -> Iterator[pd.DataFrame]:
+    """Per job: compare each notification with the previous sign of life
+    (kept in state across batches) and emit gaps above the limit.
+    Notifications older than the last one seen are too late to reorder and
+    only count as signs of life. State expires ``retention_us`` after the
+    last notification."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    last_us, last_ev = state.get if state.exists else (None, None)
+    tss, evs = [], []
+    for pdf in pdfs:
+        tss += pdf["ts_us"].tolist()
+        evs += pdf["event_id"].tolist()
+    out = []
+    for ts, ev in sorted(zip(tss, evs)):
+        if last_us is not None and (ts, ev) <= (last_us, last_ev):
+            continue
+        if last_us is not None and ts - last_us > limit_us:
+            out.append((key[0], int(ev), int(ts), int(ts - last_us)))
+        last_us, last_ev = int(ts), int(ev)
+    if last_us is not None:
+        state.update((last_us, last_ev))
+        state.setTimeoutTimestamp((last_us + retention_us) // 1000)
+    if out:
+        yield pd.DataFrame(out, columns=["job_id", "event_id", "ts_us", "gap_us"])
+
+
+def heartbeat_timeouts_stream(notifications: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS,
+                              lateness: str = "10 minutes", retention: str = "1 day") -> DataFrame:
+    """T-5 on a stream: (job_id, status, ts, event_id) -> gaps above the limit."""
+    limit_us = limit_seconds * 1_000_000
+    ret_us = _interval_us(retention)
+    u = (notifications.withWatermark("ts", lateness)
+                      .select("job_id", "ts", F.col("event_id").cast("long"), F.unix_micros("ts").alias("ts_us")))
+
+    def fn(key, pdfs, state):
+        return _gaps(key, pdfs, state, limit_us, ret_us)
+
+    return u.groupBy("job_id").applyInPandasWithState(
+        fn, TIMEOUT_OUT, TIMEOUT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_heartbeat_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _event_time(job_events_from_events(table_stream(spark, sf_dir, "events")))
+    path = run_to_completion(heartbeat_timeouts_stream(ev), "heartbeat-timeouts")
+    return read_sink(spark, path, TIMEOUT_OUT)
