@@ -276,23 +276,27 @@ class Tables:
     # -- renaming map -----------------------------------------------------------
     @cached_property
     def renaming_map(self) -> DataFrame:
+        """Renaming items (FIXTURES.md B ``ren``). Items 1-3 come from the
+        first two files of each request's order in one join: a request of kind
+        2/3 renames its L1 file by URI (1) and its L2 file by id (2), a
+        request of kind 0/1 renames the L1 file inside its folder by id (3)."""
         r = self.requests
-        s = self.request_sources
         f = self.files
         nul = F.lit(None).cast("string")
         rid = F.col("request_id")
-        k23 = r.filter(F.col("kind").isin(2, 3)).select("request_id")
-        b1 = (s.join(k23, "request_id").filter(F.col("source_uri").like("%/L1.dat"))
-               .select(rid, F.lit(1).alias("item"), F.col("source_uri").alias("input_uri"),
-                       nul.alias("data_id"), F.lit("renamed_L1.dat").alias("output_file_name")))
-        b2 = (s.join(k23, "request_id").filter(F.col("source_uri").like("%/L2.dat"))
-               .select(rid, F.lit(2).alias("item"), nul.alias("input_uri"),
-                       F.concat(F.lit("fil."), _s(rid), F.lit(".2")).alias("data_id"),
-                       F.lit("renamed_L2.dat").alias("output_file_name")))
-        b3 = (r.filter(F.col("kind").isin(0, 1)).select("request_id")
-               .join(f, (f.l_orderkey == rid) & (f.l_linenumber == 1))
-               .select(rid, F.lit(3).alias("item"), nul.alias("input_uri"), f.data_id,
-                       F.lit("renamed.dat").alias("output_file_name")))
+        kind, ln = F.col("kind"), F.col("l_linenumber")
+        base = (r.filter(kind.isin(0, 1, 2, 3)).select("request_id", "kind")
+                 .join(f.filter(ln.isin(1, 2)), f.l_orderkey == rid))
+        k23 = kind.isin(2, 3)
+        item = (F.when(k23 & (ln == 1), F.lit(1)).when(k23 & (ln == 2), F.lit(2))
+                 .when(~k23 & (ln == 1), F.lit(3)))
+        b123 = (base.withColumn("item", item).filter(F.col("item").isNotNull())
+                    .select(rid, "item",
+                            F.when(F.col("item") == 1, U.project_uri(F.col("project_id"), F.col("path"))).alias("input_uri"),
+                            F.when(F.col("item") != 1, F.col("data_id")).alias("data_id"),
+                            F.when(F.col("item") == 1, F.lit("renamed_L1.dat"))
+                             .when(F.col("item") == 2, F.lit("renamed_L2.dat"))
+                             .otherwise(F.lit("renamed.dat")).alias("output_file_name")))
         b4 = self.external_sources.select(rid, F.lit(4).alias("item"), F.col("uri").alias("input_uri"),
                                           nul.alias("data_id"), F.lit("renamed.txt").alias("output_file_name"))
         ck = F.col("o_custkey")
@@ -304,9 +308,9 @@ class Tables:
         b7 = r.filter(ck % 37 == 0).select(rid, F.lit(7).alias("item"), nul.alias("input_uri"),
                                            F.concat(F.lit("fil."), _s(rid), F.lit(".1")).alias("data_id"),
                                            F.lit("a//b.dat").alias("output_file_name"))
-        out = b1
-        for b in (b2, b3, b4, b5, b6, b7):
-            out = out.unionByName(b)
+        out = b123
+        for x in (b4, b5, b6, b7):
+            out = out.unionByName(x)
         return self._keep("renaming_map", out)
 
     # -- job states and registry -------------------------------------------------
