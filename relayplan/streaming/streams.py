@@ -88,19 +88,41 @@ def _event_time(df: DataFrame) -> DataFrame:
 
 # -- T-1 / S-12: request stream -> validation failures ---------------------------------
 
+VALIDATION_OUT = T.StructType([T.StructField("request_id", T.LongType()), T.StructField("field", T.StringType()),
+                               T.StructField("rule", T.StringType())])
+
+
+def validation_sinks(out_path: str, quarantine_path: str):
+    """foreachBatch writer with two outputs from one micro-batch: messages
+    that cannot be handled go to the quarantine (S-12), the rest are
+    validated (P-1..P-4). Both writes are per batch id, so replays are
+    idempotent; the batch is persisted so it is parsed once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            good, bad = EV.quarantine(b, EV.message_problem())
+            (bad.select("request_id", "reason", F.col(EV.CORRUPT).alias("body"))
+                .write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}"))
+            validate_requests(good).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        finally:
+            b.unpersist()
+    return write
+
+
 def stream_validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-1: each request validated as it arrives; unparsable messages go to
-    a quarantine sink (S-12). Stream-static joins attach the request's lists."""
+    """T-1: each request validated as it arrives; unparsable or oversize
+    messages go to a quarantine sink (S-12). Stream-static joins attach the
+    request's lists."""
     t = Tables(spark, sf_dir)
     orders = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    bodies = request_event_bodies(t, requests=requests_from_orders(orders))
-    parsed = EV.parse_requests(bodies)
-    good, bad = EV.quarantine(parsed, EV.message_problem())
-    run_to_completion(bad.select("request_id", "reason", F.col(EV.CORRUPT).alias("body")), "request-quarantine")
-    out = run_to_completion(validate_requests(good), "validate-requests")
-    schema = T.StructType([T.StructField("request_id", T.LongType()), T.StructField("field", T.StringType()),
-                           T.StructField("rule", T.StringType())])
-    return read_sink(spark, out, schema)
+    parsed = EV.parse_requests(request_event_bodies(t, requests=requests_from_orders(orders)))
+    out, quar = scratch_path(spark, "validate-out"), scratch_path(spark, "validate-quarantine")
+    q = (parsed.writeStream.option("checkpointLocation", scratch_path(spark, "validate-ckpt"))
+               .foreachBatch(validation_sinks(out, quar)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_sink(spark, out, VALIDATION_OUT)
 
 
 # -- T-6 / T-10 / S-11: notifications -> outcomes -------------------------------------
