@@ -14,7 +14,7 @@ req as (select o_orderkey as request_id, o_custkey%5 as kind,
     case when o_custkey%23=0 then '' else '/' end) as destination_uri,
   concat('/runs/',cast(year(o_orderdate) as varchar),'/',cast(o_orderkey as varchar),'/') as src_folder,
   o_custkey, o_orderdate as requested_at, md5(cast(o_orderkey as varchar)) as task_token
-  from orders where o_orderkey%10=0),
+  from orders),
 inv as (select concat('prj-',cast(l_orderkey%8 as varchar)) as project_id,
   concat('fil.',cast(l_orderkey as varchar),'.',cast(l_linenumber as varchar)) as data_id,
   concat('/runs/',cast(year(o_orderdate) as varchar),'/',cast(l_orderkey as varchar),'/',
@@ -48,7 +48,7 @@ src as (select request_id, 0 as pos, concat('icav2://',project_id,src_folder) as
   union all select request_id, l_linenumber, concat('icav2://',inv.project_id,inv.path)
     from req join inv on l_orderkey=request_id where kind in (2,3)
   union all select request_id, 1, uri from req
-    join ext on doc_id=cast(floor(request_id/10) as bigint)%200 where kind=4),
+    join ext on doc_id=o_custkey where kind=4),
 dst as (select dest_project_id as project_id,
   concat('dst.',cast(request_id as varchar),'.',cast(l_linenumber as varchar)) as data_id,
   'FILE' as data_type, concat(dest_path,name) as path, name,
@@ -69,7 +69,7 @@ regp as (select id,id_type,task_token,registered_at from reg
     from job where j%5=0 group by j),
 extl as (select request_id, concat('s3://',source,'/') as ext_prefix,
   concat('s3://',source,'/',lang,'/doc_',cast(doc_id as varchar),'.txt') as uri
-  from req join documents on doc_id=cast(floor(request_id/10) as bigint)%200 where kind=4),
+  from req join documents on doc_id=o_custkey where kind=4),
 ren as (select request_id, 1 as item, source_uri as input_uri, cast(null as varchar) as data_id,
     'renamed_L1.dat' as output_file_name
     from src join req using(request_id) where kind in (2,3) and source_uri like '%/L1.dat'

@@ -58,8 +58,7 @@ def folder_id(project_id, path) -> F.Column:
 
 
 def requests_from_orders(o: DataFrame) -> DataFrame:
-    """Copy requests from order rows (batch or streaming): every tenth order."""
-    o = o.filter(F.col("o_orderkey") % 10 == 0)
+    """Copy requests from order rows (batch or streaming): one per order."""
     ck = F.col("o_custkey")
     ok = F.col("o_orderkey")
     return o.select(
@@ -223,15 +222,14 @@ class Tables:
             (F.col("doc_id") % 11 != 0).alias("current_state"),
         )
 
-    def _doc_pick(self) -> F.Column:
-        return F.floor(F.col("request_id") / 10) % 200
-
     @cached_property
     def external_sources(self) -> DataFrame:
-        """(request_id, ext_prefix, uri): externalSourceUriList entries."""
+        """(request_id, ext_prefix, uri): externalSourceUriList entries; a
+        kind-4 request names the document keyed by its customer (customers
+        without one have no external source)."""
         d = self.raw("documents", ["doc_id", "lang", "source"])
-        r = self.requests.filter(F.col("kind") == 4).select("request_id")
-        j = r.join(d, d.doc_id == self._doc_pick())
+        r = self.requests.filter(F.col("kind") == 4).select("request_id", "o_custkey")
+        j = r.join(d, d.doc_id == F.col("o_custkey"))
         return self._keep("external_sources", j.select(
             "request_id",
             F.concat(F.lit("s3://"), F.col("source"), F.lit("/")).alias("ext_prefix"),

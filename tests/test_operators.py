@@ -80,13 +80,13 @@ def test_branch_counts_sf0001(spark, sf_small):
     t = Tables(spark, sf_small)
     resolved = R.resolve_sources(t.request_sources, t.inventory)
     kinds = dict(resolved.groupBy("kind").count().collect())
-    assert kinds == {"FILE": 182, "FOLDER": 89, "EXTERNAL": 38}
+    assert kinds == {"FILE": 1809, "FOLDER": 892, "EXTERNAL": 338}
     actions = A.transfer_action(A.file_targets(resolved, t.requests), t.destination_inventory)
     assert dict(actions.groupBy("action").count().collect()) == \
-        {"COPY": 106, "REPLACE_PARTIAL": 29, "SKIP": 23, "CONFLICT": 24}
+        {"COPY": 1040, "REPLACE_PARTIAL": 264, "SKIP": 254, "CONFLICT": 251}
     ex = X.expand_recursive(resolved, t.requests, t.inventory)
     agg = ex.agg(F.count("*").alias("n"), F.countDistinct("request_id").alias("r"), F.sum("size").alias("b")).first()
-    assert (agg.n, agg.r, agg.b) == (281, 89, 3_498_049_536)
+    assert (agg.n, agg.r, agg.b) == (2790, 892, 33_446_952_960)
     st = dict(J.match_status(t.job_status_events, t.job_registry).groupBy("outcome").count().collect())
     assert st == {"SUCCESS": 139, "FAILURE": 262, "NON_TERMINAL": 264, "NOT_IN_DB": 335}
     ft = dict(J.first_terminal(t.job_status_events, t.job_registry).groupBy("status").count().collect())
