@@ -51,23 +51,33 @@ def idempotent_sink(out_path: str):
     return write
 
 
+def start_stream(df: DataFrame, name: str, sink_path: str, checkpoint: str, output_mode: str = "append",
+                 available_now: bool = False, every: str = K.STATUS_BATCH_WINDOW):
+    """Start ``df`` into an idempotent parquet sink and return the query.
+
+    T-2: by default a micro-batch every ``every`` (10 seconds); bound the
+    batch size at the source (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+    ``available_now`` drains what is there and stops.
+    """
+    w = (df.writeStream.outputMode(output_mode)
+           .option("checkpointLocation", checkpoint)
+           .foreachBatch(idempotent_sink(sink_path)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
+    return w.queryName(f"{name}_{abs(hash(sink_path)) % 10**8}").start()
+
+
 def run_to_completion(df: DataFrame, name: str, output_mode: str = "append",
-                      available_now: bool = True, sink_path: str | None = None,
-                      checkpoint: str | None = None) -> str:
-    """Start ``df`` with an idempotent parquet sink, wait for it to drain
-    (``available_now``) and return the sink path. Passing the same
-    ``checkpoint`` and ``sink_path`` again resumes where the last run stopped."""
+                      sink_path: str | None = None, checkpoint: str | None = None) -> str:
+    """Drain ``df`` (available-now trigger) into an idempotent parquet sink and
+    return the sink path. Passing the same ``checkpoint`` and ``sink_path``
+    again resumes where the last run stopped."""
     spark = df.sparkSession
     out = sink_path or scratch_path(spark, f"{name}-out")
-    w = (df.writeStream.outputMode(output_mode)
-           .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-ckpt"))
-           .foreachBatch(idempotent_sink(out)))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=K.STATUS_BATCH_WINDOW)
-    q = w.queryName(f"{name}_{abs(hash(out)) % 10**8}").start()
-    if available_now:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    q = start_stream(df, name, out, checkpoint or scratch_path(spark, f"{name}-ckpt"), output_mode,
+                     available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
     return out
 
 

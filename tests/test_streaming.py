@@ -87,3 +87,35 @@ def test_release_across_batches_and_restart(spark, sf_small, tmp_path):
     batch = J.first_terminal(t.job_status_events, t.job_registry).select(
         "job_id", "status", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
     assert sorted(map(tuple, rel.select("job_id", "status", "ts_us").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_processing_time_trigger_with_bounded_batches(spark, sf_small, tmp_path):
+    """T-2: a continuously running stream (processing-time trigger, one file
+    per micro-batch) reaches the same heartbeat ticks as the batch operator."""
+    from relayplan.functions.predicates import non_terminal
+    from relayplan.sources.tables import job_events_from_events
+
+    t = Tables(spark, sf_small)
+    events = t.raw("events", ["event_id", "ts", "event_type"])
+    ev_dir = str(tmp_path / "events")
+    n = events.count()
+    cuts = [0, n // 3, 2 * n // 3, n + 1]
+    for i in range(3):   # arrival in time order, one file per micro-batch
+        (events.filter((F.col("event_id") >= cuts[i]) & (F.col("event_id") < cuts[i + 1]))
+               .coalesce(1).write.parquet(f"{ev_dir}/part{i}"))
+    raw = (spark.readStream.schema(spark.read.parquet(f"{ev_dir}/part0").schema)
+                .option("maxFilesPerTrigger", 1).parquet(f"{ev_dir}/part*"))
+    ev = S._event_time(job_events_from_events(raw))
+    w = (ev.filter(non_terminal("status")).withWatermark("ts", "10 minutes")
+           .groupBy(F.window("ts", "3 minutes").alias("w"), "job_id").agg(F.count(F.lit(1)).alias("n"))
+           .select(F.col("w.start").alias("window_start"), "job_id", "n"))
+    q = S.start_stream(w, "ticks-test", str(tmp_path / "out"), str(tmp_path / "ckpt"), "update", every="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.lastProgress is not None
+    finally:
+        q.stop()
+    got = (spark.read.parquet(str(tmp_path / "out")).select("window_start", "job_id").distinct()
+                .groupBy("window_start").count())
+    ref = J.heartbeat_ticks(t.job_status_events).select(F.col("window_start").cast("timestamp"), "jobs")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
