@@ -127,3 +127,30 @@ def destination_collisions(planned: DataFrame) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("n"))
                    .filter(F.col("n") > 1)
                    .select("request_id", F.col("target_path").alias("dest_path"), "n"))
+
+
+MISSING_SOURCE = "MISSING_SOURCE"
+
+
+def external_targets(resolved: DataFrame, requests: DataFrame, external_objects: DataFrame) -> DataFrame:
+    """External (``s3``) sources with the path they land on: destination
+    folder + base name of the object key; size and part class from the
+    current catalog entry (J-8). ``found`` is false for missing objects."""
+    from relayplan.operators.resolve import EXTERNAL_KIND, external_metadata
+    u = F.col("source_uri")
+    ext = (resolved.filter((F.col("kind") == EXTERNAL_KIND) & (U.uri_scheme(u) == K.OBJECT_SCHEME))
+                   .select("request_id", "pos", "source_uri"))
+    meta = external_metadata(ext, external_objects, uri_col="source_uri")
+    d = parse_destinations(requests)
+    name = U.basename(U.uri_path(u))
+    return meta.join(d, "request_id").select(
+        "request_id", "pos", "source_uri", name.alias("name"), "size", "is_multipart", "found",
+        F.col("dest_project").alias("target_project"), F.col("dest_folder").alias("target_folder"),
+        U.path_join(F.col("dest_folder"), name).alias("target_path"))
+
+
+def external_actions(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame:
+    """J-10 for the external-object mover; objects missing from the catalog
+    cannot be moved (MISSING_SOURCE)."""
+    a = transfer_action(targets, dest_inventory)
+    return a.withColumn("action", F.when(~F.col("found"), F.lit(MISSING_SOURCE)).otherwise(F.col("action")))

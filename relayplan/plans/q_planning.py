@@ -199,3 +199,24 @@ def q_s3_targets(spark, d):
     from relayplan.operators.plan import s3_targets
     t = Tables(spark, d)
     return s3_targets(t.destination_inventory.select("project_id", "path"), t.storage_config)
+
+
+@query("external_actions", """
+cat as (select uri, arg_min(size, s3_object_id) as size from ext where current_state group by uri),
+et as (select r.request_id, r.source_uri, c.size, c.uri is not null as found, d.dest_project as target_project,
+    regexp_replace(regexp_replace(concat(d.dest_folder,'/',
+      regexp_extract(regexp_extract(r.source_uri,'^[^:/?#]+://[^/]*(/.*)?$',1),'([^/]+)/*$',1)),
+      '/(\\./)+','/','g'),'/+','/','g') as target_path
+  from resolved r join dest d using (request_id) left join cat c on c.uri=r.source_uri
+  where r.kind='EXTERNAL' and regexp_extract(r.source_uri,'^([^:/?#]+)://',1)='s3')
+select et.request_id, et.source_uri,
+  case when not et.found then 'MISSING_SOURCE' when x.status is null then 'COPY'
+       when x.status='PARTIAL' then 'REPLACE_PARTIAL' when x.size is not distinct from et.size then 'SKIP'
+       else 'CONFLICT' end as action
+from et left join dst x on x.project_id=et.target_project and x.path=et.target_path
+""")
+def q_external_actions(spark, d):
+    t = Tables(spark, d)
+    resolved = R.resolve_sources(t.request_sources, t.inventory)
+    tg = A.external_targets(resolved, t.requests, t.external_objects)
+    return A.external_actions(tg, t.destination_inventory).select("request_id", "source_uri", "action")
