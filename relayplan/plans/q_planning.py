@@ -220,3 +220,21 @@ def q_external_actions(spark, d):
     resolved = R.resolve_sources(t.request_sources, t.inventory)
     tg = A.external_targets(resolved, t.requests, t.external_objects)
     return A.external_actions(tg, t.destination_inventory).select("request_id", "source_uri", "action")
+
+
+@query("event_transfer_summary", """
+select request_id, action, count(*) as files, cast(sum(size) as bigint) as bytes from actions group by all
+""")
+def q_event_transfer_summary(spark, d):
+    """The production path: JSON request events -> plan -> files and bytes
+    per request and action (equals transfer_summary: every request arrives
+    as one event, in either layout)."""
+    from relayplan.plans.pipeline import plan_transfers, requests_from_events
+    from relayplan.sources import events as EV
+    from relayplan.sources.request_events import request_event_bodies
+    t = Tables(spark, d)
+    parsed = EV.parse_requests(request_event_bodies(t))
+    good, _ = EV.quarantine(parsed, EV.message_problem())
+    et = requests_from_events(good)
+    plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory, t.external_objects)
+    return A.transfer_summary(plan.actions)
