@@ -55,10 +55,19 @@ CORRUPT = "_corrupt_record"
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """S-1 from files: one JSON event per line, typed, permissive."""
+    """S-1 from files: one JSON event per line, typed, permissive.
+
+    Same shape as ``parse_requests``: ``request_id`` (the event id), ``event``
+    (null when malformed), ``_corrupt_record`` and ``body`` (the raw line of
+    a malformed record, else a placeholder so only corrupt rows quarantine).
+    """
     schema = T.StructType(REQUEST_EVENT.fields + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
-                 .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    ev = F.struct(*[F.col(f.name) for f in REQUEST_EVENT.fields])
+    ok = F.col(CORRUPT).isNull()
+    return df.select(F.col("id").alias("request_id"), F.when(ok, ev).alias("event"), CORRUPT,
+                     F.coalesce(F.col(CORRUPT), F.lit("{}")).alias("body"))
 
 
 def parse_requests(df: DataFrame, body_col: str = "body") -> DataFrame:

@@ -22,9 +22,8 @@ def test_read_requests_from_json_file(spark, tmp_path):
     f = tmp_path / "events.json"
     f.write_text(json.dumps(good) + "\n" + json.dumps(legacy) + "\n{broken\n")
     df = EV.read_requests(spark, str(f)).cache()
-    assert df.filter(F.col(EV.CORRUPT).isNotNull()).count() == 1
-    ok = df.filter(F.col(EV.CORRUPT).isNull()).withColumn("event", F.struct(*[F.col(c) for c in
-                                                                               ["id", "EventBusName", "Source", "DetailType", "Detail"]]))
+    ok, bad = EV.quarantine(df, EV.message_problem())
+    assert [r.reason for r in bad.collect()] == ["MALFORMED_JSON"]
     n = EV.normalise_legacy(ok).select("request.payload.destinationUri", "request.layout").collect()
     assert sorted(map(tuple, n)) == [("icav2://q/b/", "nested"), ("icav2://q/y/", "legacy")]
     routes = sorted(r.route for r in EV.route_events(ok).collect())
