@@ -141,7 +141,7 @@ def heartbeat_timeouts(events: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEO
     with a large share of all events is spread over many tasks.
     """
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    width = _interval_micros(bucket)
+    width = interval_micros(bucket)
     e = events.withColumn("_us", us).withColumn("_b", F.floor(F.col("_us") / width))
     w = Window.partitionBy("job_id", "_b").orderBy("_us", "event_id")
     inner = e.withColumn("_prev", F.lag("_us").over(w))
@@ -157,7 +157,8 @@ def heartbeat_timeouts(events: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEO
              .drop("_us", "_b", "_prev", "_prev_bucket_last"))
 
 
-def _interval_micros(text: str) -> int:
+def interval_micros(text: str) -> int:
+    """``'<n> <unit>'`` (seconds, minutes, hours, days) in microseconds."""
     n, unit = text.split()
     mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
             "day": 86400, "days": 86400}[unit]

@@ -23,6 +23,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from relayplan import constants as K
 from relayplan.functions.predicates import non_terminal, summarise_push
+from relayplan.operators.jobs import interval_micros
 from relayplan.operators.validate import validate_requests
 from relayplan.session import scratch_path
 from relayplan.sources import events as EV
@@ -238,8 +239,8 @@ def release_waiting(registrations: DataFrame, statuses: DataFrame, hold: str = "
                     tombstone: str = "1 day") -> DataFrame:
     """T-3: registrations (job_id, ts) and notifications (job_id, status,
     ts, event_id), both streaming, keyed state per job id."""
-    hold_us = _interval_us(hold)
-    tomb_us = _interval_us(tombstone)
+    hold_us = interval_micros(hold)
+    tomb_us = interval_micros(tombstone)
     # One watermark per input: the global watermark is the minimum of the
     # two, so registrations running ahead never make notifications "late".
     r = (registrations.withWatermark("ts", hold)
@@ -256,13 +257,6 @@ def release_waiting(registrations: DataFrame, statuses: DataFrame, hold: str = "
         fn, RELEASE_OUT, RELEASE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def _interval_us(text: str) -> int:
-    n, unit = text.split()
-    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
-            "day": 86400, "days": 86400}[unit]
-    return int(n) * mult * 1_000_000
-
-
 def stream_release_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T-3 end to end: the JOB_ID registry rows are written once to the
     shared folder (they are derived from the tables) and streamed in with the
@@ -319,7 +313,7 @@ def heartbeat_timeouts_stream(notifications: DataFrame, limit_seconds: int = K.H
                               lateness: str = "10 minutes", retention: str = "1 day") -> DataFrame:
     """T-5 on a stream: (job_id, status, ts, event_id) -> gaps above the limit."""
     limit_us = limit_seconds * 1_000_000
-    ret_us = _interval_us(retention)
+    ret_us = interval_micros(retention)
     u = (notifications.withWatermark("ts", lateness)
                       .select("job_id", "ts", F.col("event_id").cast("long"), F.unix_micros("ts").alias("ts_us")))
 
