@@ -23,6 +23,12 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Lookups join a small key set (requests' URIs, ids) against a very large
+    # inventory. A runtime bloom filter built from the key side prunes the
+    # inventory scan before its shuffle; Spark injects it only when that scan
+    # exceeds applicationSideScanSizeThreshold (10 GB), so allow key sides up
+    # to 256 MB to build one (the filter itself is capped at 8 MB).
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 
