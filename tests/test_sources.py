@@ -85,3 +85,23 @@ def test_bounded_broadcast(spark):
     assert "broadcast" in str(PL.broadcast_if_small(small, 100)._jdf.queryExecution().logical()).lower()
     big = spark.range(1000)
     assert "broadcast" not in str(PL.broadcast_if_small(big, 100)._jdf.queryExecution().logical()).lower()
+
+
+def test_bloom_filter_prunes_stored_inventory(spark, sf_small):
+    """With a stored inventory large enough (threshold lowered here), Spark
+    prunes the inventory scan with a runtime bloom filter of the source keys."""
+    from relayplan.operators import resolve as R
+    t = Tables(spark, sf_small)
+    path = scratch_path(spark, "inv-bloom")
+    C.write_inventory(t.inventory, path)
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                 "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1KB")
+    try:
+        r = R.resolve_sources(t.request_sources.filter("request_id % 7 = 0"), C.read_inventory(spark, path))
+        assert "might_contain" in r._jdf.queryExecution().optimizedPlan().toString()
+        assert r.count() == t.request_sources.filter("request_id % 7 = 0").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
