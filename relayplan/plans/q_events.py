@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from relayplan import constants as K
 from relayplan.functions import predicates as P
 from relayplan.operators.validate import validate_requests
 from relayplan.plans.registry import query
@@ -22,9 +23,9 @@ extll as (select request_id, row_number() over (partition by request_id order by
 """
 
 VALIDATE_SQL = LISTS_SQL + f""",
-ev as (select request_id, case when request_id%130=0 then 'OtherBus' else 'OrcaBusMain' end as bus,
+ev as (select request_id, case when request_id%130=0 then 'OtherBus' else '{K.EVENT_BUS_NAME}' end as bus,
   request_id%30=0 as legacy, o_custkey%41<>0 as has_token, destination_uri from req)
-select request_id, 'EventBusName' as field, 'enum' as rule from ev where bus<>'OrcaBusMain'
+select request_id, 'EventBusName' as field, 'enum' as rule from ev where bus<>'{K.EVENT_BUS_NAME}'
 union all select request_id, 'Detail.taskToken', 'required' from ev where not has_token
 union all select request_id, 'Detail.payload', 'required' from ev where legacy
 union all select request_id, 'Detail.payload.sourceUriList', 'minItems' from ev

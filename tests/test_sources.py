@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from relayplan import constants as K
 from relayplan.operators import plan as PL
 from relayplan.operators import verify as V
 from relayplan.session import scratch_path
@@ -14,10 +15,10 @@ from relayplan.sources.tables import Tables
 
 
 def test_read_requests_from_json_file(spark, tmp_path):
-    good = {"EventBusName": "OrcaBusMain", "Source": "manual", "DetailType": "ICAv2DataCopySync",
+    good = {"EventBusName": K.EVENT_BUS_NAME, "Source": "manual", "DetailType": K.DETAIL_TYPE,
             "Detail": {"payload": {"sourceUriList": ["icav2://p/a/"], "destinationUri": "icav2://q/b/"},
                        "taskToken": "tok"}}
-    legacy = {"EventBusName": "OrcaBusMain", "Source": "manual", "DetailType": "ICAv2DataCopySync",
+    legacy = {"EventBusName": K.EVENT_BUS_NAME, "Source": "manual", "DetailType": K.DETAIL_TYPE,
               "Detail": {"sourceUriList": ["icav2://p/x"], "destinationUri": "icav2://q/y/", "taskToken": "t2"}}
     f = tmp_path / "events.json"
     f.write_text(json.dumps(good) + "\n" + json.dumps(legacy) + "\n{broken\n")
