@@ -154,3 +154,13 @@ def external_actions(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame
     cannot be moved (MISSING_SOURCE)."""
     a = transfer_action(targets, dest_inventory)
     return a.withColumn("action", F.when(~F.col("found"), F.lit(MISSING_SOURCE)).otherwise(F.col("action")))
+
+
+def transfer_report(actions: DataFrame, mode: str = "strict") -> DataFrame:
+    """A-7 in full: per request, action and part class the files, bytes and
+    largest file -- what a caller needs to choose between the one-by-one
+    mover, a copy job or a large-file mover (the choice itself is the
+    caller's parameter, not a constant here)."""
+    c = actions.withColumn("part_class", part_class("etag", mode))
+    return c.groupBy("request_id", "action", "part_class").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.max("size").alias("max_size"))

@@ -238,3 +238,13 @@ def q_event_transfer_summary(spark, d):
     et = requests_from_events(good)
     plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory, t.external_objects)
     return A.transfer_summary(plan.actions)
+
+
+@query("transfer_report", """
+select request_id, action,
+  case when etag is null then 'UNKNOWN' when regexp_full_match(etag,'\\w+-\\d+') then 'MULTI' else 'SINGLE' end as part_class,
+  count(*) as files, cast(sum(size) as bigint) as bytes, max(size) as max_size
+from actions group by all
+""")
+def q_transfer_report(spark, d):
+    return A.transfer_report(_actions(Tables(spark, d)))
