@@ -55,6 +55,13 @@ def q_stream_heartbeat_timeouts(spark, d):
                     F.floor(F.col("gap_us") / 1_000_000).cast("bigint").alias("gap_seconds"))
 
 
+@query("stream_transfer_summary", """
+select request_id, action, count(*) as files, cast(sum(size) as bigint) as bytes from actions group by all
+""")
+def q_stream_transfer_summary(spark, d):
+    return S.stream_transfer_summary(spark, d)
+
+
 @query("quarantine", """
 b as (select event_id, case when event_id%50=0 then substr(props,2)
         when event_id%50=25 then replace(props,'"k"','"x"') else props end as p from events)

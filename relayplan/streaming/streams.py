@@ -328,3 +328,53 @@ def stream_heartbeat_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _event_time(job_events_from_events(table_stream(spark, sf_dir, "events")))
     path = run_to_completion(heartbeat_timeouts_stream(ev), "heartbeat-timeouts")
     return read_sink(spark, path, TIMEOUT_OUT)
+
+
+# -- T-1: plan each request as it arrives ----------------------------------------------
+
+SUMMARY_OUT = T.StructType([T.StructField("request_id", T.LongType()), T.StructField("action", T.StringType()),
+                            T.StructField("files", T.LongType()), T.StructField("bytes", T.LongType())])
+
+
+def plan_sink(t: Tables, out_path: str, quarantine_path: str):
+    """foreachBatch: plan the micro-batch's requests against the static
+    inventory with the batch planner and write the per-request summary and
+    copy jobs for the batch id (idempotent on replay). A request lives in
+    one event, so per-batch aggregates are final."""
+    from relayplan.operators import actions as A
+    from relayplan.plans.pipeline import plan_transfers, requests_from_events
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            good, bad = EV.quarantine(b, EV.message_problem())
+            (bad.select("request_id", "reason").write.mode("overwrite")
+                .parquet(f"{quarantine_path}/batch={batch_id}"))
+            et = requests_from_events(good)
+            plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory,
+                                  t.external_objects)
+            (A.transfer_summary(plan.actions).write.mode("overwrite")
+              .parquet(f"{out_path}/summary/batch={batch_id}"))
+            plan.jobs.write.mode("overwrite").parquet(f"{out_path}/jobs/batch={batch_id}")
+        finally:
+            b.unpersist()
+    return write
+
+
+def stream_plan(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> str:
+    """T-1: request events as a stream, each micro-batch planned. Returns the
+    output folder (``summary/`` and ``jobs/``)."""
+    t = Tables(spark, sf_dir)
+    orders = table_stream(spark, sf_dir, "orders", max_files).select("o_orderkey", "o_custkey", "o_orderdate")
+    parsed = EV.parse_requests(request_event_bodies(t, requests=requests_from_orders(orders)))
+    out, quar = scratch_path(spark, "plan-out"), scratch_path(spark, "plan-quarantine")
+    q = (parsed.writeStream.option("checkpointLocation", scratch_path(spark, "plan-ckpt"))
+               .foreachBatch(plan_sink(t, out, quar)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return out
+
+
+def stream_transfer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_sink(spark, f"{stream_plan(spark, sf_dir)}/summary", SUMMARY_OUT)
