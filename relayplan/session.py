@@ -83,3 +83,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, unique per call."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+                   shuffle_expansion: float = 0.5) -> dict[str, str]:
+    """Partition settings for a run over ``input_bytes`` of parquet.
+
+    - scan splits of ``partition_bytes`` (256 MB): a 100 TB scan is ~400k tasks
+    - shuffle partitions sized so the largest exchange (about
+      ``shuffle_expansion`` x input after pruning: the inventory join/explode)
+      lands near ``partition_bytes`` per reducer before AQE coalescing; small
+      exchanges are coalesced to the advisory size by AQE
+    - skew: a reducer 5x the median and above 2 x ``partition_bytes`` is split
+
+    Only settings the session does not define are applied; returns them.
+    """
+    shuffle = max(200, int(input_bytes * shuffle_expansion / partition_bytes))
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+    applied = {}
+    for k, v in wanted.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied

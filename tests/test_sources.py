@@ -106,3 +106,19 @@ def test_bloom_filter_prunes_stored_inventory(spark, sf_small):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_size_for_input_only_fills_unset(spark):
+    from relayplan.session import size_for_input
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        applied = size_for_input(spark, 100 * (1 << 40))
+        assert "spark.sql.shuffle.partitions" not in applied          # set by the test session
+        assert int(applied["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
