@@ -54,10 +54,11 @@ class TransferPlan:
 
 
 def plan_transfers(requests: DataFrame, sources: DataFrame, inventory: DataFrame,
-                   dest_inventory: DataFrame, external_objects: DataFrame) -> TransferPlan:
+                   dest_inventory: DataFrame, external_objects: DataFrame,
+                   prune_depths: bool = True) -> TransferPlan:
     resolved = R.resolve_sources(sources, inventory)
     targets = A.file_targets(resolved, requests)
-    expanded = X.expand_recursive(resolved, requests, inventory)
+    expanded = X.expand_recursive(resolved, requests, inventory, prune_depths=prune_depths)
     planned = X.planned_files(targets, expanded)
     return TransferPlan(
         resolved=resolved,

@@ -24,7 +24,7 @@ expanded as (select f.request_id, i.data_id, i.size, i.etag, f.folder as source_
 
 def _expanded(t: Tables):
     resolved = R.resolve_sources(t.request_sources, t.inventory)
-    return resolved, X.expand_recursive(resolved, t.requests, t.inventory)
+    return resolved, X.expand_recursive(resolved, t.requests, t.inventory, prune_depths=t.materialize)
 
 
 @query("expand_recursive", EXPANDED_SQL + """

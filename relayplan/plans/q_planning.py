@@ -236,7 +236,8 @@ def q_event_transfer_summary(spark, d):
     parsed = EV.parse_requests(request_event_bodies(t))
     good, _ = EV.quarantine(parsed, EV.message_problem())
     et = requests_from_events(good)
-    plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory, t.external_objects)
+    plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory, t.external_objects,
+                          prune_depths=t.materialize)
     return A.transfer_summary(plan.actions)
 
 

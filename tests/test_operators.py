@@ -173,3 +173,25 @@ def test_oversize_request_is_quarantined_not_collected(spark, sf_small):
     n_big = t.request_sources.groupBy("request_id").count().filter("count > 3").count()
     assert bad.filter("reason = 'OVERSIZE'").count() >= n_big > 0
     assert good.count() + bad.count() == t.requests.count()
+
+
+def test_depth_filtered_expansion_mixed_depths(spark):
+    """Folder sources at different depths of one project: exploding only the
+    wanted depths gives the same expansion as exploding every ancestor."""
+    inventory = inv(spark, [
+        ("p", "fol.a", "FOLDER", "/a/", None, None),
+        ("p", "fol.b", "FOLDER", "/a/b/c/", None, None),
+        ("p", "fil.1", "FILE", "/a/x.txt", 1, "e"),
+        ("p", "fil.2", "FILE", "/a/b/c/y.txt", 2, "e"),
+        ("p", "fil.3", "FILE", "/a/b/c/d/z.txt", 3, "e"),
+        ("q", "fil.4", "FILE", "/a/b/c/w.txt", 4, "e"),
+    ])
+    assert [r.d for r in spark.createDataFrame([("/",), ("/a/",), ("/a/b/c/",)], "f string")
+            .select(X.folder_depth("f").alias("d")).collect()] == [0, 1, 3]
+    sources = spark.createDataFrame([(1, 0, "icav2://p/a/"), (2, 0, "icav2://p/a/b/c/")],
+                                    "request_id long, pos int, source_uri string")
+    rq = reqs(spark, [(1, "icav2://d/out/", "p", "/"), (2, "icav2://d/out2/", "p", "/")])
+    resolved = R.resolve_sources(sources, inventory)
+    got = sorted((r.request_id, r.data_id, r.dest_path) for r in X.expand_recursive(resolved, rq, inventory).collect())
+    assert got == [(1, "fil.1", "/out/a/x.txt"), (1, "fil.2", "/out/a/b/c/y.txt"), (1, "fil.3", "/out/a/b/c/d/z.txt"),
+                   (2, "fil.2", "/out2/c/y.txt"), (2, "fil.3", "/out2/c/d/z.txt")]
