@@ -62,9 +62,11 @@ def external_sources(resolved: DataFrame) -> DataFrame:
 
 
 def dest_folders(dest_inventory: DataFrame) -> DataFrame:
-    """Existing destination folders: every proper ancestor of a destination object."""
-    return (dest_inventory.select("project_id", F.explode(U.ancestors("path")).alias("path"))
-                          .distinct())
+    """Existing destination folders: FOLDER objects (empty ones included) and
+    every proper ancestor of a destination object."""
+    own = dest_inventory.filter(F.col("data_type") == K.FOLDER).select("project_id", U.as_folder("path").alias("path"))
+    anc = dest_inventory.select("project_id", F.explode(U.ancestors("path")).alias("path"))
+    return own.unionByName(anc).distinct()
 
 
 def missing_destinations(requests: DataFrame, dest_inventory: DataFrame) -> DataFrame:

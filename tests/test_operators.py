@@ -195,3 +195,12 @@ def test_depth_filtered_expansion_mixed_depths(spark):
     got = sorted((r.request_id, r.data_id, r.dest_path) for r in X.expand_recursive(resolved, rq, inventory).collect())
     assert got == [(1, "fil.1", "/out/a/x.txt"), (1, "fil.2", "/out/a/b/c/y.txt"), (1, "fil.3", "/out/a/b/c/d/z.txt"),
                    (2, "fil.2", "/out2/c/y.txt"), (2, "fil.3", "/out2/c/d/z.txt")]
+
+
+def test_empty_destination_folder_is_not_missing(spark):
+    dest = inv(spark, [("d", "fol.e", "FOLDER", "/empty/", None, None),
+                       ("d", "fil.1", "FILE", "/full/x.txt", 1, "e")])
+    rq = reqs(spark, [(1, "icav2://d/empty/", "p", "/"), (2, "icav2://d/full/", "p", "/"),
+                      (3, "icav2://d/new/", "p", "/"), (4, "icav2://d/new", "p", "/")])
+    got = sorted((r.project_id, r.path) for r in R.missing_destinations(rq, dest).collect())
+    assert got == [("d", "/new/")]     # request 4 lacks the final '/': a validation error, not a folder
