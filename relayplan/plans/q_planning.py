@@ -229,7 +229,7 @@ def q_event_transfer_summary(spark, d):
     """The production path: JSON request events -> plan -> files and bytes
     per request and action (equals transfer_summary: every request arrives
     as one event, in either layout)."""
-    from relayplan.plans.pipeline import plan_transfers, requests_from_events
+    from relayplan.plans.planner import plan_transfers, requests_from_events
     from relayplan.sources import events as EV
     from relayplan.sources.request_events import request_event_bodies
     t = Tables(spark, d)

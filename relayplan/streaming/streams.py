@@ -342,7 +342,7 @@ def plan_sink(t: Tables, out_path: str, quarantine_path: str):
     copy jobs for the batch id (idempotent on replay). A request lives in
     one event, so per-batch aggregates are final."""
     from relayplan.operators import actions as A
-    from relayplan.plans.pipeline import plan_transfers, requests_from_events
+    from relayplan.plans.planner import plan_transfers, requests_from_events
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from relayplan.plans.pipeline import plan_transfers, requests_from_events
+from relayplan.plans.planner import plan_transfers, requests_from_events
 from relayplan.sources import events as EV
 from relayplan.sources.request_events import request_event_bodies
 from relayplan.sources.tables import Tables
