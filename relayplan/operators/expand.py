@@ -5,7 +5,9 @@ each file path is exploded into its proper ancestor folders and joined on
 (project, folder). This plans a hash or sort-merge join instead of a
 nested-loop join, and replaces the original's re-published event per
 sub-folder with one closed-form join. Top-level ancestors are hot keys; AQE
-skew-join splitting handles a folder that owns a large share of all files.
+skew-join splitting handles a folder that owns a large share of all files,
+``salt`` spreads it explicitly, and ``prune_depths`` explodes only the
+ancestor depths at which folder sources exist.
 """
 
 from __future__ import annotations
