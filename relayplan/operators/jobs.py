@@ -108,7 +108,7 @@ def external_heartbeats(executions: DataFrame) -> DataFrame:
         "execution_id", F.get_json_object("input", "$.taskToken").alias("task_token"))
 
 
-def batch_items(df: DataFrame, order_col: str, n: int = K.HEARTBEAT_BATCH, bucket_digits: int = 1) -> DataFrame:
+def batch_items(df: DataFrame, order_col: str, n: int = K.HEARTBEAT_BATCH, bucket_digits: int = 2) -> DataFrame:
     """A-6: fixed-size batches.
 
     Rows are first spread over ``16 ** bucket_digits`` buckets by a hash of

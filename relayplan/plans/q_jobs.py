@@ -225,7 +225,7 @@ def q_external_heartbeats(spark, d):
 
 
 @query("heartbeat_batches", """
-x as (select execution_id, substr(md5(execution_id),1,1) as bucket from executions where status='RUNNING'),
+x as (select execution_id, substr(md5(execution_id),1,2) as bucket from executions where status='RUNNING'),
 y as (select *, cast(floor((row_number() over (partition by bucket order by execution_id) - 1)/50) as bigint) as batch_no from x)
 select bucket, batch_no, count(*) as n, min(execution_id) as first_id from y group by all
 """)
