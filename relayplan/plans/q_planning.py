@@ -170,13 +170,25 @@ def q_partials_to_delete(spark, d):
 
 
 @query("still_missing", """
-select t.request_id, t.target_path as dest_path from targets t
-where not exists (select 1 from dst x where x.project_id=t.target_project and x.path=t.target_path)
+fsrc as (select request_id, project_id, path as folder, name as folder_name from resolved where kind='FOLDER'),
+expanded as (select f.request_id, d.dest_project,
+    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
+      '/(\\./)+','/','g'),'/+','/','g') as dest_path
+  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
+  join dest d on d.request_id=f.request_id),
+planned as (select request_id, target_project, target_path from targets
+  union all select request_id, dest_project, dest_path from expanded)
+select p.request_id, p.target_path as dest_path from planned p
+where not exists (select 1 from dst x where x.project_id=p.target_project and x.path=p.target_path)
 """)
 def q_still_missing(spark, d):
+    """U-4 over the whole plan: named files and the contents of named folders."""
+    from relayplan.operators import expand as X
     t = Tables(spark, d)
     resolved = R.resolve_sources(t.request_sources, t.inventory)
-    m = A.still_missing(A.file_targets(resolved, t.requests), t.destination_inventory)
+    expanded = X.expand_recursive(resolved, t.requests, t.inventory, prune_depths=t.materialize)
+    planned = X.planned_files(A.file_targets(resolved, t.requests), expanded)
+    m = A.still_missing(planned, t.destination_inventory)
     return m.select("request_id", F.col("target_path").alias("dest_path"))
 
 
