@@ -81,8 +81,8 @@ def largest_transfers(actions: DataFrame, k: int = 20) -> DataFrame:
 def partials_to_delete(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame:
     """J-9: PARTIAL files directly in a destination folder whose name is one
     of the request's source names. ``left_semi`` on (project, folder, name)."""
-    want = targets.select(F.col("target_project").alias("project_id"),
-                          F.col("target_folder").alias("_folder"), "name").distinct()
+    want = targets.select(F.col("target_project").alias("project_id"), F.col("target_folder").alias("_folder"),
+                          U.basename("target_path").alias("name")).distinct()
     p = dest_inventory.filter((F.col("data_type") == K.FILE) & is_partial("status")) \
                       .withColumn("_folder", U.parent("path"))
     return p.join(want, ["project_id", "_folder", "name"], "left_semi").select("project_id", "path")

@@ -49,7 +49,7 @@ class TransferPlan:
     actions: DataFrame           # direct files with COPY/REPLACE_PARTIAL/SKIP/CONFLICT (J-10)
     external_actions: DataFrame  # external objects with their action
     jobs: DataFrame              # one copy job per destination folder (A-1)
-    partials: DataFrame          # unfinished destination files to delete first (J-9)
+    partials: DataFrame          # unfinished destination files each copy job deletes first (J-9)
     missing_folders: DataFrame   # destination folders to create (J-3)
 
 
@@ -67,6 +67,6 @@ def plan_transfers(requests: DataFrame, sources: DataFrame, inventory: DataFrame
         external_actions=A.external_actions(A.external_targets(resolved, requests, external_objects),
                                             dest_inventory),
         jobs=A.build_copy_jobs(A.job_members(planned)),
-        partials=A.partials_to_delete(targets, dest_inventory),
+        partials=A.partials_to_delete(planned, dest_inventory),
         missing_folders=R.missing_destinations(requests, dest_inventory),
     )

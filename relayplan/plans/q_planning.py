@@ -159,14 +159,27 @@ def q_largest_transfers(spark, d):
 
 
 @query("partials_to_delete", """
+fsrc as (select request_id, project_id, path as folder, name as folder_name from resolved where kind='FOLDER'),
+expanded as (select f.request_id, d.dest_project,
+    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
+      '/(\\./)+','/','g'),'/+','/','g') as dest_path
+  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
+  join dest d on d.request_id=f.request_id),
+planned as (select target_project, target_path from targets
+  union all select dest_project, dest_path from expanded)
 select x.project_id, x.path from dst x
-where x.status='PARTIAL' and exists (select 1 from targets t where t.target_project=x.project_id
-  and t.target_folder=regexp_replace(x.path,'[^/]+/?$','') and t.name=x.name)
+where x.status='PARTIAL' and exists (select 1 from planned p where p.target_project=x.project_id
+  and regexp_replace(p.target_path,'[^/]+/?$','')=regexp_replace(x.path,'[^/]+/?$','')
+  and regexp_extract(p.target_path,'([^/]+)/*$',1)=x.name)
 """)
 def q_partials_to_delete(spark, d):
+    """J-9 for every copy job of the plan: direct files and folder contents."""
+    from relayplan.operators import expand as X
     t = Tables(spark, d)
     resolved = R.resolve_sources(t.request_sources, t.inventory)
-    return A.partials_to_delete(A.file_targets(resolved, t.requests), t.destination_inventory)
+    expanded = X.expand_recursive(resolved, t.requests, t.inventory, prune_depths=t.materialize)
+    planned = X.planned_files(A.file_targets(resolved, t.requests), expanded)
+    return A.partials_to_delete(planned, t.destination_inventory)
 
 
 @query("still_missing", """
