@@ -116,3 +116,17 @@ def test_path_helpers(spark):
     assert r.j == "/copies/1/L1.dat" and r.af == "/copies/1/" and r.c is True
     assert r.rel == "A/L1.dat" and r.k == "runs/1/A/L1.dat"
     assert r.u == "icav2://prj/runs/1/A/L1.dat" and r.s3 == "s3://bkt/byob/runs/1/A/L1.dat"
+
+
+def test_uri_split_agrees_with_urlparse(spark, sf_small):
+    """scheme, netloc and the compat path equal Python's urlparse (the
+    original's parser) on the edge rows and every page URL."""
+    from urllib.parse import urlparse
+    edge = ["icav2://prj_1/a/b.txt", "s3://bucket.with.dots/k", "s3://b/a#b?c", "icav2://p/a b.txt",
+            "icav2:///x", "gs://b/k", "s3://b"]
+    pages = [r.url for r in spark.read.parquet(f"{sf_small}/pages.parquet").select("url").collect()]
+    df = one_col(spark, edge + pages).select("v", U.uri_scheme("v").alias("s"), U.uri_netloc("v").alias("n"),
+                                             U.uri_path("v", compat=True).alias("p"))
+    for r in df.collect():
+        u = urlparse(r.v)
+        assert (r.s, r.n, r.p) == (u.scheme, u.netloc, u.path), r.v
