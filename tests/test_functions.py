@@ -130,3 +130,20 @@ def test_uri_split_agrees_with_urlparse(spark, sf_small):
     for r in df.collect():
         u = urlparse(r.v)
         assert (r.s, r.n, r.p) == (u.scheme, u.netloc, u.path), r.v
+
+
+def test_part_class_and_basename_agree_with_python(spark, sf_small):
+    """strict part class = re.fullmatch(r"\\w+-\\d+", etag); basename =
+    PurePosixPath(path).name, on the fixture inventory and edge rows."""
+    import re
+
+    from relayplan.sources.tables import Tables
+    inv = Tables(spark, sf_small).inventory.filter("data_type = 'FILE'").select(
+        "etag", "path", P.part_class("etag", "strict").alias("c"), U.basename("path").alias("b"))
+    edge = one_col(spark, ["abc-12", "abc-12x", "a-b-3", "é-3", "x_y-7", "-3", "a-"], "etag").select(
+        "etag", F.lit("/a/b/").alias("path"), P.part_class("etag", "strict").alias("c"), U.basename(F.lit("/a/b/")).alias("b"))
+    rx = re.compile(r"\w+-\d+")
+    for r in inv.unionByName(edge).collect():
+        want = "UNKNOWN" if r.etag is None else ("MULTI" if rx.fullmatch(r.etag) else "SINGLE")
+        assert r.c == want, r.etag
+        assert r.b == PurePosixPath(r.path).name, r.path
