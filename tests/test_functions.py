@@ -147,3 +147,11 @@ def test_part_class_and_basename_agree_with_python(spark, sf_small):
         want = "UNKNOWN" if r.etag is None else ("MULTI" if rx.fullmatch(r.etag) else "SINGLE")
         assert r.c == want, r.etag
         assert r.b == PurePosixPath(r.path).name, r.path
+
+
+def test_path_join_agrees_with_pathlib(spark):
+    pairs = [(a, b) for a in ["/copies/10", "/copies/10/", "/a//b", "/a/./b", "/"]
+             for b in ["x", "y/z", "./w", "n.dat"]]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", U.path_join("a", "b").alias("j"))
+    for r in df.collect():
+        assert r.j == str(PurePosixPath(r.a) / r.b), (r.a, r.b)
