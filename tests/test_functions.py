@@ -155,3 +155,13 @@ def test_path_join_agrees_with_pathlib(spark):
     df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", U.path_join("a", "b").alias("j"))
     for r in df.collect():
         assert r.j == str(PurePosixPath(r.a) / r.b), (r.a, r.b)
+
+
+def test_pair_destination_compat_quirks(spark):
+    from relayplan.operators.verify import pair_destination
+    df = spark.createDataFrame([("icav2://p/d", "icav2://p/src/f.txt"), ("icav2://p/d/", "s3://b/a#b?c")],
+                               "d string, s string")
+    r = df.select(pair_destination(F.col("d"), F.col("s")).alias("norm"),
+                  pair_destination(F.col("d"), F.col("s"), compat=True).alias("compat")).collect()
+    assert (r[0].norm, r[0].compat) == ("icav2://p/d/f.txt", "icav2://p/df.txt")     # Q10
+    assert (r[1].norm, r[1].compat) == ("icav2://p/d/a#b?c", "icav2://p/d/a")        # Q19
