@@ -47,6 +47,7 @@ class TransferPlan:
     resolved: DataFrame          # every source with its kind (J-1)
     expanded: DataFrame          # files below folder sources (J-5)
     actions: DataFrame           # direct files with COPY/REPLACE_PARTIAL/SKIP/CONFLICT (J-10)
+    all_actions: DataFrame       # the same decision for every planned file, folder contents included
     external_actions: DataFrame  # external objects with their action
     jobs: DataFrame              # one copy job per destination folder (A-1)
     partials: DataFrame          # unfinished destination files each copy job deletes first (J-9)
@@ -64,6 +65,7 @@ def plan_transfers(requests: DataFrame, sources: DataFrame, inventory: DataFrame
         resolved=resolved,
         expanded=expanded,
         actions=A.transfer_action(targets, dest_inventory),
+        all_actions=A.transfer_action(planned, dest_inventory),
         external_actions=A.external_actions(A.external_targets(resolved, requests, external_objects),
                                             dest_inventory),
         jobs=A.build_copy_jobs(A.job_members(planned)),

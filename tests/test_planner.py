@@ -31,3 +31,13 @@ def test_events_to_plan(spark, sf_small):
     assert rows(a.jobs, "request_id", "dest", "files") == rows(b.jobs, "request_id", "dest", "files")
     assert rows(a.missing_folders, "project_id", "path") == rows(b.missing_folders, "project_id", "path")
     assert a.external_actions.count() == b.external_actions.count() > 0
+
+
+def test_all_actions_cover_folder_contents(spark, sf_small):
+    t = Tables(spark, sf_small)
+    plan = plan_transfers(t.requests, t.request_sources, t.inventory, t.destination_inventory, t.external_objects)
+    n_direct, n_expanded = plan.actions.count(), plan.expanded.count()
+    assert plan.all_actions.count() == n_direct + n_expanded
+    direct = rows(plan.actions, "request_id", "data_id", "action")
+    assert rows(plan.all_actions.join(plan.actions.select("request_id", "data_id"), ["request_id", "data_id"]),
+                "request_id", "data_id", "action") == direct
