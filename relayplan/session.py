@@ -57,9 +57,47 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
     # keep time semantics fixed: all fixture timestamps are UTC wall clock
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (``addPyFile``), once per
+    application: the keyed state processors run there and import it. On a
+    cluster this is what makes executors see the code; locally it keeps
+    workers independent of the driver's working directory."""
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    data = buf.getvalue()
+    base = shared_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        base = tempfile.mkdtemp(prefix="relayplan-py-")   # driver-local; Spark serves it to executors
+    base = base[len("file:"):] if base.startswith("file:") else base
+    path = os.path.join(base, f"relayplan-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    if not os.path.exists(path):
+        os.makedirs(base, exist_ok=True)
+        with open(path, "wb") as fh:
+            fh.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
