@@ -122,3 +122,17 @@ def test_size_for_input_only_fills_unset(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_package_is_shipped_once(spark):
+    import glob
+    import os
+    import zipfile
+
+    from relayplan.session import ship_package, shared_dir
+    ship_package(spark)
+    ship_package(spark)           # once per application
+    zips = glob.glob(os.path.join(shared_dir(spark), "relayplan-*.zip"))
+    assert zips
+    with zipfile.ZipFile(max(zips, key=os.path.getmtime)) as z:
+        assert "relayplan/streaming/streams.py" in z.namelist()
