@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, rlz_dedup, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    span = lambda s: s["stop"] - s["start"]
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + span(s)).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op3_hilbert_shard")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shard.shard_documents(table(spark, sf_dir, "documents"))
@@ -39,3 +48,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontaminate")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_rlz_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("factors").cast("long").alias("n_factors"))
