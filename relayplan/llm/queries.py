@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, rlz_dedup, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, rlz_dedup, sanitise, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz_dedup.dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
         F.size("factors").cast("long").alias("n_factors"))
+
+
+@query("op8_sanitise")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = sanitise.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        i = sanitise.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long").alias(f"n_{kind}")
+
+    return per.select("doc_id", *map(count, sanitise.KINDS),
+                      F.sha2(sanitise.span_text(F.col("base")), 256).alias("base_sha256"),
+                      sanitise.span_text(F.col("spans")).alias("spans"))
