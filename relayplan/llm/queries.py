@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, rlz_dedup, sanitise, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, pivot_search, rlz_dedup, sanitise, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("doc_id", *map(count, sanitise.KINDS),
                       F.sha2(sanitise.span_text(F.col("base")), 256).alias("base_sha256"),
                       sanitise.span_text(F.col("spans")).alias("spans"))
+
+
+@query("op4_pivot_search", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+               FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 100 = 0)
+    SELECT query_id, rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    WHERE rank <= 10""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = pivot_search.quantise(table(spark, sf_dir, "embeddings"))
+    return pivot_search.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
