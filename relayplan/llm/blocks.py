@@ -76,33 +76,43 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def pack_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs(doc_id, text)`` as rows ``(block, data)``; null text is empty."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId() << 32
-        no, ids, texts, size = 0, [], [], 0
-
-        def block():
-            lengths = np.array([len(t) for t in texts], np.int64)
-            text = np.frombuffer(b"".join(texts), np.uint8)
-            return pd.DataFrame({"block": [part + no], "data": [pack(np.array(ids, np.int64), lengths, text)]})
-
-        for b in batches:
-            for i, t in zip(b["doc_id"].array, b["text"].array, strict=True):
-                t = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
-                if ids and (size + len(t) > block_bytes or len(ids) >= BLOCK_DOCS):
-                    yield block()
-                    no, ids, texts, size = no + 1, [], [], 0
-                ids.append(NULL_ID if pd.isna(i) else int(i))
-                texts.append(t)
-                size += len(t)
-        if ids:
-            yield block()
+def packed(batches: Iterator[pd.DataFrame], block_bytes: int) -> Iterator[tuple[int, bytes]]:
+    """Blocks of a task's documents: number and bytes."""
+    part = TaskContext.get().partitionId() << 32
+    no, ids, texts, size = 0, [], [], 0
+
+    def block():
+        lengths = np.array([len(t) for t in texts], np.int64)
+        text = np.frombuffer(b"".join(texts), np.uint8)
+        return part + no, pack(np.array(ids, np.int64), lengths, text)
+
+    for b in batches:
+        for i, t in zip(b["doc_id"].array, b["text"].array, strict=True):
+            t = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
+            if ids and (size + len(t) > block_bytes or len(ids) >= BLOCK_DOCS):
+                yield block()
+                no, ids, texts, size = no + 1, [], [], 0
+            ids.append(NULL_ID if pd.isna(i) else int(i))
+            texts.append(t)
+            size += len(t)
+    if ids:
+        yield block()
+
+
+def block_stage(docs: DataFrame, stage, schema: str, block_bytes: int | None = None) -> DataFrame:
+    """``stage(blocks)`` over the blocks of each input split, one worker for
+    both; ``blocks`` yields numbers and bytes, the stage yields pandas frames."""
+    size = block_bytes or BLOCK_BYTES
 
     # ids travel as text: a pandas column of integers with nulls would be float
     return (docs.selectExpr("cast(doc_id as string) doc_id", "text")
-            .mapInPandas(run, BLOCK_SCHEMA))
+            .mapInPandas(lambda batches: stage(packed(batches, size)), schema))
+
+
+def pack_documents(docs: DataFrame, block_bytes: int | None = None) -> DataFrame:
+    """``docs(doc_id, text)`` as rows ``(block, data)``; null text is empty."""
+    return block_stage(docs, lambda blocks: (
+        pd.DataFrame({"block": [n], "data": [d]}) for n, d in blocks), BLOCK_SCHEMA, block_bytes)
 
 
 def open_block(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,6 +140,22 @@ def word_bounds(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_WORD_PIECE = 1 << 16
+_UP, _DOWN = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``POWER`` and of its inverse."""
+    global _UP, _DOWN
+    if n > len(_UP):
+        n = max(n, 2 * _WORD_PIECE)
+        _UP, _DOWN = np.full(n, POWER, np.uint64), np.full(n, _INVERSE, np.uint64)
+        _UP[0] = _DOWN[0] = 1
+        np.multiply.accumulate(_UP, out=_UP)
+        np.multiply.accumulate(_DOWN, out=_DOWN)
+    return _UP, _DOWN
+
+
 def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
     """64-bit fingerprints of ``text[start:end]``: a polynomial in an odd
     number over random byte codes, by prefix sums, in pieces of bounded size."""
@@ -138,16 +164,11 @@ def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int
     at = 0
     while at < len(starts):
         lo = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, lo + (1 << 20), "right")))
+        to = max(at + 1, int(np.searchsorted(ends, lo + _WORD_PIECE, "right")))
         piece = text[lo:ends[to - 1]]
-        up = np.full(len(piece) + 1, POWER, np.uint64)
-        up[0] = 1
-        np.multiply.accumulate(up, out=up)
-        down = np.full(len(piece) + 1, _INVERSE, np.uint64)
-        down[0] = 1
-        np.multiply.accumulate(down, out=down)
+        up, down = _powers(len(piece) + 1)
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(codes[piece] * up[:-1], out=sums[1:])
+        np.cumsum(codes[piece] * up[:len(piece)], out=sums[1:])
         s, e = starts[at:to] - lo, ends[at:to] - lo
         out[at:to] = (sums[e] - sums[s]) * down[s]
         at = to
@@ -170,54 +191,101 @@ def gram_codes(codes: np.ndarray, width: int) -> np.ndarray:
         have = combine(have[:-(power >> 1)], have[power >> 1:])
 
 
+class CodeGrams:
+    """Fingerprints of runs of 64-bit codes."""
+
+    def __init__(self, codes: np.ndarray, length: int, gram: int):
+        self.codes, self.length, self.gram = codes, length, gram
+
+    def grams(self, start: int, stop: int) -> np.ndarray:
+        return gram_codes(self.codes[start:stop], self.gram)
+
+    def wide(self, at: np.ndarray) -> np.ndarray:
+        """Of the runs of ``length`` that start at ``at``."""
+        if not hasattr(self, "_wide"):
+            self._wide = gram_codes(self.codes, self.length)
+        return self._wide[at]
+
+
+class ByteGrams:
+    """Fingerprints of runs of bytes, eight bytes at a time."""
+
+    def __init__(self, text: np.ndarray, length: int, gram: int):
+        padded = np.concatenate((text, np.zeros(8, np.uint8)))
+        # the eight bytes from each place on, as one number
+        self.eights = np.ndarray((len(text) + 1,), "<u8", padded, 0, (1,))
+        self.length, self.gram = length, gram
+
+    @staticmethod
+    def _steps(width: int) -> list[int]:
+        return [*range(0, width - 8, 8), width - 8]
+
+    def grams(self, start: int, stop: int) -> np.ndarray:
+        n = stop - start - self.gram + 1
+        out = None
+        for k in self._steps(self.gram):
+            part = self.eights[start + k:start + k + n]
+            out = mix(part.copy()) if out is None else combine(out, part)
+        return out
+
+    def wide(self, at: np.ndarray, salt: int = 0) -> np.ndarray:
+        out = np.full(len(at), self.length + (salt << 32), np.uint64)
+        for k in self._steps(self.length):
+            out = combine(out, mix(self.eights[at + k]))
+        return out
+
+
 class Anchors:
-    """The windows of ``length`` codes of a block, gathered by anchor.
+    """The windows of ``length`` items of a block, gathered by anchor.
 
-    A window's anchor is the leftmost of its runs of ``gram`` codes whose
+    A window's anchor is the leftmost of its runs of ``gram`` items whose
     fingerprint is least. It depends on the window's content alone, so equal
     windows have anchors of equal content at equal distance, and the windows
-    of one anchor are consecutive. Per anchor: ``at`` (place of its gram),
-    first and last window ``lo`` and ``hi``, document ``doc``, fingerprint
-    ``key`` of its gram and ``whole`` of everything its windows cover.
+    of one anchor are consecutive. Per anchor: place ``at``, first and last window ``lo``
+    and ``hi``, document ``doc``, fingerprint ``key`` of its gram and
+    ``whole`` of everything its windows cover and where in it the gram lies.
+    Long texts are worked off in pieces; a piece may split the windows of an
+    anchor, which changes ``whole`` but not the key.
     """
 
-    def __init__(self, codes: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-        self.length = length
-        parts = [self._piece(codes, offsets, s, gram) for s in range(0, max(len(codes), 1), 1 << 20)]
-        self.at, self.lo, self.hi, self.doc, self.key, self.whole = (
-            np.concatenate([p[i] for p in parts]) for i in range(6))
-
-    def _piece(self, codes, offsets, start, gram):
-        stop = min(len(codes), start + (1 << 20) + self.length - 1)  # windows that start in the piece
-        part = codes[start:stop]
-        n = len(part) - self.length + 1
-        if n <= 0:
-            z = np.zeros(0, np.int64)
-            return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
-        grams = gram_codes(part, gram)
-        order = (grams >> np.uint64(32)).astype(np.uint32)
-        least, place = order, np.arange(len(order), dtype=np.int32)
-        width, done = self.length - gram + 1, 1
+    PIECE = 60_000  # windows; places in a piece fit into 16 bits
+
+    def __init__(self, items: CodeGrams | ByteGrams, offsets: np.ndarray):
+        self.items, self.length, self.offsets = items, items.length, offsets
+        n = int(offsets[-1])
+        # a window lies in one document: not in the last places of any
+        self.ok = np.ones(n, bool)
+        tail = np.minimum(np.diff(offsets), self.length - 1)
+        ends = np.cumsum(tail)
+        self.ok[np.repeat(offsets[1:] - tail, tail) + np.arange(int(ends[-1]) if len(ends) else 0)
+                - np.repeat(ends - tail, tail)] = False
+        parts = [self._piece(s, min(n, s + self.PIECE + self.length - 1))
+                 for s in range(0, max(n - self.length + 1, 0), self.PIECE)]
+        none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+        self.lo, self.hi, self.at, self.key = (np.concatenate(x) for x in zip(*(parts or [none]), strict=True))
+        self.doc = np.searchsorted(offsets, self.lo, "right") - 1
+        at = self.at
+        shape = ((at - self.lo) * (self.length + 1) + (at - self.hi + self.length)).astype(np.uint64)
+        self.whole = (combine(combine(items.wide(self.lo), items.wide(self.hi)), mix(shape + np.uint64(1)))
+                      if len(at) else self.key)
+
+    def _piece(self, start: int, stop: int):
+        grams = self.items.grams(start, stop)
+        n = stop - start - self.length + 1
+        low = np.uint64(0xFFFF)
+        least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)  # equal ones: the leftmost
+        width, done = len(grams) - n + 1, 1
         while done < width:
             step = min(done, width - done)
-            right = least[step:] < least[:len(least) - step]
-            place = np.where(right, place[step:], place[:len(place) - step])
             least = np.minimum(least[step:], least[:len(least) - step])
             done += step
-        window = np.arange(start, start + n)
-        doc = np.searchsorted(offsets, window, "right") - 1
-        ok = window + self.length <= offsets[doc + 1]
-        window, doc, anchor = window[ok], doc[ok], place[:n][ok]
-        if not len(window):
-            z = np.zeros(0, np.int64)
-            return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
-        new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1))))
-        last = np.append(new[1:], len(window)) - 1
-        lo, hi, at = window[new], window[last], anchor[new].astype(np.int64)
-        wide = gram_codes(part, self.length)
-        shape = ((at + start - lo) * (self.length + 1) + (at + start - hi + self.length)).astype(np.uint64)
-        whole = combine(combine(wide[lo - start], wide[hi - start]), mix(shape + np.uint64(1)))
-        return at + start, lo, hi, doc[new], grams[at], whole
+        anchor = (least & low).astype(np.uint16)
+        ok = self.ok[start:start + n]
+        same = np.zeros(n + 1, bool)  # window i has the anchor of window i - 1
+        same[1:n] = (anchor[1:] == anchor[:-1]) & ok[1:] & ok[:-1]
+        lo, hi = np.flatnonzero(ok & ~same[:-1]), np.flatnonzero(ok & ~same[1:])
+        at = anchor[lo].astype(np.int64)
+        return lo + start, hi + start, at + start, grams[at]
 
 
 def first_of(keys: np.ndarray, *order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

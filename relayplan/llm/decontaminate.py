@@ -36,10 +36,6 @@ def shingles(w: Column, width: int) -> Column:
         lambda i: F.array_join(F.slice(w, i, width), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def tagged(w: Column, width: int) -> Column:
-    return F.transform(shingles(w, width), lambda s: F.struct(F.lit(width).alias("width"), s.alias("shingle")))
-
-
 def shingle_hashes(w: Column, width: int) -> Column:
     return F.when(F.size(w) >= width, F.transform(
         F.sequence(F.lit(1), F.size(w) - (width - 1)),
@@ -83,12 +79,12 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFra
     candidates = kept(w.select("doc_id", F.explode(hashes).alias("h"))
                       .join(sig, "h").select("doc_id", "item_id").distinct())
     ids = checked(candidates.select(F.col("doc_id").alias("_id")).distinct())
-    texts = F.concat(*[tagged(F.col("_w"), k) for k in widths])
+    # a shingle's text tells its width: words hold no blanks
+    texts = F.concat(*[shingles(F.col("_w"), k) for k in widths])
     some = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(
         "doc_id", words(F.lower("text")).alias("_w"))
-    held = (some.select("doc_id", F.explode(F.array_distinct(texts)).alias("_s"))
-            .select("doc_id", "_s.width", "_s.shingle")
-            .join(checked(parts.select("item_id", "n", "width", "shingle")), ["width", "shingle"]))
+    held = (some.select("doc_id", F.explode(F.array_distinct(texts)).alias("shingle"))
+            .join(checked(parts.select("item_id", "n", "shingle")), "shingle"))
     mine = candidates.select(F.col("doc_id").alias("_d"), F.col("item_id").alias("_i"))
     found = (held.groupBy("doc_id", "item_id", "n").agg(F.countDistinct("shingle").alias("n_found"))
              .join(mine, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("item_id").eqNullSafe(F.col("_i")),

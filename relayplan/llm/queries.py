@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, pivot_search, rlz_dedup, sanitise, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, ordinal_quality, pivot_search, rlz_dedup, sanitise, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = pivot_search.quantise(table(spark, sf_dir, "embeddings"))
     return pivot_search.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query("op5_ordinal_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal_quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

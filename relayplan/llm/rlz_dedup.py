@@ -35,7 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from relayplan.llm.blocks import (NULL_ID, Anchors, first_of, gram_codes, group_of, open_block, pack,
+from relayplan.llm.blocks import (NULL_ID, Anchors, CodeGrams, block_stage, first_of, gram_codes, group_of, open_block, pack,
                                   pack_documents, unpack, word_bounds, word_codes)
 from relayplan.llm.common import kept, scan_partitions
 
@@ -57,7 +57,7 @@ class Parsed:
         self.ids, self.offsets, self.text = open_block(data)
         self.starts, self.ends, self.first = word_bounds(self.text, self.offsets)
         self.codes = word_codes(self.text, self.starts, self.ends)
-        self.anchors = a = Anchors(self.codes, self.first, LENGTH, GRAM)
+        self.anchors = a = Anchors(CodeGrams(self.codes, LENGTH, GRAM), self.first)
         self.doc = self.ids[a.doc]
         self.place = a.lo - self.first[a.doc]
         self.by, self.begin = first_of(a.key, self.doc, self.place)
@@ -99,15 +99,12 @@ def slices(key: np.ndarray, buckets: int, bits: int):
         yield int(i), slice(int(cuts[i]), int(cuts[i + 1]))
 
 
-def index_batches(buckets: int):
-    def run(batches):
-        for b in batches:
-            for block, data in zip(b["block"], b["data"], strict=True):
-                cols = Parsed(data).entries()
-                rows = [(i, block, pack(*[c[s] for c in cols])) for i, s in slices(cols[0], buckets, 48)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
-    return run
+def index(blocks, buckets: int):
+    for block, data in blocks:
+        cols = Parsed(data).entries()
+        rows = [(i, block, pack(*[c[s] for c in cols])) for i, s in slices(cols[0], buckets, 48)]
+        if rows:
+            yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
 
 
 def gather(pdf: pd.DataFrame):
@@ -247,7 +244,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     joined by blanks."""
     buckets = 4 * scan_partitions(docs)
     blocks = pack_documents(docs)
-    matched = kept(blocks.mapInPandas(index_batches(buckets), ASK)
+    matched = kept(block_stage(docs, lambda b: index(b, buckets), ASK)
                    .groupBy("bucket").applyInPandas(match_blocks, ANSWER))
     windows = (blocks.groupBy("block").cogroup(matched.groupBy("block"))
                .applyInPandas(window_batch(buckets), ASK)

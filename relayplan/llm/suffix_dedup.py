@@ -12,18 +12,22 @@ exchange small, none drops a repeated string:
    else is unique and needs no sorting. Where all copies of an anchor, in all
    blocks, stand in the same bytes, its suffixes are equal throughout and the
    smallest id settles them at once. At the edges of copies the surroundings
-   differ; only the suffixes there are sorted.
-2. Each block sorts its remaining distinct suffixes into one run, front-coded:
-   a suffix is stored without the prefix it shares with the one before it. A
-   bounded, evenly spaced sample of all runs gives splitters; runs are cut at
-   them and exchanged.
-3. Each range merges its runs with a loser tree. Every waiting suffix carries
+   differ; only those anchors are sorted.
+2. Each block sorts the suffixes that begin at its open anchors into one run,
+   front-coded: a suffix is stored without the prefix it shares with the one
+   before it. The bytes left of the anchor go along. Runs are cut by anchor and
+   exchanged.
+3. Each receiver merges its runs with a loser tree. Every waiting suffix carries
    the length of its common prefix with the last winner; suffixes whose lengths
    differ are ordered by these alone, equal lengths compare from that place on.
-   The winner's common prefix with its predecessor comes out with it: a full one
-   marks an equal suffix. Answers go back to the blocks as one bit per suffix.
+   The winner's common prefix with its predecessor comes out with it. The string
+   that starts ``o`` bytes left of an anchor is the same for neighbours that
+   have ``LENGTH - o`` bytes in common to the right and ``o`` to the left.
+   Answers go back to the blocks as one bit per such string.
 
-A hot string costs each block one entry, however often it occurs there.
+An anchor that stands in more than ``HOT`` different surroundings is not
+gathered in one place: its strings are exchanged one by one, by fingerprint,
+one entry per distinct string and block.
 
 Defined cases: null text is empty; texts shorter than ``LENGTH`` bytes keep all
 bytes; rows with the same id do not count against each other; a null id is
@@ -36,23 +40,24 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from relayplan.llm.blocks import (BYTE_CODES, NULL_ID, Anchors, first_of, group_of, open_block, pack,
-                                  pack_documents, runs, unpack)
+from relayplan.llm.blocks import (NULL_ID, Anchors, ByteGrams, block_stage, combine, first_of, group_of,
+                                  open_block, pack, pack_documents, runs, unpack)
 from relayplan.llm.common import kept, scan_partitions
 
 LENGTH = 50
 GRAM = 20
-SAMPLE_STEP = 256
-SAMPLE_ROWS = 20_000
+HOT = 4096
+#: An anchor lies at most so many bytes right of the start of its strings.
+REACH = LENGTH - GRAM
 
 ASK = "bucket int, block long, data binary"
 ANSWER = "block long, kind int, bucket int, data binary"
-RUN = "block long, data binary, sample array<binary>"
 RESULT = "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary"
 
-SETTLED_FIRST, SETTLED_COPY, OPEN = 0, 1, 2
+SETTLED_FIRST, SETTLED_COPY, OPEN, SPREAD = 0, 1, 2, 3
+#: Kinds of exchange: anchors, sorted runs, single strings.
+ANCHOR, RUN, STRING = 0, 1, 2
 
 
 def front_code(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,170 +148,244 @@ def merge_runs(strings: list[list[bytes]], lcps: list[list[int]], length: int):
     return out_run, out_place, out_lcp
 
 
+def sections(key: np.ndarray, buckets: int, bits: int):
+    """Number and slice of each range of sorted keys, the same ranges for all
+    senders."""
+    edge = (np.arange(1, buckets, dtype=np.float64) * (2.0 ** bits / buckets)).astype(np.uint64)
+    cuts = np.concatenate(([0], np.searchsorted(key, edge), [len(key)]))
+    for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
+        yield int(i), slice(int(cuts[i]), int(cuts[i + 1]))
+
+
+def bucket_of(key: np.ndarray, buckets: int, bits: int) -> np.ndarray:
+    edge = (np.arange(1, buckets, dtype=np.float64) * (2.0 ** bits / buckets)).astype(np.uint64)
+    return np.searchsorted(edge, key, "right")
+
+
 class Judged:
     """A block's documents and anchors, grouped by anchor key."""
 
     def __init__(self, data: bytes):
         self.ids, self.offsets, self.text = open_block(data)
-        self.anchors = a = Anchors(BYTE_CODES[self.text], self.offsets, LENGTH, GRAM)
-        self.by, self.starts = first_of(a.key, self.ids[a.doc])
-        self.group = group_of(self.starts, len(self.by))
+        self.anchors = a = Anchors(ByteGrams(self.text, LENGTH, GRAM), self.offsets)
+        self.doc = self.ids[a.doc]
+        self.by = np.lexsort((self.doc, a.whole, a.key))
+        key, whole = a.key[self.by], a.whole[self.by]
+        first = np.ones(min(len(key), 1), bool)
+        new_key = np.concatenate((first, key[1:] != key[:-1]))
+        self.starts = np.flatnonzero(new_key)
+        #: first row of each distinct surrounding of an anchor: its smallest id
+        self.distinct = np.flatnonzero(new_key | np.concatenate((first, whole[1:] != whole[:-1])))
+        self.group = group_of(self.starts, len(key))
 
     def entries(self):
-        """Key, covered bytes (0: not all the same) and smallest id of each group."""
-        if not len(self.by):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        """Key, covered bytes, smallest id and number of surroundings of each group."""
         a, at = self.anchors, self.by[self.starts]
-        whole = a.whole[self.by]
-        same = np.minimum.reduceat(whole, self.starts) == np.maximum.reduceat(whole, self.starts)
-        return (a.key[at] >> np.uint64(16),
-                np.where(same, (a.whole[at] >> np.uint64(16)) | np.uint64(1), np.uint64(0)),
-                self.ids[a.doc[at]])
-
-    def open_windows(self, status: np.ndarray):
-        """Windows of the groups that are still open: start and id of each,
-        sorted by bytes and id, their bytes, and where distinct ones begin."""
+        n = np.diff(np.append(np.searchsorted(self.distinct, self.starts), len(self.distinct)))
+        smallest = np.minimum.reduceat(self.doc[self.by], self.starts) if len(at) else self.doc[:0]
+        return (a.key[at] >> np.uint64(16), a.whole[at] >> np.uint64(16), smallest, n.astype(np.uint32))
+
+    def open_runs(self, status: np.ndarray, buckets: int):
+        """The distinct surroundings of open anchors, sorted by receiver and by
+        the suffix from the anchor on: rows, receivers, suffixes, left bytes
+        (nearest first), first and last offset, smallest id."""
+        a = self.anchors
+        rows = self.distinct[status[self.group[self.distinct]] == OPEN] if len(self.by) else self.distinct
+        own = self.by[rows]
+        at = a.at[own][:, None]
+        padded = np.concatenate((np.zeros(LENGTH, np.uint8), self.text, np.zeros(LENGTH, np.uint8)))
+        place = at + np.arange(LENGTH)
+        suffix = np.where(place < a.hi[own][:, None] + LENGTH, padded[place + LENGTH], 0).astype(np.uint8)
+        place = at - 1 - np.arange(REACH)
+        left = np.where(place >= a.lo[own][:, None], padded[place + LENGTH], 0).astype(np.uint8)
+        least, most = (at[:, 0] - a.hi[own]).clip(0), at[:, 0] - a.lo[own]
+        wide = np.zeros((len(own), -(-LENGTH // 8) * 8), np.uint8)
+        wide[:, :LENGTH] = suffix
+        to = bucket_of(a.key[own] >> np.uint64(16), buckets, 48)
+        by = np.lexsort((rows, *wide.view(">u8").astype(np.uint64).T[::-1], to))
+        return (rows[by], to[by], suffix[by], left[by], least[by].astype(np.uint8), most[by].astype(np.uint8),
+                self.doc[own[by]])
+
+    def strings(self, status: np.ndarray):
+        """Strings of anchors in many surroundings: place, id, fingerprints,
+        sorted by these and id, and where distinct ones begin."""
         a = self.anchors
-        rows = self.by[(status == OPEN)[self.group]] if len(self.by) else self.by
+        rows = self.by[(status == SPREAD)[self.group]] if len(self.by) else self.by
         n = a.hi[rows] - a.lo[rows] + 1
-        ends = np.cumsum(n)
-        at = np.repeat(a.lo[rows], n) + np.arange(int(n.sum())) - np.repeat(ends - n, n)
-        doc = np.repeat(self.ids[a.doc[rows]], n)
-        if not len(at):
-            return at, doc, np.zeros((0, LENGTH), np.uint8), np.zeros(0, np.int64)
-        wide = np.zeros((len(at), -(-LENGTH // 8) * 8), np.uint8)
-        wide[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(self.text, LENGTH)[at]
-        keys = wide.view(">u8").astype(np.uint64)
-        by = np.lexsort((doc, *keys.T[::-1]))
-        keys, wide = keys[by], wide[by, :LENGTH]
-        new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
-        return at[by], doc[by], wide, new
-
-
-def slices(cuts: np.ndarray):
-    """Number, begin and end of the slices that are not empty."""
-    for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
-        yield int(i), int(cuts[i]), int(cuts[i + 1])
-
-
-def ask_batches(buckets: int):
-    def run(batches):
-        for b in batches:
-            for block, data in zip(b["block"], b["data"], strict=True):
-                key, whole, doc = Judged(data).entries()
-                cuts = np.searchsorted(key, (np.arange(buckets + 1) * ((1 << 48) / buckets)).astype(np.uint64))
-                cuts[-1] = len(key)
-                rows = [(i, block, pack(key[s:e], whole[s:e], doc[s:e])) for i, s, e in slices(cuts)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
-    return run
+        at = np.repeat(a.lo[rows], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        doc = np.repeat(self.doc[rows], n)
+        one = a.items.wide(at)
+        other = a.items.wide(at, 1)
+        by = np.lexsort((doc, other, one))
+        one, other = one[by], other[by]
+        first = np.ones(min(len(by), 1), bool)
+        new = np.flatnonzero(np.concatenate((first, (one[1:] != one[:-1]) | (other[1:] != other[:-1]))))
+        return at[by], doc[by], one, other, new
+
+
+def ask(blocks, buckets: int):
+    for block, data in blocks:
+        cols = Judged(data).entries()
+        rows = [(i, block, pack(*[c[s] for c in cols])) for i, s in sections(cols[0], buckets, 48)]
+        if rows:
+            yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
+
+
+def gather(pdf: pd.DataFrame):
+    pdf = pdf.sort_values("block")
+    parts = [unpack(d) for d in pdf["data"]]
+    return pdf, np.cumsum([len(p[0]) for p in parts])[:-1], [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
+def answer(pdf: pd.DataFrame, kind: int, parts: list[np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame({"block": pdf["block"].to_numpy(), "kind": kind, "bucket": pdf["bucket"].to_numpy(),
+                         "data": [pack(p) for p in parts]})
 
 
 def settle(pdf: pd.DataFrame) -> pd.DataFrame:
     """All blocks' entries of a key range: which are settled."""
-    pdf = pdf.sort_values("block")
-    parts = [unpack(d) for d in pdf["data"]]
-    size = np.array([len(p[0]) for p in parts])
-    key, whole, doc = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    pdf, cuts, (key, whole, doc, n) = gather(pdf)
     by, starts = first_of(key, doc)
     group = group_of(starts, len(by))
     w = whole[by]
-    same = (np.minimum.reduceat(w, starts) == np.maximum.reduceat(w, starts)) & (w[starts] != 0)
-    state = np.where(same[group], (doc[by] > doc[by][starts][group]).astype(np.uint8), np.uint8(OPEN))
+    total = np.add.reduceat(n[by].astype(np.int64), starts)
+    entries = np.diff(np.append(starts, len(by)))
+    same = (np.minimum.reduceat(w, starts) == np.maximum.reduceat(w, starts)) & (total == entries)
+    state = np.where(same[group], (doc[by] > doc[by][starts][group]).astype(np.uint8),
+                     np.where(total[group] > HOT, np.uint8(SPREAD), np.uint8(OPEN)))
     status = np.empty(len(by), np.uint8)
     status[by] = state
-    parts = np.split(status, np.cumsum(size)[:-1])
-    return pd.DataFrame({"block": pdf["block"].to_numpy(), "kind": 0, "bucket": pdf["bucket"].to_numpy(),
-                         "data": [pack(p) for p in parts]})
+    return answer(pdf, ANCHOR, np.split(status, cuts))
 
 
-def answers(pdf: pd.DataFrame, kind: int) -> np.ndarray:
+def answers(pdf: pd.DataFrame, kind: int, dtype) -> np.ndarray:
     own = pdf[pdf["kind"] == kind].sort_values("bucket")["data"]
-    return np.concatenate([np.zeros(0, np.uint8), *[unpack(d)[0] for d in own]])
-
-
-def sort_run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """A block's open suffixes as one sorted, front-coded run."""
-    out = []
-    for block, data in zip(left["block"], left["data"], strict=True):
-        _, doc, rows, new = Judged(data).open_windows(answers(right, 0))
-        if len(new):
-            distinct = rows[new]
-            lcp, tails = front_code(distinct)
-            out.append((block, pack(lcp, tails, doc[new]),
-                        [bytes(r) for r in distinct[SAMPLE_STEP // 2::SAMPLE_STEP]]))
-    return pd.DataFrame(out, columns=["block", "data", "sample"])
-
-
-def cut_batches(splitters: list[bytes]):
-    def run(batches):
-        edge = np.array(splitters, f"S{LENGTH}")
-        for b in batches:
-            for block, data in zip(b["block"], b["data"], strict=True):
-                lcp, tails, doc = unpack(data)
-                rows = front_decode(lcp, tails, LENGTH)
-                text = np.ascontiguousarray(rows).view(f"S{LENGTH}").ravel()
-                cuts = np.concatenate(([0], np.searchsorted(text, edge), [len(text)]))
-                out = []
-                for i, s, e in slices(cuts):
-                    head, rest = front_code(rows[s:e])
-                    out.append((i, block, pack(head, rest, doc[s:e])))
-                yield pd.DataFrame(out, columns=["bucket", "block", "data"])
+    return np.concatenate([np.zeros(0, dtype), *[unpack(d)[0] for d in own]])
+
+
+def send_open(buckets: int):
+    """A block's open anchors as sorted, front-coded runs, one per receiver,
+    and its strings of hot anchors."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for block, data in zip(left["block"], left["data"], strict=True):
+            b, status = Judged(data), answers(right, ANCHOR, np.uint8)
+            _, to, suffix, before, least, most, doc = b.open_runs(status, buckets)
+            cuts = np.searchsorted(to, np.arange(buckets + 1))
+            for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                s = slice(cuts[i], cuts[i + 1])
+                lcp, tails = front_code(suffix[s])
+                out.append((int(i), block, pack(lcp, tails, before[s].ravel(), least[s], most[s], doc[s])))
+            _, doc, one, other, new = b.strings(status)
+            cols = [c[new] for c in (one, other, doc)]
+            out += [(buckets + i, block, pack(*[c[s] for c in cols])) for i, s in sections(cols[0], buckets, 64)]
+        return pd.DataFrame(out, columns=["bucket", "block", "data"])
+    return run
+
+
+def receive(buckets: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return merge_strings(pdf) if pdf["bucket"].iloc[0] >= buckets else merge_anchors(pdf)
     return run
 
 
-def merge_range(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merges the runs of a range; per suffix: does a smaller id have it?"""
+def merge_strings(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Strings by fingerprint: does a smaller id have it?"""
+    pdf, cuts, (one, other, doc) = gather(pdf)
+    by = np.lexsort((doc, other, one))
+    a, b = one[by], other[by]
+    starts = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    later = np.empty(len(by), np.uint8)
+    later[by] = doc[by] > doc[by][starts][group_of(starts, len(by))]
+    return answer(pdf, STRING, np.split(later, cuts))
+
+
+def merge_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Merges the runs of a receiver. Per anchor, a bit for each offset: does
+    a smaller id have the string that starts so far left of the anchor?"""
     pdf = pdf.sort_values("block")
-    strings, lcps, docs = [], [], []
+    texts, lcps, parts = [], [], []
     for d in pdf["data"]:
-        lcp, tails, doc = unpack(d)
+        lcp, tails, before, least, most, doc = unpack(d)
         raw = front_decode(lcp, tails, LENGTH).tobytes()
-        strings.append([raw[i:i + LENGTH] for i in range(0, len(raw), LENGTH)])
+        texts.append([raw[i:i + LENGTH] for i in range(0, len(raw), LENGTH)])
         lcps.append(lcp.tolist())
-        docs.append(doc)
-    run, place, lcp = (np.array(x, np.int64) for x in merge_runs(strings, lcps, LENGTH))
-    base = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+        parts.append((before.reshape(len(lcp), REACH), least, most, doc))
+    run, place, lcp = (np.array(x, np.int64) for x in merge_runs(texts, lcps, LENGTH))
+    base = np.concatenate(([0], np.cumsum([len(x) for x in texts])))
     flat = base[run] + place
-    doc = np.concatenate(docs)[flat]
-    starts = np.flatnonzero(np.concatenate(([True], lcp[1:] < LENGTH)))
-    group = group_of(starts, len(doc))
-    later = np.empty(len(doc), np.uint8)
-    later[flat] = doc > np.minimum.reduceat(doc, starts)[group]
-    return pd.DataFrame({"block": pdf["block"].to_numpy(), "kind": 1, "bucket": pdf["bucket"].to_numpy(),
-                         "data": [pack(later[s:e]) for s, e in zip(base[:-1], base[1:], strict=True)]})
-
-
-def remove(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    before, least, most, doc = (np.concatenate([p[i] for p in parts])[flat] for i in range(4))
+    bits, left = np.zeros(len(flat), np.uint32), np.full(len(flat), 1, np.uint64)
+    for o in range(REACH + 1):
+        if o:  # fingerprint of the bytes to the left, one more each time
+            left = combine(left, before[:, o - 1].astype(np.uint64) + np.uint64(1))
+        have = np.flatnonzero((least <= o) & (o <= most))
+        if not len(have):
+            continue
+        same_right = np.cumsum(lcp < LENGTH - o)[have]
+        d, h = doc[have], left[have]
+        by = np.lexsort((d, h, same_right))
+        r, g = same_right[by], h[by]
+        starts = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (g[1:] != g[:-1]))))
+        later = d[by] > d[by][starts][group_of(starts, len(by))]
+        bits[have[by[later]]] |= np.uint32(1 << o)
+    out = np.empty(len(flat), np.uint32)
+    out[flat] = bits
+    return answer(pdf, RUN, np.split(out, base[1:-1]))
+
+
+def covered(b: Judged, right: pd.DataFrame, buckets: int) -> np.ndarray:
+    """Which bytes of a block a repeated string covers."""
+    a, status = b.anchors, answers(right, ANCHOR, np.uint8)
+    cover = np.zeros(len(b.text) + 1, np.int32)
+    if not len(b.by):
+        return cover[:-1] > 0
+    state, doc = status[b.group], b.doc[b.by]
+    smallest = np.minimum.reduceat(doc, b.starts)[b.group]
+    rows = b.by[(state == SETTLED_COPY) | ((state == SETTLED_FIRST) & (doc > smallest))]
+    np.add.at(cover, a.lo[rows], 1)
+    np.add.at(cover, a.hi[rows] + LENGTH, -1)
+    # open anchors: all with one surrounding have its bits, and greater ids all others too
+    sent, *_ = b.open_runs(status, buckets)
+    if len(sent):
+        bits = np.zeros(len(b.distinct), np.uint32)
+        number = np.searchsorted(b.distinct, sent)
+        bits[number] = answers(right, RUN, np.uint32)
+        kind = group_of(b.distinct, len(b.by))
+        rows = np.flatnonzero(state == OPEN)
+        mine, own = kind[rows], b.by[rows]
+        mask = np.where(doc[rows] > doc[b.distinct][mine], np.uint32(0xFFFFFFFF), bits[mine])
+        for o in range(REACH + 1):
+            at = a.at[own] - o
+            hit = at[((mask >> np.uint32(o)) & np.uint32(1)).astype(bool) & (a.lo[own] <= at) & (at <= a.hi[own])]
+            np.add.at(cover, hit, 1)
+            np.add.at(cover, hit + LENGTH, -1)
+    at, doc, _, _, new = b.strings(status)
+    if len(at):
+        group = group_of(new, len(at))
+        hit = at[answers(right, STRING, np.uint8)[group].astype(bool) | (doc > doc[new][group])]
+        np.add.at(cover, hit, 1)
+        np.add.at(cover, hit + LENGTH, -1)
+    return np.cumsum(cover[:-1]) > 0
+
+
+def remove(buckets: int):
     """Spans and kept bytes of a block's documents."""
-    out = []
-    for data in left["data"]:
-        b = Judged(data)
-        a, status = b.anchors, answers(right, 0)
-        cover = np.zeros(len(b.text) + 1, np.int32)
-        if len(b.by):
-            smallest = b.ids[a.doc[b.by[b.starts]]]
-            copy = (status[b.group] == SETTLED_COPY) | (
-                (status[b.group] == SETTLED_FIRST) & (b.ids[a.doc[b.by]] > smallest[b.group]))
-            rows = b.by[copy]
-            np.add.at(cover, a.lo[rows], 1)
-            np.add.at(cover, a.hi[rows] + LENGTH, -1)
-            at, doc, _, new = b.open_windows(status)
-            if len(at):
-                group = group_of(new, len(at))
-                later = answers(right, 1)[group].astype(bool) | (doc > doc[new][group])
-                np.add.at(cover, at[later], 1)
-                np.add.at(cover, at[later] + LENGTH, -1)
-        gone = np.cumsum(cover[:-1]) > 0
-        for i, (s, e) in enumerate(zip(b.offsets[:-1], b.offsets[1:], strict=True)):
-            mine = gone[s:e]
-            first, last = runs(mine)
-            spans = [{"start": int(x), "stop": int(y)} for x, y in zip(first, last, strict=True)]
-            out.append((None if b.ids[i] == NULL_ID else int(b.ids[i]), int(e - s), spans,
-                        b.text[s:e][~mine].tobytes()))
-    got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
-    got["doc_id"] = got["doc_id"].astype("Int64")
-    return got
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for data in left["data"]:
+            b = Judged(data)
+            gone = covered(b, right, buckets)
+            for i, (s, e) in enumerate(zip(b.offsets[:-1], b.offsets[1:], strict=True)):
+                mine = gone[s:e]
+                first, last = runs(mine)
+                spans = [{"start": int(x), "stop": int(y)} for x, y in zip(first, last, strict=True)]
+                out.append((None if b.ids[i] == NULL_ID else int(b.ids[i]), int(e - s), spans,
+                            b.text[s:e][~mine].tobytes()))
+        got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
+        got["doc_id"] = got["doc_id"].astype("Int64")
+        return got
+    return run
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -314,13 +393,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     stop exclusive) and the remaining bytes ``kept``."""
     buckets = 4 * scan_partitions(docs)
     blocks = pack_documents(docs)
-    settled = kept(blocks.mapInPandas(ask_batches(buckets), ASK).groupBy("bucket").applyInPandas(settle, ANSWER))
-    sorted_runs = kept(blocks.groupBy("block").cogroup(settled.groupBy("block")).applyInPandas(sort_run, RUN))
-    sample = (sorted_runs.select(F.explode("sample").alias("s"))
-              .orderBy(F.xxhash64("s"), "s").limit(SAMPLE_ROWS).collect())
-    ordered = sorted(bytes(r["s"]) for r in sample)
-    splitters = sorted({ordered[len(ordered) * i // buckets] for i in range(1, buckets)} if ordered else set())
-    merged = (sorted_runs.mapInPandas(cut_batches(splitters), ASK)
-              .groupBy("bucket").applyInPandas(merge_range, ANSWER))
+    settled = kept(block_stage(docs, lambda b: ask(b, buckets), ASK)
+                   .groupBy("bucket").applyInPandas(settle, ANSWER))
+    merged = (blocks.groupBy("block").cogroup(settled.groupBy("block"))
+              .applyInPandas(send_open(buckets), ASK)
+              .groupBy("bucket").applyInPandas(receive(buckets), ANSWER))
     both = settled.unionByName(merged)
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(remove, RESULT)
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(remove(buckets), RESULT)

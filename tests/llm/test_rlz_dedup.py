@@ -73,7 +73,7 @@ def test_dedup_of_files(spark, sf_small):
 
 
 def test_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(rlz_dedup, "pack_documents", lambda d: blocks.pack_documents(d, 500))
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 500)
     docs = copied(4, 90, False)
     assert got(spark, docs, True) == brute(docs)
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 
@@ -65,12 +66,37 @@ def test_dedup_of_files(spark, sf_small):
 
 def test_small_blocks(spark, monkeypatch):
     """Many blocks, so that runs meet in the merge."""
-    monkeypatch.setattr(suffix_dedup, "pack_documents", lambda d: blocks.pack_documents(d, 500))
-    monkeypatch.setattr(suffix_dedup, "SAMPLE_STEP", 8)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 500)
     docs = copied(3, 90)
     assert got(spark, docs) == brute(docs)
 
 
+def test_hot_anchors():
+    """A passage in many surroundings, judged block by block on both paths."""
+    rnd = random.Random(6)
+    line = "this line stands in very many documents, with other words around it."
+    docs = [(i, "".join(rnd.choice("abc ") for _ in range(rnd.randrange(30))) + line
+             + "".join(rnd.choice("xyz ") for _ in range(rnd.randrange(40)))) for i in range(120)]
+    want = {i: spans for i, _, spans, _ in brute(docs)}
+    for hot in (4096, 1):
+        data = [blocks.pack(np.array([i for i, _ in part], np.int64), np.array([len(t) for _, t in part], np.int64),
+                            np.frombuffer("".join(t for _, t in part).encode(), np.uint8))
+                for part in (docs[:50], docs[50:80], docs[80:])]
+        suffix_dedup.HOT, old = hot, suffix_dedup.HOT
+        try:
+            asked = pd.concat(suffix_dedup.ask(enumerate(data), 3))
+            status = pd.concat([suffix_dedup.settle(g) for _, g in asked.groupby("bucket")])
+        finally:
+            suffix_dedup.HOT = old
+        left = [pd.DataFrame({"block": [i], "data": [d]}) for i, d in enumerate(data)]
+        sent = pd.concat([suffix_dedup.send_open(3)(x, status[status.block == i]) for i, x in enumerate(left)])
+        back = pd.concat([status, *[suffix_dedup.receive(3)(g) for _, g in sent.groupby("bucket")]])
+        rows = pd.concat([suffix_dedup.remove(3)(x, back[back.block == i]) for i, x in enumerate(left)])
+        spans = {r.doc_id: [(s["start"], s["stop"]) for s in r.spans] for r in rows.itertuples()}
+        assert spans == want
+        assert (sent["bucket"].max() >= 3) == (hot == 1)
+
+
 def test_dedup_of_nothing(spark):
     assert got(spark, []) == []
 
