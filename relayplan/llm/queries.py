@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, ordinal_quality, pivot_search, rlz_dedup, sanitise, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, ordinal_quality, pivot_search, rlz_dedup, rtree_join, sanitise, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_ordinal_quality")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_rtree_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rtree_join.link(table(spark, sf_dir, "documents"))

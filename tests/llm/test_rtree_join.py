@@ -1,0 +1,128 @@
+"""Jaccard join against brute force; the tree and the components by themselves."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from relayplan.llm import blocks, rtree_join
+
+SCHEMA = "doc_id long, text string, id string, n int, d1 int"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def shingles(t):
+    w = WORD.findall((t or "").translate(LOWER))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
+
+
+def brute(docs):
+    s = [shingles(t) for _, t in docs]
+    up = list(range(len(docs)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if s[i] and s[j] and 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j]):
+                up[root(i)] = root(j)
+    big = blocks.NULL_ID
+    key = [big if i is None else i for i, _ in docs]
+    least = {}
+    for i in range(len(docs)):
+        least[root(i)] = min(least.get(root(i), big), key[i])
+    return sorted((key[i], len(s[i]), least[root(i)]) for i in range(len(docs)))
+
+
+def got(spark, docs):
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in docs], SCHEMA).repartition(4)
+    big = blocks.NULL_ID
+    return sorted((big if r.doc_id is None else r.doc_id, r.n_shingles,
+                   big if r.component_id is None else r.component_id) for r in rtree_join.link(df).collect())
+
+
+def near(seed, n=150, vocab=400, repeat=False):
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(vocab)]
+    passage = [rnd.choice(words) for _ in range(40)]
+    base = [[rnd.choice(words) for _ in range(rnd.choice([3, 5, 8, 30, 100, 300]))] for _ in range(12)]
+    docs = [(0, None), (1, ""), (2, " \n"), (3, "One two"), (4, "one TWO"), (5, "a b c d e"), (6, "A b c d e")]
+    for i in range(n):
+        w = list(rnd.choice(base)) if rnd.random() < 0.8 else [rnd.choice(words) for _ in range(50)] + passage
+        for _ in range(rnd.choice([0, 1, 1, 2, 4])):  # similarities on both sides of the threshold
+            w[rnd.randrange(len(w))] = rnd.choice(words)
+        docs.append((10 + (rnd.randrange(n) if repeat else i), rnd.choice([" ", "\n"]).join(w)))
+    return docs + ([(None, docs[-1][1]), (None, "q r s t u v")] if repeat else [])
+
+
+@pytest.mark.parametrize("seed,repeat,small", [(1, False, 8), (2, True, 1), (3, False, 2)])
+def test_link_is_brute_force(spark, monkeypatch, seed, repeat, small):
+    monkeypatch.setattr(rtree_join, "SMALL", small)
+    monkeypatch.setattr(rtree_join, "LEAF", 4)
+    docs = near(seed, repeat=repeat)
+    assert got(spark, docs) == brute(docs)
+
+
+def test_link_of_files(spark, sf_small):
+    rows = pq.read_table(f"{sf_small}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    docs = [(r["doc_id"], r["text"]) for r in rows]
+    assert got(spark, docs) == brute(docs)
+
+
+def test_large_cluster_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(rtree_join, "CLUSTER_BLOCK", 10)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 3000)
+    docs = near(5, 160, 60)
+    assert got(spark, docs) == brute(docs)
+
+
+def test_drop_duplicates(spark):
+    docs = near(6, 60, repeat=True) + [(9000, "same id same text again and again"), (9000, "same id same text again and again")]
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in docs], SCHEMA)
+    left = rtree_join.drop_duplicates(df)
+    assert left.columns == df.columns
+    keep = {a for a, _, c in brute(docs) if a == c}
+    gone = {a for a, _, c in brute(docs) if a != c}
+    big = blocks.NULL_ID
+    have = [big if r.doc_id is None else r.doc_id for r in left.collect()]
+    assert set(have) == keep - gone and have.count(9000) == 1
+
+
+def test_nothing(spark):
+    assert got(spark, []) == []
+    assert got(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_tree_finds_all_that_fit():
+    rnd = np.random.default_rng(3)
+    for size in (1, 5, 33, 400, 1500):
+        points = rnd.integers(0, 6, (size, rtree_join.GROUPS))
+        points[size // 2:] = np.abs(points[:size - size // 2] + rnd.integers(-1, 2, (size - size // 2, 1)) *
+                                    (rnd.random((size - size // 2, rtree_join.GROUPS)) < 0.05))
+        n = points.sum(axis=1)
+        tree = rtree_join.RTree(n, points)
+        for i in rnd.integers(0, size, 10):
+            fit = np.minimum(points, points[i]).sum(axis=1)
+            want = [j for j in range(size) if fit[j] >= rtree_join.need(int(n[i]), int(n[j]))
+                    and 10 * min(n[i], n[j]) >= 8 * max(n[i], n[j])]
+            assert sorted(tree.partners(points[i], int(n[i])).tolist()) == want
+
+
+def test_components(spark):
+    rnd = random.Random(1)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(rnd.randrange(100, 200), rnd.randrange(100, 200)) for _ in range(70)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    forest = rtree_join.Forest(200)
+    for a, b in edges:
+        forest.join(a, b)
+    root = forest.roots()
+    want = sorted((i, int(root[i])) for i in range(200) if root[i] != i)
+    assert sorted((r.id, r.root) for r in rtree_join.components(df).collect()) == want
