@@ -22,7 +22,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLOCK_DOCS = 20_000
 #: Place of a null id in the order of ids: after all others.
 NULL_ID = np.iinfo(np.int64).max

@@ -210,7 +210,7 @@ def parse(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         cover = np.zeros(len(p.codes) + 1, np.int32)
         np.add.at(cover, at, 1)
         np.add.at(cover, at + LENGTH, -1)
-        gone = np.cumsum(cover[:-1]) > 0
+        gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
         breaks = (np.flatnonzero(np.concatenate((
             [True], (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (src_doc[1:] != src_doc[:-1])
             | (src_place[1:] != src_place[:-1] + 1)))) if len(at) else np.zeros(0, np.int64))

@@ -366,7 +366,7 @@ def covered(b: Judged, right: pd.DataFrame, buckets: int) -> np.ndarray:
         hit = at[answers(right, STRING, np.uint8)[group].astype(bool) | (doc > doc[new][group])]
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + LENGTH, -1)
-    return np.cumsum(cover[:-1]) > 0
+    return np.cumsum(cover[:-1], dtype=np.int32) > 0
 
 
 def remove(buckets: int):

@@ -33,13 +33,13 @@ def frames(spark, docs, labels):
 
 
 def test_held_out_accuracy(spark):
-    docs, labels = corpus()
+    docs, labels = corpus(2400)
     d, lab = frames(spark, docs, labels)
     model = q.train(d, lab.filter("doc_id % 2 = 0"))
     rows = q.score(d.filter("doc_id % 2 = 1"), model).collect()
     want = {i: 0 if t else 1 + g for i, g, t in labels}
     good = {r.doc_id: r.p_good >= q.ACCEPT for r in rows}
-    assert len(rows) == 300
+    assert len(rows) == 1200
     assert np.mean([good[i] == (want[i] == 2) for i in good]) > 0.95
     mean = lambda g: np.mean([r.expected_grade for r in rows if want[r.doc_id] == g])
     assert mean(0) < mean(1) < mean(2)
