@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Rows of whole texts are long: small batches bound what a Python worker
+    # and the JVM hold of them at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Lookups join a small key set (requests' URIs, ids) against a very large
     # inventory. A runtime bloom filter built from the key side prunes the
