@@ -157,10 +157,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit fingerprints of ``text[start:end]``: a polynomial in an odd
-    number over random byte codes, by prefix sums, in pieces of bounded size."""
+    """64-bit fingerprints of ``text[start:end]``, bytes or wider numbers: a
+    polynomial in an odd number over random codes of the items, by prefix sums,
+    in pieces of bounded size."""
     out = np.empty(len(starts), np.uint64)
     codes = mix(BYTE_CODES + np.uint64(salt))
+    code = (lambda x: codes[x]) if text.dtype == np.uint8 else (
+        lambda x: mix(x.astype(np.uint64) + POWER + np.uint64(salt)))
     at = 0
     while at < len(starts):
         lo = starts[at]
@@ -168,7 +171,7 @@ def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int
         piece = text[lo:ends[to - 1]]
         up, down = _powers(len(piece) + 1)
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(codes[piece] * up[:len(piece)], out=sums[1:])
+        np.cumsum(code(piece) * up[:len(piece)], out=sums[1:])
         s, e = starts[at:to] - lo, ends[at:to] - lo
         out[at:to] = (sums[e] - sums[s]) * down[s]
         at = to

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, ordinal_quality, pivot_search, rlz_dedup, rtree_join, sanitise, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_rtree_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rtree_join.link(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pieces")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = pieces.load()
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), v), v)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"),
+                        F.xxhash64("ids").alias("ids_hash"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
