@@ -10,9 +10,9 @@ greatest. That is a longest path through positions, a product of matrices over
 - A giant document is split into chunks of ``CHUNK`` characters anywhere. The
   state at a chunk's border is by how many characters a piece reaches over it.
   Each chunk yields its transfer matrix (best score from each state at its
-  start to each state at its end); the matrices are combined by prefix and
-  suffix products, which fixes the best state at each border; then each chunk
-  is traced back by itself between its two states.
+  start to each state at its end); the matrices are combined by prefix products,
+  which fix the best state at each border; then each chunk is traced back by
+  itself between its two states.
 
 Scores are integers here (scaled), and a small fixed number per piece is added
 to decide ties, so that the pieces found do not depend on where a text is
@@ -428,10 +428,10 @@ def states(v: Vocabulary):
         pdf = pdf.sort_values("chunk")
         t = np.stack([unpack(d)[0].reshape(v.longest, v.longest) for d in pdf["data"]])
         before = prefix_products(t)[:, 0, :]
-        after = prefix_products(t[::-1].transpose(0, 2, 1))[::-1][:, 0, :]
-        best = (before[:-1] + after[1:]).argmax(axis=1)
-        return pd.DataFrame({"_row": pdf["_row"], "chunk": pdf["chunk"],
-                             "enter": np.concatenate(([0], best)), "leave": np.concatenate((best, [0]))})
+        enter, leave = np.zeros(len(t), np.int64), np.zeros(len(t), np.int64)
+        for k in range(len(t) - 1, 0, -1):  # of equal paths, one and the same at all borders
+            enter[k] = leave[k - 1] = (before[k - 1] + t[k][:, leave[k]]).argmax()
+        return pd.DataFrame({"_row": pdf["_row"], "chunk": pdf["chunk"], "enter": enter, "leave": leave})
     return run
 
 
