@@ -4,11 +4,11 @@ These must equal the values the original service uses, otherwise results
 differ. They are listed here plainly and together.
 """
 
-# --- fixed values: event envelope -------------------------------------------
-EVENT_BUS_NAME = "OrcaBusMain"            # external bus; only accepted bus name
-INTERNAL_BUS_NAME = "OrcaBusICAv2DataCopyInternal"   # internal bus (sub-folder copies, job ids)
-DETAIL_TYPE = "ICAv2DataCopySync"         # only accepted detail type
-EVENT_SOURCE = "orcabus.icav2datacopymanager"        # source of internal events
+# --- event envelope: defaults, a deployment passes its own names -----------------
+EVENT_BUS_NAME = "MainBus"                # external bus; only accepted bus name
+INTERNAL_BUS_NAME = "InternalCopyBus"     # internal bus (sub-folder copies, job ids)
+DETAIL_TYPE = "DataCopySync"              # only accepted detail type
+EVENT_SOURCE = "copy.manager"             # source of internal events
 
 # --- fixed values: URIs --------------------------------------------------------
 PROJECT_SCHEME = "icav2"                  # project data URIs
@@ -23,8 +23,6 @@ FOLDER = "FOLDER"
 PARTIAL = "PARTIAL"                       # unfinished file at the destination
 
 # --- fixed values: job states ------------------------------------------------------
-JOB_STATES = ("INITIALIZED", "WAITING_FOR_RESOURCES", "RUNNING", "STOPPED",
-              "SUCCEEDED", "PARTIALLY_SUCCEEDED", "FAILED")
 NON_TERMINAL_STATES = ("INITIALIZED", "WAITING_FOR_RESOURCES", "RUNNING")
 # poll summary: non-terminal -> RUNNING, these -> FAILED, anything else -> SUCCEEDED
 POLL_FAILED_STATES = ("STOPPED", "PARTIALLY_SUCCEEDED", "FAILED")
@@ -37,6 +35,4 @@ EXECUTION_RUNNING = "RUNNING"
 HEARTBEAT_EVERY = "3 minutes"
 HEARTBEAT_TIMEOUT_SECONDS = 300           # 5 minutes
 HEARTBEAT_BATCH = 50                      # external heartbeats per batch
-STATUS_BATCH_MESSAGES = 5                 # notifications per queue batch
 STATUS_BATCH_WINDOW = "10 seconds"
-STATUS_MAX_WAIT_SECONDS = 6               # registration grace before lookup

@@ -35,26 +35,23 @@ def uri_valid(uri) -> Column:
     return _c(uri).rlike(K.URI_PATTERN)
 
 
-def uris_valid(arr) -> Column:
-    return F.forall(_c(arr), lambda u: u.rlike(K.URI_PATTERN))
-
-
-def destination_is_folder(uri) -> Column:
-    return _c(uri).endswith("/")
-
-
 def scheme_supported(uri) -> Column:
     return uri_scheme(uri).isin(*K.SIZED_SCHEMES)
 
 
+def one_input(source_uri, data_id) -> Column:
+    """Exactly one of the two branches is valid: a source URI of the pattern,
+    a data id that is not empty. The other may be present but invalid."""
+    s, d = _c(source_uri), _c(data_id)
+    uri = F.coalesce(s.rlike(K.URI_PATTERN), F.lit(False))
+    ident = F.coalesce(F.length(d) >= 1, F.lit(False))
+    return uri != ident
+
+
 def renaming_item_valid(source_uri, data_id, output_name) -> Column:
-    """Exactly one of sourceUri / dataId, valid URI, non-empty output name."""
-    s, d, o = _c(source_uri), _c(data_id), _c(output_name)
-    one_of = s.isNotNull() != d.isNotNull()
-    src_ok = s.isNull() | uri_valid(s)
-    id_ok = d.isNull() | (F.length(d) >= 1)
-    name_ok = o.isNotNull() & (F.length(o) >= 1)
-    return one_of & src_ok & id_ok & name_ok
+    """One valid input and a non-empty output name."""
+    o = _c(output_name)
+    return one_input(source_uri, data_id) & o.isNotNull() & (F.length(o) >= 1)
 
 
 def has_rename_input(data_id, input_uri) -> Column:

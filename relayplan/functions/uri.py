@@ -107,3 +107,11 @@ def ancestors(path) -> Column:
         lambda i: F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")),
     )
     return F.when(F.size(parts) >= 2, anc).otherwise(F.array().cast("array<string>"))
+
+
+def spread_null(key, *others) -> Column:
+    """A join key whose nulls become different values that no key equals, so
+    that they are spread over the partitions of an outer join, not gathered
+    in one."""
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[_c(o) for o in others]).cast("string"))
+    return F.coalesce(_c(key), salt)

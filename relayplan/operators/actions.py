@@ -17,6 +17,7 @@ from relayplan.functions.predicates import is_partial, part_class
 from relayplan.operators.resolve import FILE_KIND, parse_destinations
 
 COPY, REPLACE_PARTIAL, SKIP, CONFLICT = "COPY", "REPLACE_PARTIAL", "SKIP", "CONFLICT"
+MISSING_SOURCE = "MISSING_SOURCE"
 
 
 def file_targets(resolved: DataFrame, requests: DataFrame) -> DataFrame:
@@ -37,7 +38,8 @@ def file_targets(resolved: DataFrame, requests: DataFrame) -> DataFrame:
 
 def transfer_action(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame:
     """J-10: COPY (nothing there), REPLACE_PARTIAL (unfinished file there),
-    SKIP (same size there), CONFLICT (different size there).
+    SKIP (same size there), CONFLICT (different size there), and
+    MISSING_SOURCE where ``targets`` says the source was not found.
 
     Left equi-join on (project, path) against existing destination files.
     """
@@ -46,7 +48,9 @@ def transfer_action(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame:
         F.col("status").alias("existing_status"), F.col("size").alias("existing_size"),
         F.col("data_id").alias("existing_id"))
     j = targets.join(ex, ["target_project", "target_path"], "left")
-    action = (F.when(F.col("existing_status").isNull(), F.lit(COPY))
+    found = F.col("found") if "found" in targets.columns else F.lit(True)
+    action = (F.when(~found, F.lit(MISSING_SOURCE))
+               .when(F.col("existing_status").isNull(), F.lit(COPY))
                .when(is_partial("existing_status"), F.lit(REPLACE_PARTIAL))
                .when(F.col("existing_size").eqNullSafe(F.col("size")), F.lit(SKIP))
                .otherwise(F.lit(CONFLICT)))
@@ -129,9 +133,6 @@ def destination_collisions(planned: DataFrame) -> DataFrame:
                    .select("request_id", F.col("target_path").alias("dest_path"), "n"))
 
 
-MISSING_SOURCE = "MISSING_SOURCE"
-
-
 def external_targets(resolved: DataFrame, requests: DataFrame, external_objects: DataFrame) -> DataFrame:
     """External (``s3``) sources with the path they land on: destination
     folder + base name of the object key; size and part class from the
@@ -144,7 +145,7 @@ def external_targets(resolved: DataFrame, requests: DataFrame, external_objects:
     d = parse_destinations(requests)
     name = U.basename(U.uri_path(u))
     return meta.join(d, "request_id").select(
-        "request_id", "pos", "source_uri", name.alias("name"), "size", "is_multipart", "found",
+        "request_id", "pos", "source_uri", name.alias("name"), "size", "etag", "is_multipart", "found",
         F.col("dest_project").alias("target_project"), F.col("dest_folder").alias("target_folder"),
         U.path_join(F.col("dest_folder"), name).alias("target_path"))
 
@@ -152,8 +153,7 @@ def external_targets(resolved: DataFrame, requests: DataFrame, external_objects:
 def external_actions(targets: DataFrame, dest_inventory: DataFrame) -> DataFrame:
     """J-10 for the external-object mover; objects missing from the catalog
     cannot be moved (MISSING_SOURCE)."""
-    a = transfer_action(targets, dest_inventory)
-    return a.withColumn("action", F.when(~F.col("found"), F.lit(MISSING_SOURCE)).otherwise(F.col("action")))
+    return transfer_action(targets, dest_inventory)
 
 
 def transfer_report(actions: DataFrame, mode: str = "strict") -> DataFrame:

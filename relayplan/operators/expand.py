@@ -6,8 +6,7 @@ each file path is exploded into its proper ancestor folders and joined on
 nested-loop join, and replaces the original's re-published event per
 sub-folder with one closed-form join. Top-level ancestors are hot keys; AQE
 skew-join splitting handles a folder that owns a large share of all files,
-``salt`` spreads it explicitly, and ``prune_depths`` explodes only the
-ancestor depths at which folder sources exist.
+and ``salt`` spreads it explicitly.
 """
 
 from __future__ import annotations
@@ -20,43 +19,19 @@ from relayplan.functions import uri as U
 from relayplan.operators.resolve import FOLDER_KIND, parse_destinations
 
 
-def folder_depth(path) -> F.Column:
-    """Depth of a folder path: ``/`` is 0, ``/a/`` is 1, ``/a/b/`` is 2."""
-    p = F.col(path) if isinstance(path, str) else path
-    return F.size(F.split(U.as_folder(p), "/")) - 2
-
-
-def file_ancestors(inventory: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def file_ancestors(inventory: DataFrame) -> DataFrame:
     """(project_id, folder, data_id, path, name, size, etag) for every file
-    and each of its proper ancestor folders.
-
-    ``wanted`` (project_id, folder) restricts the output to ancestors that
-    can match: files are joined on ``project_id`` with the set of wanted
-    folder depths of their project (one row per project, at most the deepest
-    path long) and only those depths are exploded. Files of projects without
-    a wanted folder drop out before the explode.
-    """
+    and each of its proper ancestor folders."""
     f = inventory.filter(F.col("data_type") == K.FILE)
-    anc = U.ancestors("path")
-    if wanted is not None:
-        depths = (wanted.select("project_id", folder_depth("folder").alias("_d")).distinct()
-                        .groupBy("project_id").agg(F.collect_set("_d").alias("_depths")))
-        f = f.join(depths, "project_id")
-        anc = F.filter(anc, lambda a, i: F.array_contains(F.col("_depths"), i))
-    return f.select("project_id", F.explode(anc).alias("folder"),
+    return f.select("project_id", F.explode(U.ancestors("path")).alias("folder"),
                     "data_id", "path", "name", "size", "etag")
 
 
 def expand_recursive(resolved: DataFrame, requests: DataFrame, inventory: DataFrame,
-                     salt: int = 1, prune_depths: bool = True) -> DataFrame:
+                     salt: int = 1) -> DataFrame:
     """J-5: every file below each FOLDER source, with its destination path
     ``dest/<folder name>/<path relative to the folder>``.
 
-    ``prune_depths`` explodes only the ancestor depths at which the
-    project has folder sources (see ``file_ancestors``): on large inventories
-    this cuts the shuffled rows several-fold; on small inputs the extra
-    dependency on the resolved sources costs more than it saves.
-
     ``salt > 1`` spreads every (project, folder) key over ``salt`` join
     partitions: file rows get ``hash(data_id) % salt``, folder-source rows are
     replicated once per salt value. Use it where a few folders own most files
@@ -68,7 +43,7 @@ def expand_recursive(resolved: DataFrame, requests: DataFrame, inventory: DataFr
     src = (resolved.filter(F.col("kind") == FOLDER_KIND)
                    .select("request_id", "project_id", F.col("path").alias("folder"),
                            F.col("name").alias("folder_name")))
-    files = file_ancestors(inventory, wanted=src.select("project_id", "folder") if prune_depths else None)
+    files = file_ancestors(inventory)
     keys = ["project_id", "folder"]
     if salt > 1:
         src = src.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
@@ -83,11 +58,34 @@ def expand_recursive(resolved: DataFrame, requests: DataFrame, inventory: DataFr
                     F.col("folder").alias("source_folder"), "dest_project", dest.alias("dest_path"))
 
 
-def recursive_jobs(expanded: DataFrame) -> DataFrame:
-    """A-4: each destination folder of the expansion is its own job."""
-    return (expanded.withColumn("dest_folder", U.parent("dest_path"))
-                    .groupBy("request_id", "dest_folder")
-                    .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")))
+def folder_tree(resolved: DataFrame, requests: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Every FOLDER source and every folder below it, with the destination
+    folder it becomes; folders without files included.
+
+    request_id, dest_uri, dest_scheme, dest_project, dest_folder
+    """
+    src = (resolved.filter(F.col("kind") == FOLDER_KIND)
+                   .select("request_id", "project_id", F.col("path").alias("folder"),
+                           F.col("name").alias("folder_name")))
+    own = F.array_union(U.ancestors("path"), F.array("path"))
+    below = inventory.filter(F.col("data_type") == K.FOLDER).select(
+        "project_id", F.explode(own).alias("folder"), F.col("path").alias("below"))
+    d = parse_destinations(requests)
+    j = src.join(below, ["project_id", "folder"]).join(d, "request_id")
+    path = U.normalise_path(F.concat(F.col("dest_folder"), F.col("folder_name"), F.lit("/"),
+                                     U.relative_to(F.col("below"), F.col("folder"))))
+    return j.select("request_id", "dest_uri", "dest_scheme", "dest_project", path.alias("dest_folder")).distinct()
+
+
+def recursive_jobs(tree: DataFrame, expanded: DataFrame) -> DataFrame:
+    """A-4: one job per folder of the tree, with the files directly in it."""
+    files = (expanded.select("request_id", U.parent("dest_path").alias("dest_folder"), "size")
+                     .groupBy("request_id", "dest_folder")
+                     .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")))
+    zero = F.lit(0).cast("long")
+    return (tree.select("request_id", "dest_folder").distinct().join(files, ["request_id", "dest_folder"], "left")
+                .select("request_id", "dest_folder", F.coalesce("files", zero).alias("files"),
+                        F.coalesce("bytes", zero).alias("bytes")))
 
 
 def loop_guard(resolved: DataFrame, requests: DataFrame) -> DataFrame:
@@ -102,24 +100,19 @@ def loop_guard(resolved: DataFrame, requests: DataFrame) -> DataFrame:
     return src.join(anc, ["request_id", "project_id", "folder"], "left_semi").select("request_id", "source_uri")
 
 
-def planned_files(targets: DataFrame, expanded: DataFrame) -> DataFrame:
-    """All files a request moves: direct files and expanded folder contents.
+def planned_files(targets: DataFrame, expanded: DataFrame, external: DataFrame | None = None) -> DataFrame:
+    """All files a request moves: direct files, expanded folder contents and,
+    if given, external objects (``actions.external_targets``; their URI is the
+    id, ``found`` is false for those missing from the catalog).
 
-    request_id, data_id, size, etag, target_project, target_folder, target_path
+    request_id, data_id, size, etag, target_project, target_folder, target_path, found
     """
-    a = targets.select("request_id", "data_id", "size", "etag", "target_project", "target_folder",
-                       "target_path")
+    cols = ["request_id", "data_id", "size", "etag", "target_project", "target_folder", "target_path"]
+    a = targets.select(*cols, F.lit(True).alias("found"))
     b = expanded.select("request_id", "data_id", "size", "etag", F.col("dest_project").alias("target_project"),
-                        U.parent("dest_path").alias("target_folder"), F.col("dest_path").alias("target_path"))
-    return a.unionByName(b)
-
-
-def flattened_targets(planned: DataFrame, requests: DataFrame, external: DataFrame) -> DataFrame:
-    """Every planned object flattened into the request's destination folder
-    by base name (files, expanded files and external objects)."""
-    d = parse_destinations(requests).select("request_id", "dest_project", "dest_folder")
-    a = planned.select("request_id", U.basename("target_path").alias("base"))
-    b = external.select("request_id", U.basename(U.uri_path("source_uri")).alias("base"))
-    j = a.unionByName(b).join(d, "request_id")
-    return j.select("request_id", F.col("dest_project").alias("target_project"),
-                    U.path_join(F.col("dest_folder"), F.col("base")).alias("target_path"))
+                        U.parent("dest_path").alias("target_folder"), F.col("dest_path").alias("target_path"),
+                        F.lit(True).alias("found"))
+    out = a.unionByName(b)
+    if external is not None:
+        out = out.unionByName(external.withColumn("data_id", F.col("source_uri")).select(*cols, "found"))
+    return out

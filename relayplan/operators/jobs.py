@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from relayplan import constants as K
 from relayplan.functions.predicates import non_terminal, summarise_poll, summarise_push
+from relayplan.session import shared_dir
 
 SUCCESS, FAILURE, NON_TERMINAL, NOT_IN_DB = "SUCCESS", "FAILURE", "NON_TERMINAL", "NOT_IN_DB"
 HEARTBEAT = "HEARTBEAT"
@@ -108,17 +109,29 @@ def external_heartbeats(executions: DataFrame) -> DataFrame:
         "execution_id", F.get_json_object("input", "$.taskToken").alias("task_token"))
 
 
-def batch_items(df: DataFrame, order_col: str, n: int = K.HEARTBEAT_BATCH, bucket_digits: int = 2) -> DataFrame:
-    """A-6: fixed-size batches.
+def batch_items(df: DataFrame, order_col: str, n: int = K.HEARTBEAT_BATCH) -> DataFrame:
+    """A-6: rows numbered by ``order_col`` and cut into batches of ``n``; all
+    but the last batch are full. Adds ``batch_no``.
 
-    Rows are first spread over ``16 ** bucket_digits`` buckets by a hash of
-    the order column, so numbering runs in parallel per bucket instead of one
-    global window. Adds ``bucket`` and ``batch_no``.
+    Rows are range-partitioned and sorted once, into a checkpoint that fixes
+    which row lies in which partition. Partitions are counted, the counts
+    (one row per partition) summed up, and rows numbered within partitions.
     """
-    b = F.substring(F.md5(F.col(order_col).cast("string")), 1, bucket_digits)
-    w = Window.partitionBy("bucket").orderBy(order_col)
-    return (df.withColumn("bucket", b)
-              .withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / n)))
+    shared_dir(df.sparkSession)
+    parts = df.repartitionByRange(F.col(order_col)).withColumn("_part", F.spark_partition_id()).checkpoint()
+    counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    own = Window.partitionBy("_part").orderBy(order_col)
+    return (parts.withColumn("_no", F.row_number().over(own) - 1).join(first, "_part")
+                 .withColumn("batch_no", F.expr(f"(_first + _no) div {n}"))
+                 .drop("_part", "_no", "_first"))
+
+
+def batches(df: DataFrame, order_col: str, n: int = K.HEARTBEAT_BATCH) -> DataFrame:
+    """A-6: ``batch_no, n, first_id`` of each batch."""
+    return batch_items(df, order_col, n).groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("n"), F.min(order_col).alias("first_id"))
 
 
 def heartbeat_ticks(events: DataFrame, every: str = K.HEARTBEAT_EVERY) -> DataFrame:
@@ -163,8 +176,3 @@ def interval_micros(text: str) -> int:
     mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
             "day": 86400, "days": 86400}[unit]
     return int(n) * mult * 1_000_000
-
-
-def status_outcomes(status: F.Column) -> dict[str, F.Column]:
-    """E-10 both ways plus P-13, as named columns."""
-    return {"poll": summarise_poll(status), "push": summarise_push(status), "non_terminal": non_terminal(status)}

@@ -9,17 +9,6 @@ from relayplan.functions import uri as U
 from relayplan.operators.resolve import EXTERNAL_KIND, FILE_KIND, FOLDER_KIND
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    DataFrame is returned unhinted and the join shuffles (AQE may still
-    broadcast it from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def assemble_plan(resolved: DataFrame) -> DataFrame:
     """A-2: per request, how many sources are files, folders and externals.
 
@@ -39,9 +28,9 @@ def write_plan(plan: DataFrame, path: str, partition_by: tuple[str, ...] = ("kin
     plan.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def s3_targets(objects: DataFrame, storage_config: DataFrame, max_config_rows: int = 100_000) -> DataFrame:
+def s3_targets(objects: DataFrame, storage_config: DataFrame) -> DataFrame:
     """E-15: project path -> ``s3://bucket/prefix + key`` via the project's
-    storage configuration (one row per project, broadcast after a size check)."""
-    cfg = broadcast_if_small(storage_config.select("project_id", "bucket", "prefix"), max_config_rows)
+    storage configuration (one row per project; AQE picks the join from measured sizes)."""
+    cfg = storage_config.select("project_id", "bucket", "prefix")
     j = objects.join(cfg, "project_id")
     return j.select("project_id", "path", U.s3_uri(F.col("bucket"), F.col("prefix"), F.col("path")).alias("s3_uri"))

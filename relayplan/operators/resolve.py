@@ -69,14 +69,18 @@ def dest_folders(dest_inventory: DataFrame) -> DataFrame:
     return own.unionByName(anc).distinct()
 
 
-def missing_destinations(requests: DataFrame, dest_inventory: DataFrame) -> DataFrame:
-    """J-3: destination folders that must be created.
+def missing_destinations(requests: DataFrame, dest_inventory: DataFrame, tree: DataFrame | None = None) -> DataFrame:
+    """J-3: destination folders that must be created: the requests' own and,
+    with ``tree`` (``expand.folder_tree``), one for each folder they copy.
 
     Only well-formed project destinations (``icav2``, final ``/``) count; the
     rest are validation errors (P-4). ``left_anti`` against existing folders.
     """
-    d = (parse_destinations(requests)
-         .filter((F.col("dest_scheme") == K.PROJECT_SCHEME) & F.col("dest_uri").endswith("/"))
+    cols = ["dest_uri", "dest_scheme", "dest_project", "dest_folder"]
+    want = parse_destinations(requests).select(*cols)
+    if tree is not None:
+        want = want.unionByName(tree.select(*cols))
+    d = (want.filter((F.col("dest_scheme") == K.PROJECT_SCHEME) & F.col("dest_uri").endswith("/"))
          .select(F.col("dest_project").alias("project_id"), F.col("dest_folder").alias("path"))
          .distinct())
     return d.join(dest_folders(dest_inventory), ["project_id", "path"], "left_anti")
@@ -120,7 +124,7 @@ def external_metadata(uris: DataFrame, external_objects: DataFrame, uri_col: str
     """J-8: size and loose multi-part flag by URI; ``found`` false when the
     object is missing or not current."""
     cat = current_catalog(external_objects).select(
-        F.col("uri").alias(uri_col), "size",
+        F.col("uri").alias(uri_col), "size", "etag",
         (part_class("etag", "loose") == "MULTI").alias("is_multipart"),
         F.lit(True).alias("_hit"))
     j = uris.join(cat, uri_col, "left")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relayplan import constants as K
+from relayplan.functions.predicates import one_input
 
 
 def _chk(field, rule: str, bad: Column) -> Column:
@@ -36,6 +37,9 @@ def validate_requests(events: DataFrame, key: str = "request_id",
 
     Rules follow the event schema (2020-12 reading, URI pattern with search
     semantics) plus the handler's rule that the destination ends in ``/``.
+    Where a request spans several events (column ``part``), the rules on the
+    envelope and on whole lists are checked on the first; item numbers count
+    within the event.
     """
     e = F.col("event")
     d = e.getField("Detail")
@@ -66,14 +70,14 @@ def validate_requests(events: DataFrame, key: str = "request_id",
 
     def ren(x, i):
         f = _item_field("Detail.payload.renamingMapList", i)
-        s, did, out = x.getField("sourceUri"), x.getField("dataId"), x.getField("outputFileName")
-        v1 = s.isNotNull() & s.rlike(K.URI_PATTERN)
-        v2 = did.isNotNull() & (F.length(did) >= 1)
-        return F.array(_chk(f, "oneOf", F.coalesce(v1, F.lit(False)) == F.coalesce(v2, F.lit(False))),
+        out = x.getField("outputFileName")
+        return F.array(_chk(f, "oneOf", ~one_input(x.getField("sourceUri"), x.getField("dataId"))),
                        _chk(f, "outputFileName", out.isNull() | (F.length(out) < 1)))
     rens = F.flatten(F.transform(F.coalesce(p.getField("renamingMapList"),
                                             F.array().cast("array<struct<sourceUri:string,dataId:string,outputFileName:string>>")),
                                  ren))
+    if "part" in events.columns:
+        scalar = F.when(F.col("part") == 0, scalar).otherwise(F.slice(scalar, 1, 0))
     allc = F.concat(scalar, srcs, exts, rens)
     return (events.select(key, F.explode(F.filter(allc, lambda c: c.getField("bad"))).alias("c"))
                   .select(key, F.col("c.field").alias("field"), F.col("c.rule").alias("rule")))

@@ -51,11 +51,12 @@ src as (select request_id, 0 as pos, concat('icav2://',project_id,src_folder) as
     join ext on doc_id=o_custkey where kind=4),
 dst as (select dest_project_id as project_id,
   concat('dst.',cast(request_id as varchar),'.',cast(l_linenumber as varchar)) as data_id,
-  'FILE' as data_type, concat(dest_path,name) as path, name,
+  'FILE' as data_type, case when kind in (2,3) then concat(dest_path,name)
+    else concat(dest_path,cast(request_id as varchar),'/',substr(path,length(src_folder)+1)) end as path, name,
   case when (cast(floor(request_id/10) as bigint)+l_linenumber)%7=0 then 'PARTIAL' else 'AVAILABLE' end as status,
   case when (cast(floor(request_id/10) as bigint)+l_linenumber)%7=2 then size+1 else size end as size
   from req join inv on l_orderkey=request_id
-  where kind in (2,3) and (cast(floor(request_id/10) as bigint)+l_linenumber)%7<=2),
+  where (cast(floor(request_id/10) as bigint)+l_linenumber)%7<=2),
 job as (select event_id, concat('job-',cast(cast(floor(event_id/5) as bigint) as varchar)) as job_id,
   cast(floor(event_id/5) as bigint) as j, ts,
   case event_type when 'click' then 'WAITING_FOR_RESOURCES' when 'view' then 'RUNNING'
@@ -82,7 +83,11 @@ ren as (select request_id, 1 as item, source_uri as input_uri, cast(null as varc
     from req where o_custkey%7=0
   union all select request_id, 6, cast(null as varchar), cast(null as varchar), 'y.dat' from req where o_custkey%31=0
   union all select request_id, 7, cast(null as varchar), concat('fil.',cast(request_id as varchar),'.1'), 'a//b.dat'
-    from req where o_custkey%37=0),
+    from req where o_custkey%37=0
+  union all select request_id, 8, 'gs://b/x', concat('fil.',cast(request_id as varchar),'.3'), 'both_id.dat'
+    from req where o_custkey%43=0
+  union all select request_id, 9, concat('icav2://',project_id,src_folder), '', 'both_uri.dat'
+    from req where o_custkey%47=0),
 executions as (select concat('exec-',cast(request_id as varchar)) as execution_id,
   case when request_id%20=0 then 'RUNNING' else 'SUCCEEDED' end as status,
   json_object('taskToken', task_token)::varchar as input from req),
@@ -104,9 +109,32 @@ targets as (select r.request_id, r.data_id, r.name, r.size, r.etag, d.dest_proje
     d.dest_folder as target_folder,
     regexp_replace(regexp_replace(concat(d.dest_folder,'/',r.name),'/(\./)+','/','g'),'/+','/','g') as target_path
   from resolved r join dest d using (request_id) where r.kind='FILE'),
-actions as (select t.*, case when x.status is null then 'COPY' when x.status='PARTIAL' then 'REPLACE_PARTIAL'
+fsrc as (select request_id, project_id, path as folder, name as folder_name from resolved where kind='FOLDER'),
+expanded as (select f.request_id, i.data_id, i.size, i.etag, f.folder as source_folder, d.dest_project,
+    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
+      '/(\./)+','/','g'),'/+','/','g') as dest_path
+  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
+  join dest d on d.request_id=f.request_id),
+ftree as (select distinct f.request_id, d.dest_uri, d.dest_scheme, d.dest_project,
+    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(g.path, length(f.folder)+1)),
+      '/(\./)+','/','g'),'/+','/','g') as dest_folder
+  from fsrc f join fold g on g.project_id=f.project_id and starts_with(g.path, f.folder)
+  join dest d on d.request_id=f.request_id),
+extcat as (select uri, arg_min(size, s3_object_id) as size, arg_min(etag, s3_object_id) as etag
+  from ext where current_state group by uri),
+planned as (select request_id, data_id, size, etag, target_project, target_folder, target_path, true as found from targets
+  union all select request_id, data_id, size, etag, dest_project, regexp_replace(dest_path,'[^/]+/?$',''), dest_path, true
+    from expanded
+  union all select r.request_id, r.source_uri, c.size, c.etag, d.dest_project, d.dest_folder,
+    regexp_replace(regexp_replace(concat(d.dest_folder,'/',
+      regexp_extract(regexp_extract(r.source_uri,'^[^:/?#]+://[^/]*(/.*)?$',1),'([^/]+)/*$',1)),
+      '/(\./)+','/','g'),'/+','/','g'), c.uri is not null
+    from resolved r join dest d using (request_id) left join extcat c on c.uri=r.source_uri
+    where r.kind='EXTERNAL' and regexp_extract(r.source_uri,'^([^:/?#]+)://',1)='s3'),
+actions as (select t.*, case when not t.found then 'MISSING_SOURCE'
+      when x.status is null then 'COPY' when x.status='PARTIAL' then 'REPLACE_PARTIAL'
       when x.size is not distinct from t.size then 'SKIP' else 'CONFLICT' end as action
-  from targets t left join dst x on x.project_id=t.target_project and x.path=t.target_path)
+  from planned t left join dst x on x.project_id=t.target_project and x.path=t.target_path)
 """
 
 

@@ -32,7 +32,9 @@ def requests_from_events(events: DataFrame, key: str = "request_id") -> EventTab
     relational tables; list positions are kept (W-5)."""
     n = EV.normalise_legacy(events) if "request" not in events.columns else events
     p = F.col("request.payload")
-    reqs = n.select(key, p.getField("destinationUri").alias("destination_uri"),
+    # a request that spans several events is described by the first
+    head = n.filter(F.col("part") == 0) if "part" in n.columns else n
+    reqs = head.select(key, p.getField("destinationUri").alias("destination_uri"),
                     F.col("request.taskToken").alias("task_token"), F.col("request.layout").alias("layout"))
     srcs = n.select(key, F.posexplode(p.getField("sourceUriList")).alias("pos", "source_uri"))
     rens = (n.select(key, F.posexplode(p.getField("renamingMapList")).alias("_i", "_r"))
@@ -46,29 +48,24 @@ def requests_from_events(events: DataFrame, key: str = "request_id") -> EventTab
 class TransferPlan:
     resolved: DataFrame          # every source with its kind (J-1)
     expanded: DataFrame          # files below folder sources (J-5)
-    actions: DataFrame           # direct files with COPY/REPLACE_PARTIAL/SKIP/CONFLICT (J-10)
-    all_actions: DataFrame       # the same decision for every planned file, folder contents included
-    external_actions: DataFrame  # external objects with their action
+    actions: DataFrame           # the decision for every file: named, below folders, external (J-10)
     jobs: DataFrame              # one copy job per destination folder (A-1)
     partials: DataFrame          # unfinished destination files each copy job deletes first (J-9)
     missing_folders: DataFrame   # destination folders to create (J-3)
 
 
 def plan_transfers(requests: DataFrame, sources: DataFrame, inventory: DataFrame,
-                   dest_inventory: DataFrame, external_objects: DataFrame,
-                   prune_depths: bool = True) -> TransferPlan:
+                   dest_inventory: DataFrame, external_objects: DataFrame) -> TransferPlan:
     resolved = R.resolve_sources(sources, inventory)
-    targets = A.file_targets(resolved, requests)
-    expanded = X.expand_recursive(resolved, requests, inventory, prune_depths=prune_depths)
-    planned = X.planned_files(targets, expanded)
+    expanded = X.expand_recursive(resolved, requests, inventory)
+    own = A.file_targets(resolved, requests)
+    planned = X.planned_files(own, expanded, A.external_targets(resolved, requests, external_objects))
+    project_files = X.planned_files(own, expanded)
     return TransferPlan(
         resolved=resolved,
         expanded=expanded,
-        actions=A.transfer_action(targets, dest_inventory),
-        all_actions=A.transfer_action(planned, dest_inventory),
-        external_actions=A.external_actions(A.external_targets(resolved, requests, external_objects),
-                                            dest_inventory),
-        jobs=A.build_copy_jobs(A.job_members(planned)),
-        partials=A.partials_to_delete(planned, dest_inventory),
-        missing_folders=R.missing_destinations(requests, dest_inventory),
+        actions=A.transfer_action(planned, dest_inventory),
+        jobs=A.build_copy_jobs(A.job_members(project_files)),
+        partials=A.partials_to_delete(project_files, dest_inventory),
+        missing_folders=R.missing_destinations(requests, dest_inventory, X.folder_tree(resolved, requests, inventory)),
     )

@@ -92,8 +92,8 @@ def q_legacy_normalise(spark, d):
 
 @query("renaming_item_valid", f"""
 select request_id, cast(item as bigint) as item,
-  ((input_uri is not null) <> (data_id is not null)) and (input_uri is null or regexp_matches(input_uri,'{PAT}'))
-    and (data_id is null or length(data_id)>=1) and output_file_name is not null and length(output_file_name)>=1 as valid,
+  coalesce(regexp_matches(input_uri,'{PAT}'), false) <> coalesce(length(data_id)>=1, false)
+    and output_file_name is not null and length(output_file_name)>=1 as valid,
   coalesce(data_id, input_uri) is not null as has_input
 from ren
 """)

@@ -11,23 +11,12 @@ from relayplan.operators import resolve as R
 from relayplan.plans.registry import query
 from relayplan.sources.tables import Tables
 
-# Oracle twin of expand_recursive: plain prefix containment, no ancestors.
-EXPANDED_SQL = r"""
-fsrc as (select request_id, project_id, path as folder, name as folder_name from resolved where kind='FOLDER'),
-expanded as (select f.request_id, i.data_id, i.size, i.etag, f.folder as source_folder, d.dest_project,
-    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
-      '/(\./)+','/','g'),'/+','/','g') as dest_path
-  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
-  join dest d on d.request_id=f.request_id)
-"""
-
-
 def _expanded(t: Tables):
     resolved = R.resolve_sources(t.request_sources, t.inventory)
-    return resolved, X.expand_recursive(resolved, t.requests, t.inventory, prune_depths=t.materialize)
+    return resolved, X.expand_recursive(resolved, t.requests, t.inventory)
 
 
-@query("expand_recursive", EXPANDED_SQL + """
+@query("expand_recursive", """
 select request_id, data_id, dest_path from expanded
 """)
 def q_expand_recursive(spark, d):
@@ -35,13 +24,16 @@ def q_expand_recursive(spark, d):
     return e.select("request_id", "data_id", "dest_path")
 
 
-@query("recursive_jobs", EXPANDED_SQL + """
-select request_id, regexp_replace(dest_path,'[^/]+/?$','') as dest_folder, count(*) as files,
-  cast(sum(size) as bigint) as bytes from expanded group by all
+@query("recursive_jobs", """
+t as (select distinct request_id, dest_folder from ftree)
+select t.request_id, t.dest_folder, count(e.data_id) as files, cast(coalesce(sum(e.size), 0) as bigint) as bytes
+from t left join expanded e on e.request_id=t.request_id and regexp_replace(e.dest_path,'[^/]+/?$','')=t.dest_folder
+group by all
 """)
 def q_recursive_jobs(spark, d):
-    _, e = _expanded(Tables(spark, d))
-    return X.recursive_jobs(e)
+    t = Tables(spark, d)
+    resolved, e = _expanded(t)
+    return X.recursive_jobs(X.folder_tree(resolved, t.requests, t.inventory), e)
 
 
 @query("loop_guard", """
@@ -65,12 +57,12 @@ def q_loop_guard(spark, d):
     return X.loop_guard(resolved, req2)
 
 
-@query("copy_jobs", EXPANDED_SQL + """,
-planned as (select request_id, data_id, size, etag, target_project, target_folder from targets
+@query("copy_jobs", """
+pfiles as (select request_id, data_id, size, etag, target_project, target_folder from targets
   union all select request_id, data_id, size, etag, dest_project, regexp_replace(dest_path,'[^/]+/?$','') from expanded)
 select request_id, target_project, target_folder as dest, count(*) as files, cast(sum(size) as bigint) as bytes,
   min(data_id) as first_id, max(data_id) as last_id
-from planned where etag is not null and regexp_full_match(etag,'\\w+-\\d+') group by all
+from pfiles where etag is not null and regexp_full_match(etag,'\\w+-\\d+') group by all
 """)
 def q_copy_jobs(spark, d):
     t = Tables(spark, d)
@@ -79,19 +71,22 @@ def q_copy_jobs(spark, d):
     return A.build_copy_jobs(A.job_members(planned))
 
 
-@query("destination_collisions", EXPANDED_SQL + """,
-flat as (select request_id, regexp_extract(target_path,'([^/]+)/*$',1) as base from targets
-  union all select request_id, regexp_extract(dest_path,'([^/]+)/*$',1) from expanded
-  union all select request_id, regexp_extract(regexp_extract(source_uri,'^[^:/?#]+://[^/]*(/.*)?$',1),'([^/]+)/*$',1)
-    from resolved where kind='EXTERNAL')
-select f.request_id,
-  regexp_replace(regexp_replace(concat(d.dest_folder,'/',f.base),'/(\\./)+','/','g'),'/+','/','g') as dest_path,
-  count(*) as n
-from flat f join dest d using (request_id) group by all having count(*) > 1
+@query("destination_collisions", """
+rv as (select request_id+1 as request_id, pos, source_uri, kind, project_id, data_id, path, name, size, etag
+       from resolved where kind='FILE' and request_id%6=0
+       union all select * from resolved where kind='FILE'),
+tg as (select r.request_id, d.dest_project as target_project,
+    regexp_replace(regexp_replace(concat(d.dest_folder,'/',r.name),'/(\\./)+','/','g'),'/+','/','g') as target_path
+  from rv r join dest d using (request_id)),
+al as (select * from tg union all select request_id, dest_project, dest_path from expanded)
+select request_id, target_path as dest_path, count(*) as n from al
+group by request_id, target_project, target_path having count(*) > 1
 """)
 def q_destination_collisions(spark, d):
+    """A-8 over planned target paths. Every sixth request's named files are
+    also sources of the request after it, whose files have the same names."""
     t = Tables(spark, d)
     resolved, e = _expanded(t)
-    planned = X.planned_files(A.file_targets(resolved, t.requests), e)
-    flat = X.flattened_targets(planned, t.requests, R.external_sources(resolved))
-    return A.destination_collisions(flat)
+    named = resolved.filter(F.col("kind") == R.FILE_KIND)
+    shared = named.filter(F.col("request_id") % 6 == 0).withColumn("request_id", F.col("request_id") + 1)
+    return A.destination_collisions(X.planned_files(A.file_targets(named.unionByName(shared), t.requests), e))

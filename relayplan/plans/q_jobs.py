@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from relayplan.functions.predicates import summarise_poll, summarise_push
-from relayplan.operators import actions as A
+from relayplan.functions import uri as U
+from relayplan.operators import expand as X
 from relayplan.operators import jobs as J
 from relayplan.operators import resolve as R
 from relayplan.operators import verify as V
+from relayplan.plans.q_planning import _planned
 from relayplan.plans.registry import query
 from relayplan.sources import events as EV
 from relayplan.sources.tables import Tables
@@ -51,9 +53,41 @@ def _objects(t: Tables):
     return t.inventory.select(*cols).unionByName(t.destination_inventory.select(*cols))
 
 
+def _size_checks(t: Tables):
+    """The expected size at each planned place of the whole plan."""
+    tg = _planned(t).join(R.parse_destinations(t.requests).select("request_id", "dest_scheme"), "request_id")
+    return tg.select("request_id", "data_id",
+                     F.concat(F.col("dest_scheme"), F.lit("://"), F.col("target_project"), F.col("target_path"))
+                     .alias("output_uri"), F.col("size").alias("expected"))
+
+
+def _pair_checks(t: Tables):
+    """Source and destination folder of each planned file: named files,
+    folder contents (their own destination folder) and externals."""
+    resolved = R.resolve_sources(t.request_sources, t.inventory)
+    d = t.requests.select("request_id", "destination_uri")
+    named = (resolved.filter(F.col("kind").isin(R.FILE_KIND, R.EXTERNAL_KIND))
+                     .select("request_id", "source_uri").join(d, "request_id"))
+    below = X.expand_recursive(resolved, t.requests, t.inventory).select("request_id", "data_id", "dest_project", "dest_path")
+    files = t.files.select("data_id", U.project_uri(F.col("project_id"), F.col("path")).alias("source_uri"))
+    scheme = R.parse_destinations(t.requests).select("request_id", "dest_scheme")
+    return named.unionByName(below.join(files, "data_id").join(scheme, "request_id").select(
+        "request_id", "source_uri", F.concat(F.col("dest_scheme"), F.lit("://"), F.col("dest_project"),
+                                             U.parent("dest_path")).alias("destination_uri")))
+
+
+PAIR_SQL = """
+pc as (select r.request_id, r.source_uri, q.destination_uri from resolved r join req q using (request_id)
+       where r.kind in ('FILE','EXTERNAL')
+       union all select e.request_id, concat('icav2://',i.project_id,i.path),
+         concat(d.dest_scheme,'://',e.dest_project,regexp_replace(e.dest_path,'[^/]+/?$',''))
+       from expanded e join inv i using (data_id) join dest d on d.request_id=e.request_id)
+"""
+
+
 @query("verify_size", OBJ_SQL + f""",
 chk as (select t.request_id, t.data_id, concat(d.dest_scheme,'://',t.target_project,t.target_path) as output_uri,
-  t.size as expected from targets t join dest d using (request_id)),
+  t.size as expected from planned t join dest d using (request_id)),
 l as ({_lookup_sql('chk', 'output_uri', 'actual')})
 select request_id, data_id, output_uri, expected, actual,
   case when regexp_extract(output_uri,{SCHEME},1) not in ('s3','icav2') then 'UNSUPPORTED'
@@ -62,13 +96,7 @@ from l
 """)
 def q_verify_size(spark, d):
     t = Tables(spark, d)
-    resolved = R.resolve_sources(t.request_sources, t.inventory)
-    tg = A.file_targets(resolved, t.requests).join(
-        R.parse_destinations(t.requests).select("request_id", "dest_scheme"), "request_id")
-    checks = tg.select("request_id", "data_id",
-                       F.concat(F.col("dest_scheme"), F.lit("://"), F.col("target_project"), F.col("target_path")).alias("output_uri"),
-                       F.col("size").alias("expected"))
-    return V.verify_size(checks, _objects(t), t.external_objects).select(
+    return V.verify_size(_size_checks(t), _objects(t), t.external_objects).select(
         "request_id", "data_id", "output_uri", "expected", "actual", "result")
 
 
@@ -76,8 +104,7 @@ NORM = "regexp_replace(regexp_replace({x},'/(\\./)+','/','g'),'/+','/','g')"
 
 
 @query("verify_pair", OBJ_SQL + f""",
-pc as (select r.request_id, r.source_uri, q.destination_uri from resolved r join req q using (request_id)
-       where r.kind in ('FILE','EXTERNAL')),
+{PAIR_SQL},
 pd as (select *, concat(regexp_extract(destination_uri,{SCHEME},1),'://',regexp_extract(destination_uri,{NETLOC},1),
   {NORM.format(x=f"concat(regexp_extract(destination_uri,{PATH},1),'/',regexp_extract(regexp_extract(source_uri,{PATH},1),'([^/]+)/*$',1))")}) as dest_uri
   from pc),
@@ -92,14 +119,49 @@ from l2
 """)
 def q_verify_pair(spark, d):
     t = Tables(spark, d)
-    resolved = R.resolve_sources(t.request_sources, t.inventory)
-    checks = (resolved.filter(F.col("kind").isin(R.FILE_KIND, R.EXTERNAL_KIND))
-                      .select("request_id", "source_uri")
-                      .join(t.requests.select("request_id", "destination_uri"), "request_id"))
-    return V.verify_pair(checks, _objects(t), t.external_objects).select(
+    return V.verify_pair(_pair_checks(t), _objects(t), t.external_objects).select(
         "request_id", "source_uri", "dest_uri", "result")
 
 
+PD_SQL = f"""pd as (select *, concat(regexp_extract(destination_uri,{SCHEME},1),'://',regexp_extract(destination_uri,{NETLOC},1),
+  {NORM.format(x=f"concat(regexp_extract(destination_uri,{PATH},1),'/',regexp_extract(regexp_extract(source_uri,{PATH},1),'([^/]+)/*$',1))")}) as dest_uri
+  from pc)"""
+
+
+@query("verify_transfer", OBJ_SQL + f""",
+chk as (select t.request_id, t.data_id, concat(d.dest_scheme,'://',t.target_project,t.target_path) as output_uri,
+  t.size as expected from planned t join dest d using (request_id)),
+ls as ({_lookup_sql('chk', 'output_uri', 'actual')}),
+{PAIR_SQL}, {PD_SQL},
+l1 as ({_lookup_sql('pd', 'dest_uri', 'dest_size')}),
+l2 as ({_lookup_sql('l1', 'source_uri', 'source_size')}),
+a as (select request_id, case when expected is null then 'INVALID' else 'SIZE' end as mode,
+    case when expected is null then 'INVALID'
+       when regexp_extract(output_uri,{SCHEME},1) not in ('s3','icav2') then 'UNSUPPORTED'
+       when not actual_found then 'MISSING' when expected is not distinct from actual then 'OK' else 'MISMATCH' end as result
+  from ls
+  union all select request_id, 'PAIR',
+    case when regexp_extract(dest_uri,{SCHEME},1) not in ('s3','icav2')
+         or regexp_extract(source_uri,{SCHEME},1) not in ('s3','icav2') then 'UNSUPPORTED'
+       when not source_size_found then 'MISSING' when not dest_size_found then 'MISSING'
+       when source_size is not distinct from dest_size then 'OK' else 'MISMATCH' end
+  from l2)
+select request_id, mode, result, count(*) as n from a group by all
+""")
+def q_verify_transfer(spark, d):
+    """P-8: size checks, pair checks and checks with neither (an external
+    source whose size is unknown) through one dispatch."""
+    t = Tables(spark, d)
+    nul = F.lit(None).cast("string")
+    size = _size_checks(t).select(F.col("request_id").alias("check_id"), F.col("expected").alias("file_size"),
+                                  "output_uri", nul.alias("destination_uri"), nul.alias("source_uri"))
+    pair = _pair_checks(t).select(F.col("request_id").alias("check_id"), F.lit(None).cast("long").alias("file_size"),
+                                  nul.alias("output_uri"), "destination_uri", "source_uri")
+    r = V.verify_transfer(size.unionByName(pair), _objects(t), t.external_objects)
+    return (r.withColumnRenamed("check_id", "request_id").groupBy("request_id", "mode", "result")
+             .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _status_bodies(t: Tables):
     """Queue bodies: JSON arrays of up to five notifications (S-5)."""
     e = t.job_status_events
@@ -225,14 +287,13 @@ def q_external_heartbeats(spark, d):
 
 
 @query("heartbeat_batches", """
-x as (select execution_id, substr(md5(execution_id),1,2) as bucket from executions where status='RUNNING'),
-y as (select *, cast(floor((row_number() over (partition by bucket order by execution_id) - 1)/50) as bigint) as batch_no from x)
-select bucket, batch_no, count(*) as n, min(execution_id) as first_id from y group by all
+x as (select execution_id from executions where status='RUNNING'),
+y as (select *, cast(floor((row_number() over (order by execution_id) - 1)/50) as bigint) as batch_no from x)
+select batch_no, count(*) as n, min(execution_id) as first_id from y group by all
 """)
 def q_heartbeat_batches(spark, d):
     ex = J.scan_running_executions(Tables(spark, d).executions)
-    b = J.batch_items(ex, "execution_id", 50)
-    return b.groupBy("bucket", "batch_no").agg(F.count(F.lit(1)).alias("n"), F.min("execution_id").alias("first_id"))
+    return J.batches(ex, "execution_id")
 
 
 @query("heartbeat_ticks", f"""

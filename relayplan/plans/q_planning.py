@@ -7,15 +7,22 @@ from pyspark.sql import functions as F
 from relayplan.functions import uri as U
 from relayplan.functions.predicates import part_class
 from relayplan.operators import actions as A
+from relayplan.operators import expand as X
 from relayplan.operators import resolve as R
 from relayplan.plans.registry import query
 from relayplan.sources.tables import Tables
 
 
-def _actions(t: Tables):
+def _planned(t: Tables):
+    """Every file of the plan: named files, contents of named folders, externals."""
     resolved = R.resolve_sources(t.request_sources, t.inventory)
-    targets = A.file_targets(resolved, t.requests)
-    return A.transfer_action(targets, t.destination_inventory)
+    return X.planned_files(A.file_targets(resolved, t.requests),
+                           X.expand_recursive(resolved, t.requests, t.inventory),
+                           A.external_targets(resolved, t.requests, t.external_objects))
+
+
+def _actions(t: Tables):
+    return A.transfer_action(_planned(t), t.destination_inventory)
 
 
 @query("uri_parts", """
@@ -52,12 +59,10 @@ def q_part_class(spark, d):
 select request_id,
   case when etag is null then 'UNKNOWN' when regexp_full_match(etag,'\\w+-\\d+') then 'MULTI' else 'SINGLE' end as part_class,
   count(*) as files, cast(sum(size) as bigint) as bytes, min(data_id) as first_id, max(data_id) as last_id
-from resolved where kind='FILE' group by all
+from planned group by all
 """)
 def q_part_split(spark, d):
-    t = Tables(spark, d)
-    resolved = R.resolve_sources(t.request_sources, t.inventory)
-    return A.split_parts(resolved.filter(F.col("kind") == R.FILE_KIND), "strict")
+    return A.split_parts(_planned(Tables(spark, d)), "strict")
 
 
 @query("external_metadata", """
@@ -93,14 +98,17 @@ def q_external_sources(spark, d):
 dfold as (select distinct project_id, concat(array_to_string(list_slice(parts,1,i),'/'),'/') as path
   from (select project_id, parts, unnest(range(1, len(parts))) as i
         from (select project_id, string_split(path,'/') as parts from dst))),
-want as (select distinct dest_project as project_id, dest_folder as path from dest
-         where dest_scheme='icav2' and ends_with(dest_uri,'/'))
+want as (select dest_project as project_id, dest_folder as path from dest
+         where dest_scheme='icav2' and ends_with(dest_uri,'/')
+         union select dest_project, dest_folder from ftree where dest_scheme='icav2' and ends_with(dest_uri,'/'))
 select project_id, path from want w
 where not exists (select 1 from dfold f where f.project_id=w.project_id and f.path=w.path)
 """)
 def q_missing_destinations(spark, d):
     t = Tables(spark, d)
-    return R.missing_destinations(t.requests, t.destination_inventory)
+    resolved = R.resolve_sources(t.request_sources, t.inventory)
+    return R.missing_destinations(t.requests, t.destination_inventory,
+                                  X.folder_tree(resolved, t.requests, t.inventory))
 
 
 @query("list_folder", """
@@ -159,49 +167,30 @@ def q_largest_transfers(spark, d):
 
 
 @query("partials_to_delete", """
-fsrc as (select request_id, project_id, path as folder, name as folder_name from resolved where kind='FOLDER'),
-expanded as (select f.request_id, d.dest_project,
-    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
-      '/(\\./)+','/','g'),'/+','/','g') as dest_path
-  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
-  join dest d on d.request_id=f.request_id),
-planned as (select target_project, target_path from targets
+pfiles as (select target_project, target_path from targets
   union all select dest_project, dest_path from expanded)
 select x.project_id, x.path from dst x
-where x.status='PARTIAL' and exists (select 1 from planned p where p.target_project=x.project_id
+where x.status='PARTIAL' and exists (select 1 from pfiles p where p.target_project=x.project_id
   and regexp_replace(p.target_path,'[^/]+/?$','')=regexp_replace(x.path,'[^/]+/?$','')
   and regexp_extract(p.target_path,'([^/]+)/*$',1)=x.name)
 """)
 def q_partials_to_delete(spark, d):
     """J-9 for every copy job of the plan: direct files and folder contents."""
-    from relayplan.operators import expand as X
     t = Tables(spark, d)
     resolved = R.resolve_sources(t.request_sources, t.inventory)
-    expanded = X.expand_recursive(resolved, t.requests, t.inventory, prune_depths=t.materialize)
+    expanded = X.expand_recursive(resolved, t.requests, t.inventory)
     planned = X.planned_files(A.file_targets(resolved, t.requests), expanded)
     return A.partials_to_delete(planned, t.destination_inventory)
 
 
 @query("still_missing", """
-fsrc as (select request_id, project_id, path as folder, name as folder_name from resolved where kind='FOLDER'),
-expanded as (select f.request_id, d.dest_project,
-    regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
-      '/(\\./)+','/','g'),'/+','/','g') as dest_path
-  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
-  join dest d on d.request_id=f.request_id),
-planned as (select request_id, target_project, target_path from targets
-  union all select request_id, dest_project, dest_path from expanded)
 select p.request_id, p.target_path as dest_path from planned p
 where not exists (select 1 from dst x where x.project_id=p.target_project and x.path=p.target_path)
 """)
 def q_still_missing(spark, d):
-    """U-4 over the whole plan: named files and the contents of named folders."""
-    from relayplan.operators import expand as X
+    """U-4 over the whole plan."""
     t = Tables(spark, d)
-    resolved = R.resolve_sources(t.request_sources, t.inventory)
-    expanded = X.expand_recursive(resolved, t.requests, t.inventory, prune_depths=t.materialize)
-    planned = X.planned_files(A.file_targets(resolved, t.requests), expanded)
-    m = A.still_missing(planned, t.destination_inventory)
+    m = A.still_missing(_planned(t), t.destination_inventory)
     return m.select("request_id", F.col("target_path").alias("dest_path"))
 
 
@@ -261,8 +250,7 @@ def q_event_transfer_summary(spark, d):
     parsed = EV.parse_requests(request_event_bodies(t))
     good, _ = EV.quarantine(parsed, EV.message_problem())
     et = requests_from_events(good)
-    plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory, t.external_objects,
-                          prune_depths=t.materialize)
+    plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory, t.external_objects)
     return A.transfer_summary(plan.actions)
 
 

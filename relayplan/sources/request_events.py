@@ -8,6 +8,8 @@ the request's sources, renaming items and external URIs. Variations:
 - legacy flat layout when ``request_id % 30 = 0``
 - both nested and flat destination when ``request_id % 110 = 0`` (overlap)
 - no task token when ``o_custkey % 41 = 0``
+- a list longer than ``max_items`` goes on in further events of the request
+  (``part`` 1, 2, ...), by position, as a bus message is limited in size
 - with ``internal=True``: ``(request_id div 10) % 3 = 1`` events come from
   the internal bus and source, with a ``jobId`` when ``request_id % 9 = 0``
 """
@@ -20,42 +22,35 @@ from pyspark.sql import functions as F
 from relayplan import constants as K
 from relayplan.sources.tables import Tables
 
-# Largest list one event may carry (a bus message is limited in size; at
-# ~100 bytes per URI a 256 KB message holds a few thousand entries).
-MAX_LIST_ITEMS = 10_000
+# Positions of a list that one event carries.
+EVENT_ITEMS = 1_000
 
 
-def _bounded_collect(df: DataFrame, item: F.Column, alias: str, max_items: int):
-    """Per request: the sorted list of ``item`` for requests with at most
-    ``max_items`` rows, and the ids of the requests above it.
-
-    The count is an algebraic aggregate (combined map-side), so a hot request
-    is counted, not gathered; only bounded groups reach ``collect_list``.
-    """
-    n = df.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n"))
-    ok = df.join(n.filter(F.col("_n") <= max_items).select("request_id"), "request_id", "left_semi")
-    lists = ok.groupBy("request_id").agg(F.sort_array(F.collect_list(item)).alias(alias))
-    big = n.filter(F.col("_n") > max_items).select("request_id")
-    return lists, big
+def _parts(df: DataFrame, position: F.Column, item: F.Column, alias: str, max_items: int) -> DataFrame:
+    """(request_id, part, list): the items of each run of ``max_items``
+    positions, so no group is longer than that, however long the list."""
+    return (df.withColumn("part", F.floor(position / max_items).cast("int"))
+              .groupBy("request_id", "part").agg(F.sort_array(F.collect_list(item)).alias(alias)))
 
 
 def request_event_bodies(t: Tables, internal: bool = False, requests: DataFrame | None = None,
-                         max_items: int = MAX_LIST_ITEMS) -> DataFrame:
-    """(request_id, body) with body the JSON event text.
+                         max_items: int = EVENT_ITEMS) -> DataFrame:
+    """(request_id, part, body) with body the JSON event text.
 
-    ``requests`` may be a streaming DataFrame; the per-request lists are
-    static and joined stream-static. An event is one bus message, so its
-    lists are bounded: a request with a list longer than ``max_items`` gets
-    a NULL body (quarantined as OVERSIZE) and its rows are never collected.
+    Every request has the event of part 0; longer lists fill further parts.
+    ``requests`` may be a streaming DataFrame; the lists are static, cut into
+    parts before the stream-static joins.
     """
     r = t.requests if requests is None else requests
-    s, big_s = _bounded_collect(t.request_sources, F.struct("pos", "source_uri"), "_s", max_items)
-    rn, big_r = _bounded_collect(t.renaming_map, F.struct("item", "input_uri", "data_id", "output_file_name"),
-                                 "_r", max_items)
-    ex, big_x = _bounded_collect(t.external_sources, F.col("uri"), "_x", max_items)
-    big = big_s.unionByName(big_r).unionByName(big_x).distinct().withColumn("_big", F.lit(True))
-    j = (r.join(s, "request_id", "left").join(rn, "request_id", "left").join(ex, "request_id", "left")
-          .join(big, "request_id", "left"))
+    s = _parts(t.request_sources, F.col("pos"), F.struct("pos", "source_uri"), "_s", max_items)
+    rn = _parts(t.renaming_map, F.col("item"), F.struct("item", "input_uri", "data_id", "output_file_name"),
+                "_r", max_items)
+    ex = _parts(t.external_sources, F.col("pos"), F.col("uri"), "_x", max_items)
+    key = ["request_id", "part"]
+    lists = s.join(rn, key, "full").join(ex, key, "full")
+    # part 0 exists even where all lists are empty or start later
+    first = t.requests.select("request_id", F.lit(0).alias("part"))
+    j = r.join(first.join(lists, key, "full"), "request_id")
 
     rid = F.col("request_id")
     is_int = ((F.floor(rid / 10) % 3) == 1) if internal else F.lit(False)
@@ -84,5 +79,4 @@ def request_event_bodies(t: Tables, internal: bool = False, requests: DataFrame
         F.lit(K.DETAIL_TYPE).alias("DetailType"),
         detail.alias("Detail"),
     )
-    body = F.when(F.col("_big").isNull(), F.to_json(ev))
-    return j.select("request_id", body.alias("body"))
+    return j.select("request_id", "part", F.to_json(ev).alias("body"))

@@ -11,7 +11,6 @@ from documents, job-state notifications from events.
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,24 +38,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | No
     return df.select(*cols) if cols else df
 
 
-def input_bytes(sf_dir: str, names) -> int | None:
-    """Total bytes of local table files; None when not on a local file system."""
-    base = sf_dir[len("file:"):] if sf_dir.startswith("file:") else sf_dir
-    if "://" in base:
-        return None
-    total = 0
-    for n in names:
-        p = os.path.join(base, f"{n}.parquet")
-        if os.path.isfile(p):
-            total += os.path.getsize(p)
-        elif os.path.isdir(p):
-            for root, _, fs in os.walk(p):
-                total += sum(os.path.getsize(os.path.join(root, f)) for f in fs)
-        else:
-            return None
-    return total
-
-
 def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -103,45 +84,9 @@ class Tables:
     """The logical tables of one data directory, built lazily and shared
     within a query so that Spark can reuse identical exchanges."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._materialize = materialize
-
-    @cached_property
-    def materialize(self) -> bool:
-        """Whether shared derived tables are written once per query.
-
-        ``relayplan.materialize``: ``true`` / ``false`` / ``auto`` (default).
-        ``auto`` materializes when the inputs are larger than
-        ``relayplan.materialize.minBytes`` (1 GiB) or their size is unknown
-        (remote storage): there, recomputing a derivation per consumer costs
-        more than one write; below it, fixed job overhead dominates.
-        """
-        if self._materialize is not None:
-            return self._materialize
-        mode = (self.spark.conf.get("relayplan.materialize", "auto") or "auto").lower()
-        if mode in ("true", "false"):
-            return mode == "true"
-        limit = int(self.spark.conf.get("relayplan.materialize.minBytes", str(1 << 30)))
-        n = input_bytes(self.sf_dir, ("lineitem", "orders"))
-        return n is None or n >= limit
-
-    def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table many branches of one query read, and read it back.
-
-        Column pruning gives every consumer a different projection, so Spark
-        cannot reuse the exchange and would recompute the derivation per
-        branch. Writing it once as parquet in the shared folder computes it
-        once, survives executor loss (lineage is cut at a durable table) and
-        keeps column pruning and filter pushdown for every reader.
-        """
-        if not self.materialize:
-            return df
-        from relayplan.session import scratch_path
-        path = scratch_path(self.spark, f"tbl-{name}")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
 
     def raw(self, name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, cols)
@@ -173,7 +118,7 @@ class Tables:
                  .when(F.col("q") > 16, F.concat(F.md5(key), F.lit("-"), _s(F.ceil(F.col("q") / 16))))
                  .otherwise(F.md5(key)))
         pid = F.concat(F.lit("prj-"), _s(lk % 8))
-        return self._keep("files", g.select(
+        return (g.select(
             pid.alias("project_id"),
             F.concat(F.lit("fil."), key).alias("data_id"),
             F.lit(K.FILE).alias("data_type"),
@@ -198,7 +143,7 @@ class Tables:
         a = (self.files.select("project_id", F.explode(U.ancestors("path")).alias("path"))
                        .filter(F.col("path") != "/")
                        .distinct())
-        return self._keep("folders", a.select(
+        return (a.select(
             "project_id",
             folder_id(F.col("project_id"), F.col("path")).alias("data_id"),
             F.lit(K.FOLDER).alias("data_type"),
@@ -239,8 +184,9 @@ class Tables:
         d = self.raw("documents", ["doc_id", "lang", "source"])
         r = self.requests.filter(F.col("kind") == 4).select("request_id", "o_custkey")
         j = r.join(d, d.doc_id == F.col("o_custkey"))
-        return self._keep("external_sources", j.select(
+        return (j.select(
             "request_id",
+            F.lit(0).alias("pos"),
             F.concat(F.lit("s3://"), F.col("source"), F.lit("/")).alias("ext_prefix"),
             F.concat(F.lit("s3://"), F.col("source"), F.lit("/"), F.col("lang"), F.lit("/doc_"),
                      _s("doc_id"), F.lit(".txt")).alias("uri"),
@@ -259,12 +205,15 @@ class Tables:
               .select("request_id", F.col("l_linenumber").alias("pos"),
                       U.project_uri(f.project_id, f.path).alias("source_uri")))
         c = (self.external_sources.select("request_id", F.lit(1).alias("pos"), F.col("uri").alias("source_uri")))
-        return self._keep("request_sources", a.unionByName(b).unionByName(c))
+        return (a.unionByName(b).unionByName(c))
 
     # -- destination-project inventory ----------------------------------------
     @cached_property
     def destination_inventory(self) -> DataFrame:
-        r = self.requests.filter(F.col("kind").isin(2, 3)).select("request_id", "dest_project_id", "dest_path")
+        """Files that are at the destination already: named files directly in
+        the destination folder, contents of named folders below the folder's
+        name."""
+        r = self.requests.select("request_id", "kind", "dest_project_id", "dest_path", "src_folder")
         f = self.files
         sel = (F.floor(F.col("request_id") / 10) + F.col("l_linenumber")) % 7
         j = (r.join(f, f.l_orderkey == F.col("request_id")).withColumn("sel", sel).filter(F.col("sel") <= 2))
@@ -272,7 +221,9 @@ class Tables:
             F.col("dest_project_id").alias("project_id"),
             F.concat(F.lit("dst."), _s("request_id"), F.lit("."), _s("l_linenumber")).alias("data_id"),
             F.lit(K.FILE).alias("data_type"),
-            F.concat(F.col("dest_path"), F.col("name")).alias("path"),
+            F.when(F.col("kind").isin(2, 3), F.concat(F.col("dest_path"), F.col("name"))).otherwise(
+                F.concat(F.col("dest_path"), _s("request_id"), F.lit("/"),
+                         U.relative_to(F.col("path"), F.col("src_folder")))).alias("path"),
             "name",
             F.when(F.col("sel") == 2, F.col("size") + 1).otherwise(F.col("size")).alias("size"),
             "etag",
@@ -315,10 +266,17 @@ class Tables:
         b7 = r.filter(ck % 37 == 0).select(rid, F.lit(7).alias("item"), nul.alias("input_uri"),
                                            F.concat(F.lit("fil."), _s(rid), F.lit(".1")).alias("data_id"),
                                            F.lit("a//b.dat").alias("output_file_name"))
+        # both inputs present, one of them invalid
+        b8 = r.filter(ck % 43 == 0).select(rid, F.lit(8).alias("item"), F.lit("gs://b/x").alias("input_uri"),
+                                           F.concat(F.lit("fil."), _s(rid), F.lit(".3")).alias("data_id"),
+                                           F.lit("both_id.dat").alias("output_file_name"))
+        b9 = r.filter(ck % 47 == 0).select(rid, F.lit(9).alias("item"),
+                                           U.project_uri(F.col("project_id"), F.col("src_folder")).alias("input_uri"),
+                                           F.lit("").alias("data_id"), F.lit("both_uri.dat").alias("output_file_name"))
         out = b123
-        for x in (b4, b5, b6, b7):
+        for x in (b4, b5, b6, b7, b8, b9):
             out = out.unionByName(x)
-        return self._keep("renaming_map", out)
+        return (out)
 
     # -- job states and registry -------------------------------------------------
     @cached_property

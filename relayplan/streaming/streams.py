@@ -352,7 +352,7 @@ def plan_sink(t: Tables, out_path: str, quarantine_path: str):
                 .parquet(f"{quarantine_path}/batch={batch_id}"))
             et = requests_from_events(good)
             plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory,
-                                  t.external_objects, prune_depths=t.materialize)
+                                  t.external_objects)
             (A.transfer_summary(plan.actions).write.mode("overwrite")
               .parquet(f"{out_path}/summary/batch={batch_id}"))
             plan.jobs.write.mode("overwrite").parquet(f"{out_path}/jobs/batch={batch_id}")

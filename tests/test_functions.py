@@ -89,11 +89,12 @@ def test_status_mappings_unknown_state(spark):
 
 def test_renaming_item_one_of(spark):
     df = spark.createDataFrame([("icav2://p/a", None, "x"), (None, "fil.1", "x"), ("icav2://p/a", "fil.1", "x"),
-                                (None, None, "x"), ("s3://my.b/k", None, "x"), (None, "fil.1", "")],
+                                (None, None, "x"), ("s3://my.b/k", None, "x"), (None, "fil.1", ""),
+                                ("gs://b/x", "fil.1", "x"), ("icav2://p/a", "", "x"), ("gs://b/x", "", "x")],
                                "u string, d string, o string")
     r = df.select(P.renaming_item_valid("u", "d", "o").alias("v"), P.has_rename_input("d", "u").alias("h")).collect()
-    assert [x.v for x in r] == [True, True, False, False, False, False]
-    assert [x.h for x in r] == [True, True, True, False, True, True]
+    assert [x.v for x in r] == [True, True, False, False, False, False, True, True, False]
+    assert [x.h for x in r] == [True, True, True, False, True, True, True, True, True]
 
 
 @pytest.mark.parametrize("path,expected", [

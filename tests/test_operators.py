@@ -27,6 +27,7 @@ def test_golden_folder_expansion(spark):
     inventory = inv(spark, [
         ("src-prj", "fol.s", "FOLDER", "/analyses/run1/output/Samples/", None, None),
         ("src-prj", "fol.r", "FOLDER", "/analyses/run1/output/Reports/", None, None),
+        ("src-prj", "fol.d", "FOLDER", "/analyses/run1/output/Samples/deep/", None, None),
         ("src-prj", "fil.1", "FILE", "/analyses/run1/output/Samples/s1.bam", 10, "a"),
         ("src-prj", "fil.2", "FILE", "/analyses/run1/output/Samples/deep/s2.bam", 20, "b"),
         ("src-prj", "fil.3", "FILE", "/analyses/run1/output/Reports/r.html", 5, "c"),
@@ -43,7 +44,8 @@ def test_golden_folder_expansion(spark):
     assert got == [("fil.1", "/primary/batch7/Samples/s1.bam"),
                    ("fil.2", "/primary/batch7/Samples/deep/s2.bam"),
                    ("fil.3", "/primary/batch7/Reports/r.html")]
-    jobs = sorted((r.dest_folder, r.files) for r in X.recursive_jobs(ex).collect())
+    tree = X.folder_tree(resolved, rq, inventory)
+    jobs = sorted((r.dest_folder, r.files) for r in X.recursive_jobs(tree, ex).collect())
     assert jobs == [("/primary/batch7/Reports/", 1), ("/primary/batch7/Samples/", 1),
                     ("/primary/batch7/Samples/deep/", 1)]
 
@@ -163,21 +165,67 @@ def test_timeouts_split_by_bucket_equal_plain_lag(spark, sf_small):
     assert sorted(map(tuple, tiny.collect())) == sorted(map(tuple, ref.collect()))
 
 
-def test_oversize_request_is_quarantined_not_collected(spark, sf_small):
+def test_long_lists_go_on_in_further_events(spark, sf_small):
+    """No row of a request is lost, however long its lists are."""
+    from relayplan.operators.validate import validate_requests
+    from relayplan.plans.planner import plan_transfers, requests_from_events
     from relayplan.sources import events as EV
     from relayplan.sources.request_events import request_event_bodies
     t = Tables(spark, sf_small)
-    b = request_event_bodies(t, max_items=3)
-    parsed = EV.parse_requests(b)
-    good, bad = EV.quarantine(parsed, EV.message_problem())
-    n_big = t.request_sources.groupBy("request_id").count().filter("count > 3").count()
-    assert bad.filter("reason = 'OVERSIZE'").count() >= n_big > 0
-    assert good.count() + bad.count() == t.requests.count()
+    whole, cut = (EV.parse_requests(request_event_bodies(t, max_items=n)) for n in (1000, 3))
+    assert cut.filter("part > 0").count() > 0
+    # item numbers count within an event, and line numbers are no gapless list positions
+    bad = [validate_requests(e).filter("rule <> 'minItems'").select("request_id", "rule") for e in (whole, cut)]
+    assert bad[0].exceptAll(bad[1]).isEmpty() and bad[1].exceptAll(bad[0]).isEmpty() and bad[0].count() > 0
+    a, b = requests_from_events(whole), requests_from_events(cut)
+    for x, y in ((a.requests, b.requests), (a.sources.drop("pos"), b.sources.drop("pos")),
+                 (a.externals.drop("pos"), b.externals.drop("pos")), (a.renames.drop("item"), b.renames.drop("item"))):
+        assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+    totals = [sorted(map(tuple, A.transfer_summary(plan_transfers(
+        e.requests, e.sources, t.inventory, t.destination_inventory, t.external_objects).actions).collect()))
+        for e in (a, b)]
+    assert totals[0] == totals[1]
+
+
+def test_more_than_ten_thousand_sources(spark, sf_small):
+    from relayplan.operators.validate import validate_requests
+    from relayplan.plans.planner import requests_from_events
+    from relayplan.sources import events as EV
+    from relayplan.sources.request_events import request_event_bodies
+    t = Tables(spark, sf_small)
+    rid = t.requests.filter("request_id % 30 <> 0").first().request_id
+    t.__dict__["request_sources"] = spark.range(12_000).select(
+        F.lit(rid).alias("request_id"), F.col("id").cast("int").alias("pos"),
+        F.concat(F.when(F.col("id") % 2 == 0, F.lit("icav2")).otherwise(F.lit("gs")), F.lit("://p/f"), "id").alias("source_uri"))
+    ev = EV.parse_requests(request_event_bodies(t))
+    assert requests_from_events(ev).sources.filter(F.col("request_id") == rid).count() == 12_000
+    bad = validate_requests(ev).filter((F.col("request_id") == rid) & F.col("field").startswith("Detail.payload.sourceUriList["))
+    assert bad.filter("rule = 'pattern'").count() == 6_000
+
+
+def test_batches_are_full(spark):
+    from relayplan.operators import jobs as J
+    df = spark.range(0, 1237, 1, 7).select(F.format_string("e-%05d", "id").alias("execution_id"))
+    rows = J.batches(df, "execution_id", 50).orderBy("batch_no").collect()
+    assert [r.n for r in rows] == [50] * 24 + [37] and rows[3].first_id == "e-00150"
+    assert J.batches(df.limit(0), "execution_id").count() == 0
+
+
+def test_jobs_for_folders_without_files(spark):
+    inventory = inv(spark, [("p", "fol.a", "FOLDER", "/a/", None, None), ("p", "fol.b", "FOLDER", "/a/b/", None, None),
+                            ("p", "fol.e", "FOLDER", "/a/empty/", None, None), ("p", "fil.1", "FILE", "/a/b/x", 5, "e")])
+    sources = spark.createDataFrame([(1, 0, "icav2://p/a/")], "request_id long, pos int, source_uri string")
+    rq = reqs(spark, [(1, "icav2://d/out/", "p", "/")])
+    resolved = R.resolve_sources(sources, inventory)
+    tree = X.folder_tree(resolved, rq, inventory)
+    jobs = X.recursive_jobs(tree, X.expand_recursive(resolved, rq, inventory))
+    assert sorted(map(tuple, jobs.collect())) == [(1, "/out/a/", 0, 0), (1, "/out/a/b/", 1, 5), (1, "/out/a/empty/", 0, 0)]
+    missing = R.missing_destinations(rq, inv(spark, [("d", "f", "FILE", "/out/a/y", 1, "e")]), tree)
+    assert sorted(r.path for r in missing.collect()) == ["/out/a/b/", "/out/a/empty/"]
 
 
-def test_depth_filtered_expansion_mixed_depths(spark):
-    """Folder sources at different depths of one project: exploding only the
-    wanted depths gives the same expansion as exploding every ancestor."""
+def test_expansion_mixed_depths(spark):
+    """Folder sources at different depths of one project."""
     inventory = inv(spark, [
         ("p", "fol.a", "FOLDER", "/a/", None, None),
         ("p", "fol.b", "FOLDER", "/a/b/c/", None, None),
@@ -186,8 +234,6 @@ def test_depth_filtered_expansion_mixed_depths(spark):
         ("p", "fil.3", "FILE", "/a/b/c/d/z.txt", 3, "e"),
         ("q", "fil.4", "FILE", "/a/b/c/w.txt", 4, "e"),
     ])
-    assert [r.d for r in spark.createDataFrame([("/",), ("/a/",), ("/a/b/c/",)], "f string")
-            .select(X.folder_depth("f").alias("d")).collect()] == [0, 1, 3]
     sources = spark.createDataFrame([(1, 0, "icav2://p/a/"), (2, 0, "icav2://p/a/b/c/")],
                                     "request_id long, pos int, source_uri string")
     rq = reqs(spark, [(1, "icav2://d/out/", "p", "/"), (2, "icav2://d/out2/", "p", "/")])

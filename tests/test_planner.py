@@ -30,14 +30,18 @@ def test_events_to_plan(spark, sf_small):
     assert rows(a.expanded, "request_id", "data_id", "dest_path") == rows(b.expanded, "request_id", "data_id", "dest_path")
     assert rows(a.jobs, "request_id", "dest", "files") == rows(b.jobs, "request_id", "dest", "files")
     assert rows(a.missing_folders, "project_id", "path") == rows(b.missing_folders, "project_id", "path")
-    assert a.external_actions.count() == b.external_actions.count() > 0
 
 
-def test_all_actions_cover_folder_contents(spark, sf_small):
+def test_actions_cover_the_whole_plan(spark, sf_small):
+    from relayplan.operators import actions as A
     t = Tables(spark, sf_small)
     plan = plan_transfers(t.requests, t.request_sources, t.inventory, t.destination_inventory, t.external_objects)
-    n_direct, n_expanded = plan.actions.count(), plan.expanded.count()
-    assert plan.all_actions.count() == n_direct + n_expanded
-    direct = rows(plan.actions, "request_id", "data_id", "action")
-    assert rows(plan.all_actions.join(plan.actions.select("request_id", "data_id"), ["request_id", "data_id"]),
-                "request_id", "data_id", "action") == direct
+    direct = A.file_targets(plan.resolved, t.requests)
+    ext = A.external_targets(plan.resolved, t.requests, t.external_objects)
+    parts = [direct, plan.expanded, ext]
+    assert all(p.count() > 0 for p in parts)
+    assert plan.actions.count() == sum(p.count() for p in parts)
+    size = lambda d: d.agg(F.sum("size")).first()[0] or 0
+    assert size(plan.actions) == sum(map(size, parts))
+    assert {r.action for r in plan.actions.select("action").distinct().collect()} == {
+        "COPY", "REPLACE_PARTIAL", "SKIP", "CONFLICT", "MISSING_SOURCE"}

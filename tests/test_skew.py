@@ -49,12 +49,12 @@ def test_hot_folder_is_split_and_salting_agrees(spark):
             "request_id long, pos int, source_uri string")
         rq = sources.select("request_id", F.lit("icav2://d/out/").alias("destination_uri"))
         resolved = R.resolve_sources(sources, inventory)
-        plain = X.expand_recursive(resolved, rq, inventory, prune_depths=False).select("request_id", "data_id", "dest_path")
+        plain = X.expand_recursive(resolved, rq, inventory).select("request_id", "data_id", "dest_path")
         rows = plain.collect()
         plan = plain._jdf.queryExecution().executedPlan().toString()
         assert "isSkewJoin=true" in plan or "skew=true" in plan
         assert sum(1 for r in rows if r.request_id == 1) == 20_000
-        salted = X.expand_recursive(resolved, rq, inventory, salt=8, prune_depths=False) \
+        salted = X.expand_recursive(resolved, rq, inventory, salt=8) \
             .select("request_id", "data_id", "dest_path")
         assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, rows))
     finally:

@@ -81,13 +81,6 @@ def test_verify_transfer_modes(spark, sf_small):
                    5: ("SIZE", "UNSUPPORTED")}
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert "broadcast" in str(PL.broadcast_if_small(small, 100)._jdf.queryExecution().logical()).lower()
-    big = spark.range(1000)
-    assert "broadcast" not in str(PL.broadcast_if_small(big, 100)._jdf.queryExecution().logical()).lower()
-
-
 def test_bloom_filter_prunes_stored_inventory(spark, sf_small):
     """With a stored inventory large enough (threshold lowered here), Spark
     prunes the inventory scan with a runtime bloom filter of the source keys."""
