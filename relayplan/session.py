@@ -65,11 +65,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 _SHIPPED: set[str] = set()
+#: Folder of each local application that names none.
+_LOCAL: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers (``addPyFile``), once per
-    application: the keyed state processors run there and import it. On a
+    application: functions that run there are imported from it. On a
     cluster this is what makes executors see the code; locally it keeps
     workers independent of the driver's working directory."""
     import hashlib
@@ -88,24 +90,25 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     data = buf.getvalue()
-    base = shared_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        base = tempfile.mkdtemp(prefix="relayplan-py-")   # driver-local; Spark serves it to executors
-    base = base[len("file:"):] if base.startswith("file:") else base
+    base = tempfile.mkdtemp(prefix="relayplan-py-")   # on the driver; Spark serves it to executors
     path = os.path.join(base, f"relayplan-{hashlib.sha1(data).hexdigest()[:12]}.zip")
-    if not os.path.exists(path):
-        os.makedirs(base, exist_ok=True)
-        with open(path, "wb") as fh:
-            fh.write(data)
+    with open(path, "wb") as fh:
+        fh.write(data)
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir``. Only when it is unset (local runs and
-    tests) a private folder is created and registered.
+    tests) a private folder is made, one per application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -113,8 +116,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        d = tempfile.mkdtemp(prefix="relayplan-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="relayplan-ckpt-"))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

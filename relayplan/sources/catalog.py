@@ -1,4 +1,4 @@
-"""Loaders for stored tables (S-3, S-4, S-6, S-9) and the registry writer (S-7).
+"""Loaders for stored tables (S-3, S-4, S-6) and the registry writer (S-7).
 
 In production the inventory, external catalog, registry and executions are
 parquet tables. Loaders select only the needed columns and apply filters on
@@ -14,8 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan import constants as K
 from relayplan.operators.jobs import upsert_registry
+from relayplan.session import path_exists
 
 INVENTORY_COLS = ["project_id", "data_id", "data_type", "path", "name", "size", "etag", "status",
                   "owning_project_id"]
@@ -42,57 +42,33 @@ def read_external_catalog(spark: SparkSession, path: str, current_only: bool = T
 
 def write_inventory(inventory: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store an inventory partitioned by project, sorted by path inside each
-    file, so lookups prune partitions and row groups."""
-    (inventory.repartition("project_id").sortWithinPartitions("path")
+    file, so lookups prune partitions and row groups. Ranges of (project, path)
+    split a large project over many tasks."""
+    (inventory.repartitionByRange("project_id", "path").sortWithinPartitions("project_id", "path")
               .write.mode(mode).partitionBy("project_id").parquet(path))
 
 
-# -- registry snapshots ------------------------------------------------------------
-# The registry lives in ``<path>/v=<batch>/``. A snapshot becomes visible only
-# when its write commits (uncommitted files sit in hidden ``_temporary``
-# folders that partition discovery skips), so readers never see half a batch.
-
-def _snapshots(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
-
-
-def _latest(df: DataFrame, below: int | None = None) -> DataFrame:
-    """Rows of the newest snapshot (optionally older than ``below``), via a
-    one-row aggregate joined back: no driver round trip."""
-    if below is not None:
-        df = df.filter(F.col("v") < below)
-    return df.join(df.agg(F.max("v").alias("v")), "v").drop("v")
-
-
-def read_registry(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame | None:
-    """S-6 on a stored registry: the latest committed snapshot."""
-    snaps = _snapshots(spark, path)
-    if snaps is None:
-        return None
-    df = _latest(snaps)
-    return df.filter(F.col("id_type") == id_type) if id_type else df
-
-
 def registry_writer(path: str):
     """S-7 as a ``foreachBatch`` function: each batch of registrations is
-    upserted into the previous snapshot and written as snapshot ``v=<batch>``.
-
-    The previous snapshot is the newest one older than the batch, so a
-    replayed batch rebuilds exactly the same snapshot (idempotent).
-    """
+    upserted into the registry of the batch before and written as
+    ``v=<batch>``. A replayed batch builds the same table again."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         new = batch.select("id", "id_type", "task_token", "registered_at")
-        snaps = _snapshots(spark, path)
-        cur = _latest(snaps, below=batch_id).select(*new.columns) if snaps is not None else new.limit(0)
+        cur = read_registry(batch.sparkSession, path, before=batch_id)
+        cur = new.limit(0) if cur is None else cur.select(*new.columns)
         upsert_registry(cur, new).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
     return write
 
 
-def running_executions(spark: SparkSession, path: str) -> DataFrame:
-    """S-9: running request executions; the status filter reaches the scan."""
-    return (spark.read.parquet(path).select("execution_id", "status", "input")
-                 .filter(F.col("status") == K.EXECUTION_RUNNING))
+def read_registry(spark: SparkSession, path: str, id_type: str | None = None,
+                  before: int | None = None) -> DataFrame | None:
+    """S-6 on a stored registry: its latest table, or the latest one older than
+    batch ``before``; ``None`` if nothing is written yet. A folder that cannot
+    be read is an error."""
+    if not path_exists(spark, path):
+        return None
+    df = spark.read.parquet(path)
+    if before is not None:
+        df = df.filter(F.col("v") < before)
+    df = df.join(df.agg(F.max("v").alias("v")), "v").drop("v")
+    return df.filter(F.col("id_type") == id_type) if id_type else df

@@ -145,8 +145,8 @@ def parse_status_bodies(df: DataFrame, body_col: str = "body") -> DataFrame:
 
 
 def message_problem(body_col: str = "body") -> F.Column:
-    """Why a message cannot be handled: OVERSIZE (no body), MALFORMED_JSON."""
-    return (F.when(F.col(body_col).isNull(), F.lit("OVERSIZE"))
+    """Why a message cannot be handled: NO_BODY, MALFORMED_JSON."""
+    return (F.when(F.col(body_col).isNull(), F.lit("NO_BODY"))
              .when(F.col(CORRUPT).isNotNull(), F.lit("MALFORMED_JSON")))
 
 

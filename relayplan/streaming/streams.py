@@ -1,31 +1,33 @@
 """Structured Streaming operators (T-1 .. T-10, S-11, S-12).
 
-Sources are file streams over the driver's parquet tables (a queue or bus
-in production). Every stream writes through ``foreachBatch`` into a parquet
+Sources are file streams over rows of the given tables, written in slices to
+the shared folder (a queue or bus in production), so each run has several
+micro-batches. Every stream writes through ``foreachBatch`` into a parquet
 folder per batch id, overwritten on replay, so a restarted or retried batch
 never duplicates output (S-11). Checkpoints and outputs live under the
 shared folder (``spark.checkpoint.dir``), so a lost executor or driver
 restart resumes from the last committed batch.
 
+State is kept on the JVM: stream-stream joins and deduplication hold what they
+need in Spark's state store, and what a batch operator needs of earlier batches
+(released jobs, the last sign of life per job) is a table beside the output.
+
 Triggers: ``available_now=True`` drains what is there and stops (tests,
 backfills); otherwise ``processingTime`` (T-2: 10 seconds) keeps running.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from relayplan import constants as K
 from relayplan.functions.predicates import non_terminal, summarise_push
-from relayplan.operators.jobs import interval_micros
+from relayplan.operators.jobs import heartbeat_timeouts
+from relayplan.operators.plan import write_plan
 from relayplan.operators.validate import validate_requests
-from relayplan.session import scratch_path
+from relayplan.session import path_exists, scratch_path
 from relayplan.sources import events as EV
 from relayplan.sources.request_events import request_event_bodies
 from relayplan.sources.tables import Tables, job_events_from_events, requests_from_orders
@@ -33,16 +35,19 @@ from relayplan.sources.tables import Tables, job_events_from_events, requests_fr
 
 # -- plumbing ------------------------------------------------------------------
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """File stream over one table. The schema is taken from the table's own
-    parquet footers (no inference over data)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    glob = f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(glob)
+def staged_stream(df: DataFrame, order: str, slices: int = 3, files: int = 4) -> DataFrame:
+    """``df`` as a stream of micro-batches in the order of a numeric column:
+    its slices are written one after the other to the shared folder, ``files``
+    files each, and read as many files at a time."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "staged")
+    cuts = df.agg(F.percentile_approx(order, [i / slices for i in range(1, slices)]).alias("c")).first()["c"] or []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        part = df if low is None else df.filter(F.col(order) > low)
+        part = part if high is None else part.filter(F.col(order) <= high)
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def idempotent_sink(out_path: str):
@@ -84,11 +89,19 @@ def run_to_completion(df: DataFrame, name: str, output_mode: str = "append",
 
 def read_sink(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """Everything a sink wrote, without the batch column (empty when the
-    stream produced no rows)."""
-    try:
-        return spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
-    except Exception:  # noqa: BLE001 - no batch folder written yet
+    stream produced no batch)."""
+    if not path_exists(spark, out):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
+
+
+def earlier_batches(spark: SparkSession, out: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """What a sink wrote for batches before ``batch_id``, with ``batch``. A
+    replayed batch sees what it saw the first time."""
+    full = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(out).filter(F.col("batch") < batch_id)
 
 
 def _event_time(df: DataFrame) -> DataFrame:
@@ -121,30 +134,36 @@ def validation_sinks(out_path: str, quarantine_path: str):
 
 
 def stream_validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-1: each request validated as it arrives; unparsable or oversize
+    """T-1: each request validated as it arrives; unparsable
     messages go to a quarantine sink (S-12). Stream-static joins attach the
     request's lists."""
     t = Tables(spark, sf_dir)
-    orders = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = staged_stream(t.raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"]), "o_orderkey")
     parsed = EV.parse_requests(request_event_bodies(t, requests=requests_from_orders(orders)))
     out, quar = scratch_path(spark, "validate-out"), scratch_path(spark, "validate-quarantine")
-    q = (parsed.writeStream.option("checkpointLocation", scratch_path(spark, "validate-ckpt"))
-               .foreachBatch(validation_sinks(out, quar)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    drain(parsed, validation_sinks(out, quar), scratch_path(spark, "validate-ckpt"))
     return read_sink(spark, out, VALIDATION_OUT)
 
 
 # -- T-6 / T-10 / S-11: notifications -> outcomes -------------------------------------
 
-def stream_match_status(spark: SparkSession, sf_dir: str, dedupe_within: str = "1 hour") -> DataFrame:
-    """T-10 + T-6: duplicate deliveries of the same (job, state) dropped
-    within the watermark, then each notification matched against the
-    registry snapshot (stream-static left join)."""
+def first_deliveries(events: DataFrame, within: str | None = None) -> DataFrame:
+    """T-10: the first delivery of each (job, state). The keys are kept for
+    good, so the result does not depend on how the input is cut into batches;
+    ``within`` keeps them for that span of event time only."""
+    if within is None:
+        return events.dropDuplicates(["job_id", "status"])
+    return events.withWatermark("ts", within).dropDuplicatesWithinWatermark(["job_id", "status"])
+
+
+def stream_match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T-10 + T-6: duplicate deliveries of the same (job, state) dropped,
+    then each notification matched against the registry snapshot
+    (stream-static left join)."""
     t = Tables(spark, sf_dir)
-    ev = _event_time(job_events_from_events(table_stream(spark, sf_dir, "events")))
-    ded = ev.withWatermark("ts", dedupe_within).dropDuplicatesWithinWatermark(["job_id", "status"])
+    ev = _event_time(job_events_from_events(
+        staged_stream(t.raw("events", ["event_id", "ts", "event_type"]), "event_id")))
+    ded = first_deliveries(ev)
     reg = (t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE)
              .select(F.col("id").alias("job_id"), F.lit(True).alias("_reg")))
     m = ded.join(reg, "job_id", "left")
@@ -163,7 +182,8 @@ def stream_heartbeat_ticks(spark: SparkSession, sf_dir: str, every: str = K.HEAR
     """T-4: tumbling windows of waiting jobs. Update mode emits every
     (window, job) as soon as it is seen, so a drained stream loses no open
     window; the reader keeps the latest row per key."""
-    ev = _event_time(job_events_from_events(table_stream(spark, sf_dir, "events")))
+    raw = staged_stream(Tables(spark, sf_dir).raw("events", ["event_id", "ts", "event_type"]), "event_id")
+    ev = _event_time(job_events_from_events(raw))
     w = (ev.filter(non_terminal("status"))
            .withWatermark("ts", lateness)
            .groupBy(F.window("ts", every).alias("w"), "job_id")
@@ -176,158 +196,104 @@ def stream_heartbeat_ticks(spark: SparkSession, sf_dir: str, every: str = K.HEAR
     return keys.groupBy("window_start").agg(F.count(F.lit(1)).alias("jobs"))
 
 
-# -- T-3: release waiting jobs (stateful) ----------------------------------------------
+# -- T-3: release waiting jobs -----------------------------------------------------------
 
 RELEASE_OUT = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("status", T.StringType()),
                             T.StructField("ts_us", T.LongType()), T.StructField("event_id", T.LongType())])
-RELEASE_STATE = T.StructType([T.StructField("registered", T.BooleanType()),
-                              T.StructField("released", T.BooleanType()),
-                              T.StructField("buf_status", T.StringType()),
-                              T.StructField("buf_ts_us", T.LongType()),
-                              T.StructField("buf_event_id", T.LongType())])
-_NON_TERMINAL = set(K.NON_TERMINAL_STATES)
-
-
-def _release(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState,
-             hold_us: int, tombstone_us: int) -> Iterator[pd.DataFrame]:
-    """Per job: remember the registration; release the first terminal state
-    once, whichever of the two arrives first; ignore everything after.
-
-    Unregistered terminal states wait ``hold_us`` of event time for a
-    registration (the original sleeps 1-6 s before its lookup), then are
-    dropped (NOT_IN_DB). Released jobs keep a tombstone for ``tombstone_us``
-    so late duplicates find nothing, then the state is removed.
+
+
+def release_candidates(registrations: DataFrame, statuses: DataFrame, hold: str | None = None) -> DataFrame:
+    """Registrations (job_id, ts) joined with terminal states (job_id, status,
+    ts, event_id), both streams, whichever comes first.
+
+    A registration waits until its job ends, however long that takes. Without
+    ``hold`` an unregistered terminal state waits as well; with it, only for
+    that span of event time after its own.
     """
-    if state.hasTimedOut:
-        state.remove()
-        return
-    if state.exists:
-        registered, released, bs, bts, bev = state.get
-    else:
-        registered, released, bs, bts, bev = False, False, None, None, None
-    kinds, stats, tss, evs = [], [], [], []
-    for pdf in pdfs:
-        kinds += pdf["kind"].tolist()
-        stats += pdf["status"].tolist()
-        tss += pdf["ts_us"].tolist()
-        evs += pdf["event_id"].tolist()
-    order = sorted(range(len(kinds)), key=lambda i: (tss[i], kinds[i] != "REG", evs[i]))
-    out = None
-    for i in order:
-        if released:
-            break
-        if kinds[i] == "REG":
-            registered = True
-            if bs is not None:
-                out, released = (key[0], bs, bts, bev), True
-        elif stats[i] not in _NON_TERMINAL:
-            if registered:
-                out, released = (key[0], stats[i], int(tss[i]), int(evs[i])), True
-            elif bs is None or (tss[i], evs[i]) < (bts, bev):
-                bs, bts, bev = stats[i], int(tss[i]), int(evs[i])
-    state.update((registered, released, bs, bts, bev))
-    last_ts = max(tss) if tss else None
-    base = bts if (bs is not None and not registered) else last_ts
-    wait = hold_us if not released and not registered else tombstone_us
-    if base is not None:
-        state.setTimeoutTimestamp(int(base // 1000) + int(wait // 1000))
-    if out is not None:
-        yield pd.DataFrame([out], columns=["job_id", "status", "ts_us", "event_id"])
-
-
-def release_waiting(registrations: DataFrame, statuses: DataFrame, hold: str = "1 day",
-                    tombstone: str = "1 day") -> DataFrame:
-    """T-3: registrations (job_id, ts) and notifications (job_id, status,
-    ts, event_id), both streaming, keyed state per job id."""
-    hold_us = interval_micros(hold)
-    tomb_us = interval_micros(tombstone)
-    # One watermark per input: the global watermark is the minimum of the
-    # two, so registrations running ahead never make notifications "late".
-    r = (registrations.withWatermark("ts", hold)
-                      .select("job_id", F.lit("REG").alias("kind"), "ts",
-                              F.lit(None).cast("string").alias("status"), F.lit(-1).cast("long").alias("event_id")))
-    s = (statuses.withWatermark("ts", hold).filter(~non_terminal("status"))
-                 .select("job_id", F.lit("STATUS").alias("kind"), "ts", "status", F.col("event_id").cast("long")))
-    u = r.unionByName(s).withColumn("ts_us", F.unix_micros("ts"))
-
-    def fn(key, pdfs, state):
-        return _release(key, pdfs, state, hold_us, tomb_us)
-
-    return u.groupBy("job_id").applyInPandasWithState(
-        fn, RELEASE_OUT, RELEASE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    r = registrations.select("job_id", F.col("ts").alias("reg_ts"))
+    s = statuses.filter(~non_terminal("status")).select("job_id", "status", "ts", F.col("event_id").cast("long"))
+    on = F.col("r.job_id") == F.col("s.job_id")
+    if hold is not None:
+        r, s = r.withWatermark("reg_ts", hold), s.withWatermark("ts", hold)
+        on = on & (F.col("reg_ts") <= F.col("ts") + F.expr(f"interval {hold}"))
+    j = r.alias("r").join(s.alias("s"), on)
+    return j.select(F.col("s.job_id").alias("job_id"), "status", F.unix_micros("ts").alias("ts_us"), "event_id")
+
+
+def release_sink(out_path: str):
+    """foreachBatch: the first terminal state of each job that no earlier
+    batch released; later states find nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        done = earlier_batches(batch.sparkSession, out_path, RELEASE_OUT, batch_id).select("job_id")
+        first = (batch.groupBy("job_id")
+                      .agg(F.min_by(F.struct("status", "ts_us", "event_id"), F.struct("ts_us", "event_id")).alias("f"))
+                      .select("job_id", "f.*").join(done, "job_id", "left_anti"))
+        first.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+    return write
+
+
+def drain(df: DataFrame, writer, checkpoint: str) -> None:
+    """Run a ``foreachBatch`` writer over what is there, then stop."""
+    q = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(writer).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def stream_release_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-3 end to end: the JOB_ID registry rows are written once to the
-    shared folder (they are derived from the tables) and streamed in with the
-    notifications."""
+    """T-3 end to end: JOB_ID registrations and notifications as two streams."""
     t = Tables(spark, sf_dir)
-    reg_path = scratch_path(spark, "registrations")
-    (t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE)
-      .select(F.col("id").alias("job_id"), F.col("registered_at").alias("ts"))
-      .write.mode("overwrite").parquet(reg_path))
-    regs = _event_time(spark.readStream.schema(spark.read.parquet(reg_path).schema).parquet(reg_path))
-    st = _event_time(job_events_from_events(table_stream(spark, sf_dir, "events")))
-    rel = release_waiting(regs, st)
-    path = run_to_completion(rel, "release-waiting")
-    return read_sink(spark, path, RELEASE_OUT)
+    regs = t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE).select(
+        F.col("id").alias("job_id"), F.col("registered_at").alias("ts"),
+        F.unix_micros(F.col("registered_at").cast("timestamp")).alias("us"))
+    st = _event_time(job_events_from_events(
+        staged_stream(t.raw("events", ["event_id", "ts", "event_type"]), "event_id")))
+    out = scratch_path(spark, "release-out")
+    drain(release_candidates(_event_time(staged_stream(regs, "us")), st), release_sink(out),
+          scratch_path(spark, "release-ckpt"))
+    return read_sink(spark, out, RELEASE_OUT)
 
 
-# -- T-5: heartbeat timeouts (stateful) ---------------------------------------------
+# -- T-5: heartbeat timeouts -----------------------------------------------------------
 
 TIMEOUT_OUT = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("event_id", T.LongType()),
                             T.StructField("ts_us", T.LongType()), T.StructField("gap_us", T.LongType())])
-TIMEOUT_STATE = T.StructType([T.StructField("last_us", T.LongType()), T.StructField("last_event_id", T.LongType())])
-
-
-def _gaps(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState, limit_us: int,
-          retention_us: int) -> Iterator[pd.DataFrame]:
-    """Per job: compare each notification with the previous sign of life
-    (kept in state across batches) and emit gaps above the limit.
-    Notifications older than the last one seen are too late to reorder and
-    only count as signs of life. State expires ``retention_us`` after the
-    last notification."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    last_us, last_ev = state.get if state.exists else (None, None)
-    tss, evs = [], []
-    for pdf in pdfs:
-        tss += pdf["ts_us"].tolist()
-        evs += pdf["event_id"].tolist()
-    out = []
-    for ts, ev in sorted(zip(tss, evs)):
-        if last_us is not None and (ts, ev) <= (last_us, last_ev):
-            continue
-        if last_us is not None and ts - last_us > limit_us:
-            out.append((key[0], int(ev), int(ts), int(ts - last_us)))
-        last_us, last_ev = int(ts), int(ev)
-    if last_us is not None:
-        state.update((last_us, last_ev))
-        state.setTimeoutTimestamp((last_us + retention_us) // 1000)
-    if out:
-        yield pd.DataFrame(out, columns=["job_id", "event_id", "ts_us", "gap_us"])
-
-
-def heartbeat_timeouts_stream(notifications: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS,
-                              lateness: str = "10 minutes", retention: str = "1 day") -> DataFrame:
-    """T-5 on a stream: (job_id, status, ts, event_id) -> gaps above the limit."""
-    limit_us = limit_seconds * 1_000_000
-    ret_us = interval_micros(retention)
-    u = (notifications.withWatermark("ts", lateness)
-                      .select("job_id", "ts", F.col("event_id").cast("long"), F.unix_micros("ts").alias("ts_us")))
-
-    def fn(key, pdfs, state):
-        return _gaps(key, pdfs, state, limit_us, ret_us)
-
-    return u.groupBy("job_id").applyInPandasWithState(
-        fn, TIMEOUT_OUT, TIMEOUT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+LAST_SEEN = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("event_id", T.LongType()),
+                          T.StructField("ts", T.TimestampType())])
+
+
+def timeout_sink(out_path: str, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS):
+    """foreachBatch: the batch operator over the batch and the last sign of
+    life of each job (one row per job, written with each batch).
+    Notifications that are not newer than that row came too late to be put in
+    order; they are no gap."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = earlier_batches(spark, f"{out_path}/last", LAST_SEEN, batch_id)
+        newest = seen.agg(F.max("batch").alias("batch"))
+        last = seen.join(newest, "batch").select("job_id", "event_id", "ts")
+        b = batch.select("job_id", F.col("event_id").cast("long").alias("event_id"), "ts").persist()
+        try:
+            old = last.select("job_id", F.struct("ts", "event_id").alias("_last"))
+            fresh = (b.join(old, "job_id", "left")
+                      .filter(F.col("_last").isNull() | (F.struct("ts", "event_id") > F.col("_last"))).drop("_last"))
+            both = (fresh.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False))))
+            gaps = heartbeat_timeouts(both, limit_seconds).filter("_new").select(
+                "job_id", "event_id", F.unix_micros("ts").alias("ts_us"), "gap_us")
+            gaps.write.mode("overwrite").parquet(f"{out_path}/gaps/batch={batch_id}")
+            (both.groupBy("job_id").agg(F.max_by(F.struct("event_id", "ts"), F.struct("ts", "event_id")).alias("f"))
+                 .select("job_id", "f.event_id", "f.ts")
+                 .write.mode("overwrite").parquet(f"{out_path}/last/batch={batch_id}"))
+        finally:
+            b.unpersist()
+    return write
 
 
 def stream_heartbeat_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _event_time(job_events_from_events(table_stream(spark, sf_dir, "events")))
-    path = run_to_completion(heartbeat_timeouts_stream(ev), "heartbeat-timeouts")
-    return read_sink(spark, path, TIMEOUT_OUT)
+    raw = staged_stream(Tables(spark, sf_dir).raw("events", ["event_id", "ts", "event_type"]), "event_id")
+    out = scratch_path(spark, "timeouts-out")
+    drain(_event_time(job_events_from_events(raw)), timeout_sink(out), scratch_path(spark, "timeouts-ckpt"))
+    return read_sink(spark, f"{out}/gaps", TIMEOUT_OUT)
 
 
 # -- T-1: plan each request as it arrives ----------------------------------------------
@@ -336,43 +302,50 @@ SUMMARY_OUT = T.StructType([T.StructField("request_id", T.LongType()), T.StructF
                             T.StructField("files", T.LongType()), T.StructField("bytes", T.LongType())])
 
 
-def plan_sink(t: Tables, out_path: str, quarantine_path: str):
+def plan_sink(t: Tables, out_path: str, quarantine_path: str, inventory: DataFrame | None = None):
     """foreachBatch: plan the micro-batch's requests against the static
-    inventory with the batch planner and write the per-request summary and
-    copy jobs for the batch id (idempotent on replay). A request lives in
-    one event, so per-batch aggregates are final."""
+    inventory with the batch planner. The decided files are written once
+    (``actions/``); summary and copy jobs are read off them. All outputs are
+    per batch id (idempotent on replay). A request lives in one batch, so
+    per-batch aggregates are final."""
     from relayplan.operators import actions as A
     from relayplan.plans.planner import plan_transfers, requests_from_events
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         b = batch.persist()
         try:
             good, bad = EV.quarantine(b, EV.message_problem())
             (bad.select("request_id", "reason").write.mode("overwrite")
                 .parquet(f"{quarantine_path}/batch={batch_id}"))
             et = requests_from_events(good)
-            plan = plan_transfers(et.requests, et.sources, t.inventory, t.destination_inventory,
-                                  t.external_objects)
-            (A.transfer_summary(plan.actions).write.mode("overwrite")
+            plan = plan_transfers(et.requests, et.sources, t.inventory if inventory is None else inventory,
+                                  t.destination_inventory, t.external_objects)
+            actions = f"{out_path}/actions/batch={batch_id}"
+            write_plan(plan.actions, actions, ("action",))
+            decided = spark.read.schema(plan.actions.schema).parquet(actions)
+            (A.transfer_summary(decided).write.mode("overwrite")
               .parquet(f"{out_path}/summary/batch={batch_id}"))
-            plan.jobs.write.mode("overwrite").parquet(f"{out_path}/jobs/batch={batch_id}")
+            own = decided.filter(~F.col("data_id").contains("://"))  # external objects are named by URI
+            (A.build_copy_jobs(A.job_members(own)).write.mode("overwrite")
+              .parquet(f"{out_path}/jobs/batch={batch_id}"))
         finally:
             b.unpersist()
     return write
 
 
-def stream_plan(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> str:
+def stream_plan(spark: SparkSession, sf_dir: str) -> str:
     """T-1: request events as a stream, each micro-batch planned. Returns the
-    output folder (``summary/`` and ``jobs/``)."""
+    output folder (``actions/``, ``summary/`` and ``jobs/``)."""
     t = Tables(spark, sf_dir)
-    orders = table_stream(spark, sf_dir, "orders", max_files).select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = staged_stream(t.raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"]), "o_orderkey")
     parsed = EV.parse_requests(request_event_bodies(t, requests=requests_from_orders(orders)))
     out, quar = scratch_path(spark, "plan-out"), scratch_path(spark, "plan-quarantine")
-    q = (parsed.writeStream.option("checkpointLocation", scratch_path(spark, "plan-ckpt"))
-               .foreachBatch(plan_sink(t, out, quar)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    inventory = t.inventory.persist()  # one derivation for all micro-batches
+    try:
+        drain(parsed, plan_sink(t, out, quar, inventory), scratch_path(spark, "plan-ckpt"))
+    finally:
+        inventory.unpersist()
     return out
 
 
