@@ -50,7 +50,7 @@ from relayplan.llm.decontaminate import checked
 
 WIDTH = 5
 T_NUM, T_DEN = 8, 10  # similarity, as a fraction of integers
-GROUPS = 32
+GROUPS = 128
 LEAF = 32
 CLUSTER_BLOCK = 2048
 #: Postings up to this size are joined pair by pair.
@@ -204,7 +204,10 @@ class RTree:
         slab = np.empty(len(n), np.int64)
         slab[size_order] = np.arange(len(n)) // tile
         self.order = np.lexsort((points[:, 0], points[:, :GROUPS // 2].sum(axis=1), slab))
-        self.n, self.points = n[self.order], points[self.order]
+        # sums of counts stay exact in the narrow type up to 2**24
+        kind = np.float32 if int(n.max(initial=0)) < 1 << 23 else np.float64
+        self.n, self.points = n[self.order], points[self.order].astype(kind)
+        self.ones = np.ones(points.shape[1], kind)
         self.levels = []
         at, top, low, high = np.arange(0, len(n), LEAF), self.points, self.n, self.n
         while len(at) > 1 or not self.levels:
@@ -215,16 +218,15 @@ class RTree:
                 break
             at = np.arange(0, len(at), LEAF)
 
-    @staticmethod
-    def fits(q, size, top, low, high) -> np.ndarray:
+    def fits(self, q, size, top, low, high) -> np.ndarray:
         """Boxes (points: low = high) that may hold a partner of the query."""
         least = np.maximum(low, -(-T_NUM * size // T_DEN))
         return ((T_DEN * high >= T_NUM * size) & (T_NUM * low <= T_DEN * size)
-                & (np.minimum(top, q).sum(axis=1) >= need(size, least)))
+                & (np.minimum(top, q) @ self.ones >= need(size, least)))
 
     def partners(self, q: np.ndarray, size: int) -> np.ndarray:
         """Points that may link with a query, by their original numbers."""
-        boxes = np.arange(len(self.levels[-1][0]))
+        boxes, q = np.arange(len(self.levels[-1][0])), q.astype(self.points.dtype)
         for k in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[k]
             boxes = boxes[self.fits(q, size, top[boxes], low[boxes], high[boxes])]
@@ -281,33 +283,62 @@ def join_postings(pdf: pd.DataFrame) -> pd.DataFrame:
     for a, b in np.unique(np.concatenate(pairs), axis=0).tolist():
         forest.join(a, b)
     for s, k in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
-        own = who[s:s + k]
-        if len({forest.root(x) for x in own.tolist()}) > 1:
-            tree = RTree(n[s:s + k], point[s:s + k])
-            for i in range(k):
-                for j in tree.partners(point[s + i], int(n[s + i])).tolist():
-                    forest.join(int(own[i]), int(own[j]))
+        own = who[s:s + k].tolist()
+        apart = len({forest.root(x) for x in own}) - 1
+        tree = RTree(n[s:s + k], point[s:s + k]) if apart else None
+        for i in range(k):
+            if not apart:  # all sets of the posting are connected
+                break
+            for j in tree.partners(point[s + i], int(n[s + i])).tolist():
+                apart -= forest.join(own[i], own[j])
     root = forest.roots()
     far = np.flatnonzero(root != np.arange(len(names)))
     return pd.DataFrame({"a": names[far], "b": names[root[far]]})
 
 
+class Overlaps:
+    """Exact common shingles of one set with many: postings of all shingles
+    of a block's sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        size = [len(s) for s in sets]
+        _, self.token = np.unique(np.concatenate(sets), return_inverse=True)
+        self.bounds = np.concatenate(([0], np.cumsum(size)))
+        owner = np.repeat(np.arange(len(sets)), size)
+        by = np.argsort(self.token, kind="stable")
+        self.owner = owner[by]
+        self.starts = np.searchsorted(self.token[by], np.arange(int(self.token.max()) + 2))
+
+    def of(self, i: int) -> np.ndarray:
+        token = self.token[self.bounds[i]:self.bounds[i + 1]]
+        n = self.starts[token + 1] - self.starts[token]
+        at = np.repeat(self.starts[token] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.bincount(self.owner[at], minlength=len(self.bounds) - 1)
+
+
 def verify(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links that connect, within the clusters' blocks or between two of them."""
     out = []
     for _, group in pdf.groupby(["cluster", "part"], sort=False):
         sets = [unpack(d) for d in group["data"]]
         ids, n = group["id"].to_numpy(), group["n"].to_numpy()
-        points = np.stack([s[2] for s in sets]).astype(np.int64)
-        tree, forest = RTree(n, points), Forest(len(ids))
+        points, shingles = np.stack([s[2] for s in sets]), [s[0] for s in sets]
+        forest, apart = Forest(len(ids)), len(ids) - 1
+        tree, overlaps = RTree(n, points), Overlaps(shingles) if len(ids) > 8 else None
         # larger sets first: they meet those between which most links lie
         for i in np.argsort(n, kind="stable")[::-1].tolist():
-            for j in tree.partners(points[i], int(n[i])).tolist():
-                if forest.root(i) != forest.root(j):
-                    common = len(np.intersect1d(sets[i][0], sets[j][0], assume_unique=True))
-                    if common >= need(int(n[i]), int(n[j])):
-                        forest.join(i, j)
-                        out.append((int(ids[i]), int(ids[j])))
+            if not apart:
+                break
+            mine = forest.root(i)
+            near = [j for j in tree.partners(points[i], int(n[i])).tolist() if forest.root(j) != mine]
+            if overlaps is not None and len(near) > 4:
+                common = overlaps.of(i)[near]
+            else:
+                common = [len(np.intersect1d(shingles[i], shingles[j], assume_unique=True)) for j in near]
+            for j, c in zip(near, common, strict=True):
+                if c >= need(int(n[i]), int(n[j])) and forest.join(i, j):
+                    apart -= 1
+                    out.append((int(ids[i]), int(ids[j])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
