@@ -87,7 +87,13 @@ ren as (select request_id, 1 as item, source_uri as input_uri, cast(null as varc
   union all select request_id, 8, 'gs://b/x', concat('fil.',cast(request_id as varchar),'.3'), 'both_id.dat'
     from req where o_custkey%43=0
   union all select request_id, 9, concat('icav2://',project_id,src_folder), '', 'both_uri.dat'
-    from req where o_custkey%47=0),
+    from req where o_custkey%47=0
+  union all select request_id, 10, cast(null as varchar), concat('fil.',cast(request_id as varchar),'.2'), 'L1.dat'
+    from req where kind in (2,3) and o_custkey%3=0
+  union all select request_id, 11, cast(null as varchar), concat('fil.',cast(request_id as varchar),'.3'), 'L3.dat'
+    from req where kind in (2,3) and o_custkey%4=0
+  union all select request_id, 12, cast(null as varchar), concat('fil.',cast(request_id as varchar),'.1'), 'A'
+    from req where kind in (0,1) and o_custkey%5=1),
 executions as (select concat('exec-',cast(request_id as varchar)) as execution_id,
   case when request_id%20=0 then 'RUNNING' else 'SUCCEEDED' end as status,
   json_object('taskToken', task_token)::varchar as input from req),

@@ -274,7 +274,15 @@ class Tables:
                                            U.project_uri(F.col("project_id"), F.col("src_folder")).alias("input_uri"),
                                            F.lit("").alias("data_id"), F.lit("both_uri.dat").alias("output_file_name"))
         out = b123
-        for x in (b4, b5, b6, b7, b8, b9):
+        # targets that exist, the copied file itself, a folder of the destination
+        def by_id(item, wanted, line, name):
+            return r.filter(wanted).select(rid, F.lit(item).alias("item"), nul.alias("input_uri"),
+                                           F.concat(F.lit("fil."), _s(rid), F.lit(f".{line}")).alias("data_id"),
+                                           name.alias("output_file_name"))
+        b10 = by_id(10, kind.isin(2, 3) & (ck % 3 == 0), 2, F.lit("L1.dat"))
+        b11 = by_id(11, kind.isin(2, 3) & (ck % 4 == 0), 3, F.lit("L3.dat"))
+        b12 = by_id(12, kind.isin(0, 1) & (ck % 5 == 1), 1, F.lit("A"))
+        for x in (b4, b5, b6, b7, b8, b9, b10, b11, b12):
             out = out.unionByName(x)
         return (out)
 

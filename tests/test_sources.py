@@ -118,14 +118,14 @@ def test_size_for_input_only_fills_unset(spark):
 
 
 def test_package_is_shipped_once(spark):
-    import glob
-    import os
     import zipfile
 
-    from relayplan.session import ship_package, shared_dir
+    from pyspark import SparkFiles
+
+    from relayplan.session import ship_package
     ship_package(spark)
     ship_package(spark)           # once per application
-    zips = glob.glob(os.path.join(shared_dir(spark), "relayplan-*.zip"))
-    assert zips
-    with zipfile.ZipFile(max(zips, key=os.path.getmtime)) as z:
+    files = [str(f) for f in spark.sparkContext.listFiles if "relayplan-" in str(f)]
+    assert len(files) == 1
+    with zipfile.ZipFile(SparkFiles.get(files[0].rsplit("/", 1)[-1])) as z:
         assert "relayplan/streaming/streams.py" in z.namelist()

@@ -19,74 +19,90 @@ def test_release_once_and_only_registered(spark, sf_small):
     assert sorted(map(tuple, rel.select("job_id", "status", "ts_us").collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_release_processor_order_independent(spark):
-    """Status before registration is held, then released on registration;
-    later terminal states are ignored."""
-    import pandas as pd
-
-    class FakeState:
-        def __init__(self):
-            self.exists, self.value, self.hasTimedOut, self.timeout = False, None, False, None
-
-        @property
-        def get(self):
-            return self.value
-
-        def update(self, v):
-            self.exists, self.value = True, v
-
-        def setTimeoutTimestamp(self, ms):
-            self.timeout = ms
-
-        def remove(self):
-            self.exists, self.value = False, None
-
-    st = FakeState()
-    b1 = pd.DataFrame({"job_id": ["j", "j"], "kind": ["STATUS", "STATUS"], "status": ["RUNNING", "FAILED"],
-                       "event_id": [1, 2], "ts_us": [10, 20]})
-    assert list(S._release(("j",), iter([b1]), st, 1000, 1000)) == []
-    b2 = pd.DataFrame({"job_id": ["j", "j"], "kind": ["REG", "STATUS"], "status": [None, "SUCCEEDED"],
-                       "event_id": [-1, 3], "ts_us": [5, 30]})
-    out = list(S._release(("j",), iter([b2]), st, 1000, 1000))
-    assert len(out) == 1 and out[0].iloc[0].tolist() == ["j", "FAILED", 20, 2]
-    b3 = pd.DataFrame({"job_id": ["j"], "kind": ["STATUS"], "status": ["FAILED"], "event_id": [4], "ts_us": [40]})
-    assert list(S._release(("j",), iter([b3]), st, 1000, 1000)) == []
-
-
-def test_release_across_batches_and_restart(spark, sf_small, tmp_path):
-    """Notifications arrive as several files, one per micro-batch; the stream
-    is stopped after the first part and resumed from its checkpoint. The
-    released set equals the batch twin, each job once."""
-    from relayplan import constants as K
-    from relayplan.sources.tables import job_events_from_events
-
-    t = Tables(spark, sf_small)
-    regs_dir, ev_dir = str(tmp_path / "regs"), str(tmp_path / "events")
-    (t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE)
-      .select(F.col("id").alias("job_id"), F.col("registered_at").alias("ts"))
-      .coalesce(1).write.parquet(regs_dir))
-    events = t.raw("events", ["event_id", "ts", "event_type"])
-    n = events.count()
-    cuts = [0, n // 3, 2 * n // 3, n + 1]
-    for i in range(3):
-        (events.filter((F.col("event_id") >= cuts[i]) & (F.col("event_id") < cuts[i + 1]))
-               .coalesce(1).write.parquet(f"{ev_dir}/part{i}"))
-
-    def run(parts):
-        regs = S._event_time(spark.readStream.schema(spark.read.parquet(regs_dir).schema).parquet(regs_dir))
-        schema = spark.read.parquet(f"{ev_dir}/part0").schema
-        raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{ev_dir}/part[{parts}]")
-        st = S._event_time(job_events_from_events(raw))
-        return S.run_to_completion(S.release_waiting(regs, st), "release-test",
-                                   sink_path=str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
-
-    run("0")            # first part only
-    out = run("0-2")    # resumed: only the new parts are read
-    rel = S.read_sink(spark, out, S.RELEASE_OUT)
-    assert rel.count() == rel.select("job_id").distinct().count()
-    batch = J.first_terminal(t.job_status_events, t.job_registry).select(
-        "job_id", "status", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
-    assert sorted(map(tuple, rel.select("job_id", "status", "ts_us").collect())) == sorted(map(tuple, batch.collect()))
+def batches(spark, path, frames):
+    """A stream over frames that arrive one after the other, one per micro-batch."""
+    for f in frames:
+        f.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def ts(spark, rows, schema):
+    return spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts"))
+
+
+REG = "job_id string, ts string"
+STATUS = "job_id string, status string, ts string, event_id long"
+
+
+def released(spark, tmp_path, regs, statuses, **more):
+    r = batches(spark, str(tmp_path / "r"), [ts(spark, x, REG) for x in regs])
+    s = batches(spark, str(tmp_path / "s"), [ts(spark, x, STATUS) for x in statuses])
+    out = str(tmp_path / "out")
+    S.drain(S.release_candidates(r, s, **more), S.release_sink(out), str(tmp_path / "ckpt"))
+    return sorted((x.job_id, x.status, x.event_id) for x in S.read_sink(spark, out, S.RELEASE_OUT).collect())
+
+
+def test_registration_waits_for_days(spark, tmp_path):
+    """Registered on day 0, other jobs move time on, done on day 12."""
+    got = released(spark, tmp_path, [[("j", "2024-01-01 00:00:00")], [("k", "2024-01-05 00:00:00")]],
+                   [[("k", "RUNNING", "2024-01-02 00:00:00", 1)], [("k", "FAILED", "2024-01-06 00:00:00", 2)],
+                    [("x", "SUCCEEDED", "2024-01-10 00:00:00", 3)], [("j", "SUCCEEDED", "2024-01-13 00:00:00", 4)]])
+    assert got == [("j", "SUCCEEDED", 4), ("k", "FAILED", 2)]
+
+
+def test_late_pair_and_later_states(spark, tmp_path):
+    """A terminal state may come long before its registration; states after
+    the release, in the same or later batches, find nothing."""
+    got = released(spark, tmp_path, [[("a", "2024-01-01 00:00:00")], [("b", "2024-01-01 00:00:00")], [("j", "2024-01-09 00:00:00")]],
+                   [[("j", "FAILED", "2024-01-01 00:00:00", 1), ("j", "SUCCEEDED", "2024-01-01 00:00:01", 2)],
+                    [("z", "SUCCEEDED", "2024-01-08 00:00:00", 3)], [("j", "SUCCEEDED", "2024-01-01 00:00:05", 4)],
+                    [("j", "SUCCEEDED", "2024-01-20 00:00:00", 5)], [("b", "STOPPED", "2024-01-21 00:00:00", 6)]])
+    assert got == [("b", "STOPPED", 6), ("j", "FAILED", 1)]
+
+
+def test_duplicates_do_not_depend_on_batch_cuts(spark, tmp_path):
+    rows = [("j", "FAILED", f"2024-01-01 {h:02d}:00:00", h) for h in (0, 5, 6, 7)]
+    for name, frames in (("one", [rows]), ("four", [[r] for r in rows])):
+        ev = batches(spark, str(tmp_path / name), [ts(spark, x, STATUS) for x in frames])
+        out = S.run_to_completion(S.first_deliveries(ev), "dup", sink_path=str(tmp_path / f"{name}-out"))
+        assert spark.read.parquet(out).count() == 1
+
+
+def test_timeouts_over_batches(spark, tmp_path):
+    """The gap to a sign of life of an earlier batch counts; a notification
+    that is older than the last one seen does not."""
+    frames = [[("j", "RUNNING", "2024-01-01 00:00:00", 1), ("k", "RUNNING", "2024-01-01 00:00:00", 2)],
+              [("k", "RUNNING", "2024-01-01 00:04:00", 3)],
+              [("j", "RUNNING", "2024-01-01 00:06:00", 4), ("j", "RUNNING", "2024-01-01 00:20:00", 5)],
+              [("j", "RUNNING", "2024-01-01 00:10:00", 6), ("k", "FAILED", "2024-01-01 00:09:01", 7)]]
+    ev = batches(spark, str(tmp_path / "ev"), [ts(spark, x, STATUS) for x in frames])
+    out = str(tmp_path / "out")
+    S.drain(ev, S.timeout_sink(out), str(tmp_path / "ckpt"))
+    got = S.read_sink(spark, f"{out}/gaps", S.TIMEOUT_OUT).collect()
+    assert sorted((r.job_id, r.event_id, r.gap_us // 1_000_000) for r in got) == [("j", 4, 360), ("j", 5, 840), ("k", 7, 301)]
+
+
+def test_release_resumes_from_its_checkpoint(spark, tmp_path):
+    regs = [ts(spark, [("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:00")], REG)]
+    parts = [ts(spark, x, STATUS) for x in ([("a", "FAILED", "2024-01-01 00:01:00", 1)],
+                                            [("a", "SUCCEEDED", "2024-01-01 00:02:00", 2), ("b", "FAILED", "2024-01-01 00:03:00", 3)])]
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    for k, part in enumerate(parts):
+        s = batches(spark, str(tmp_path / "s"), [part])
+        r = batches(spark, str(tmp_path / "r"), regs) if k == 0 else spark.readStream.schema(regs[0].schema).parquet(str(tmp_path / "r"))
+        S.drain(S.release_candidates(r, s), S.release_sink(out), ckpt)
+    got = sorted((x.job_id, x.event_id) for x in S.read_sink(spark, out, S.RELEASE_OUT).collect())
+    assert got == [("a", 1), ("b", 3)]
+
+
+def test_unreadable_sink_is_an_error(spark, tmp_path):
+    import pytest
+    assert S.read_sink(spark, str(tmp_path / "none"), S.RELEASE_OUT).count() == 0
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        S.read_sink(spark, str(bad), S.RELEASE_OUT).collect()
 
 
 def test_processing_time_trigger_with_bounded_batches(spark, sf_small, tmp_path):
@@ -121,35 +137,24 @@ def test_processing_time_trigger_with_bounded_batches(spark, sf_small, tmp_path)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
 
 
-def test_stream_plan_over_several_batches(spark, sf_small, tmp_path):
-    """T-1: orders arriving as three files, one micro-batch each, give the
-    same per-request summary as the batch planner."""
+def test_stream_plan_over_several_batches(spark, sf_small):
+    """T-1, T-2: requests in three micro-batches give the summary of the
+    batch planner, and copy jobs."""
     import os
 
     from relayplan.operators import actions as A
-    from relayplan.operators import resolve as R
-    from relayplan.sources.tables import TABLES
-
-    d = tmp_path / "data"
-    d.mkdir()
-    for name in TABLES:
-        if name != "orders":
-            os.symlink(f"{sf_small}/{name}.parquet", d / f"{name}.parquet")
-    orders = spark.read.parquet(f"{sf_small}/orders.parquet")
-    n = orders.count()
-    ordered = orders.orderBy("o_orderkey").coalesce(1)
-    keys = sorted(r.o_orderkey for r in orders.select("o_orderkey").collect())
-    cuts = [keys[0], keys[n // 3], keys[2 * n // 3], keys[-1] + 1]
-    for i in range(3):
-        (ordered.filter((F.col("o_orderkey") >= cuts[i]) & (F.col("o_orderkey") < cuts[i + 1]))
-                .write.mode("append").parquet(str(d / "orders.parquet")))
-    out = S.stream_plan(spark, str(d), max_files=1)
+    from relayplan.plans.planner import plan_transfers
+
+    out = S.stream_plan(spark, sf_small)
     got = S.read_sink(spark, f"{out}/summary", S.SUMMARY_OUT)
-    assert len([p for p in os.listdir(f"{out}/summary") if p.startswith("batch=")]) == 3
+    local = out.removeprefix("file:")
+    assert len([p for p in os.listdir(f"{local}/summary") if p.startswith("batch=")]) >= 3
     t = Tables(spark, sf_small)
-    resolved = R.resolve_sources(t.request_sources, t.inventory)
-    ref = A.transfer_summary(A.transfer_action(A.file_targets(resolved, t.requests), t.destination_inventory))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+    plan = plan_transfers(t.requests, t.request_sources, t.inventory, t.destination_inventory, t.external_objects)
+    ref = A.transfer_summary(plan.actions)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+    jobs = spark.read.parquet(f"{out}/jobs").drop("batch")
+    assert jobs.select(*plan.jobs.columns).exceptAll(plan.jobs).isEmpty() and jobs.count() == plan.jobs.count() > 0
 
 
 def test_registry_snapshots_from_a_stream(spark, sf_small, tmp_path):
