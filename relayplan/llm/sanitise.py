@@ -15,7 +15,8 @@ searched again inside it. Repetitions are written possessively where that
 finds the same matches, so that matching needs no deep stack on long runs.
 
 Words near entities are few, so pairs are counted from the entities' rows;
-only their terms are counted over all words of all texts.
+only terms that can still disclose something are counted over all words of all
+texts.
 
 Defined cases: null and empty texts hold nothing; every row is a document of
 its own, equal rows too, and equal texts count once for support; an empty
@@ -148,15 +149,19 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     pair = (terms.groupBy("value", "term", "_digest").agg(F.countDistinct("_row").alias("n"))
             .groupBy("value", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("support"))
             .filter(F.col("support") >= SUPPORT))
-    pair = kept(pair.join(entity, "value"))
+    # A pair discloses if n_t <= n_et * (N / n_e) ** (1 - DISCLOSURE). The documents that have
+    # the term near any entity are some of those that have it, so common words drop out here.
+    n_all = F.lit(float(found.count()))
+    most = F.col("n_et") * F.pow(n_all / F.col("n_e"), F.lit(1 - DISCLOSURE))
+    near = terms.select("term", "_row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    pair = kept(pair.join(entity, "value").join(near, "term").filter(F.col("n_near") <= most * (1 + 1e-9)))
     term = checked(pair.select("term").distinct())
     frequency = (docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("term"))
                  .join(term, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    total = docs.agg(F.count(F.lit(1)).alias("n_all"))  # one row
-    scored = pair.join(frequency, "term").join(F.broadcast(total))
-    pmi = F.log2(F.col("n_all").cast("double") * F.col("n_et") / F.col("n_e") / F.col("n_t"))
-    content = F.log2(F.col("n_all").cast("double") / F.col("n_e"))
-    flagged = scored.filter((content > 0) & (pmi >= DISCLOSURE * content - 1e-9)).select("value", "term")
+    pmi = F.log2(n_all * F.col("n_et") / F.col("n_e") / F.col("n_t"))
+    content = F.log2(n_all / F.col("n_e"))
+    flagged = pair.join(frequency, "term").filter(
+        (content > 0) & (pmi >= DISCLOSURE * content - 1e-9)).select("value", "term")
     return terms.join(flagged, ["value", "term"]).select("_row", "start", "stop").distinct()
 
 
