@@ -111,7 +111,11 @@ def near_terms(found: DataFrame) -> DataFrame:
     one = found.select("_row", "_digest", "_spans", F.explode("_near").alias("e"))
 
     def placed(context: Column, at: Column, last: bool) -> Column:
-        hits = matches(F.lower(context), WORD_ALNUM)
+        # whole words only: none that touches the entity, or the end of the reach in mid-text
+        cut = F.length(context) >= REACH
+        hits = F.filter(matches(F.lower(context), WORD_ALNUM), lambda m: (
+            (m["stop"] < F.length(context)) & ~(cut & (m["start"] == 0)) if last else
+            (m["start"] > 0) & ~(cut & (m["stop"] == F.length(context)))))
         size = F.size(hits)
         some = F.slice(hits, F.greatest(size - (NEAR - 1), F.lit(1)), NEAR) if last else F.slice(hits, 1, NEAR)
         return F.transform(some, lambda m: F.struct(

@@ -51,8 +51,11 @@ def terms(docs):
         for s, _, e, v in spans:
             df_e[v].add(r)
             left, right = t[max(0, s - 80):s].lower(), t[e:e + 80].lower()
-            some = [(max(0, s - 80) + m.start(), max(0, s - 80) + m.end(), m[0].lower()) for m in WORD.finditer(left)][-5:]
-            some += [(e + m.start(), e + m.end(), m[0].lower()) for m in WORD.finditer(right)][:5]
+            at = max(0, s - 80)
+            some = [(at + m.start(), at + m.end(), m[0]) for m in WORD.finditer(left)
+                    if m.end() < len(left) and not (len(left) == 80 and m.start() == 0)][-5:]
+            some += [(e + m.start(), e + m.end(), m[0]) for m in WORD.finditer(right)
+                     if m.start() > 0 and not (len(right) == 80 and m.end() == len(right))][:5]
             for a, b, w in some:
                 if len(w) >= 2 and not any(a < y[2] and y[0] < b for y in spans):
                     near[r].add((v, w, a, b))
@@ -61,8 +64,6 @@ def terms(docs):
     n, out = len(docs), defaultdict(set)
     for r, found in near.items():
         for v, w, a, b in found:
-            if w not in df_t:  # the part of a word that reaches beyond the near text
-                continue
             ic = math.log2(n / len(df_e[v]))
             pmi = math.log2(n * len(both[v, w]) / len(df_e[v]) / len(df_t[w]))
             if len(support[v, w]) >= 3 and ic > 0 and pmi >= 0.75 * ic - 1e-9:
