@@ -83,13 +83,21 @@ def quantise_log2(c: Column, bits: int) -> Column:
                    F.lit((1 << bits) - 1))
 
 
+def slice_of(key: Column) -> Column:
+    """One of ``SLICES`` (256) parts of the rows of a cell: the first byte of
+    the MD5 of the key's text."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", key["text_crc32"].cast("string"),
+                                                key["doc_id"].cast("string"))), 1, 2), 16, 10).cast("int")
+
+
 def place_rows(df: DataFrame, dims: Sequence[Column], key: Column, shards: int = 8,
                bits: int = 4) -> DataFrame:
     """``df`` with ``curve`` (Hilbert index), ``shard`` and ``slot``.
 
-    ``dims`` are int columns already quantised to ``bits`` bits. Rows are
-    ordered by (curve, hash slice of ``key``, key) and cut into ``shards``
-    runs whose row counts differ by one at most.
+    ``dims`` are int columns already quantised to ``bits`` bits, ``key`` is a
+    struct of ``text_crc32`` and ``doc_id``. Rows are ordered by (curve, slice
+    of ``key``, key) and cut into ``shards`` runs whose row counts differ by one
+    at most.
     """
     lookup = F.array(*[F.lit(h) for h in curve_table(len(dims), bits)])
     cell = dims[0]
@@ -99,7 +107,7 @@ def place_rows(df: DataFrame, dims: Sequence[Column], key: Column, shards: int =
     rows = (df.withColumn("_cell", cell)
             .withColumn("_curve", F.get(lookup, F.col("_cell")))
             .withColumn("_key", key)
-            .withColumn("_slice", F.pmod(F.xxhash64("_key"), F.lit(SLICES)).cast("int"))
+            .withColumn("_slice", slice_of(F.col("_key")))
             .select(*used, "_curve", "_key", "_slice"))
     counts = rows.groupBy("_curve", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     # cells: at most 2**(dims*bits) rows, so one task may sum them up

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, oracles, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-@query("op2_suffix_dedup")
+@query("op2_suffix_dedup", oracles.OP2)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = lambda s: s["stop"] - s["start"]
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
@@ -32,7 +32,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op3_hilbert_shard")
+@query("op3_hilbert_shard", oracles.OP3)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shard.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -40,24 +40,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-@query("op1_license_scan")
+@query("op1_license_scan", oracles.OP1)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-@query("op7_decontaminate")
+@query("op7_decontaminate", oracles.OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op10_rlz_dedup")
+@query("op10_rlz_dedup", oracles.OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz_dedup.dedup(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
-        F.size("factors").cast("long").alias("n_factors"))
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op8_sanitise")
+@query("op8_sanitise", oracles.OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = sanitise.scan(table(spark, sf_dir, "documents"))
 
@@ -89,7 +88,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op6_rtree_join")
+@query("op6_rtree_join", oracles.OP6)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rtree_join.link(table(spark, sf_dir, "documents"))
 
