@@ -122,10 +122,29 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Paths handed out by ``scratch_path``, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, unique per call."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete what this application wrote under ``scratch_path`` (stream
+    outputs, checkpoints, stored tables). Call it when results are written;
+    DataFrames that read those folders end with it. Returns how many existed."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsc.hadoopConfiguration()
+    n = 0
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
 
 
 def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,

@@ -129,3 +129,16 @@ def test_package_is_shipped_once(spark):
     assert len(files) == 1
     with zipfile.ZipFile(SparkFiles.get(files[0].rsplit("/", 1)[-1])) as z:
         assert "relayplan/streaming/streams.py" in z.namelist()
+
+
+def test_scratch_is_cleaned(spark):
+    from relayplan import session as SE
+    other = SE._SCRATCH.pop(spark.sparkContext.applicationId, [])  # of other tests
+    try:
+        path, unused = SE.scratch_path(spark, "x"), SE.scratch_path(spark, "y")
+        spark.range(3).write.parquet(path)
+        assert SE.path_exists(spark, path) and not SE.path_exists(spark, unused)
+        assert SE.clean_scratch(spark) == 1 and not SE.path_exists(spark, path)
+        assert SE.clean_scratch(spark) == 0
+    finally:
+        SE._SCRATCH[spark.sparkContext.applicationId] = other
