@@ -258,33 +258,29 @@ class Tables:
         b4 = self.external_sources.select(rid, F.lit(4).alias("item"), F.col("uri").alias("input_uri"),
                                           nul.alias("data_id"), F.lit("renamed.txt").alias("output_file_name"))
         ck = F.col("o_custkey")
-        b5 = r.filter(ck % 7 == 0).select(rid, F.lit(5).alias("item"), nul.alias("input_uri"),
-                                          F.concat(F.lit("fil."), _s(rid + 1), F.lit(".1")).alias("data_id"),
-                                          F.lit("x.dat").alias("output_file_name"))
-        b6 = r.filter(ck % 31 == 0).select(rid, F.lit(6).alias("item"), nul.alias("input_uri"),
-                                           nul.alias("data_id"), F.lit("y.dat").alias("output_file_name"))
-        b7 = r.filter(ck % 37 == 0).select(rid, F.lit(7).alias("item"), nul.alias("input_uri"),
-                                           F.concat(F.lit("fil."), _s(rid), F.lit(".1")).alias("data_id"),
-                                           F.lit("a//b.dat").alias("output_file_name"))
-        # both inputs present, one of them invalid
-        b8 = r.filter(ck % 43 == 0).select(rid, F.lit(8).alias("item"), F.lit("gs://b/x").alias("input_uri"),
-                                           F.concat(F.lit("fil."), _s(rid), F.lit(".3")).alias("data_id"),
-                                           F.lit("both_id.dat").alias("output_file_name"))
-        b9 = r.filter(ck % 47 == 0).select(rid, F.lit(9).alias("item"),
-                                           U.project_uri(F.col("project_id"), F.col("src_folder")).alias("input_uri"),
-                                           F.lit("").alias("data_id"), F.lit("both_uri.dat").alias("output_file_name"))
-        out = b123
-        # targets that exist, the copied file itself, a folder of the destination
-        def by_id(item, wanted, line, name):
-            return r.filter(wanted).select(rid, F.lit(item).alias("item"), nul.alias("input_uri"),
-                                           F.concat(F.lit("fil."), _s(rid), F.lit(f".{line}")).alias("data_id"),
-                                           name.alias("output_file_name"))
-        b10 = by_id(10, kind.isin(2, 3) & (ck % 3 == 0), 2, F.lit("L1.dat"))
-        b11 = by_id(11, kind.isin(2, 3) & (ck % 4 == 0), 3, F.lit("L3.dat"))
-        b12 = by_id(12, kind.isin(0, 1) & (ck % 5 == 1), 1, F.lit("A"))
-        for x in (b4, b5, b6, b7, b8, b9, b10, b11, b12):
-            out = out.unionByName(x)
-        return (out)
+
+        def one(item, wanted, name, uri=nul, data_id=nul):
+            return F.when(wanted, F.struct(F.lit(item).alias("item"), uri.alias("input_uri"),
+                                           data_id.alias("data_id"), F.lit(name).alias("output_file_name")))
+
+        def file(line, request=rid):
+            return F.concat(F.lit("fil."), _s(request), F.lit(f".{line}"))
+
+        # items that follow from the request alone: one scan for all of them
+        own = F.array(
+            one(5, ck % 7 == 0, "x.dat", data_id=file(1, rid + 1)),
+            one(6, ck % 31 == 0, "y.dat"),
+            one(7, ck % 37 == 0, "a//b.dat", data_id=file(1)),
+            # both inputs present, one of them invalid
+            one(8, ck % 43 == 0, "both_id.dat", F.lit("gs://b/x"), file(3)),
+            one(9, ck % 47 == 0, "both_uri.dat", U.project_uri(F.col("project_id"), F.col("src_folder")), F.lit("")),
+            # a target that exists, the copied file itself, a file inside a folder
+            one(10, k23 & (ck % 3 == 0), "L1.dat", data_id=file(2)),
+            one(11, k23 & (ck % 4 == 0), "L3.dat", data_id=file(3)),
+            one(12, kind.isin(0, 1) & (ck % 5 == 1), "A", data_id=file(1)))
+        rest = (r.select(rid, F.explode(F.filter(own, lambda x: x.isNotNull())).alias("i"))
+                 .select("request_id", "i.item", "i.input_uri", "i.data_id", "i.output_file_name"))
+        return b123.unionByName(b4).unionByName(rest)
 
     # -- job states and registry -------------------------------------------------
     @cached_property
