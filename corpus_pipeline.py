@@ -38,9 +38,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their pieces, and whether these give back the text."""
     v = pieces.load()
-    coded = pieces.decode(pieces.encode(docs, v), v)
-    return coded.select("doc_id", "lang", "source", "n_chars", "ids", F.size("ids").cast("long").alias("n_pieces"),
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
+    return pieces.encode(docs, v, check=True).select(
+        "doc_id", "lang", "source", "n_chars", "ids", F.size("ids").cast("long").alias("n_pieces"), "exact")
 
 
 STAGES = [

@@ -31,7 +31,7 @@ back every text exactly.
 
 Defined cases: null text has null ids and null again after decoding; an empty
 text has none; every row is encoded for itself; an empty table gives no rows;
-all columns stay, ``ids`` (``decoded``) replaces one of its name.
+all columns stay, ``ids`` (``exact``, ``decoded``) replaces one of its name.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from relayplan.llm.blocks import combine, mix, pack, unpack, word_codes
 from relayplan.llm.common import kept
@@ -448,17 +448,30 @@ def trace_chunks(v: Vocabulary):
     return run
 
 
-def encode(docs: DataFrame, v: Vocabulary, giant: int = GIANT) -> DataFrame:
-    """``docs`` with ``ids``, the pieces of ``text``."""
-    own = [c for c in docs.columns if c != "ids"]
+IDS = StructField("ids", ArrayType(IntegerType()))
+EXACT = StructField("exact", BooleanType())
+DECODED = StructField("decoded", StringType())
+
+
+def encode(docs: DataFrame, v: Vocabulary, giant: int = GIANT, check: bool = False) -> DataFrame:
+    """``docs`` with ``ids``, the pieces of ``text``; with ``check`` also
+    ``exact``: does decoding them, in the same pass, give back the text?"""
+    more = [IDS, EXACT] if check else [IDS]
+    own = [c for c in docs.columns if c not in {f.name for f in more}]
     docs = docs.select(*own)
     size = F.coalesce(F.length("text"), F.lit(0))
 
     def run(batches):
         for b in batches:
-            yield b.assign(ids=encode_texts(v, b["text"].tolist()))
+            texts = b["text"].tolist()
+            ids = encode_texts(v, texts)
+            yield b.assign(ids=ids, exact=same_texts(v, ids, texts)) if check else b.assign(ids=ids)
+
+    def compare(batches):
+        for b in batches:
+            yield b.assign(exact=same_texts(v, b["ids"].tolist(), b["text"].tolist()))
 
-    short = over_python(docs.filter(size <= giant), run, "ids", ArrayType(IntegerType()))
+    short = over_python(docs.filter(size <= giant), run, *more)
     long = kept(docs.filter(size > giant).withColumn("_row", F.monotonically_increasing_id()))
     chunks = kept(long.select("_row", "text").mapInPandas(
         split_chunks(v), "_row long, chunk int, part string, left long"))
@@ -468,25 +481,28 @@ def encode(docs: DataFrame, v: Vocabulary, giant: int = GIANT) -> DataFrame:
               .mapInPandas(trace_chunks(v), "_row long, chunk int, ids array<int>"))
     whole = traced.groupBy("_row").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return short.unionByName(long.join(whole, "_row").drop("_row"))
+    coded = long.join(whole, "_row").drop("_row")
+    return short.unionByName(over_python(coded, compare, EXACT) if check else coded)
+
+
+def same_texts(v: Vocabulary, ids: list, texts: list) -> list[bool]:
+    return [a == (t if isinstance(t, str) else None) for a, t in zip(decode_ids(v, ids), texts, strict=True)]
 
 
 def decode(encoded: DataFrame, v: Vocabulary) -> DataFrame:
     """``encoded`` with ``decoded``, the text of ``ids``."""
-    own = [c for c in encoded.columns if c != "decoded"]
-
     def run(batches):
         for b in batches:
             yield b.assign(decoded=decode_ids(v, b["ids"].tolist()))
 
-    return over_python(encoded.select(*own), run, "decoded", StringType())
+    return over_python(encoded.drop("decoded"), run, DECODED)
 
 
-def over_python(df: DataFrame, run, name: str, kind) -> DataFrame:
-    """``mapInPandas`` that adds a column; integers travel as text, since
+def over_python(df: DataFrame, run, *fields: StructField) -> DataFrame:
+    """``mapInPandas`` that adds columns; integers travel as text, since
     pandas would make them floats where they are null."""
     as_text = [F.col(c).cast("string").alias(c) if t in ("bigint", "int") else F.col(c) for c, t in df.dtypes]
     schema = StructType([StructField(f.name, StringType() if t in ("bigint", "int") else f.dataType)
-                         for f, (_, t) in zip(df.schema, df.dtypes, strict=True)] + [StructField(name, kind)])
+                         for f, (_, t) in zip(df.schema, df.dtypes, strict=True)] + list(fields))
     got = df.select(*as_text).mapInPandas(run, schema)
-    return got.select(*[F.col(c).cast(t).alias(c) for c, t in df.dtypes], name)
+    return got.select(*[F.col(c).cast(t).alias(c) for c, t in df.dtypes], *[f.name for f in fields])

@@ -102,6 +102,8 @@ def test_giant_documents_in_chunks(spark, vocab, monkeypatch):
     assert encoded.columns == ["doc_id", "text", "n_chars", "chunk", "ids"]
     rows = pieces.decode(encoded, vocab).collect()
     assert len(rows) == len(texts)
+    checked = pieces.encode(df, vocab, giant=300, check=True).collect()
+    assert len(checked) == len(texts) and all(r.exact for r in checked)
     want = dict(zip(texts, pieces.encode_texts(vocab, texts), strict=True))
     for r in rows:
         assert r.decoded == r.text
