@@ -5,12 +5,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from relayplan.plans import ORACLES, QUERIES
 from relayplan.plans.check import digest, duck_views
 from relayplan.sources.tables import TABLES
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_small):
@@ -24,6 +22,10 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["request_id", "action", "files", "bytes"]
