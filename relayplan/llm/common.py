@@ -35,6 +35,18 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def aside(docs: DataFrame, *own: str):
+    """``docs`` with all columns but ``own`` named by position, so that no
+    column of a caller clashes with one an operator adds, and a function that
+    selects them back under their names, with more columns if given."""
+    inner = [c if c in own else f"c{i}" for i, c in enumerate(docs.columns)]
+
+    def back(df: DataFrame, *more: str) -> DataFrame:
+        return df.select(*[F.col(a).alias(b) for a, b in zip(inner, docs.columns, strict=True)], *more)
+
+    return docs.toDF(*inner), back
+
+
 def scan_partitions(df: DataFrame) -> int:
     """Input splits of ``df``, the measure by which exchanges are sized."""
     return max(1, df.rdd.getNumPartitions())

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relayplan.llm.common import kept, words
+from relayplan.llm.common import aside, kept, words
 
 WIDTH = 5
 # a side of at most so many rows is broadcast, a larger one is joined by shuffle
@@ -97,4 +97,5 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFra
 def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` without the contaminated ones, all columns as they are."""
     bad = kept(search(docs, items, threshold).select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(checked(bad), F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    inner, back = aside(docs, "doc_id", "text")
+    return back(inner.join(checked(bad), F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti"))

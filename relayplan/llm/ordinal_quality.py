@@ -34,6 +34,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from relayplan.llm.blocks import pack, unpack, word_codes
+from relayplan.llm.common import aside
 
 GRADES = 3
 BITS = 17
@@ -239,6 +240,5 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def select_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rejected ones, all columns as they are."""
     model = train(docs, labels)
-    probe = score(docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns) if c != "text"}), model)
-    good = probe.filter(F.col("p_good") >= ACCEPT).drop(*SCORES)
-    return good.select(*[F.col(c if c == "text" else f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    inner, back = aside(docs, "text")
+    return back(score(inner, model).filter(F.col("p_good") >= ACCEPT))

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from relayplan.llm.blocks import combine, mix, pack, unpack, word_codes
-from relayplan.llm.common import kept
+from relayplan.llm.common import aside, kept
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x2581  # stands for a blank in the pieces
@@ -458,7 +458,7 @@ def encode(docs: DataFrame, v: Vocabulary, giant: int = GIANT, check: bool = Fal
     ``exact``: does decoding them, in the same pass, give back the text?"""
     more = [IDS, EXACT] if check else [IDS]
     own = [c for c in docs.columns if c not in {f.name for f in more}]
-    docs = docs.select(*own)
+    docs, back = aside(docs.select(*own), "text")
     size = F.coalesce(F.length("text"), F.lit(0))
 
     def run(batches):
@@ -482,7 +482,7 @@ def encode(docs: DataFrame, v: Vocabulary, giant: int = GIANT, check: bool = Fal
     whole = traced.groupBy("_row").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids"))
     coded = long.join(whole, "_row").drop("_row")
-    return short.unionByName(over_python(coded, compare, EXACT) if check else coded)
+    return back(short.unionByName(over_python(coded, compare, EXACT) if check else coded), *[f.name for f in more])
 
 
 def same_texts(v: Vocabulary, ids: list, texts: list) -> list[bool]:

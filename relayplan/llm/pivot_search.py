@@ -18,8 +18,8 @@ vector fills one ring; its cells are still bounded, and queries meet each cell
 in blocks.
 
 Defined cases: vectors that are null, empty or hold null, infinite or undefined
-components take no part; vectors are compared over their common length rule:
-all must have the length of most of them, others take no part; ties go to the
+components take no part; nor do those of another length than most of the
+sample; ties go to the
 smaller id, null ids last; with fewer than k candidates all are returned;
 components beyond 2**28 in size are multiplied in exact integers and scores
 cut to 64 bits; an empty table gives no rows. ``vec_id`` is taken as unique: a

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from relayplan.llm.blocks import (NULL_ID, block_stage, gram_codes, group_of, mix, open_block, pack,
                                   pack_documents, unpack, word_bounds, word_codes)
-from relayplan.llm.common import kept, scan_partitions
+from relayplan.llm.common import aside, kept, scan_partitions
 from relayplan.llm.decontaminate import checked
 
 WIDTH = 5
@@ -407,11 +407,12 @@ def link(docs: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each component.
     Rows that repeat both id and text count as one document."""
+    docs, back = aside(docs, "doc_id", "text")
     links = kept(link(docs))
     gone = checked(kept(links.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
                         .select(F.col("doc_id").alias("_id")).distinct()))
     left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
     twice = checked(kept(links.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))))
     same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    return (left.join(twice, same, "left_anti")
-            .unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])))
+    return back(left.join(twice, same, "left_anti")
+                .unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])))

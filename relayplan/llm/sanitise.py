@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relayplan.llm.common import WORD_ALNUM, kept, words
+from relayplan.llm.common import WORD_ALNUM, aside, kept, words
 from relayplan.llm.decontaminate import checked
 
 # fixed values: kinds in the order of the contract
@@ -188,6 +188,7 @@ def scan(docs: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with entities generalised to ``<EMAIL>``, ``<IP>``, ``<CARD>``
     or ``<PHONE>`` and revealing terms removed."""
+    docs, back = aside(docs, "doc_id", "text", "n_chars")
     found = find(docs)
     changed = with_terms(docs, found).filter(F.size("_all") > 0).select(F.col("_row").alias("_r"), "_all")
     changed = checked(kept(changed))
@@ -215,7 +216,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
                 F.length("_new").cast(docs.schema[c].dataType)).alias(c))
         else:
             cols.append(F.col(c))
-    return out.select(*cols)
+    return back(out.select(*cols))
 
 
 def information(n_all: int, n_e: int) -> float:

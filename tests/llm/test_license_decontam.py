@@ -10,7 +10,7 @@ from relayplan.llm import decontaminate, license_scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-SCHEMA = "doc_id long, text string, label string, n int, words string"
+SCHEMA = "doc_id long, text string, _bad string, n int, words string"
 
 
 def texts(sf):

@@ -9,7 +9,7 @@ import sentencepiece
 
 from relayplan.llm import pieces
 
-SCHEMA = "doc_id long, text string, ids string, n_chars long, chunk int"
+SCHEMA = "doc_id long, text string, ids string, _row long, chunk int"
 
 
 @pytest.fixture(scope="module")
@@ -99,7 +99,7 @@ def test_giant_documents_in_chunks(spark, vocab, monkeypatch):
     monkeypatch.setattr(pieces, "CHUNK", 50)
     df = spark.createDataFrame([(None if i == 3 else i, t, "x", 1, None) for i, t in enumerate(texts)], SCHEMA)
     encoded = pieces.encode(df, vocab, giant=300)
-    assert encoded.columns == ["doc_id", "text", "n_chars", "chunk", "ids"]
+    assert encoded.columns == ["doc_id", "text", "_row", "chunk", "ids"]
     rows = pieces.decode(encoded, vocab).collect()
     assert len(rows) == len(texts)
     checked = pieces.encode(df, vocab, giant=300, check=True).collect()

@@ -9,7 +9,7 @@ import pytest
 
 from relayplan.llm import blocks, rtree_join
 
-SCHEMA = "doc_id long, text string, id string, n int, d1 int"
+SCHEMA = "doc_id long, text string, _id string, n int, c0 int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 

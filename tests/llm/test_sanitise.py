@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from relayplan.llm import sanitise
 
-SCHEMA = "doc_id long, text string, spans string, n_chars long, _x int"
+SCHEMA = "doc_id long, text string, _row string, n_chars long, _all int"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
