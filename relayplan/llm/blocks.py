@@ -13,11 +13,13 @@ A block holds at most ``BLOCK_BYTES`` of text, or one document that is longer.
 
 from __future__ import annotations
 
+import ctypes
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,6 +38,26 @@ POWER = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(POWER), -1, 1 << 64))
 
 
+def tidy() -> None:
+    """Give freed memory back to the system. Python workers live on between
+    tasks, and the allocator would keep what a task has freed."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.malloc_trim  # noqa: B018 - absent from other C libraries
+    except (OSError, AttributeError):
+        return None
+    return libc
+
+
+_LIBC = _libc()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, element by element."""
     x = (x ^ (x >> np.uint64(30))) * _M1
@@ -104,9 +126,13 @@ def block_stage(docs: DataFrame, stage, schema: str, block_bytes: int | None = N
     both; ``blocks`` yields numbers and bytes, the stage yields pandas frames."""
     size = block_bytes or BLOCK_BYTES
 
+    def run(batches):
+        yield from stage(packed(batches, size))
+        tidy()
+
     # ids travel as text: a pandas column of integers with nulls would be float
     return (docs.selectExpr("cast(doc_id as string) doc_id", "text")
-            .mapInPandas(lambda batches: stage(packed(batches, size)), schema))
+            .mapInPandas(run, schema))
 
 
 def pack_documents(docs: DataFrame, block_bytes: int | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from relayplan.llm.blocks import pack, unpack, word_codes
+from relayplan.llm.blocks import pack, tidy, unpack, word_codes
 from relayplan.llm.common import aside
 
 GRADES = 3
@@ -187,6 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         pdf = pdf.sort_values(["grade", "data"])  # the same model whatever the order of arrival
         grades = pdf["grade"].to_numpy()
         w, cuts = fit(grades, [tuple(unpack(d)) for d in pdf["data"]])
+        tidy()
         return pd.DataFrame({"data": [pack(w, cuts, np.unique(grades).astype(np.int64))]})
 
     # documents may repeat an id: the bound holds for rows too
@@ -224,6 +225,7 @@ def score(docs: DataFrame, model) -> DataFrame:
             tail = np.concatenate(parts) if parts else np.zeros((0, GRADES + 1))
             yield b.assign(expected_grade=tail[:, 1:].sum(axis=1), p_good=tail[:, GRADES - 1],
                            p_clean=tail[:, 1])
+        tidy()
 
     as_text = [F.col(c).cast("string").alias(c) if t in ("bigint", "int") else F.col(c) for c, t in kept_types]
     got = docs.select(*as_text).mapInPandas(run, schema)

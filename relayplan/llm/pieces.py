@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from relayplan.llm.blocks import combine, mix, pack, unpack, word_codes
+from relayplan.llm.blocks import combine, mix, pack, tidy, unpack, word_codes
 from relayplan.llm.common import aside, kept
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -419,6 +419,7 @@ def matrices(v: Vocabulary):
                 codes, cut = chunk_codes(part, chunk)
                 out.append((row, chunk, pack(transfer(v, codes, min(CHUNK, left), cut).ravel())))
             yield pd.DataFrame(out, columns=["_row", "chunk", "data"])
+        tidy()
     return run
 
 
@@ -445,6 +446,7 @@ def trace_chunks(v: Vocabulary):
                 ids, _, _ = solve(v, codes, np.array([0, len(codes)]))
                 out.append((row, chunk, ids))
             yield pd.DataFrame(out, columns=["_row", "chunk", "ids"])
+        tidy()
     return run
 
 
@@ -504,5 +506,10 @@ def over_python(df: DataFrame, run, *fields: StructField) -> DataFrame:
     as_text = [F.col(c).cast("string").alias(c) if t in ("bigint", "int") else F.col(c) for c, t in df.dtypes]
     schema = StructType([StructField(f.name, StringType() if t in ("bigint", "int") else f.dataType)
                          for f, (_, t) in zip(df.schema, df.dtypes, strict=True)] + list(fields))
-    got = df.select(*as_text).mapInPandas(run, schema)
+
+    def tidied(batches):
+        yield from run(batches)
+        tidy()
+
+    got = df.select(*as_text).mapInPandas(tidied, schema)
     return got.select(*[F.col(c).cast(t).alias(c) for c, t in df.dtypes], *[f.name for f in fields])

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from relayplan.llm.blocks import (NULL_ID, Anchors, CodeGrams, block_stage, first_of, gram_codes, group_of, open_block, pack,
-                                  pack_documents, unpack, word_bounds, word_codes)
+                                  pack_documents, tidy, unpack, word_bounds, word_codes)
 from relayplan.llm.common import kept, scan_partitions
 
 LENGTH = 20
@@ -143,6 +143,7 @@ def window_batch(buckets: int):
             _, one, other, doc, place, new = Parsed(data).open_windows(answers(right, 0)[0])
             cols = [c[new] for c in (one, other, doc, place)]
             rows += [(i, block, pack(*[c[s] for c in cols])) for i, s in slices(cols[0], buckets, 64)]
+        tidy()
         return pd.DataFrame(rows, columns=["bucket", "block", "data"])
     return run
 
@@ -235,6 +236,7 @@ def parse(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
                         int(gone[words].sum()), factors.get(i, []), text[s:e][mark[s:e]].tobytes()))
     got = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "factors", "kept"])
     got["doc_id"] = got["doc_id"].astype("Int64")
+    tidy()
     return got
 
 

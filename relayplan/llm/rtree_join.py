@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relayplan.llm.blocks import (NULL_ID, block_stage, gram_codes, group_of, mix, open_block, pack,
-                                  pack_documents, unpack, word_bounds, word_codes)
+                                  pack_documents, tidy, unpack, word_bounds, word_codes)
 from relayplan.llm.common import aside, kept, scan_partitions
 from relayplan.llm.decontaminate import checked
 
@@ -162,6 +162,7 @@ def to_sets(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     shared = np.concatenate([np.zeros(0, np.uint8), *told])
     for data in left["data"]:
         out += Sets(data).rows(shared)
+    tidy()
     return pd.DataFrame(out, columns=["id", "n", "d1", "d2", "data"])
 
 
@@ -259,6 +260,7 @@ def post_batches(buckets: int):
                 s = by[cuts[k]:cuts[k + 1]]
                 rows.append((int(k), int(i[s[0]]), pack(key[s], i[s], n[s], point[s].ravel())))
             yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
+        tidy()
     return run
 
 
@@ -293,6 +295,7 @@ def join_postings(pdf: pd.DataFrame) -> pd.DataFrame:
                 apart -= forest.join(own[i], own[j])
     root = forest.roots()
     far = np.flatnonzero(root != np.arange(len(names)))
+    tidy()
     return pd.DataFrame({"a": names[far], "b": names[root[far]]})
 
 
@@ -339,6 +342,7 @@ def verify(pdf: pd.DataFrame) -> pd.DataFrame:
                 if c >= need(int(n[i]), int(n[j])) and forest.join(i, j):
                     apart -= 1
                     out.append((int(ids[i]), int(ids[j])))
+    tidy()
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 

@@ -42,7 +42,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from relayplan.llm.blocks import (NULL_ID, Anchors, ByteGrams, block_stage, combine, first_of, group_of,
-                                  open_block, pack, pack_documents, runs, unpack)
+                                  open_block, pack, pack_documents, runs, tidy,
+                                  unpack)
 from relayplan.llm.common import kept, scan_partitions
 
 LENGTH = 50
@@ -279,6 +280,7 @@ def send_open(buckets: int):
             _, doc, one, other, new = b.strings(status)
             cols = [c[new] for c in (one, other, doc)]
             out += [(buckets + i, block, pack(*[c[s] for c in cols])) for i, s in sections(cols[0], buckets, 64)]
+        tidy()
         return pd.DataFrame(out, columns=["bucket", "block", "data"])
     return run
 
@@ -331,6 +333,7 @@ def merge_anchors(pdf: pd.DataFrame) -> pd.DataFrame:
         bits[have[by[later]]] |= np.uint32(1 << o)
     out = np.empty(len(flat), np.uint32)
     out[flat] = bits
+    tidy()
     return answer(pdf, RUN, np.split(out, base[1:-1]))
 
 
@@ -384,6 +387,7 @@ def remove(buckets: int):
                             b.text[s:e][~mine].tobytes()))
         got = pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept"])
         got["doc_id"] = got["doc_id"].astype("Int64")
+        tidy()
         return got
     return run
 
