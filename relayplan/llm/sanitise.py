@@ -160,8 +160,9 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     near = terms.select("term", "_row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
     pair = kept(pair.join(entity, "value").join(near, "term").filter(F.col("n_near") <= most * (1 + 1e-9)))
     term = checked(pair.select("term").distinct())
+    # counted first and joined then: common words meet as counts
     frequency = (docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("term"))
-                 .join(term, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(term, "term"))
     pmi = F.log2(n_all * F.col("n_et") / F.col("n_e") / F.col("n_t"))
     content = F.log2(n_all / F.col("n_e"))
     flagged = pair.join(frequency, "term").filter(
