@@ -116,7 +116,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        d = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="relayplan-ckpt-"))
+        d = _LOCAL.get(spark.sparkContext.applicationId)
+        if d is None:
+            d = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="relayplan-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
