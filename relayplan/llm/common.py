@@ -28,6 +28,11 @@ def words(c: Column, pattern: str = WORD_ALNUM) -> Column:
     return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def text_key(text: str) -> Column:
+    """32 bytes that tell texts apart; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
 def kept(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder, lineage cut. Lost
     executors cost only the tasks they ran."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relayplan.llm.common import aside, kept, words
+from relayplan.llm.common import aside, kept, text_key, words
 
 WIDTH = 5
 # a side of at most so many rows is broadcast, a larger one is joined by shuffle
@@ -95,7 +95,12 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFra
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the contaminated ones, all columns as they are."""
-    bad = kept(search(docs, items, threshold).select(F.col("doc_id").alias("_bad")).distinct())
+    """``docs`` without the contaminated ones, all columns as they are. Rows of
+    one id are one document; a row without an id is a document of its own."""
     inner, back = aside(docs, "doc_id", "text")
-    return back(inner.join(checked(bad), F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti"))
+    own = inner.withColumn("_key", F.when(F.col("doc_id").isNull(), text_key("text")))
+    named = own.select(F.struct("doc_id", "_key").alias("doc_id"), "text")
+    bad = kept(search(named, items, threshold).select("doc_id").distinct().select(
+        F.col("doc_id.doc_id").alias("_bad"), F.col("doc_id._key").alias("_of")))
+    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & F.col("_key").eqNullSafe(F.col("_of"))
+    return back(own.join(checked(bad), same, "left_anti"))

@@ -30,7 +30,8 @@ Defined cases: a text of fewer than ``WIDTH`` words has its whole sequence as
 its one shingle; null, empty and blank texts have none and link with nothing;
 rows of equal id are linked and labelled like others; a null id is greater
 than all others, and null if it is the smallest; an empty table gives no rows;
-``drop_duplicates`` keeps all columns, of any name.
+``drop_duplicates`` keeps all columns, of any name, and decides by row: rows
+are told apart by id and text, so other rows of a null or repeated id stay.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from relayplan.llm.blocks import (NULL_ID, block_stage, gram_codes, group_of, mix, open_block, pack,
                                   pack_documents, tidy, unpack, word_bounds, word_codes)
-from relayplan.llm.common import aside, kept, scan_partitions
+from relayplan.llm.common import aside, kept, scan_partitions, text_key
 from relayplan.llm.decontaminate import checked
 
 WIDTH = 5
@@ -58,7 +59,7 @@ SMALL = 8
 
 ASK = "bucket int, block long, data binary"
 ANSWER = "block long, kind int, bucket int, data binary"
-SETS = "id long, n long, d1 long, d2 long, data binary"
+SETS = "id long, key binary, n long, d1 long, d2 long, data binary"
 EDGE = "a long, b long"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -85,6 +86,7 @@ class Sets:
 
     def __init__(self, data: bytes):
         self.ids, offsets, text = open_block(data)
+        self.offsets, self.text = offsets, text
         text = _LOWER[text]
         starts, ends, first = word_bounds(text, offsets)
         codes = word_codes(text, starts, ends)
@@ -129,7 +131,9 @@ class Sets:
                 prefix = value[:spare(len(value)) + 1]
                 prefix = prefix[hit[own][:len(prefix)]]
                 data = pack(value, prefix, np.bincount(group[own], minlength=GROUPS).astype(np.int32))
-            yield int(self.ids[i]), int(self.n[i]), d1, d2, data
+            # as ``text_key`` has it
+            key = hashlib.sha256(self.text[self.offsets[i]:self.offsets[i + 1]].tobytes()).digest()
+            yield int(self.ids[i]), key, int(self.n[i]), d1, d2, data
 
 
 def ask(blocks, buckets: int):
@@ -163,7 +167,7 @@ def to_sets(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     for data in left["data"]:
         out += Sets(data).rows(shared)
     tidy()
-    return pd.DataFrame(out, columns=["id", "n", "d1", "d2", "data"])
+    return pd.DataFrame(out, columns=["id", "key", "n", "d1", "d2", "data"])
 
 
 class Forest:
@@ -374,13 +378,14 @@ def candidate_sets(docs: DataFrame, buckets: int) -> DataFrame:
     return kept(blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(to_sets, SETS))
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_shingles, component_id``."""
+def labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A row per row of ``docs`` (``SETS``), and for each distinct set
+    (``d1, d2``) the row that stands for its component: ``least(id, key)``."""
     buckets = 4 * scan_partitions(docs)
     sets = candidate_sets(docs, buckets)
     may = sets.filter(F.col("data").isNotNull())
-    # distinct sets, numbered; ``least`` is the smallest document id of each
-    one = kept(may.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.first("n").alias("n"),
+    # distinct sets, numbered; ``least`` is the smallest document id of each, with its text's key
+    one = kept(may.groupBy("d1", "d2").agg(F.min(F.struct("id", "key")).alias("least"), F.first("n").alias("n"),
                                            F.first("data").alias("data"))
                .withColumn("id", F.monotonically_increasing_id()))
     stars = (one.select("id", "n", "data").mapInPandas(post_batches(buckets), ASK)
@@ -398,25 +403,34 @@ def link(docs: DataFrame) -> DataFrame:
     links = spread.groupBy("bucket").applyInPandas(verify, EDGE)
     rooted = one.select("d1", "d2", "id", "least").join(components(links), "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
-    label = (rooted.select("d1", "d2", "root")
-             .join(rooted.groupBy("root").agg(F.min("least").alias("least")), "root")
-             .select("d1", "d2", F.col("least").alias("root")))
+    return sets, (rooted.select("d1", "d2", "root")
+                  .join(rooted.groupBy("root").agg(F.min("least").alias("least")), "root")
+                  .select("d1", "d2", "least"))
+
+
+def link(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_shingles, component_id``."""
+    sets, label = labels(docs)
+    label = label.select("d1", "d2", F.col("least.id").alias("root"), F.lit(True).alias("may"))
     full = sets.select("id", "n", "d1", "d2", (F.col("data").isNotNull()).alias("may")).join(
-        label.withColumn("may", F.lit(True)), ["d1", "d2", "may"], "left")
+        label, ["d1", "d2", "may"], "left")
     null_id = F.lit(NULL_ID)
     return full.select(F.nullif("id", null_id).alias("doc_id"), F.col("n").alias("n_shingles"),
                        F.nullif(F.coalesce("root", "id"), null_id).alias("component_id"))
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of each component.
-    Rows that repeat both id and text count as one document."""
+    """``docs`` with one row of each component, that of the smallest id (of
+    equal ids, of the smallest text key). Rows that repeat both id and text
+    count as one document."""
     docs, back = aside(docs, "doc_id", "text")
-    links = kept(link(docs))
-    gone = checked(kept(links.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                        .select(F.col("doc_id").alias("_id")).distinct()))
-    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    twice = checked(kept(links.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    sets, label = labels(docs)
+    own = [F.nullif("id", F.lit(NULL_ID)).alias("_id"), F.col("key").alias("_of")]
+    gone = checked(kept(sets.filter(F.col("data").isNotNull()).join(label, ["d1", "d2"])
+                        .filter((F.col("id") != F.col("least.id")) | (F.col("key") != F.col("least.key")))
+                        .select(*own).distinct()))
+    twice = checked(kept(sets.groupBy("id", "key").count().filter("count > 1").select(*own)))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
+    left = docs.withColumn("_key", text_key("text")).join(gone, same, "left_anti")
     return back(left.join(twice, same, "left_anti")
                 .unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])))

@@ -130,6 +130,14 @@ def test_clean_drops_only_contaminated(spark):
     assert sorted(r.doc_id or -1 for r in left.collect()) == sorted((i or -1) for i, _ in docs if i not in bad)
 
 
+def test_clean_keeps_other_rows_without_id(spark):
+    docs = [(None, "x a b c d e f g y"), (None, "nothing of it"), (None, None), (None, "x a b c d e f g y"), (4, "fine")]
+    d = spark.createDataFrame([(i, t, "x", 0, "n") for i, t in docs], SCHEMA)
+    m = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    left = [r.text for r in decontaminate.clean(d, m).collect()]
+    assert sorted(left, key=str) == [None, "fine", "nothing of it"]
+
+
 def test_search_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")

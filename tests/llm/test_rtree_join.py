@@ -96,6 +96,24 @@ def test_drop_duplicates(spark):
     assert set(have) == keep - gone and have.count(9000) == 1
 
 
+def test_drop_duplicates_by_row(spark):
+    rnd = random.Random(4)
+
+    def text(n=40):
+        return [rnd.choice("abcdefghijklmnopqrstuvwxyz") * 3 + str(rnd.randrange(10 ** 6)) for _ in range(n)]
+
+    groups = [text() for _ in range(6)]
+    ids = [(None, None, None), (7, 7, 7), (1, 2, None), (2, 3, 1), (None, 7, 9), (None, None, 2)]
+    docs = []  # (id, text, group): near copies of each group, rows that are alone, blank ones
+    for g, (w, own) in enumerate(zip(groups, ids, strict=True)):
+        docs += [(i, " ".join(w[:39] + [f"x{k}"]), g) for k, i in enumerate(own)]
+    docs += [(i, " ".join(text()), 10 + k) for k, i in enumerate([None, None, 7, 7, 2, 3, 1])]
+    docs += [(None, None, 20), (None, "", 21), (7, " ", 22)]
+    df = spark.createDataFrame([(i, t, "x", g, 2) for i, t, g in docs], SCHEMA).repartition(4)
+    left = sorted(r.n for r in rtree_join.drop_duplicates(df).collect())
+    assert left == sorted({g for _, _, g in docs})
+
+
 def test_nothing(spark):
     assert got(spark, []) == []
     assert got(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
