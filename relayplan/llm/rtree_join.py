@@ -398,9 +398,12 @@ def labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = F.ceil(F.col("_size") / CLUSTER_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), parts).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.least(own, k) * parts + F.greatest(own, k))
-    spread = (held.join(size, "cluster").select("id", "n", "data", "cluster", F.explode(pairs).alias("part"))
+    spread = (held.join(size, "cluster").select("id", "n", "data", "cluster", parts.alias("_parts"),
+                                                F.explode(pairs).alias("part"))
+              .withColumn("own", F.when(F.col("_parts") > 1, F.struct("cluster", "part"))).drop("_parts")
               .withColumn("bucket", F.pmod(F.xxhash64("cluster", "part"), F.lit(buckets)).cast("int")))
-    links = spread.groupBy("bucket").applyInPandas(verify, EDGE)
+    # clusters of one block share groups, each pair of blocks of a larger one is a group
+    links = spread.groupBy("bucket", "own").applyInPandas(verify, EDGE)
     rooted = one.select("d1", "d2", "id", "least").join(components(links), "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     return sets, (rooted.select("d1", "d2", "root")

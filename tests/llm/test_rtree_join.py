@@ -84,6 +84,20 @@ def test_large_cluster_in_blocks(spark, monkeypatch):
     assert got(spark, docs) == brute(docs)
 
 
+def test_pairs_of_blocks_do_not_share_a_group(spark, monkeypatch):
+    inner = rtree_join.verify
+
+    def alone(pdf):
+        keys = set(zip(pdf["cluster"], pdf["part"], strict=True))
+        assert len(keys) == 1 or all(part == 0 for _, part in keys), keys
+        return inner(pdf)
+
+    monkeypatch.setattr(rtree_join, "CLUSTER_BLOCK", 10)
+    monkeypatch.setattr(rtree_join, "verify", alone)
+    docs = near(5, 160, 60)
+    assert got(spark, docs) == brute(docs)
+
+
 def test_drop_duplicates(spark):
     docs = near(6, 60, repeat=True) + [(9000, "same id same text again and again"), (9000, "same id same text again and again")]
     df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in docs], SCHEMA)
