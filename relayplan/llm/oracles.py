@@ -202,3 +202,17 @@ p as (select *, (rank * 8) // n as shard from r)
 select doc_id, size::bigint as size, crc::bigint as text_crc32, 'rows' as law, shard::int as shard,
   (rank - (shard * n + 7) // 8)::bigint as slot, null::int as grown_shard, curve::int as curve from p
 """
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP12 = f"""
+with d as (select doc_id, string_split(coalesce(text,''), chr(10)) as l from documents),
+x as (select doc_id, unnest(range(1, len(l) + 1)) as pos, l from d),
+k as (select doc_id, pos, l[pos] as line,
+  translate(trim(l[pos], {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from x),
+s as (select key, max(doc_id) as last from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+g as (select k.*, coalesce(doc_id <> last, false) as gone from k left join s using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from g group by doc_id
+"""
