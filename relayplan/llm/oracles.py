@@ -216,3 +216,28 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
 from g group by doc_id
 """
+
+OP11 = f"""
+with recursive k as (select {_crc_table()}::bigint[] as tab),
+runs as (select doc_id, run, count(*) as c from (select doc_id,
+  unnest(regexp_extract_all({ASCII_LOWER}, '[A-Za-zÀ-ÿ]+')) as run from documents) group by all),
+h as (select run, c, {_crc32("concat(doc_id, ':', run)")} as h from runs, k),
+v as (select word, sum(c)::bigint as n from (select c, case when h % 97 = 0
+    then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run) + 2)::bigint) else run end as word from h)
+  where length(word) >= 5 group by word having sum(c) >= 3),
+i as (select word, unnest(range(1, length(word) + 1)) as i from v),
+del as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as d from i),
+near as (select a.word, b.word as other from del a join del b using (d, i) where a.word <> b.word
+  union select del.word, v.word from del join v on del.d = v.word
+  union select v.word, del.word from del join v on del.d = v.word),
+best as (select near.word, other, o.n, count(*) over (partition by near.word) as n_near,
+    row_number() over (partition by near.word order by o.n desc, other) as rank
+  from near join v o on o.word = near.other),
+f as (select v.word, v.n, case when best.n >= 2 * v.n then other end as form,
+    case when best.n >= 2 * v.n then best.n end as form_n, coalesce(n_near, 0) as n_near
+  from v left join best on best.word = v.word and rank = 1),
+r as (select word, word as root, 0 as depth from f
+  union all select r.word, f.form, depth + 1 from r join f on f.word = r.root where f.form is not null),
+last as (select word, max_by(root, depth) as root from r group by word)
+select f.word, form, root, n, n_near, form_n from f join last using (word)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, line_dedup, oracles, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, line_dedup, oracles, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, spelling, suffix_dedup
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.xxhash64("ids").alias("ids_hash"), "exact")
 
 
+@query("op11_spelling", oracles.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 @query("op12_line_dedup", oracles.OP12)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents")).select(
