@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.llm import decontaminate, hilbert_shard, license_scan, line_dedup, oracles, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, spelling, suffix_dedup
+from relayplan.llm import decontaminate, hilbert_shard, license_scan, line_dedup, oracles, ordinal_quality, pieces, pivot_search, rlz_dedup, rtree_join, sanitise, spelling, suffix_dedup, token_align
 from relayplan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op13_token_align")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

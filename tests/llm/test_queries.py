@@ -26,11 +26,11 @@ def test_query_matches_sql(spark, duck, sf_small, name):
 
 
 def test_names():
-    assert sorted(k.split("_")[0] for k in QUERIES if k != "pipeline") == sorted(f"op{n}" for n in range(1, 11))
-    assert set(QUERIES) - set(ORACLES) == {"op5_ordinal_quality", "op9_pieces", "pipeline"}
+    assert sorted(k.split("_")[0] for k in QUERIES if k != "pipeline") == sorted(f"op{n}" for n in range(1, 14))
+    assert set(QUERIES) - set(ORACLES) == {"op5_ordinal_quality", "op9_pieces", "op13_token_align", "pipeline"}
 
 
-@pytest.mark.parametrize("name", ["op5_ordinal_quality", "op9_pieces"])
+@pytest.mark.parametrize("name", ["op5_ordinal_quality", "op9_pieces", "op13_token_align"])
 def test_one_row_per_document(spark, sf_small, name):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     got = QUERIES[name](spark, sf_small)
