@@ -1,5 +1,5 @@
 """Job states, the waiting-job registry and heartbeats (J-18 .. J-20, W-3,
-W-4, S-6 .. S-9, A-5, A-6, T-4, T-5, T-7 as batch operators).
+W-4, S-6 .. S-9, A-5, A-6, T-5, T-7 as batch operators; T-4 is in ``ticks``).
 
 The registry is a table keyed by (id, id_type). Per-job reductions use
 ``min_by``/``max_by`` aggregates (partial aggregation map-side), so a job
@@ -134,14 +134,6 @@ def batches(df: DataFrame, order_col: str, n: int = K.HEARTBEAT_BATCH) -> DataFr
         F.count(F.lit(1)).alias("n"), F.min(order_col).alias("first_id"))
 
 
-def heartbeat_ticks(events: DataFrame, every: str = K.HEARTBEAT_EVERY) -> DataFrame:
-    """T-4 (batch): per tumbling window, how many jobs were still waiting
-    (had a non-terminal notification in it) and get a heartbeat."""
-    w = events.filter(non_terminal("status")).select(F.window("ts", every).alias("w"), "job_id")
-    return (w.groupBy(F.col("w.start").alias("window_start"))
-             .agg(F.count_distinct("job_id").alias("jobs")))
-
-
 def heartbeat_timeouts(events: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS,
                        bucket: str = "1 hour") -> DataFrame:
     """T-5 (batch): gaps between consecutive signs of life of a job longer

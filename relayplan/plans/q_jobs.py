@@ -9,6 +9,7 @@ from relayplan.functions import uri as U
 from relayplan.operators import expand as X
 from relayplan.operators import jobs as J
 from relayplan.operators import resolve as R
+from relayplan.operators import ticks as TK
 from relayplan.operators import verify as V
 from relayplan.plans.q_planning import _planned
 from relayplan.plans.registry import query
@@ -296,16 +297,63 @@ def q_heartbeat_batches(spark, d):
     return J.batches(ex, "execution_id")
 
 
-@query("heartbeat_ticks", f"""
-select {SQL_TS.format(c="time_bucket(interval 3 minute, ts, timestamp '1970-01-01 00:00:00')")} as window_start,
-  count(distinct job_id) as jobs
-from job where status in ('INITIALIZED','WAITING_FOR_RESOURCES','RUNNING') group by 1
+#: Waiting intervals and the ticks of the schedule, by definition.
+TICKS_SQL = f"""
+wait as (select id as job_id, registered_at as r, min(ts) filter (status not in
+    ('INITIALIZED','WAITING_FOR_RESOURCES','RUNNING')) as t
+  from regp left join job on job_id = id where id_type='JOB_ID' group by id, registered_at),
+span as (select min(registered_at) as a, (select max(ts) from job) as b from regp),
+tick as (select unnest(generate_series(time_bucket(interval 3 minute, a, timestamp '1970-01-01 00:00:00'), b,
+    interval 3 minute)) as tick from span)
+"""
+
+
+def horizon(t: Tables):
+    """The instant up to which ticks are made: the newest notification."""
+    return F.lit(t.job_status_events.agg(F.max("ts")).first()[0])
+
+
+@query("heartbeat_ticks", TICKS_SQL + f"""
+select {SQL_TS.format(c='tick')} as window_start, count(*) as jobs
+from tick join wait on r <= tick and (t is null or t > tick) group by tick
 """)
 def q_heartbeat_ticks(spark, d):
-    h = J.heartbeat_ticks(Tables(spark, d).job_status_events)
+    t = Tables(spark, d)
+    h = TK.heartbeat_ticks(t.job_registry, t.job_status_events, horizon(t))
     return h.select(ts_text("window_start").alias("window_start"), "jobs")
 
 
+@query("waiting_jobs", TICKS_SQL + f"""
+select job_id, {SQL_TS.format(c='min(tick)')} as first_tick, {SQL_TS.format(c='max(tick)')} as last_tick, count(*) as ticks
+from tick join wait on r <= tick and (t is null or t > tick) group by job_id
+""")
+def q_waiting_jobs(spark, d):
+    t = Tables(spark, d)
+    s = TK.with_ticks(TK.waiting_intervals(t.job_registry, t.job_status_events), horizon(t))
+    text = lambda c: F.date_format(TK.tick_time(c), TS_FMT)
+    return s.select("job_id", text("first").alias("first_tick"), text("last").alias("last_tick"),
+                    (F.col("last") - F.col("first") + 1).alias("ticks"))
+
+
+@query("poll_ticks", TICKS_SQL + f""",
+p as (select job_id, tick from tick join wait on r <= tick and tick < r + interval 1 day),
+st as (select p.job_id, tick, arg_max(status, (ts, event_id)) as status
+  from p left join job on job.job_id = p.job_id and ts <= tick group by p.job_id, tick),
+sig as (select job_id, tick, case when status is null or status in ('INITIALIZED','WAITING_FOR_RESOURCES','RUNNING')
+    then 'HEARTBEAT' when status in ('STOPPED','PARTIALLY_SUCCEEDED','FAILED') then 'FAILURE' else 'SUCCESS' end as signal
+  from st),
+e as (select job_id, min(tick) filter (signal <> 'HEARTBEAT') as stop from sig group by job_id)
+select job_id, count(*) filter (signal = 'HEARTBEAT') as heartbeats, arg_max(signal, tick) as signal,
+  {SQL_TS.format(c='max(tick)')} as last_tick
+from sig join e using (job_id) where stop is null or tick <= stop group by job_id
+""")
+def q_poll_ticks(spark, d):
+    t = Tables(spark, d)
+    signals = TK.poll_signals(t.job_registry, t.job_status_events, horizon(t), wait="1 day")
+    return TK.poll_outcomes(signals).select(
+        "job_id", "heartbeats", "signal", F.date_format(TK.tick_time("tick"), TS_FMT).alias("last_tick"))
+
+
 @query("heartbeat_timeouts", f"""
 g as (select job_id, ts, epoch_us(ts) - epoch_us(lag(ts) over (partition by job_id order by ts, event_id)) as gap_us from job)
 select job_id, {SQL_TS.format(c='ts')} as ts, cast(floor(gap_us/1000000) as bigint) as gap_seconds
