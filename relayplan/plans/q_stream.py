@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from relayplan.plans.q_events import VALIDATE_SQL
-from relayplan.plans.q_jobs import FIRST_SQL, SQL_TS, TS_FMT
+from relayplan.plans.q_jobs import FIRST_SQL, SQL_TS, TICKS_SQL, TS_FMT
 from relayplan.plans.registry import query
 from relayplan.sources import events as EV
 from relayplan.sources.tables import Tables
@@ -26,10 +26,9 @@ def q_stream_match_status(spark, d):
     return S.stream_match_status(spark, d)
 
 
-@query("stream_heartbeat_ticks", f"""
-select {SQL_TS.format(c="time_bucket(interval 3 minute, ts, timestamp '1970-01-01 00:00:00')")} as window_start,
-  count(distinct job_id) as jobs
-from job where status in ('INITIALIZED','WAITING_FOR_RESOURCES','RUNNING') group by 1
+@query("stream_heartbeat_ticks", TICKS_SQL + f"""
+select {SQL_TS.format(c='tick')} as window_start, count(*) as jobs
+from tick join wait on r <= tick and (t is null or t > tick) group by tick
 """)
 def q_stream_heartbeat_ticks(spark, d):
     h = S.stream_heartbeat_ticks(spark, d)

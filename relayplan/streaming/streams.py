@@ -8,9 +8,11 @@ never duplicates output (S-11). Checkpoints and outputs live under the
 shared folder (``spark.checkpoint.dir``), so a lost executor or driver
 restart resumes from the last committed batch.
 
-State is kept on the JVM: stream-stream joins and deduplication hold what they
-need in Spark's state store, and what a batch operator needs of earlier batches
-(released jobs, the last sign of life per job) is a table beside the output.
+State is bounded by event time and lives in Spark's state store: a job's state
+goes when it is released or expires (``waiting``), sessions go when they close,
+duplicates are known for a span. No sink reads what earlier batches wrote. A
+drained stream ends with a clock row, an event of no job that moves time on,
+as the schedule does in a running one; so nothing stays behind a watermark.
 
 Triggers: ``available_now=True`` drains what is there and stops (tests,
 backfills); otherwise ``processingTime`` (T-2: 10 seconds) keeps running.
@@ -18,36 +20,51 @@ backfills); otherwise ``processingTime`` (T-2: 10 seconds) keeps running.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relayplan import constants as K
 from relayplan.functions.predicates import non_terminal, summarise_push
-from relayplan.operators.jobs import heartbeat_timeouts
+from relayplan.operators import ticks as TK
 from relayplan.operators.plan import write_plan
 from relayplan.operators.validate import validate_requests
 from relayplan.session import path_exists, scratch_path
 from relayplan.sources import events as EV
 from relayplan.sources.request_events import request_event_bodies
 from relayplan.sources.tables import Tables, job_events_from_events, requests_from_orders
+from relayplan.streaming import waiting as WT
 
 
 # -- plumbing ------------------------------------------------------------------
 
-def staged_stream(df: DataFrame, order: str, slices: int = 3, files: int = 4) -> DataFrame:
+def staged_stream(df: DataFrame, order: str, slices: int = 3, clock: tuple[str, object] | None = None) -> DataFrame:
     """``df`` as a stream of micro-batches in the order of a numeric column:
-    its slices are written one after the other to the shared folder, ``files``
-    files each, and read as many files at a time."""
+    its slices are written to the shared folder by one job, a file each, and
+    read one at a time. With ``clock`` (column, instant) a last row that has
+    nothing but that instant follows. Stands in for a queue."""
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
     cuts = df.agg(F.percentile_approx(order, [i / slices for i in range(1, slices)]).alias("c")).first()["c"] or []
-    edges = [None, *cuts, None]
-    for low, high in zip(edges[:-1], edges[1:], strict=True):
-        part = df if low is None else df.filter(F.col(order) > low)
-        part = part if high is None else part.filter(F.col(order) <= high)
-        part.repartition(files).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+    number = sum(((F.col(order) > c).cast("int") for c in cuts), F.lit(0))
+    df.withColumn("_slice", number).repartition(slices, "_slice").write.partitionBy("_slice").parquet(path)
+    if clock is not None:
+        column, at = clock
+        spark.range(1).select(*[(at if f.name == column else F.lit(None)).cast(f.dataType).alias(f.name)
+                                for f in df.schema.fields]).write.parquet(f"{path}/_slice={len(cuts) + 1}")
+    stamp(spark, [p for p in (f"{path}/_slice={k}" for k in range(len(cuts) + 2)) if path_exists(spark, p)])
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/_slice=*")
+
+
+def stamp(spark: SparkSession, folders: list[str]) -> None:
+    """Modification times a second apart, folder by folder: the order in which
+    a file stream reads them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    now = int(jvm.java.lang.System.currentTimeMillis())
+    for k, folder in enumerate(folders):
+        fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(conf)
+        for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
+            fs.setTimes(f.getPath(), now - 1000 * (len(folders) - k), -1)
 
 
 def idempotent_sink(out_path: str):
@@ -95,15 +112,6 @@ def read_sink(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
 
 
-def earlier_batches(spark: SparkSession, out: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """What a sink wrote for batches before ``batch_id``, with ``batch``. A
-    replayed batch sees what it saw the first time."""
-    full = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
-    if not path_exists(spark, out):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(out).filter(F.col("batch") < batch_id)
-
-
 def _event_time(df: DataFrame) -> DataFrame:
     """Watermarks need ``timestamp``; the tables store ``timestamp_ntz``
     wall-clock UTC, so the cast keeps the instant under a UTC session."""
@@ -145,155 +153,156 @@ def stream_validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sink(spark, out, VALIDATION_OUT)
 
 
+# -- job states: sources --------------------------------------------------------------
+
+#: How far apart notifications of one moment may arrive.
+LATENESS = "10 minutes"
+#: How long an unregistered state waits for its registration.
+HOLD = "10 minutes"
+#: How long after its registration a job may end, where state must be bounded.
+TTL = "7 days"
+
+
+def closing(t: Tables, *spans: str):
+    """An instant behind all notifications by more than the given spans."""
+    newest = t.job_status_events.agg(F.max("ts")).first()[0]
+    if newest is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(newest) + sum((F.expr(f"interval {s}") for s in spans), F.expr("interval 1 hour"))
+
+
+def status_stream(t: Tables, clock) -> DataFrame:
+    """Notifications as a stream, with a clock row at the end."""
+    raw = t.raw("events", ["event_id", "ts", "event_type"])
+    events = job_events_from_events(staged_stream(raw, "event_id", clock=("ts", clock)))
+    return _event_time(events.fillna(WT.CLOCK, ["job_id"]))
+
+
+def registration_stream(t: Tables, clock) -> DataFrame:
+    """JOB_ID registrations as a stream: ``job_id, task_token, ts``."""
+    regs = t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE).select(
+        F.col("id").alias("job_id"), "task_token", F.col("registered_at").alias("ts"),
+        F.unix_micros(F.col("registered_at").cast("timestamp")).alias("us"))
+    return _event_time(staged_stream(regs, "us", clock=("ts", clock)).fillna(WT.CLOCK, ["job_id"])).drop("us")
+
+
+def without_clock(rows: DataFrame) -> DataFrame:
+    """What a sink wrote, but for clock rows. Not part of the streams: there the
+    filter would move below the watermark and stop the clock."""
+    return rows.filter(F.col("job_id") != WT.CLOCK)
+
+
 # -- T-6 / T-10 / S-11: notifications -> outcomes -------------------------------------
 
-def first_deliveries(events: DataFrame, within: str | None = None) -> DataFrame:
-    """T-10: the first delivery of each (job, state). The keys are kept for
-    good, so the result does not depend on how the input is cut into batches;
-    ``within`` keeps them for that span of event time only."""
-    if within is None:
-        return events.dropDuplicates(["job_id", "status"])
+MATCH_OUT = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("status", T.StringType()),
+                          T.StructField("outcome", T.StringType())])
+
+
+def first_deliveries(events: DataFrame, within: str = TTL) -> DataFrame:
+    """T-10: the first delivery of each (job, state), told from repeats for
+    ``within`` of event time; then its key is forgotten. A job's states lie
+    within its time to live, so repeats do, however batches are cut."""
     return events.withWatermark("ts", within).dropDuplicatesWithinWatermark(["job_id", "status"])
 
 
+def match_stream(statuses: DataFrame, registrations: DataFrame, ttl: str = TTL, hold: str = HOLD,
+                 lateness: str = LATENESS) -> DataFrame:
+    """T-6: each (job, state) against the stream of registrations, whichever
+    comes first. A state finds a registration that is at most ``ttl`` older or
+    ``hold`` younger; when time has passed that, it leaves as NOT_IN_DB. Both
+    sides keep what may still meet, no longer. ``lateness`` bounds how late
+    either stream's rows arrive (first deliveries have their own span)."""
+    s = statuses.select("job_id", "status", "ts")
+    r = (registrations.withWatermark("ts", lateness)
+         .select(F.col("job_id").alias("reg_job"), F.col("ts").alias("reg_ts")))
+    on = ((F.col("job_id") == F.col("reg_job"))
+          & (F.col("reg_ts") >= F.col("ts") - F.expr(f"interval {ttl}"))
+          & (F.col("reg_ts") <= F.col("ts") + F.expr(f"interval {hold}")))
+    out = F.when(F.col("reg_job").isNull(), F.lit("NOT_IN_DB")).otherwise(summarise_push(F.col("status")))
+    return s.join(r, on, "leftOuter").select("job_id", "status", out.alias("outcome"))
+
+
 def stream_match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-10 + T-6: duplicate deliveries of the same (job, state) dropped,
-    then each notification matched against the registry snapshot
-    (stream-static left join)."""
+    """T-10 + T-6: duplicate deliveries of the same (job, state) dropped, then
+    each matched against the running stream of registrations."""
     t = Tables(spark, sf_dir)
-    ev = _event_time(job_events_from_events(
-        staged_stream(t.raw("events", ["event_id", "ts", "event_type"]), "event_id")))
-    ded = first_deliveries(ev)
-    reg = (t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE)
-             .select(F.col("id").alias("job_id"), F.lit(True).alias("_reg")))
-    m = ded.join(reg, "job_id", "left")
-    out = F.when(F.col("_reg").isNull(), F.lit("NOT_IN_DB")).otherwise(summarise_push(F.col("status")))
-    res = m.select("job_id", "status", out.alias("outcome"))
-    path = run_to_completion(res, "match-status")
-    schema = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("status", T.StringType()),
-                           T.StructField("outcome", T.StringType())])
-    return read_sink(spark, path, schema)
+    clock = closing(t, TTL, TTL, HOLD)
+    res = match_stream(first_deliveries(status_stream(t, clock)), registration_stream(t, clock))
+    return without_clock(read_sink(spark, run_to_completion(res, "match-status"), MATCH_OUT))
 
 
-# -- T-4: heartbeat ticks -------------------------------------------------------------
-
-def stream_heartbeat_ticks(spark: SparkSession, sf_dir: str, every: str = K.HEARTBEAT_EVERY,
-                           lateness: str = "10 minutes") -> DataFrame:
-    """T-4: tumbling windows of waiting jobs. Update mode emits every
-    (window, job) as soon as it is seen, so a drained stream loses no open
-    window; the reader keeps the latest row per key."""
-    raw = staged_stream(Tables(spark, sf_dir).raw("events", ["event_id", "ts", "event_type"]), "event_id")
-    ev = _event_time(job_events_from_events(raw))
-    w = (ev.filter(non_terminal("status"))
-           .withWatermark("ts", lateness)
-           .groupBy(F.window("ts", every).alias("w"), "job_id")
-           .agg(F.count(F.lit(1)).alias("n")))
-    res = w.select(F.col("w.start").alias("window_start"), "job_id", "n")
-    path = run_to_completion(res, "heartbeat-ticks", output_mode="update")
-    schema = T.StructType([T.StructField("window_start", T.TimestampType()), T.StructField("job_id", T.StringType()),
-                           T.StructField("n", T.LongType())])
-    keys = read_sink(spark, path, schema).select("window_start", "job_id").distinct()
-    return keys.groupBy("window_start").agg(F.count(F.lit(1)).alias("jobs"))
-
-
-# -- T-3: release waiting jobs -----------------------------------------------------------
+# -- T-3 / T-7: release waiting jobs ------------------------------------------------------
 
 RELEASE_OUT = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("status", T.StringType()),
                             T.StructField("ts_us", T.LongType()), T.StructField("event_id", T.LongType())])
 
 
-def release_candidates(registrations: DataFrame, statuses: DataFrame, hold: str | None = None) -> DataFrame:
-    """Registrations (job_id, ts) joined with terminal states (job_id, status,
-    ts, event_id), both streams, whichever comes first.
+def waiting_stream(spark: SparkSession, sf_dir: str, ttl: str | None = None) -> str:
+    """T-3 end to end: registrations and notifications as two streams through
+    the state of waiting jobs (``waiting``). Returns the folder of its rows."""
+    t = Tables(spark, sf_dir)
+    clock = closing(t, HOLD, LATENESS, *([ttl] if ttl else []))
+    moves = WT.waiting_jobs(registration_stream(t, clock), status_stream(t, clock), HOLD, ttl, LATENESS)
+    return run_to_completion(moves, "waiting")
 
-    A registration waits until its job ends, however long that takes. Without
-    ``hold`` an unregistered terminal state waits as well; with it, only for
-    that span of event time after its own.
-    """
-    r = registrations.select("job_id", F.col("ts").alias("reg_ts"))
-    s = statuses.filter(~non_terminal("status")).select("job_id", "status", "ts", F.col("event_id").cast("long"))
-    on = F.col("r.job_id") == F.col("s.job_id")
-    if hold is not None:
-        r, s = r.withWatermark("reg_ts", hold), s.withWatermark("ts", hold)
-        on = on & (F.col("reg_ts") <= F.col("ts") + F.expr(f"interval {hold}"))
-    j = r.alias("r").join(s.alias("s"), on)
-    return j.select(F.col("s.job_id").alias("job_id"), "status", F.unix_micros("ts").alias("ts_us"), "event_id")
-
-
-def release_sink(out_path: str):
-    """foreachBatch: the first terminal state of each job that no earlier
-    batch released; later states find nothing."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        done = earlier_batches(batch.sparkSession, out_path, RELEASE_OUT, batch_id).select("job_id")
-        first = (batch.groupBy("job_id")
-                      .agg(F.min_by(F.struct("status", "ts_us", "event_id"), F.struct("ts_us", "event_id")).alias("f"))
-                      .select("job_id", "f.*").join(done, "job_id", "left_anti"))
-        first.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-    return write
 
+def stream_release_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first terminal state of each registered job."""
+    moves = read_sink(spark, waiting_stream(spark, sf_dir), WT.MOVES)
+    return moves.filter(F.col("move") == WT.RELEASED).select(*RELEASE_OUT.fieldNames())
 
-def drain(df: DataFrame, writer, checkpoint: str) -> None:
-    """Run a ``foreachBatch`` writer over what is there, then stop."""
-    q = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(writer).trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
 
+# -- T-4: heartbeat ticks -------------------------------------------------------------
 
-def stream_release_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T-3 end to end: JOB_ID registrations and notifications as two streams."""
+def stream_heartbeat_ticks(spark: SparkSession, sf_dir: str, every: str = K.HEARTBEAT_EVERY) -> DataFrame:
+    """T-4: jobs that wait at each tick, from what the stream of waiting jobs
+    wrote: +1 where a wait begins, -1 where it ends."""
     t = Tables(spark, sf_dir)
-    regs = t.job_registry.filter(F.col("id_type") == K.REGISTRY_JOB_ID_TYPE).select(
-        F.col("id").alias("job_id"), F.col("registered_at").alias("ts"),
-        F.unix_micros(F.col("registered_at").cast("timestamp")).alias("us"))
-    st = _event_time(job_events_from_events(
-        staged_stream(t.raw("events", ["event_id", "ts", "event_type"]), "event_id")))
-    out = scratch_path(spark, "release-out")
-    drain(release_candidates(_event_time(staged_stream(regs, "us")), st), release_sink(out),
-          scratch_path(spark, "release-ckpt"))
-    return read_sink(spark, out, RELEASE_OUT)
+    until = F.lit(t.job_status_events.agg(F.max("ts")).first()[0])
+    deltas = TK.tick_deltas(TK.with_ticks(WT.intervals(read_sink(spark, waiting_stream(spark, sf_dir), WT.MOVES)),
+                                          until, every))
+    return TK.running_counts(deltas).select(TK.tick_time("tick", every).alias("window_start"), "jobs")
 
 
 # -- T-5: heartbeat timeouts -----------------------------------------------------------
 
-TIMEOUT_OUT = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("event_id", T.LongType()),
-                            T.StructField("ts_us", T.LongType()), T.StructField("gap_us", T.LongType())])
-LAST_SEEN = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("event_id", T.LongType()),
-                          T.StructField("ts", T.TimestampType())])
+SESSIONS = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("first_us", T.LongType()),
+                         T.StructField("last_us", T.LongType())])
 
 
-def timeout_sink(out_path: str, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS):
-    """foreachBatch: the batch operator over the batch and the last sign of
-    life of each job (one row per job, written with each batch).
-    Notifications that are not newer than that row came too late to be put in
-    order; they are no gap."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = earlier_batches(spark, f"{out_path}/last", LAST_SEEN, batch_id)
-        newest = seen.agg(F.max("batch").alias("batch"))
-        last = seen.join(newest, "batch").select("job_id", "event_id", "ts")
-        b = batch.select("job_id", F.col("event_id").cast("long").alias("event_id"), "ts").persist()
-        try:
-            old = last.select("job_id", F.struct("ts", "event_id").alias("_last"))
-            fresh = (b.join(old, "job_id", "left")
-                      .filter(F.col("_last").isNull() | (F.struct("ts", "event_id") > F.col("_last"))).drop("_last"))
-            both = (fresh.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False))))
-            gaps = heartbeat_timeouts(both, limit_seconds).filter("_new").select(
-                "job_id", "event_id", F.unix_micros("ts").alias("ts_us"), "gap_us")
-            gaps.write.mode("overwrite").parquet(f"{out_path}/gaps/batch={batch_id}")
-            (both.groupBy("job_id").agg(F.max_by(F.struct("event_id", "ts"), F.struct("ts", "event_id")).alias("f"))
-                 .select("job_id", "f.event_id", "f.ts")
-                 .write.mode("overwrite").parquet(f"{out_path}/last/batch={batch_id}"))
-        finally:
-            b.unpersist()
-    return write
+def alive_sessions(events: DataFrame, limit_seconds: int = K.HEARTBEAT_TIMEOUT_SECONDS,
+                   lateness: str = LATENESS) -> DataFrame:
+    """T-5: stretches of a job's life without a wait longer than the limit, as
+    session windows. A session leaves when time has passed its end; until
+    then it is one row of state."""
+    # a session goes on if the next sign of life comes within the limit, the limit included
+    gap = f"{limit_seconds} seconds 1 microsecond"
+    return (events.withWatermark("ts", lateness).groupBy(F.session_window("ts", gap).alias("w"), "job_id")
+            .agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+            .select("job_id", F.unix_micros("a").alias("first_us"), F.unix_micros("b").alias("last_us")))
+
+
+def session_gaps(sessions: DataFrame) -> DataFrame:
+    """Waits between a job's sessions: ``job_id, ts_us`` (the next sign of
+    life) and ``gap_us``. A job has no more sessions than limits fit into its
+    time, however many notifications it has."""
+    w = Window.partitionBy("job_id").orderBy("first_us")
+    return (sessions.withColumn("gap_us", F.col("first_us") - F.lag("last_us").over(w))
+            .filter(F.col("gap_us").isNotNull()).select("job_id", F.col("first_us").alias("ts_us"), "gap_us"))
 
 
 def stream_heartbeat_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = staged_stream(Tables(spark, sf_dir).raw("events", ["event_id", "ts", "event_type"]), "event_id")
-    out = scratch_path(spark, "timeouts-out")
-    drain(_event_time(job_events_from_events(raw)), timeout_sink(out), scratch_path(spark, "timeouts-ckpt"))
-    return read_sink(spark, f"{out}/gaps", TIMEOUT_OUT)
+    t = Tables(spark, sf_dir)
+    sessions = alive_sessions(status_stream(t, closing(t, LATENESS)))
+    return session_gaps(without_clock(read_sink(spark, run_to_completion(sessions, "sessions"), SESSIONS)))
+
+
+def drain(df: DataFrame, writer, checkpoint: str) -> None:
+    """Run a ``foreachBatch`` writer over what is there, then stop."""
+    q = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(writer).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 # -- T-1: plan each request as it arrives ----------------------------------------------

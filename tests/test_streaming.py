@@ -1,11 +1,16 @@
 """Streams equal their batch twins; the stateful release emits each
 registered job once."""
 
+import random
+from datetime import datetime, timedelta
+
+import pytest
 from pyspark.sql import functions as F
 
 from relayplan.operators import jobs as J
 from relayplan.sources.tables import Tables
 from relayplan.streaming import streams as S
+from relayplan.streaming import waiting as WT
 
 
 def test_release_once_and_only_registered(spark, sf_small):
@@ -34,12 +39,30 @@ REG = "job_id string, ts string"
 STATUS = "job_id string, status string, ts string, event_id long"
 
 
+END = "2030-01-01 00:00:00"
+
+
+def cut(rows, n):
+    """Rows in ``n`` micro-batches of consecutive rows."""
+    size = -(-len(rows) // n)
+    return [rows[i:i + size] for i in range(0, len(rows), size)]
+
+
+def moves(spark, path, regs, statuses, hold="10 days", ttl=None, lateness="0 seconds", clock=True):
+    """Rows of the stream of waiting jobs; each stream's frames come one by one."""
+    path.mkdir(parents=True, exist_ok=True)
+    regs, statuses = ([*x, *([[row]] if clock else [])] for x, row in (
+        (regs, (WT.CLOCK, END)), (statuses, (WT.CLOCK, None, END, None))))
+    r = batches(spark, str(path / "r"), [ts(spark, x, REG) for x in regs]).withColumn("task_token", F.concat(F.lit("t-"), "job_id"))
+    s = batches(spark, str(path / "s"), [ts(spark, x, STATUS) for x in statuses])
+    out = S.run_to_completion(WT.waiting_jobs(r, s, hold, ttl, lateness), "moves", sink_path=str(path / "out"),
+                              checkpoint=str(path / "ckpt"))
+    return S.read_sink(spark, out, WT.MOVES).collect()
+
+
 def released(spark, tmp_path, regs, statuses, **more):
-    r = batches(spark, str(tmp_path / "r"), [ts(spark, x, REG) for x in regs])
-    s = batches(spark, str(tmp_path / "s"), [ts(spark, x, STATUS) for x in statuses])
-    out = str(tmp_path / "out")
-    S.drain(S.release_candidates(r, s, **more), S.release_sink(out), str(tmp_path / "ckpt"))
-    return sorted((x.job_id, x.status, x.event_id) for x in S.read_sink(spark, out, S.RELEASE_OUT).collect())
+    return sorted((x.job_id, x.status, x.event_id) for x in moves(spark, tmp_path / "run", regs, statuses, **more)
+                  if x.move == WT.RELEASED)
 
 
 def test_registration_waits_for_days(spark, tmp_path):
@@ -50,14 +73,101 @@ def test_registration_waits_for_days(spark, tmp_path):
     assert got == [("j", "SUCCEEDED", 4), ("k", "FAILED", 2)]
 
 
-def test_late_pair_and_later_states(spark, tmp_path):
-    """A terminal state may come long before its registration; states after
-    the release, in the same or later batches, find nothing."""
-    got = released(spark, tmp_path, [[("a", "2024-01-01 00:00:00")], [("b", "2024-01-01 00:00:00")], [("j", "2024-01-09 00:00:00")]],
-                   [[("j", "FAILED", "2024-01-01 00:00:00", 1), ("j", "SUCCEEDED", "2024-01-01 00:00:01", 2)],
-                    [("z", "SUCCEEDED", "2024-01-08 00:00:00", 3)], [("j", "SUCCEEDED", "2024-01-01 00:00:05", 4)],
-                    [("j", "SUCCEEDED", "2024-01-20 00:00:00", 5)], [("b", "STOPPED", "2024-01-21 00:00:00", 6)]])
-    assert got == [("b", "STOPPED", 6), ("j", "FAILED", 1)]
+def test_early_state_waits_a_bounded_time(spark, tmp_path):
+    """A terminal state may come before its registration, by ``hold`` at most;
+    states after the release find nothing."""
+    regs = [[("a", "2024-01-01 00:00:00")], [("b", "2024-01-01 00:00:00")], [("j", "2024-01-09 00:00:00")]]
+    states = [[("j", "FAILED", "2024-01-01 00:00:00", 1), ("j", "SUCCEEDED", "2024-01-01 00:00:01", 2)],
+              [("z", "SUCCEEDED", "2024-01-08 00:00:00", 3)], [("j", "SUCCEEDED", "2024-01-01 00:00:05", 4)],
+              [("j", "SUCCEEDED", "2024-01-20 00:00:00", 5)], [("b", "STOPPED", "2024-01-21 00:00:00", 6)]]
+    long = released(spark, tmp_path / "long", regs, states, lateness="30 days")
+    assert long == [("b", "STOPPED", 6), ("j", "FAILED", 1)]
+    short = released(spark, tmp_path / "short", regs, states, hold="1 hour", lateness="30 days")
+    assert short == [("b", "STOPPED", 6), ("j", "SUCCEEDED", 5)]
+
+
+def test_state_holds_the_waiting_jobs_only(spark, tmp_path):
+    """After the run the state has one row per job that still waits."""
+    regs = [(f"j{i}", f"2024-01-01 {i:02d}:00:00") for i in range(20)]
+    states = [(f"j{i}", "FAILED", f"2024-01-02 {i % 24:02d}:00:00", i) for i in range(0, 30, 2)]
+    got = moves(spark, tmp_path, cut(regs, 3), cut(states, 4), hold="1 hour")
+    done = {m.job_id for m in got if m.move == WT.RELEASED}
+    assert done == {f"j{i}" for i in range(0, 20, 2)}
+    rows = spark.read.format("statestore").load(str(tmp_path / "ckpt")).selectExpr("key.*").collect()
+    assert sorted(r.job_id for r in rows) == sorted({r[0] for r in regs} - done)
+    left = WT.intervals(spark.createDataFrame(got, WT.MOVES)).filter("end_us is null").collect()
+    assert sorted(r.job_id for r in left) == sorted(r.job_id for r in rows)
+
+
+def plain(regs, statuses, hold, ttl):
+    """The moves by replaying registrations and states in the order of time."""
+    out = []
+    for j in {r[0] for r in regs}:
+        mine = sorted((datetime.fromisoformat(t), n) for n, (k, t) in enumerate(regs) if k == j)
+        ends = sorted((datetime.fromisoformat(t), e, s) for k, s, t, e in statuses
+                      if k == j and s not in ("INITIALIZED", "WAITING_FOR_RESOURCES", "RUNNING"))
+        while mine:
+            start = mine[0][0]
+            end = next((e for e in ends if e[0] >= start - hold), None)
+            out.append((WT.OPENED, j, start, None))
+            if end and end[0] < start + ttl:
+                out.append((WT.RELEASED, j, start, end[1]))
+                until, ends = max(end[0], start), [e for e in ends if e > end]
+            else:
+                out.append((WT.EXPIRED, j, start, None))
+                until = start + ttl - timedelta(microseconds=1)
+            mine = [m for m in mine if m[0] > until]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_moves_do_not_depend_on_arrival(spark, tmp_path, seed):
+    """Either stream first or both together, in 1, 3 and 7 micro-batches: the
+    rows of a replay in time order; expired waits are released by no state."""
+    rnd = random.Random(seed)
+    at = lambda: str(datetime(2024, 1, 1) + timedelta(minutes=rnd.randrange(20_000)))
+    regs = sorted(((f"j{rnd.randrange(25)}", at()) for _ in range(40)), key=lambda r: r[1])
+    states = sorted(((f"j{rnd.randrange(30)}", rnd.choice(["RUNNING", "FAILED", "SUCCEEDED"]), at(), i)
+                     for i in range(80)), key=lambda r: r[2])
+    want = plain(regs, states, timedelta(hours=5), timedelta(days=2))
+    assert {w[0] for w in want} == {WT.OPENED, WT.RELEASED, WT.EXPIRED}
+    for name, a, b in (("both1", 1, 1), ("both3", 3, 3), ("regs", 1, 7), ("states", 7, 1)):
+        got = moves(spark, tmp_path / name, cut(regs, a), cut(states, b), hold="5 hours", ttl="2 days")
+        epoch = datetime(1970, 1, 1)
+        rows = [(m.move, m.job_id, epoch + timedelta(microseconds=m.reg_us), m.event_id) for m in got]
+        assert sorted(rows, key=str) == want, name
+
+
+def matched(spark, path, regs, statuses, **more):
+    path.mkdir(parents=True)
+    r = batches(spark, str(path / "r"), [ts(spark, x, REG) for x in [*regs, [(WT.CLOCK, END)]]])
+    s = batches(spark, str(path / "s"), [ts(spark, x, STATUS) for x in [*statuses, [(WT.CLOCK, None, END, None)]]])
+    out = S.run_to_completion(S.match_stream(S.first_deliveries(s, "1 day"), r, **more), "match",
+                              sink_path=str(path / "out"), checkpoint=str(path / "ckpt"))
+    return sorted(map(tuple, S.without_clock(S.read_sink(spark, out, S.MATCH_OUT)).collect()))
+
+
+def test_unknown_notifications_leave_the_stream(spark, tmp_path):
+    """T-6: the same outcomes whichever stream comes first, in 1, 3 and 7
+    micro-batches; unknown ones leave as NOT_IN_DB when time has passed."""
+    rnd = random.Random(4)
+    at = lambda n: str(datetime(2024, 1, 1) + timedelta(minutes=n))
+    regs = sorted(((f"j{i}", at(rnd.randrange(1000))) for i in range(0, 20, 2)), key=lambda r: r[1])
+    states = sorted(((f"j{rnd.randrange(24)}", rnd.choice(["RUNNING", "FAILED", "SUCCEEDED", "ODD"]),
+                      at(rnd.randrange(1200)), n) for n in range(90)), key=lambda r: r[2])
+    known, want, seen = dict(regs), [], set()
+    for j, s, t, _ in states:
+        if (j, s) in seen:
+            continue
+        seen.add((j, s))
+        r = known.get(j)
+        t, r = datetime.fromisoformat(t), r and datetime.fromisoformat(r)
+        ok = r is not None and t - timedelta(hours=8) <= r <= t + timedelta(hours=1)
+        want.append((j, s, {"SUCCEEDED": "SUCCESS", "RUNNING": "NON_TERMINAL"}.get(s, "FAILURE") if ok else "NOT_IN_DB"))
+    assert {w[2] for w in want} == {"SUCCESS", "FAILURE", "NON_TERMINAL", "NOT_IN_DB"}
+    for name, a, b in (("one", 1, 1), ("three", 3, 3), ("regs", 1, 7), ("states", 7, 1)):
+        got = matched(spark, tmp_path / name, cut(regs, a), cut(states, b), ttl="8 hours", hold="1 hour", lateness="0 seconds")
+        assert got == sorted(want), name
 
 
 def test_duplicates_do_not_depend_on_batch_cuts(spark, tmp_path):
@@ -69,34 +179,34 @@ def test_duplicates_do_not_depend_on_batch_cuts(spark, tmp_path):
 
 
 def test_timeouts_over_batches(spark, tmp_path):
-    """The gap to a sign of life of an earlier batch counts; a notification
-    that is older than the last one seen does not."""
-    frames = [[("j", "RUNNING", "2024-01-01 00:00:00", 1), ("k", "RUNNING", "2024-01-01 00:00:00", 2)],
-              [("k", "RUNNING", "2024-01-01 00:04:00", 3)],
-              [("j", "RUNNING", "2024-01-01 00:06:00", 4), ("j", "RUNNING", "2024-01-01 00:20:00", 5)],
-              [("j", "RUNNING", "2024-01-01 00:10:00", 6), ("k", "FAILED", "2024-01-01 00:09:01", 7)]]
-    ev = batches(spark, str(tmp_path / "ev"), [ts(spark, x, STATUS) for x in frames])
-    out = str(tmp_path / "out")
-    S.drain(ev, S.timeout_sink(out), str(tmp_path / "ckpt"))
-    got = S.read_sink(spark, f"{out}/gaps", S.TIMEOUT_OUT).collect()
-    assert sorted((r.job_id, r.event_id, r.gap_us // 1_000_000) for r in got) == [("j", 4, 360), ("j", 5, 840), ("k", 7, 301)]
+    """Waits longer than the limit between signs of life, across micro-batches
+    and out of order within the lateness; a wait of just the limit is none."""
+    rows = [("j", "RUNNING", "2024-01-01 00:00:00", 1), ("k", "RUNNING", "2024-01-01 00:00:00", 2),
+            ("k", "RUNNING", "2024-01-01 00:04:00", 3), ("j", "RUNNING", "2024-01-01 00:06:00", 4),
+            ("j", "RUNNING", "2024-01-01 00:20:00", 5), ("j", "RUNNING", "2024-01-01 00:18:00", 6),
+            ("k", "FAILED", "2024-01-01 00:09:01", 7), ("m", "RUNNING", "2024-01-01 00:00:00", 8),
+            ("m", "RUNNING", "2024-01-01 00:05:00", 9)]
+    want = [("j", "2024-01-01 00:06:00", 360), ("j", "2024-01-01 00:18:00", 720), ("k", "2024-01-01 00:09:01", 301)]
+    for n in (1, 3, 7):
+        ev = batches(spark, str(tmp_path / f"ev{n}"), [ts(spark, x, STATUS) for x in [*cut(rows, n), [(WT.CLOCK, None, END, 0)]]])
+        out = S.run_to_completion(S.alive_sessions(ev, lateness="30 minutes"), "sessions", sink_path=str(tmp_path / f"out{n}"),
+                                  checkpoint=str(tmp_path / f"ckpt{n}"))
+        gaps = S.session_gaps(S.without_clock(S.read_sink(spark, out, S.SESSIONS))).select(
+            "job_id", F.timestamp_micros("ts_us").cast("string").alias("ts"), "gap_us").collect()
+        assert sorted((r.job_id, r.ts, r.gap_us // 1_000_000) for r in gaps) == want
+        # what is left in the state is the clock's own session
+        assert spark.read.format("statestore").load(str(tmp_path / f"ckpt{n}")).count() <= 1
 
 
 def test_release_resumes_from_its_checkpoint(spark, tmp_path):
-    regs = [ts(spark, [("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:00")], REG)]
-    parts = [ts(spark, x, STATUS) for x in ([("a", "FAILED", "2024-01-01 00:01:00", 1)],
-                                            [("a", "SUCCEEDED", "2024-01-01 00:02:00", 2), ("b", "FAILED", "2024-01-01 00:03:00", 3)])]
-    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    for k, part in enumerate(parts):
-        s = batches(spark, str(tmp_path / "s"), [part])
-        r = batches(spark, str(tmp_path / "r"), regs) if k == 0 else spark.readStream.schema(regs[0].schema).parquet(str(tmp_path / "r"))
-        S.drain(S.release_candidates(r, s), S.release_sink(out), ckpt)
-    got = sorted((x.job_id, x.event_id) for x in S.read_sink(spark, out, S.RELEASE_OUT).collect())
-    assert got == [("a", 1), ("b", 3)]
+    regs = [("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:00")]
+    moves(spark, tmp_path, [regs], [[("a", "FAILED", "2024-01-01 00:01:00", 1)]], clock=False)
+    states = [("a", "SUCCEEDED", "2024-01-01 00:02:00", 2), ("b", "FAILED", "2024-01-01 00:03:00", 3)]
+    got = moves(spark, tmp_path, [], [states])
+    assert sorted((m.job_id, m.event_id) for m in got if m.move == WT.RELEASED) == [("a", 1), ("b", 3)]
 
 
 def test_unreadable_sink_is_an_error(spark, tmp_path):
-    import pytest
     assert S.read_sink(spark, str(tmp_path / "none"), S.RELEASE_OUT).count() == 0
     bad = tmp_path / "bad"
     bad.mkdir()
@@ -107,34 +217,19 @@ def test_unreadable_sink_is_an_error(spark, tmp_path):
 
 def test_processing_time_trigger_with_bounded_batches(spark, sf_small, tmp_path):
     """T-2: a continuously running stream (processing-time trigger, one file
-    per micro-batch) reaches the same heartbeat ticks as the batch operator."""
-    from relayplan.functions.predicates import non_terminal
-    from relayplan.sources.tables import job_events_from_events
-
+    per micro-batch) reaches the same sessions as the drained one."""
     t = Tables(spark, sf_small)
-    events = t.raw("events", ["event_id", "ts", "event_type"])
-    ev_dir = str(tmp_path / "events")
-    n = events.count()
-    cuts = [0, n // 3, 2 * n // 3, n + 1]
-    for i in range(3):   # arrival in time order, one file per micro-batch
-        (events.filter((F.col("event_id") >= cuts[i]) & (F.col("event_id") < cuts[i + 1]))
-               .coalesce(1).write.parquet(f"{ev_dir}/part{i}"))
-    raw = (spark.readStream.schema(spark.read.parquet(f"{ev_dir}/part0").schema)
-                .option("maxFilesPerTrigger", 1).parquet(f"{ev_dir}/part*"))
-    ev = S._event_time(job_events_from_events(raw))
-    w = (ev.filter(non_terminal("status")).withWatermark("ts", "10 minutes")
-           .groupBy(F.window("ts", "3 minutes").alias("w"), "job_id").agg(F.count(F.lit(1)).alias("n"))
-           .select(F.col("w.start").alias("window_start"), "job_id", "n"))
-    q = S.start_stream(w, "ticks-test", str(tmp_path / "out"), str(tmp_path / "ckpt"), "update", every="1 second")
+    ev = S.alive_sessions(S.status_stream(t, S.closing(t, S.LATENESS)))
+    q = S.start_stream(ev, "sessions-test", str(tmp_path / "out"), str(tmp_path / "ckpt"), every="1 second")
     try:
         q.processAllAvailable()
         assert q.lastProgress is not None
     finally:
         q.stop()
-    got = (spark.read.parquet(str(tmp_path / "out")).select("window_start", "job_id").distinct()
-                .groupBy("window_start").count())
-    ref = J.heartbeat_ticks(t.job_status_events).select(F.col("window_start").cast("timestamp"), "jobs")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+    got = S.session_gaps(S.without_clock(S.read_sink(spark, str(tmp_path / "out"), S.SESSIONS))).select("job_id", "ts_us", "gap_us")
+    ref = J.heartbeat_timeouts(t.job_status_events).select(
+        "job_id", F.unix_micros(F.col("ts").cast("timestamp")), "gap_us")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect())) != []
 
 
 def test_stream_plan_over_several_batches(spark, sf_small):
