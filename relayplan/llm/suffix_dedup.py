@@ -42,8 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from relayplan.llm.blocks import (NULL_ID, Anchors, ByteGrams, block_stage, combine, first_of, group_of,
-                                  open_block, pack, pack_documents, runs, tidy,
-                                  unpack)
+                                  mix, open_block, pack, pack_documents, runs, tidy, unpack)
 from relayplan.llm.common import kept, scan_partitions
 
 LENGTH = 50
@@ -170,8 +169,10 @@ class Judged:
         self.ids, self.offsets, self.text = open_block(data)
         self.anchors = a = Anchors(ByteGrams(self.text, LENGTH, GRAM), self.offsets)
         self.doc = self.ids[a.doc]
-        self.by = np.lexsort((self.doc, a.whole, a.key))
-        key, whole = a.key[self.by], a.whole[self.by]
+        # an anchor is the least of its neighbours: mixed, keys spread evenly over key ranges again
+        self.key = mix(a.key)
+        self.by = np.lexsort((self.doc, a.whole, self.key))
+        key, whole = self.key[self.by], a.whole[self.by]
         first = np.ones(min(len(key), 1), bool)
         new_key = np.concatenate((first, key[1:] != key[:-1]))
         self.starts = np.flatnonzero(new_key)
@@ -184,7 +185,7 @@ class Judged:
         a, at = self.anchors, self.by[self.starts]
         n = np.diff(np.append(np.searchsorted(self.distinct, self.starts), len(self.distinct)))
         smallest = np.minimum.reduceat(self.doc[self.by], self.starts) if len(at) else self.doc[:0]
-        return (a.key[at] >> np.uint64(16), a.whole[at] >> np.uint64(16), smallest, n.astype(np.uint32))
+        return (self.key[at] >> np.uint64(16), a.whole[at] >> np.uint64(16), smallest, n.astype(np.uint32))
 
     def open_runs(self, status: np.ndarray, buckets: int):
         """The distinct surroundings of open anchors, sorted by receiver and by
@@ -202,7 +203,7 @@ class Judged:
         least, most = (at[:, 0] - a.hi[own]).clip(0), at[:, 0] - a.lo[own]
         wide = np.zeros((len(own), -(-LENGTH // 8) * 8), np.uint8)
         wide[:, :LENGTH] = suffix
-        to = bucket_of(a.key[own] >> np.uint64(16), buckets, 48)
+        to = bucket_of(self.key[own] >> np.uint64(16), buckets, 48)
         by = np.lexsort((rows, *wide.view(">u8").astype(np.uint64).T[::-1], to))
         return (rows[by], to[by], suffix[by], left[by], least[by].astype(np.uint8), most[by].astype(np.uint8),
                 self.doc[own[by]])
@@ -228,8 +229,11 @@ def ask(blocks, buckets: int):
     for block, data in blocks:
         cols = Judged(data).entries()
         rows = [(i, block, pack(*[c[s] for c in cols])) for i, s in sections(cols[0], buckets, 48)]
+        del cols
         if rows:
             yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
+        del rows
+        tidy()
 
 
 def gather(pdf: pd.DataFrame):
@@ -256,6 +260,8 @@ def settle(pdf: pd.DataFrame) -> pd.DataFrame:
                      np.where(total[group] > HOT, np.uint8(SPREAD), np.uint8(OPEN)))
     status = np.empty(len(by), np.uint8)
     status[by] = state
+    del by, starts, group, w, total, entries, same, state, key, whole, doc, n
+    tidy()
     return answer(pdf, ANCHOR, np.split(status, cuts))
 
 
@@ -299,6 +305,8 @@ def merge_strings(pdf: pd.DataFrame) -> pd.DataFrame:
     starts = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
     later = np.empty(len(by), np.uint8)
     later[by] = doc[by] > doc[by][starts][group_of(starts, len(by))]
+    del by, a, b, starts, one, other, doc
+    tidy()
     return answer(pdf, STRING, np.split(later, cuts))
 
 

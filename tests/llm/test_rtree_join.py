@@ -21,7 +21,8 @@ def shingles(t):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
 
 
-def brute(docs):
+def classes(docs):
+    """Shingles of each row, and the row that stands for its component."""
     s = [shingles(t) for _, t in docs]
     up = list(range(len(docs)))
 
@@ -34,12 +35,17 @@ def brute(docs):
         for j in range(i):
             if s[i] and s[j] and 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j]):
                 up[root(i)] = root(j)
+    return s, [root(i) for i in range(len(docs))]
+
+
+def brute(docs):
+    s, of = classes(docs)
     big = blocks.NULL_ID
     key = [big if i is None else i for i, _ in docs]
     least = {}
-    for i in range(len(docs)):
-        least[root(i)] = min(least.get(root(i), big), key[i])
-    return sorted((key[i], len(s[i]), least[root(i)]) for i in range(len(docs)))
+    for i, c in enumerate(of):
+        least[c] = min(least.get(c, big), key[i])
+    return sorted((key[i], len(s[i]), least[c]) for i, c in enumerate(of))
 
 
 def got(spark, docs):
@@ -99,15 +105,18 @@ def test_pairs_of_blocks_do_not_share_a_group(spark, monkeypatch):
 
 
 def test_drop_duplicates(spark):
+    """Of each component one row stays, one of the smallest id."""
     docs = near(6, 60, repeat=True) + [(9000, "same id same text again and again"), (9000, "same id same text again and again")]
-    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in docs], SCHEMA)
+    df = spark.createDataFrame([(i, t, "x", n, 2) for n, (i, t) in enumerate(docs)], SCHEMA)
     left = rtree_join.drop_duplicates(df)
     assert left.columns == df.columns
-    keep = {a for a, _, c in brute(docs) if a == c}
-    gone = {a for a, _, c in brute(docs) if a != c}
+    _, of = classes(docs)
     big = blocks.NULL_ID
-    have = [big if r.doc_id is None else r.doc_id for r in left.collect()]
-    assert set(have) == keep - gone and have.count(9000) == 1
+    key = [big if i is None else i for i, _ in docs]
+    least = {c: min(k for k, x in zip(key, of, strict=True) if x == c) for c in set(of)}
+    rows = left.collect()
+    assert sorted(of[r.n] for r in rows) == sorted(least)
+    assert all(key[r.n] == least[of[r.n]] and r.text == docs[r.n][1] for r in rows)
 
 
 def test_drop_duplicates_by_row(spark):

@@ -118,3 +118,13 @@ def test_loser_tree_sorts():
         for i in range(1, len(merged)):
             a, b = merged[i - 1], merged[i]
             assert lcp[i] == next((j for j in range(6) if a[j] != b[j]), 6)
+
+
+def test_key_ranges_are_even():
+    """An anchor is the least of its neighbours; key ranges are even all the same."""
+    rnd = np.random.default_rng(8)
+    text = rnd.integers(97, 123, 400_000).astype(np.uint8)
+    data = blocks.pack(np.array([1], np.int64), np.array([len(text)], np.int64), text)
+    key = suffix_dedup.Judged(data).entries()[0]
+    sizes = [s.stop - s.start for _, s in suffix_dedup.sections(key, 64, 48)]
+    assert len(sizes) == 64 and max(sizes) < 1.3 * len(key) / 64
