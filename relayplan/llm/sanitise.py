@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relayplan.llm.common import WORD_ALNUM, aside, kept, words
-from relayplan.llm.decontaminate import checked
+from relayplan.session import scratch_path
 
 # fixed values: kinds in the order of the contract
 KINDS = ("email", "ip", "card", "phone")
@@ -50,18 +50,89 @@ SUPPORT = 3
 DISCLOSURE = 0.75
 
 
+#: Items whose results are appended one by one before they join the others.
+CHUNK = 256
+#: Code points of a block of a text.
+BLOCK = 1024
+#: Stands for the code points of spans, which are all ASCII.
+MASK = "\ue000"
+MATCH = "array<struct<start:int,stop:int,value:string>>"
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where lambdas use it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def folded(items: Column, step, kind: str) -> Column:
+    """What ``step`` collects going through ``items``: it takes a state of ``at``
+    (an int, 0 at first) and ``out`` (an array of ``kind``) and an item, and returns
+    the next state. Appending copies an array, so items are taken in chunks."""
+    none = lambda: F.array().cast(kind)
+
+    def chunk(done: Column, part: Column) -> Column:
+        start = F.struct(done["at"].alias("at"), none().alias("out"))
+        return bound(F.aggregate(part, start, step), lambda r: F.struct(
+            r["at"].alias("at"), F.concat(done["out"], F.array(r["out"])).alias("out")))
+
+    def run(it: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor(F.size(it) / CHUNK).cast("int")),
+                            lambda c: F.slice(it, c * CHUNK + 1, F.lit(CHUNK)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(parts, start, chunk, lambda d: F.flatten(d["out"]))
+
+    return bound(items, run)
+
+
+def text_blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` code points, in one pass."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part_of(blocks: Column, start: Column, stop: Column) -> Column:
+    """Code points ``start`` to ``stop`` of a text in blocks; only the blocks
+    that they lie in are read."""
+    first = F.floor(start / BLOCK).cast("int")
+    some = F.slice(blocks, first + 1, F.greatest(F.ceil(stop / BLOCK).cast("int") - first, F.lit(0)))
+    return F.substring(F.array_join(some, ""), start - first * BLOCK + 1, F.greatest(stop - start, F.lit(0)))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Matches with their places in code points, stop exclusive."""
     parts = F.transform(F.split(text, pattern, -1), F.length)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
     # the pieces between matches and the matches add up to the places
-    return F.aggregate(
-        F.arrays_zip(hits.alias("m"), F.slice(parts, 1, F.size(hits)).alias("p")), none,
-        lambda done, x: F.concat(done, F.array(F.struct(
-            (F.coalesce(F.try_element_at(done, F.lit(-1))["stop"], F.lit(0)) + x["p"]).alias("start"),
-            (F.coalesce(F.try_element_at(done, F.lit(-1))["stop"], F.lit(0)) + x["p"] + F.length(x["m"])).alias("stop"),
-            x["m"].alias("value")))))
+    both = bound(hits, lambda h: F.arrays_zip(h.alias("m"), F.slice(parts, F.lit(1), F.size(h)).alias("p")))
+
+    def step(done: Column, x: Column) -> Column:
+        start, stop = done["at"] + x["p"], done["at"] + x["p"] + F.length(x["m"])
+        return F.struct(stop.alias("at"), F.concat(done["out"], F.array(F.struct(
+            start.alias("start"), stop.alias("stop"), x["m"].alias("value")))).alias("out"))
+
+    return folded(both, step, MATCH)
+
+
+def rewritten(blocks: Column, spans: Column, mark) -> Column:
+    """The text with ``mark(span, begin)`` for each span. Spans of different
+    kinds may overlap: what lies in an earlier one is skipped; ``begin`` is where
+    a span's own part begins."""
+    def step(done: Column, s: Column) -> Column:
+        begin = F.greatest(s["start"], done["at"])
+        piece = F.struct(part_of(blocks, done["at"], begin).alias("text"), mark(s, begin).alias("mark"),
+                         s["stop"].alias("stop"))
+        return F.when(s["stop"] <= done["at"], done).otherwise(F.struct(
+            s["stop"].alias("at"), F.concat(done["out"], F.array(piece)).alias("out")))
+
+    pieces = folded(spans, step, "array<struct<text:string,mark:string,stop:int>>")
+    return bound(pieces, lambda p: F.concat(
+        F.array_join(F.transform(p, lambda x: F.concat(x["text"], x["mark"])), ""),
+        part_of(blocks, F.coalesce(F.get(F.slice(p, -1, 1), F.lit(0))["stop"], F.lit(0)), F.size(blocks) * BLOCK)))
+
+
+def replaced(text: Column, spans: Column) -> Column:
+    """The text with its spans generalised or removed."""
+    marks = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS], F.lit(""))
+    return bound(text_blocks(text), lambda b: rewritten(b, spans, lambda s, _: F.get(marks, s["kind"])))
 
 
 def digits(value: Column) -> Column:
@@ -108,9 +179,9 @@ def span_text(spans: Column) -> Column:
 
 def near_terms(found: DataFrame) -> DataFrame:
     """Words near entities that do not touch an entity: row, entity, place."""
-    one = found.select("_row", "_digest", "_spans", F.explode("_near").alias("e"))
+    one = found.select("_row", "_digest", F.explode("_near").alias("e"))
 
-    def placed(context: Column, at: Column, last: bool) -> Column:
+    def placed(context: Column, masked: Column, at: Column, last: bool) -> Column:
         # whole words only: none that touches the entity, or the end of the reach in mid-text
         cut = F.length(context) >= REACH
         hits = F.filter(matches(F.lower(context), WORD_ALNUM), lambda m: (
@@ -118,30 +189,48 @@ def near_terms(found: DataFrame) -> DataFrame:
             (m["start"] > 0) & ~(cut & (m["stop"] == F.length(context)))))
         size = F.size(hits)
         some = F.slice(hits, F.greatest(size - (NEAR - 1), F.lit(1)), NEAR) if last else F.slice(hits, 1, NEAR)
-        return F.transform(some, lambda m: F.struct(
+        # a word that reaches into another entity is not the same where these are masked
+        free = F.filter(some, lambda m: (F.length(m["value"]) >= 2) & (
+            F.substring(F.lower(masked), m["start"] + 1, m["stop"] - m["start"]) == m["value"]))
+        return F.transform(free, lambda m: F.struct(
             (at + m["start"]).alias("start"), (at + m["stop"]).alias("stop"), m["value"].alias("term")))
 
-    terms = F.concat(placed(F.col("e.before"), F.col("e.start") - F.length("e.before"), True),
-                     placed(F.col("e.after"), F.col("e.stop"), False))
-    free = F.filter(terms, lambda t: (F.length(t["term"]) >= 2) & ~F.exists(
-        "_spans", lambda s: (t["start"] < s["stop"]) & (s["start"] < t["stop"])))
-    return one.select("_row", "_digest", "e.value", F.explode(free).alias("t")).select(
+    terms = F.concat(placed(F.col("e.before"), F.col("e.masked_before"), F.col("e.start") - F.length("e.before"), True),
+                     placed(F.col("e.after"), F.col("e.masked_after"), F.col("e.stop"), False))
+    return one.select("_row", "_digest", "e.value", F.explode(terms).alias("t")).select(
         "_row", "_digest", "value", F.col("t.start").alias("start"), F.col("t.stop").alias("stop"),
         F.col("t.term").alias("term"))
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """The entities of each row of ``docs``, written once."""
-    near = lambda t: lambda s: F.struct(
-        s["value"].alias("value"), s["start"].alias("start"), s["stop"].alias("stop"),
-        F.substring(t, F.greatest(s["start"] - (REACH - 1), F.lit(1)), F.least(s["start"], F.lit(REACH)))
-        .alias("before"),
-        F.substring(t, s["stop"] + 1, F.lit(REACH)).alias("after"))
-    return kept(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"),
-                            entities(F.col("text")).alias("_spans"))
-                .select("doc_id", "_row", "_spans",
-                        F.when(F.size("_spans") > 0, F.xxhash64("text")).alias("_digest"),
-                        F.when(F.size("_spans") > 0, F.transform("_spans", near(F.col("text")))).alias("_near")))
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row (``_row``) and its entities (``_spans``),
+    written once to the shared folder. Numbers depend on the order in which
+    rows are read, so nothing may read ``docs`` again."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "sanitise")
+    (docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", entities(F.col("text")))
+     .write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def find(rows: DataFrame) -> DataFrame:
+    """The entities of each numbered row with the text on both sides."""
+    def near(spans: Column, blocks: Column, masked: Column) -> Column:
+        def around(s: Column, of: Column, *names: str):
+            return (part_of(of, F.greatest(s["start"] - REACH, F.lit(0)), s["start"]).alias(names[0]),
+                    part_of(of, s["stop"], s["stop"] + REACH).alias(names[1]))
+
+        return F.transform(spans, lambda s: F.struct(
+            s["value"].alias("value"), s["start"].alias("start"), s["stop"].alias("stop"),
+            *around(s, blocks, "before", "after"), *around(s, masked, "masked_before", "masked_after")))
+
+    spans = F.col("_spans")
+    cover = lambda s, begin: F.repeat(F.lit(MASK), s["stop"] - begin)
+    both = bound(text_blocks(F.col("text")), lambda b: bound(
+        text_blocks(rewritten(b, spans, cover)), lambda m: near(spans, b, m)))
+    return kept(rows.select("doc_id", "_row", "_spans",
+                            F.when(F.size("_spans") > 0, F.xxhash64("text")).alias("_digest"),
+                            F.when(F.size("_spans") > 0, both).alias("_near")))
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -159,7 +248,7 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     most = F.col("n_et") * F.pow(n_all / F.col("n_e"), F.lit(1 - DISCLOSURE))
     near = terms.select("term", "_row").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
     pair = kept(pair.join(entity, "value").join(near, "term").filter(F.col("n_near") <= most * (1 + 1e-9)))
-    term = checked(pair.select("term").distinct())
+    term = pair.select("term").distinct()
     # counted first and joined then: common words meet as counts
     frequency = (docs.select(F.explode(F.array_distinct(words(F.lower("text")))).alias("term"))
                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(term, "term"))
@@ -182,7 +271,8 @@ def with_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id``, its ``base`` spans (sorted array) and all
     ``spans`` with those of revealing terms."""
-    full = with_terms(docs, find(docs))
+    rows = numbered(docs.select("doc_id", "text"))
+    full = with_terms(rows, find(rows))
     return full.select("doc_id", F.col("_spans").alias("base"), F.col("_all").alias("spans"))
 
 
@@ -190,24 +280,11 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with entities generalised to ``<EMAIL>``, ``<IP>``, ``<CARD>``
     or ``<PHONE>`` and revealing terms removed."""
     docs, back = aside(docs, "doc_id", "text", "n_chars")
-    found = find(docs)
-    changed = with_terms(docs, found).filter(F.size("_all") > 0).select(F.col("_row").alias("_r"), "_all")
-    changed = checked(kept(changed))
-    rows = docs.withColumn("_row", F.monotonically_increasing_id()).join(
-        changed, F.col("_row") == F.col("_r"), "left")
-    marks = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS], F.lit(""))
-    # spans of different kinds may overlap: what lies in an earlier one is skipped
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("_all", state, lambda a, s: F.when(s["stop"] <= a["at"], a).otherwise(F.struct(
-        s["stop"].alias("at"),
-        F.concat(a["out"], F.array(
-            F.substring(F.col("text"), a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))),
-            F.get(marks, s["kind"]))).alias("out"))))
-    tail = lambda d: F.concat(F.array_join(d["out"], ""), F.substring(
-        F.col("text"), d["at"] + 1, F.length("text")))
-    text = F.when(F.col("_all").isNull(), F.col("text")).otherwise(
-        F.get(F.transform(F.array(done), tail), F.lit(0)))
-    out = rows.withColumn("_new", text)
+    rows = numbered(docs)
+    changed = (with_terms(rows, find(rows)).filter(F.size("_all") > 0)
+               .select(F.col("_row").alias("_r"), "_all"))
+    out = rows.join(changed, F.col("_row") == F.col("_r"), "left").withColumn(
+        "_new", F.when(F.col("_all").isNull(), F.col("text")).otherwise(replaced(F.col("text"), F.col("_all"))))
     cols = []
     for c in docs.columns:
         if c == "text":
