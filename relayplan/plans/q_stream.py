@@ -43,6 +43,13 @@ def q_stream_release_waiting(spark, d):
     return r.select("job_id", "status", F.date_format(F.timestamp_micros("ts_us"), TS_FMT).alias("ts"))
 
 
+@query("stream_registry", FIRST_SQL + """
+select id, id_type, task_token from regp where id_type='JOB_ID' and id not in (select job_id from ft)
+""")
+def q_stream_registry(spark, d):
+    return S.stream_registry(spark, d).select("id", "id_type", "task_token")
+
+
 @query("stream_heartbeat_timeouts", f"""
 g as (select job_id, ts, epoch_us(ts) - epoch_us(lag(ts) over (partition by job_id order by ts, event_id)) as gap_us from job)
 select job_id, {SQL_TS.format(c='ts')} as ts, cast(floor(gap_us/1000000) as bigint) as gap_seconds

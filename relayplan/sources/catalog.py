@@ -14,8 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relayplan.operators.jobs import upsert_registry
-from relayplan.session import path_exists
+from relayplan.session import path_exists, shared_dir
 
 INVENTORY_COLS = ["project_id", "data_id", "data_type", "path", "name", "size", "etag", "status",
                   "owning_project_id"]
@@ -48,27 +47,59 @@ def write_inventory(inventory: DataFrame, path: str, mode: str = "overwrite") ->
               .write.mode(mode).partitionBy("project_id").parquet(path))
 
 
-def registry_writer(path: str):
-    """S-7 as a ``foreachBatch`` function: each batch of registrations is
-    upserted into the registry of the batch before and written as
-    ``v=<batch>``. A replayed batch builds the same table again."""
+#: Hash buckets of a stored registry.
+REGISTRY_BUCKETS = 64
+REGISTRY_COLS = ["id", "id_type", "task_token", "registered_at"]
+REGISTRY_SCHEMA = "id string, id_type string, task_token string, registered_at timestamp, bucket int"
+
+
+def registry_writer(path: str, buckets: int = REGISTRY_BUCKETS):
+    """S-7, S-8 as a ``foreachBatch`` function over changes: ``id, id_type,
+    task_token, registered_at`` to put, or with ``removed_at`` the instant from
+    which the key is gone (null or no such column: a put).
+
+    The table lies in hash buckets of the key. A batch reads and replaces only
+    the buckets that its keys fall into; the others are not touched. Per key the
+    last change counts, by time; a removal wins over a put of the same instant.
+    A replayed batch leaves the same table. The new buckets are written to the
+    shared folder before they replace the old ones, so they are whole when the
+    swap begins. Rows without id mark buckets that became empty."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = batch.select("id", "id_type", "task_token", "registered_at")
-        cur = read_registry(batch.sparkSession, path, before=batch_id)
-        cur = new.limit(0) if cur is None else cur.select(*new.columns)
-        upsert_registry(cur, new).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        spark = batch.sparkSession
+        gone = F.col("removed_at") if "removed_at" in batch.columns else F.lit(None)
+        change = batch.select("id", "id_type", "task_token", F.col("registered_at").cast("timestamp"),
+                              gone.cast("timestamp").alias("removed_at")).filter(F.col("id").isNotNull()).withColumn(
+            "bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+        change = change.persist()
+        try:
+            touched = sorted(r.bucket for r in change.select("bucket").distinct().collect())  # at most ``buckets``
+            if not touched:
+                return
+            rows = change.withColumn("at", F.coalesce("removed_at", "registered_at"))
+            if path_exists(spark, path):
+                old = spark.read.schema(REGISTRY_SCHEMA).parquet(path).filter(
+                    F.col("bucket").isin(touched) & F.col("id").isNotNull())
+                rows = rows.unionByName(old.withColumn("removed_at", F.lit(None).cast("timestamp"))
+                                        .withColumn("at", F.col("registered_at")))
+            last = F.max_by(F.struct("task_token", "registered_at", "removed_at", "bucket"),
+                            F.struct("at", F.col("removed_at").isNotNull()))
+            new = (rows.groupBy("id", "id_type").agg(last.alias("r")).filter(F.col("r.removed_at").isNull())
+                   .select("id", "id_type", "r.task_token", "r.registered_at", "r.bucket"))
+            empty = change.select(*[F.lit(None).cast(kind).alias(c) for c, kind in zip(
+                REGISTRY_COLS, ("string", "string", "string", "timestamp"), strict=True)], "bucket").distinct()
+            shared_dir(spark)
+            whole = new.unionByName(empty).repartition("bucket").checkpoint()
+            (whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket").parquet(path))
+        finally:
+            change.unpersist()
     return write
 
 
-def read_registry(spark: SparkSession, path: str, id_type: str | None = None,
-                  before: int | None = None) -> DataFrame | None:
-    """S-6 on a stored registry: its latest table, or the latest one older than
-    batch ``before``; ``None`` if nothing is written yet. A folder that cannot
-    be read is an error."""
+def read_registry(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame | None:
+    """S-6 on a stored registry; ``None`` if nothing is written yet. A folder
+    that cannot be read is an error."""
     if not path_exists(spark, path):
         return None
-    df = spark.read.parquet(path)
-    if before is not None:
-        df = df.filter(F.col("v") < before)
-    df = df.join(df.agg(F.max("v").alias("v")), "v").drop("v")
+    df = spark.read.schema(REGISTRY_SCHEMA).parquet(path).filter(F.col("id").isNotNull()).select(*REGISTRY_COLS)
     return df.filter(F.col("id_type") == id_type) if id_type else df

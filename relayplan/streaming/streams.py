@@ -30,6 +30,7 @@ from relayplan.operators import ticks as TK
 from relayplan.operators.plan import write_plan
 from relayplan.operators.validate import validate_requests
 from relayplan.session import path_exists, scratch_path
+from relayplan.sources import catalog as C
 from relayplan.sources import events as EV
 from relayplan.sources.request_events import request_event_bodies
 from relayplan.sources.tables import Tables, job_events_from_events, requests_from_orders
@@ -246,6 +247,31 @@ def waiting_stream(spark: SparkSession, sf_dir: str, ttl: str | None = None) ->
     return run_to_completion(moves, "waiting")
 
 
+def registry_sink(out_path: str, registry_path: str):
+    """foreachBatch: the moves of a batch (S-11), and the registry kept up with
+    them: waits that open are put, waits that end removed (S-7, S-8)."""
+    outcomes, registry = idempotent_sink(out_path), C.registry_writer(registry_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            outcomes(b, batch_id)
+            registry(WT.registry_changes(b), batch_id)
+        finally:
+            b.unpersist()
+    return write
+
+
+def stream_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored registry after the streams: what still waits."""
+    t = Tables(spark, sf_dir)
+    clock = closing(t, HOLD, LATENESS)
+    moves = WT.waiting_jobs(registration_stream(t, clock), status_stream(t, clock), HOLD, None, LATENESS)
+    registry = scratch_path(spark, "registry")
+    drain(moves, registry_sink(scratch_path(spark, "registry-moves"), registry), scratch_path(spark, "registry-ckpt"))
+    return C.read_registry(spark, registry)
+
+
 def stream_release_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first terminal state of each registered job."""
     moves = read_sink(spark, waiting_stream(spark, sf_dir), WT.MOVES)

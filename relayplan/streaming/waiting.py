@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from relayplan import constants as K
 from relayplan.functions.predicates import non_terminal
 from relayplan.operators.jobs import interval_micros
 
@@ -135,3 +136,11 @@ def intervals(moves: DataFrame) -> DataFrame:
     ended = moves.filter(F.col("move") != OPENED).select(
         "job_id", F.col("reg_us").alias("start_us"), F.col("ts_us").alias("end_us"))
     return opened.join(ended, ["job_id", "start_us"], "left")
+
+
+def registry_changes(moves: DataFrame) -> DataFrame:
+    """What the moves change in a stored registry: a wait that opens is put, one
+    that ends is removed (S-7, S-8)."""
+    end = F.when(F.col("move") != OPENED, F.timestamp_micros(F.greatest("ts_us", "reg_us")))
+    return moves.select(F.col("job_id").alias("id"), F.lit(K.REGISTRY_JOB_ID_TYPE).alias("id_type"), "task_token",
+                        F.timestamp_micros("reg_us").alias("registered_at"), end.alias("removed_at"))

@@ -51,7 +51,7 @@ def test_write_plan_partitioned(spark, sf_small, tmp_path):
     assert spark.read.parquet(out).count() == r.count()
 
 
-def test_registry_writer_snapshots_and_replay(spark):
+def test_registry_writer_puts_and_replay(spark):
     path = scratch_path(spark, "registry")
     w = C.registry_writer(path)
     b0 = spark.createDataFrame([("j1", "JOB_ID", "a"), ("j2", "JOB_ID", "b")], "id string, id_type string, task_token string") \
@@ -60,7 +60,7 @@ def test_registry_writer_snapshots_and_replay(spark):
         .withColumn("registered_at", F.to_timestamp_ntz(F.lit("2024-01-01 01:00:00")))
     w(b0, 0)
     w(b1, 1)
-    w(b1, 1)  # replayed batch: same snapshot again
+    w(b1, 1)  # replayed batch: same table again
     got = {r.id: r.task_token for r in C.read_registry(spark, path).collect()}
     assert got == {"j1": "a2", "j2": "b"}
 

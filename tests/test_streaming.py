@@ -252,25 +252,41 @@ def test_stream_plan_over_several_batches(spark, sf_small):
     assert jobs.select(*plan.jobs.columns).exceptAll(plan.jobs).isEmpty() and jobs.count() == plan.jobs.count() > 0
 
 
-def test_registry_snapshots_from_a_stream(spark, sf_small, tmp_path):
-    """S-7 end to end: registrations arrive in two files (two micro-batches);
-    the foreachBatch writer upserts them into snapshots; the latest snapshot
-    is the whole registry."""
+def test_registry_replaces_touched_buckets_only(spark, tmp_path):
+    """S-7, S-8: a batch of ten keys rewrites ten buckets at most; removals,
+    buckets that become empty, re-registration, replays."""
     from relayplan.sources import catalog as C
 
-    t = Tables(spark, sf_small)
-    reg = t.job_registry.select("id", "id_type", "task_token", "registered_at")
-    src = tmp_path / "regs"
-    reg.filter(F.col("id_type") == "JOB_ID").coalesce(1).write.parquet(str(src / "a"))
-    reg.filter(F.col("id_type") != "JOB_ID").coalesce(1).write.parquet(str(src / "b"))
-    stream = (spark.readStream.schema(reg.schema).option("maxFilesPerTrigger", 1)
-                   .parquet(str(src / "*")))
-    out = str(tmp_path / "registry")
-    q = (stream.writeStream.option("checkpointLocation", str(tmp_path / "ckpt"))
-               .foreachBatch(C.registry_writer(out)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = C.read_registry(spark, out)
-    assert sorted(map(tuple, got.select("id", "id_type", "task_token").collect())) == \
-        sorted(map(tuple, reg.select("id", "id_type", "task_token").collect()))
-    assert sorted(r.id for r in C.read_registry(spark, out, "OTHER").collect()) == \
-        sorted(r.id for r in reg.filter("id_type = 'OTHER'").collect())
+    path = str(tmp_path / "registry")
+    write = C.registry_writer(path)
+    schema = "id string, id_type string, task_token string, registered_at string, removed_at string"
+
+    def put(batch_id, rows):
+        df = spark.createDataFrame(rows, schema).withColumns(
+            {c: F.to_timestamp(c) for c in ("registered_at", "removed_at")})
+        write(df, batch_id)
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "registry").glob("bucket=*/*.parquet")}
+
+    def rows():
+        return sorted((r.id, r.id_type, r.task_token) for r in C.read_registry(spark, path).collect())
+
+    day = lambda n: f"2024-01-{n:02d} 00:00:00"
+    put(0, [(f"j{i}", "JOB_ID", "t", day(1), None) for i in range(2000)])
+    before = files()
+    assert len(before) == C.REGISTRY_BUCKETS and len(rows()) == 2000
+    change = [(f"j{i}", "JOB_ID", f"new{i}", day(2), None) for i in range(5)]
+    change += [(f"j{i}", "JOB_ID", "t", day(1), day(3)) for i in range(5, 10)]
+    put(1, change)
+    after = files()
+    assert 1 <= len({f.parent for f in before if f not in after}) <= 10
+    want = sorted([(f"j{i}", "JOB_ID", f"new{i}") for i in range(5)] + [(f"j{i}", "JOB_ID", "t") for i in range(10, 2000)])
+    assert rows() == want
+    put(1, change)
+    assert rows() == want
+    # removed and registered again; an older put and an older removal do nothing
+    put(2, [("j5", "JOB_ID", "again", day(4), None), ("j0", "JOB_ID", "old", day(1), None), ("j1", "JOB_ID", "t", day(1), day(1))])
+    assert rows() == sorted([*want, ("j5", "JOB_ID", "again")])
+    put(3, [(f"j{i}", "JOB_ID", "t", day(1), day(9)) for i in range(2000)])
+    assert rows() == [] and C.read_registry(spark, path, "OTHER").count() == 0
