@@ -78,6 +78,10 @@ ren as (select request_id, 1 as item, source_uri as input_uri, cast(null as varc
     from src join req using(request_id) where kind in (2,3) and source_uri like '%/L2.dat'
   union all select request_id, 3, cast(null as varchar), data_id, 'renamed.dat'
     from req join inv on l_orderkey=request_id and l_linenumber=1 where kind in (0,1)
+  union all select request_id, (100+l_linenumber)::int,
+    case when kind in (2,3) and l_linenumber%2=1 then concat('icav2://',inv.project_id,inv.path) end,
+    case when kind in (0,1) or l_linenumber%2=0 then data_id end, concat('renamed_L',l_linenumber,'.dat')
+    from req join inv on l_orderkey=request_id where kind in (0,1,2,3) and (l_linenumber>2 or kind<2 and l_linenumber=2)
   union all select request_id, 4, uri, cast(null as varchar), 'renamed.txt' from extl
   union all select request_id, 5, cast(null as varchar), concat('fil.',cast(request_id+1 as varchar),'.1'), 'x.dat'
     from req where o_custkey%7=0
@@ -119,12 +123,15 @@ fsrc as (select request_id, project_id, path as folder, name as folder_name from
 expanded as (select f.request_id, i.data_id, i.size, i.etag, f.folder as source_folder, d.dest_project,
     regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(i.path, length(f.folder)+1)),
       '/(\./)+','/','g'),'/+','/','g') as dest_path
-  from fsrc f join inventory i on i.project_id=f.project_id and i.data_type='FILE' and starts_with(i.path, f.folder)
+  from fsrc f join (select *, unnest(list_transform(range(1, len(string_split(path,'/'))),
+      lambda k: array_to_string(list_slice(string_split(path,'/'),1,k),'/') || '/')) as above from inventory where data_type='FILE') i
+    on i.project_id=f.project_id and i.above=f.folder
   join dest d on d.request_id=f.request_id),
 ftree as (select distinct f.request_id, d.dest_uri, d.dest_scheme, d.dest_project,
     regexp_replace(regexp_replace(concat(d.dest_folder, f.folder_name, '/', substr(g.path, length(f.folder)+1)),
       '/(\./)+','/','g'),'/+','/','g') as dest_folder
-  from fsrc f join fold g on g.project_id=f.project_id and starts_with(g.path, f.folder)
+  from fsrc f join (select *, unnest(list_transform(range(1, len(string_split(path,'/'))),
+      lambda k: array_to_string(list_slice(string_split(path,'/'),1,k),'/') || '/')) as above from fold) g on g.project_id=f.project_id and g.above=f.folder
   join dest d on d.request_id=f.request_id),
 extcat as (select uri, arg_min(size, s3_object_id) as size, arg_min(etag, s3_object_id) as etag
   from ext where current_state group by uri),

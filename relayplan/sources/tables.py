@@ -234,27 +234,27 @@ class Tables:
     # -- renaming map -----------------------------------------------------------
     @cached_property
     def renaming_map(self) -> DataFrame:
-        """Renaming items (FIXTURES.md B ``ren``). Items 1-3 come from the
-        first two files of each request's order in one join: a request of kind
-        2/3 renames its L1 file by URI (1) and its L2 file by id (2), a
-        request of kind 0/1 renames the L1 file inside its folder by id (3)."""
+        """Renaming items (FIXTURES.md B ``ren``). Every file of a request's order
+        gives an item, in one join: a request of kind 2/3 renames its L1 file
+        by URI (1), its L2 file by id (2) and the others by URI or id in turn, a
+        request of kind 0/1 renames the files inside its folder by id (L1: 3).
+        Items of other lines are numbered from 100."""
         r = self.requests
         f = self.files
         nul = F.lit(None).cast("string")
         rid = F.col("request_id")
         kind, ln = F.col("kind"), F.col("l_linenumber")
         base = (r.filter(kind.isin(0, 1, 2, 3)).select("request_id", "kind")
-                 .join(f.filter(ln.isin(1, 2)), f.l_orderkey == rid))
+                 .join(f, f.l_orderkey == rid))
         k23 = kind.isin(2, 3)
-        item = (F.when(k23 & (ln == 1), F.lit(1)).when(k23 & (ln == 2), F.lit(2))
-                 .when(~k23 & (ln == 1), F.lit(3)))
-        b123 = (base.withColumn("item", item).filter(F.col("item").isNotNull())
-                    .select(rid, "item",
-                            F.when(F.col("item") == 1, U.project_uri(F.col("project_id"), F.col("path"))).alias("input_uri"),
-                            F.when(F.col("item") != 1, F.col("data_id")).alias("data_id"),
-                            F.when(F.col("item") == 1, F.lit("renamed_L1.dat"))
-                             .when(F.col("item") == 2, F.lit("renamed_L2.dat"))
-                             .otherwise(F.lit("renamed.dat")).alias("output_file_name")))
+        by_uri = k23 & (ln % 2 == 1)
+        item = (F.when(k23 & ln.isin(1, 2), ln).when(~k23 & (ln == 1), F.lit(3)).otherwise(ln + 100)).cast("int")
+        b123 = base.select(
+            rid, item.alias("item"),
+            F.when(by_uri, U.project_uri(F.col("project_id"), F.col("path"))).alias("input_uri"),
+            F.when(~by_uri, F.col("data_id")).alias("data_id"),
+            F.when(item == 3, F.lit("renamed.dat")).otherwise(
+                F.concat(F.lit("renamed_L"), _s(ln), F.lit(".dat"))).alias("output_file_name"))
         b4 = self.external_sources.select(rid, F.lit(4).alias("item"), F.col("uri").alias("input_uri"),
                                           nul.alias("data_id"), F.lit("renamed.txt").alias("output_file_name"))
         ck = F.col("o_custkey")
