@@ -335,6 +335,15 @@ def q_waiting_jobs(spark, d):
                     (F.col("last") - F.col("first") + 1).alias("ticks"))
 
 
+@query("slowest_transfers", TICKS_SQL + """
+select job_id, greatest(epoch_us(t) - epoch_us(r), 0) as wait_us from wait where t is not null
+order by wait_us desc, job_id limit 20
+""")
+def q_slowest_transfers(spark, d):
+    t = Tables(spark, d)
+    return TK.slowest_waits(TK.waiting_intervals(t.job_registry, t.job_status_events), 20)
+
+
 @query("poll_ticks", TICKS_SQL + f""",
 p as (select job_id, tick from tick join wait on r <= tick and tick < r + interval 1 day),
 st as (select p.job_id, tick, arg_max(status, (ts, event_id)) as status
