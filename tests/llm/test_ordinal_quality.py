@@ -1,8 +1,10 @@
 """Ordinal classifier: held-out accuracy, edge cases, gradients."""
 
+import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from relayplan.llm import ordinal_quality as q
@@ -90,3 +92,47 @@ def test_no_labels_or_one_grade(spark):
 def test_tails_are_ordered_probabilities():
     t = q.tails(np.array([-50.0, -1, 0, 1, 50]), np.array([2.0, -3.0]))
     assert (np.diff(t, axis=1) <= 0).all() and (t[:, 0] == 1).all() and (t[:, 3] == 0).all()
+
+
+def plain_features(text):
+    """Columns and values of one text, by loops: runs of one kind of bytes,
+    hashed, by the root of their share; seven figures in bins."""
+    raw = (text or "").encode()
+    kinds = [int(q._KIND[b]) for b in raw]
+    low = bytes(int(q._LOWER[b]) for b in raw)
+    tokens, at = [], 0
+    for i in range(1, len(raw) + 1):
+        if i == len(raw) or kinds[i] != kinds[at]:
+            if kinds[at]:
+                tokens.append(low[at:i])
+            at = i
+    def column(data, salt=0):
+        a = np.frombuffer(data, np.uint8)
+        return int(q.word_codes(a, np.array([0]), np.array([len(a)]), salt)[0]) & ((1 << q.BITS) - 1)
+
+    count = {}
+    for t in tokens:
+        count[column(t)] = count.get(column(t), 0) + 1
+    total, size = max(len(tokens), 1), max(len(raw), 1)
+    letters = max(sum(97 <= (b | 32) <= 122 for b in raw), 1)
+    shape = [sum(65 <= b <= 90 for b in raw) / letters, kinds.count(2) / size, sum(48 <= b <= 57 for b in raw) / size,
+             len(count) / total, max(count.values(), default=0) / total, min(size / total / 20, 1),
+             min(math.log2(size) / 24, 1)]
+    out = [(c, math.sqrt(n * 100 / total)) for c, n in count.items()]
+    return out + [(column(bytes([min(int(x * 20), 19) + 20 * i]), 7), 2.0) for i, x in enumerate(shape)]
+
+
+def test_score_is_brute_force(spark, sf_small):
+    """Expected grade and tails of a given model, text by text, in plain loops."""
+    rnd = np.random.default_rng(5)
+    w, cuts = rnd.normal(0, 0.02, 1 << q.BITS).astype(np.float32), np.array([0.7, -0.4])
+    rows = pq.read_table(f"{sf_small}/documents.parquet").to_pylist()[:120]
+    texts = [r["text"] for r in rows] + [None, "", " ", "A1!é", "x" * 5000, "a b " * 2000, "\x00\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in q.score(df, (w, cuts)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        s = sum(float(w[c]) * np.float32(v) for c, v in plain_features(t))
+        tail = [1 / (1 + math.exp(-(s + c))) for c in cuts]
+        assert abs(got[i].p_clean - tail[0]) < 1e-5 and abs(got[i].p_good - tail[1]) < 1e-5
+        assert abs(got[i].expected_grade - sum(tail)) < 2e-5
