@@ -13,6 +13,15 @@ from relayplan.streaming import streams as S
 from relayplan.streaming import waiting as WT
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """State is kept per shuffle partition: two are enough for small streams."""
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_release_once_and_only_registered(spark, sf_small):
     rel = S.stream_release_waiting(spark, sf_small)
     t = Tables(spark, sf_small)
