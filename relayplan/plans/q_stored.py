@@ -13,6 +13,7 @@ from relayplan.operators.plan import write_plan
 from relayplan.plans.registry import query
 from relayplan.session import scratch_path
 from relayplan.sources import catalog as C
+from relayplan.sources import layout as L
 from relayplan.sources.tables import Tables
 
 
@@ -27,6 +28,61 @@ def q_stored_inventory(spark, d):
     return inv.select("project_id", "data_id", "size", U.path_contains(F.lit("/runs/1995"), F.col("path")).alias("in_1995"))
 
 
+def _bucketed(spark, inventory, name, by):
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    L.write_buckets(inventory, table, path, by)
+    return spark.table(table)
+
+
+@query("bucketed_sources", """
+select request_id, cast(pos as bigint) as pos, kind, data_id, size from resolved
+""")
+def q_bucketed_sources(spark, d):
+    """S-3 + J-1: sources looked up in an inventory bucketed by project and path."""
+    t = Tables(spark, d)
+    r = R.resolve_sources(t.request_sources, _bucketed(spark, t.inventory, "by_path", ("project_id", "path")))
+    return r.select("request_id", F.col("pos").cast("bigint").alias("pos"), "kind", "data_id", "size")
+
+
+@query("bucketed_ids", """
+select r.request_id, cast(r.item as bigint) as item, r.data_id, i.size, i.data_id is not null as found
+from ren r left join inv i on i.data_id=r.data_id where r.data_id is not null
+""")
+def q_bucketed_ids(spark, d):
+    """S-3 + J-6: ids looked up in an inventory bucketed by id."""
+    t = Tables(spark, d)
+    refs = t.renaming_map.filter(F.col("data_id").isNotNull()).select(
+        "request_id", F.col("item").cast("bigint").alias("item"), "data_id")
+    by_id = _bucketed(spark, t.inventory.select("data_id", "data_type", "size"), "by_id", ("data_id",))
+    return R.lookup_by_id(refs, by_id).select("request_id", "item", "data_id", "size", "found")
+
+
+@query("touched_inventory", """
+named as (select distinct regexp_extract(source_uri,'^[^:/?#]+://([^/]*)',1) as project_id,
+    regexp_extract(source_uri,'^[^:/?#]+://[^/]*(/.*)$',1) as path
+  from src where regexp_extract(source_uri,'^([^:/?#]+)://',1)='icav2'),
+own as (select project_id, data_id, size, path as k from inventory
+        union all
+        select project_id, data_id, size, concat(array_to_string(list_slice(parts,1,i),'/'),'/') as k
+        from (select *, unnest(range(1, len(parts))) as i
+              from (select *, string_split(rtrim(path,'/'),'/') as parts from inventory)))
+select distinct o.project_id, o.data_id, o.size from own o join named n on n.project_id=o.project_id and n.path=o.k
+""")
+def q_touched_inventory(spark, d):
+    """S-3 + T-1: objects that sources name or that lie below them, from the
+    areas of a stored inventory that the sources touch."""
+    t = Tables(spark, d)
+    path = scratch_path(spark, "areas-inventory")
+    L.write_areas(t.inventory, path)
+    named = L.project_paths(t.request_sources, "source_uri")
+    inv = L.prune(L.read_areas(spark, path), L.touched_areas(named))
+    # an object meets itself and its ancestors, which end in "/"
+    keys = inv.withColumn("key", F.explode(F.concat(F.array("path"), U.ancestors("path"))))
+    return (keys.join(named.withColumnRenamed("path", "key").distinct(), ["project_id", "key"], "left_semi")
+            .select("project_id", "data_id", "size").distinct())
+
+
 @query("stored_catalog", """
 select uri, size, 'true' as is_current from ext where current_state
 """)

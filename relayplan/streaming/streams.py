@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relayplan import constants as K
+from relayplan.functions import uri as U
 from relayplan.functions.predicates import non_terminal, summarise_push
 from relayplan.operators import ticks as TK
 from relayplan.operators.plan import write_plan
@@ -32,6 +33,7 @@ from relayplan.operators.validate import validate_requests
 from relayplan.session import path_exists, scratch_path
 from relayplan.sources import catalog as C
 from relayplan.sources import events as EV
+from relayplan.sources import layout as L
 from relayplan.sources.request_events import request_event_bodies
 from relayplan.sources.tables import Tables, job_events_from_events, requests_from_orders
 from relayplan.streaming import waiting as WT
@@ -337,9 +339,11 @@ SUMMARY_OUT = T.StructType([T.StructField("request_id", T.LongType()), T.StructF
                             T.StructField("files", T.LongType()), T.StructField("bytes", T.LongType())])
 
 
-def plan_sink(t: Tables, out_path: str, quarantine_path: str, inventory: DataFrame | None = None):
-    """foreachBatch: plan the micro-batch's requests against the static
-    inventory with the batch planner. The decided files are written once
+def plan_sink(out_path: str, quarantine_path: str, inventory: DataFrame, destinations: DataFrame,
+              external_objects: DataFrame):
+    """foreachBatch: plan the micro-batch's requests with the batch planner.
+    ``inventory`` and ``destinations`` are stored by areas (``sources.layout``):
+    a batch reads the areas that its URIs name. The decided files are written once
     (``actions/``); summary and copy jobs are read off them. All outputs are
     per batch id (idempotent on replay). A request lives in one batch, so
     per-batch aggregates are final."""
@@ -354,8 +358,13 @@ def plan_sink(t: Tables, out_path: str, quarantine_path: str, inventory: DataFra
             (bad.select("request_id", "reason").write.mode("overwrite")
                 .parquet(f"{quarantine_path}/batch={batch_id}"))
             et = requests_from_events(good)
-            plan = plan_transfers(et.requests, et.sources, t.inventory if inventory is None else inventory,
-                                  t.destination_inventory, t.external_objects)
+            # targets are planned below the normalised destination folder
+            folders = L.project_paths(et.requests, "destination_uri").withColumn(
+                "path", U.normalise_path(U.as_folder("path")))
+            plan = plan_transfers(et.requests, et.sources,
+                                  L.prune(inventory, L.touched_areas(L.project_paths(et.sources, "source_uri"))),
+                                  L.prune(destinations, L.touched_areas(folders)),
+                                  external_objects)
             actions = f"{out_path}/actions/batch={batch_id}"
             write_plan(plan.actions, actions, ("action",))
             decided = spark.read.schema(plan.actions.schema).parquet(actions)
@@ -376,11 +385,12 @@ def stream_plan(spark: SparkSession, sf_dir: str) -> str:
     orders = staged_stream(t.raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"]), "o_orderkey")
     parsed = EV.parse_requests(request_event_bodies(t, requests=requests_from_orders(orders)))
     out, quar = scratch_path(spark, "plan-out"), scratch_path(spark, "plan-quarantine")
-    inventory = t.inventory.persist()  # one derivation for all micro-batches
-    try:
-        drain(parsed, plan_sink(t, out, quar, inventory), scratch_path(spark, "plan-ckpt"))
-    finally:
-        inventory.unpersist()
+    stored = []
+    for df, name in ((t.inventory, "inventory-areas"), (t.destination_inventory, "destination-areas")):
+        path = scratch_path(spark, name)
+        L.write_areas(df, path)
+        stored.append(L.read_areas(spark, path))
+    drain(parsed, plan_sink(out, quar, *stored, t.external_objects), scratch_path(spark, "plan-ckpt"))
     return out
 
 
