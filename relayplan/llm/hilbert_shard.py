@@ -1,7 +1,8 @@
 """Sharding by Hilbert-curve order.
 
-Several metadata dimensions (language, source, size) are quantised to a few
-bits each; the cells are ordered along a Hilbert curve, so that rows near each
+Several metadata dimensions (language, source, size) are quantised in their own
+order to a few bits each, by shares of rows, so that cells are ranges of values
+and hold similar row counts; the cells are ordered along a Hilbert curve, so that rows near each
 other on the curve are near in every dimension, and the ordered rows are cut
 into runs of equal row counts. Each run covers a small box of every dimension,
 which is what lets a reader skip files by their min/max values.
@@ -14,7 +15,7 @@ sums over the cells (at most 2**(dims*bits) of them, whatever the input) give
 each slice its first rank, and only within a slice are rows numbered.
 
 Defined cases: null text has no bytes (size 1) and checksum 0; null language
-or source is a value of its own; equal rows are numbered in any order; an
+or source comes before all values; equal rows are numbered in any order; an
 empty table gives no rows; columns beyond the used ones pass through
 ``place_rows`` unless they carry one of its output names, then they are
 replaced.
@@ -28,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from relayplan.llm.common import kept
+
 SLICES = 256
 
 
@@ -70,17 +73,34 @@ def curve_table(dims: int, bits: int) -> list[int]:
             for c in range(side ** dims)]
 
 
-def quantise_text(c: Column, bits: int) -> Column:
-    """A categorical value to ``bits`` bits; null to 0."""
-    side = 1 << bits
-    return F.when(c.isNull(), F.lit(0)).otherwise(
-        (F.crc32(c.cast("binary")) % side).cast("int"))
-
-
-def quantise_log2(c: Column, bits: int) -> Column:
-    """A positive number to its order of magnitude, cut off at the top cell."""
-    return F.least(F.floor(F.log2(F.greatest(c, F.lit(1)).cast("double"))).cast("int"),
-                   F.lit((1 << bits) - 1))
+def cell_starts(df: DataFrame, column: str, bits: int) -> list[tuple[object, int]]:
+    """``(least value, cell)`` of each used cell of a column, in order: a value's
+    cell is the share of rows with smaller values (nulls first), in steps of
+    ``1 / 2**bits``. At most ``2**bits`` pairs, whatever the input.
+
+    Rows are counted per value; ranges of values are summed apart and running
+    sums over the ranges give each its first rank."""
+    value, side = F.col(column).asc_nulls_first(), 1 << bits
+    counts = kept(df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).repartitionByRange(value)
+                  .withColumn("_part", F.spark_partition_id()))
+    run = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("_part").agg(F.sum("_n").alias("_in")).select(  # a row per range
+        "_part", F.coalesce(F.sum("_in").over(run), F.lit(0)).alias("_first"),
+        F.sum("_in").over(Window.partitionBy()).alias("_all"))
+    within = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_first") + F.coalesce(F.sum("_n").over(within), F.lit(0))
+    cells = (counts.join(parts, "_part").withColumn("_before", before)
+             .withColumn("_cell", F.expr(f"cast((_before * {side}) div _all as int)")))
+    starts = cells.filter(F.col(column).isNotNull()).groupBy("_cell").agg(F.min(column).alias("_start"))
+    return [(r["_start"], r["_cell"]) for r in starts.orderBy("_cell").collect()]
+
+
+def quantise(c: Column, starts: list[tuple[object, int]]) -> Column:
+    """The cell of a value, by the starts of the cells; null is in cell 0."""
+    cell = F.lit(0)
+    for start, number in starts:
+        cell = F.when(c >= F.lit(start), F.lit(number)).otherwise(cell)
+    return F.when(c.isNull(), F.lit(0)).otherwise(cell)
 
 
 def slice_of(key: Column) -> Column:
@@ -135,18 +155,15 @@ def place_rows(df: DataFrame, dims: Sequence[Column], key: Column, shards: int =
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, bits: int = 4) -> DataFrame:
-    """Documents' keys, sizes and checksums with their place on the curve
-    through (language, source, size)."""
+    """Documents' keys, sizes, checksums, ``lang`` and ``source`` with their
+    place on the curve through (language, source, size)."""
     text = F.col("text").cast("binary")
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    base = docs.select(
+    base = kept(docs.select(  # texts are read once
         "doc_id", size.alias("size"),
-        F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-        quantise_text(F.col("lang"), bits).alias("_lang"),
-        quantise_text(F.col("source"), bits).alias("_source"))
-    placed = place_rows(base, [F.col("_lang"), F.col("_source"), quantise_log2(F.col("size"), bits)],
-                        F.struct("text_crc32", "doc_id"), shards, bits)
-    return placed
+        F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"), "lang", "source"))
+    dims = [quantise(F.col(c), cell_starts(base, c, bits)) for c in ("lang", "source", "size")]
+    return place_rows(base, dims, F.struct("text_crc32", "doc_id"), shards, bits)
 
 
 def manifest(placed: DataFrame, dims: Sequence[str]) -> DataFrame:

@@ -187,15 +187,19 @@ def _crc32(text: str) -> str:
     return f"xor({steps}, 4294967295::bigint)"
 
 
+def _cells(column: str) -> str:
+    return (f"(select x, ((coalesce(sum(c) over (order by x nulls first rows between unbounded preceding and 1 preceding), 0)"
+            f" * 16) // sum(c) over ())::int as q from (select {column} as x, count(*) as c from d group by 1))")
+
+
 OP3 = f"""
 with k as (select {_crc_table()}::bigint[] as tab, {hilbert_shard.curve_table(3, 4)}::int[] as curve),
-small as (select x, ({_crc32('x')}) % 16 as q from (select lang as x from documents union select source from documents), k
-  where x is not null),
 d as (select doc_id, lang, source, strlen(coalesce(text,'')) + 1 as size, {_crc32("coalesce(text,'')")} as crc, curve
   from documents, k),
-c as (select doc_id, size, crc, curve[(coalesce(l.q, 0)*256 + coalesce(s.q, 0)*16
-    + least(floor(log2(size::double)), 15))::int + 1] as curve
-  from d left join small l on l.x = d.lang left join small s on s.x = d.source),
+lang_cell as {_cells('lang')}, source_cell as {_cells('source')}, size_cell as {_cells('size')},
+c as (select doc_id, size, crc, curve[l.q*256 + s.q*16 + z.q + 1] as curve
+  from d join lang_cell l on l.x is not distinct from d.lang join source_cell s on s.x is not distinct from d.source
+  join size_cell z on z.x = d.size),
 r as (select *, row_number() over (order by curve, substr(md5(concat_ws(':', crc::varchar, doc_id::varchar)), 1, 2),
     crc, doc_id) - 1 as rank, count(*) over () as n from c),
 p as (select *, (rank * 8) // n as shard from r)

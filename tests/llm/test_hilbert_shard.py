@@ -58,11 +58,34 @@ def test_files_and_pruning(spark, sf_small):
     df = spark.read.parquet(f"{sf_small}/documents.parquet")
     placed = H.shard_documents(df)
     check(placed.collect(), [(r["doc_id"], r["text"]) for r in t])
-    boxes = H.manifest(placed, ["_lang", "_source", "size"]).collect()
+    boxes = H.manifest(placed, ["lang", "source", "size"]).collect()
     assert sum(b.rows for b in boxes) == len(t)
-    # a shard covers a smaller box than the whole table
-    whole = placed.agg(F.max("_lang") - F.min("_lang")).first()[0]
-    assert min(b["max__lang"] - b["min__lang"] for b in boxes) < whole
+    # a reader of one source, language or size skips files by the least and greatest values
+    for column in ("lang", "source", "size"):
+        values = [r["size"] if column == "size" else r[column] for r in placed.select(column).collect()]
+        shard = [(b[f"min_{column}"], b[f"max_{column}"]) for b in boxes]
+        unsorted = [(min(v), max(v)) for v in (values[i::8] for i in range(8))]
+        read = [sum(low <= v <= high for v in values for low, high in x) / len(values) for x in (shard, unsorted)]
+        assert read[0] < 0.75 * read[1], (column, read)
+
+
+def cells(values, bits):
+    """Cells by plain counts: the share of rows with smaller values."""
+    rank = {v: sum(w is None and v is not None or w is not None and v is not None and w < v for w in values)
+            for v in set(values)}
+    return {v: (r << bits) // len(values) for v, r in rank.items()}
+
+
+@pytest.mark.parametrize("bits", [2, 4])
+def test_cells_keep_order(spark, bits):
+    rnd = random.Random(4)
+    lang = ["en"] * 40 + [None] * 7 + [rnd.choice(["é", "Z", "a", "fr", ""]) for _ in range(30)]
+    df = spark.createDataFrame([(v, len(v or "") * 7 + i % 5) for i, v in enumerate(lang)], "v string, n long")
+    for c in ("v", "n"):
+        got = df.repartition(3).select(c, H.quantise(F.col(c), H.cell_starts(df, c, bits)).alias("q")).distinct().collect()
+        assert {r[c]: r.q for r in got} == cells([r[c] for r in df.collect()], bits)
+    assert H.cell_starts(df.filter("false"), "v", bits) == []
+    assert H.cell_starts(df.filter("v is null"), "v", bits) == []
 
 
 def test_written_shards(spark, tmp_path):
