@@ -13,16 +13,19 @@ greatest bounds until they hold enough candidates, which gives a k-th score to
 beat; round two searches exactly those other rings whose bound reaches it.
 Nothing else can be in the result, so it is exact.
 
-Ring statistics are at most ``PIVOTS * RINGS`` rows, whatever the input. A hot
-vector fills one ring; its cells are still bounded, and queries meet each cell
-in blocks.
+Each width (number of components) has pivots and rings of its own, as products
+are defined within a width only; a width that the sample misses has the zero
+vector as its pivot. Ring statistics are at most ``PIVOTS * RINGS`` rows a
+width, whatever the number of vectors. A hot vector fills one ring; its cells
+are still bounded, queries meet each cell in blocks, and a cell is sent once
+for each block of the queries that visit its ring.
 
 Defined cases: vectors that are null, empty or hold null, infinite or undefined
-components take no part; nor do those of another length than most of the
-sample; ties go to the
-smaller id, null ids last; with fewer than k candidates all are returned;
-components beyond 2**28 in size are multiplied in exact integers and scores
-cut to 64 bits; an empty table gives no rows. ``vec_id`` is taken as unique: a
+components take no part; a query's candidates are the rows of its width; ties
+go to the smaller id, null ids last; with fewer than k candidates all are
+returned; components beyond 2**28 in size are multiplied in exact integers and
+scores cut to 64 bits; quantised components are cut at 2**62 in size, which
+matters for values above 4.5e15 only; an empty table gives no rows. ``vec_id`` is taken as unique: a
 query's candidates are the rows with another id.
 """
 
@@ -42,29 +45,33 @@ RINGS = 32
 CELL_ROWS = 2048
 QUERY_BLOCK = 2048
 SAMPLE = 4096
+#: Greatest size of a quantised component.
+LARGEST = 1 << 62
 #: Pivot, ring and the vector as bytes of 64-bit integers.
-KEYED = "vec_id long, v binary, pivot int, dist double, norm double, is_query boolean"
+KEYED = "vec_id long, v binary, dim int, pivot int, dist double, norm double, is_query boolean"
 HITS = "query_id long, vec_id long, score long"
 
 
 def quantise(df: DataFrame, scale: int = SCALE) -> DataFrame:
     """``vec_id`` and ``v``, the integer vector; rows that take part only."""
-    x = F.transform("embedding", lambda c: c.cast("double"))
+    x, limit = F.transform("embedding", lambda c: c.cast("double")), F.lit(float(LARGEST))
     ok = (F.size("embedding") > 0) & ~F.exists(
-        "embedding", lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) > 1e15))
+        "embedding", lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
     return df.filter(F.coalesce(ok, F.lit(False))).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"))
+        F.transform(x, lambda c: F.floor(F.greatest(F.least(c * scale, limit), -limit)).cast("long")).alias("v"))
 
 
-def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> np.ndarray:
-    """Farthest-first choice among the ``SAMPLE`` rows of least id hash."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
-    if not rows:
-        return np.zeros((0, 0))
-    sizes = [len(r["v"]) for r in rows]
-    dim = max(sorted(set(sizes)), key=sizes.count)
-    pool = np.array([r["v"] for r in rows if len(r["v"]) == dim], np.float64)
+def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> dict[int, np.ndarray]:
+    """Pivots by width: farthest-first choice among the ``SAMPLE`` rows of least
+    id hash."""
+    pools: dict[int, list] = {}
+    for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect():
+        pools.setdefault(len(r["v"]), []).append(r["v"])
+    return {dim: farthest_first(np.array(pool, np.float64), count) for dim, pool in pools.items()}
+
+
+def farthest_first(pool: np.ndarray, count: int) -> np.ndarray:
     picked, gap = [0], np.linalg.norm(pool - pool[0], axis=1)
     while len(picked) < min(count, len(pool)) and gap.max() > 0:
         picked.append(int(gap.argmax()))
@@ -72,6 +79,10 @@ def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> np.ndarray:
     return pool[picked]
 
 
+def pivots_of(pivots: dict[int, np.ndarray], dim: int) -> np.ndarray:
+    return pivots[dim] if dim in pivots else np.zeros((1, dim))
+
+
 def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     out = np.empty((len(x), len(pivots)))
     for i, p in enumerate(pivots):
@@ -79,18 +90,17 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return out
 
 
-def key_batches(pivots: np.ndarray):
+def key_batches(pivots: dict[int, np.ndarray]):
     def run(batches):
         for b in batches:
-            x = np.array(b["v"].tolist(), np.int64).reshape(len(b), -1)
-            if not len(b):
-                continue
-            d = distances(x.astype(np.float64), pivots)
-            near = d.argmin(axis=1)
-            yield pd.DataFrame({
-                "vec_id": b["vec_id"], "v": [r.tobytes() for r in x], "pivot": near.astype(np.int32),
-                "dist": d[np.arange(len(x)), near], "norm": (x.astype(np.float64) ** 2).sum(axis=1),
-                "is_query": b["is_query"]})
+            for dim, part in b.groupby(b["v"].map(len)):
+                x = np.array(part["v"].tolist(), np.int64)
+                d = distances(x.astype(np.float64), pivots_of(pivots, dim))
+                near = d.argmin(axis=1)
+                yield pd.DataFrame({
+                    "vec_id": part["vec_id"], "v": [r.tobytes() for r in x], "dim": np.int32(dim),
+                    "pivot": near.astype(np.int32), "dist": d[np.arange(len(x)), near],
+                    "norm": (x.astype(np.float64) ** 2).sum(axis=1), "is_query": part["is_query"]})
     return run
 
 
@@ -131,33 +141,41 @@ def search_cell(k: int):
     return run
 
 
-def visits(pivots: np.ndarray, stats: pd.DataFrame, k: int, beyond: bool):
+def visits(pivots: dict[int, np.ndarray], stats: pd.DataFrame, k: int, beyond: bool):
     """The rings each query visits: in round one those of the greatest bounds
     that together hold more than ``k`` rows; ``beyond``: all others whose
     bound reaches the ``need`` of round one."""
+    rings = dict(tuple(stats.groupby("dim")))
+
+    def visited(b: pd.DataFrame, dim: int) -> pd.DataFrame:
+        at = rings[dim]
+        q = matrix(b["v"]).astype(np.float64)
+        d, norm = distances(q, pivots_of(pivots, dim)), (q ** 2).sum(axis=1)
+        near = d[:, at["pivot"].to_numpy()]
+        gap = np.maximum(0, np.maximum(at["low"].to_numpy() - near, near - at["high"].to_numpy()))
+        bound = (norm[:, None] + at["norm"].to_numpy() - gap ** 2) / 2
+        bound += 1 + 1e-9 * (norm[:, None] + at["norm"].to_numpy())  # rounding of distances
+        order = np.argsort(-bound, axis=1, kind="stable")
+        held = np.cumsum(at["n"].to_numpy()[order], axis=1)
+        early = np.zeros(bound.shape, bool)
+        np.put_along_axis(early, order, np.concatenate(
+            (np.ones((len(q), 1), bool), held[:, :-1] <= k), axis=1), axis=1)
+        want = early
+        if beyond:
+            need = b["need"].astype(float).fillna(-np.inf).to_numpy()
+            need = np.where(need <= -2.0 ** 63, -np.inf, need)  # a score that was cut
+            want = ~early & (bound >= need[:, None])
+        rows, ring = np.nonzero(want)
+        return pd.DataFrame({
+            "query_id": b["vec_id"].to_numpy()[rows], "q": b["v"].to_numpy()[rows], "dim": np.int32(dim),
+            "pivot": at["pivot"].to_numpy()[ring].astype(np.int32),
+            "ring": at["ring"].to_numpy()[ring].astype(np.int32)})
+
     def run(batches):
         for b in batches:
-            if not len(b):
-                continue
-            q = matrix(b["v"]).astype(np.float64)
-            d, norm = distances(q, pivots), (q ** 2).sum(axis=1)
-            near = d[:, stats["pivot"].to_numpy()]
-            gap = np.maximum(0, np.maximum(stats["low"].to_numpy() - near, near - stats["high"].to_numpy()))
-            bound = (norm[:, None] + stats["norm"].to_numpy() - gap ** 2) / 2
-            bound += 1 + 1e-9 * (norm[:, None] + stats["norm"].to_numpy())  # rounding of distances
-            order = np.argsort(-bound, axis=1, kind="stable")
-            held = np.cumsum(stats["n"].to_numpy()[order], axis=1)
-            early = np.zeros(bound.shape, bool)
-            np.put_along_axis(early, order, np.concatenate(
-                (np.ones((len(q), 1), bool), held[:, :-1] <= k), axis=1), axis=1)
-            want = early
-            if beyond:
-                want = ~early & (bound >= b["need"].astype(float).fillna(-np.inf).to_numpy()[:, None])
-            rows, ring = np.nonzero(want)
-            yield pd.DataFrame({
-                "query_id": b["vec_id"].to_numpy()[rows], "q": b["v"].to_numpy()[rows],
-                "pivot": stats["pivot"].to_numpy()[ring].astype(np.int32),
-                "ring": stats["ring"].to_numpy()[ring].astype(np.int32)})
+            for dim, part in b.groupby("dim"):
+                if dim in rings:
+                    yield visited(part, dim)
     return run
 
 
@@ -167,23 +185,20 @@ def best(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
-def build_index(vectors: DataFrame, pivots: np.ndarray) -> tuple[DataFrame, pd.DataFrame]:
+def build_index(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> tuple[DataFrame, pd.DataFrame]:
     """Keyed vectors with ring and cell, and the statistics of the rings."""
-    dim = pivots.shape[1]
-    keyed = kept(vectors.filter(F.size("v") == dim).mapInPandas(key_batches(pivots), KEYED))
+    keyed = kept(vectors.mapInPandas(key_batches(pivots), KEYED))
     # ring borders: quantiles of each pivot's distances
-    edge = keyed.groupBy("pivot").agg(F.percentile_approx(
+    edge = keyed.groupBy("dim", "pivot").agg(F.percentile_approx(
         "dist", [i / RINGS for i in range(1, RINGS)], 1000).alias("_edge"))
-    ringed = keyed.join(F.broadcast(edge), "pivot").withColumn(
+    ringed = keyed.join(edge, ["dim", "pivot"]).withColumn(
         "ring", F.size(F.filter("_edge", lambda e: e < F.col("dist")))).drop("_edge")
-    stats = ringed.groupBy("pivot", "ring").agg(
+    stats = ringed.groupBy("dim", "pivot", "ring").agg(
         F.min("dist").alias("low"), F.max("dist").alias("high"), F.max("norm").alias("norm"),
         F.count(F.lit(1)).alias("n"))
     stats = stats.withColumn("cells", F.ceil(F.col("n") / CELL_ROWS).cast("int"))
-    index = ringed.join(F.broadcast(stats.select("pivot", "ring", "cells")), ["pivot", "ring"])
-    index = index.withColumn("cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int"))
-    # at most PIVOTS * RINGS rows
-    return index, stats.toPandas().sort_values(["pivot", "ring"]).reset_index(drop=True)
+    # at most PIVOTS * RINGS rows a width
+    return ringed, stats.toPandas().sort_values(["dim", "pivot", "ring"]).reset_index(drop=True)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -192,30 +207,33 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     Both have ``vec_id`` and the integer array ``v``."""
     spark = vectors.sparkSession
     pivots = choose_pivots(vectors)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if not len(pivots):
-        return empty
+    if not pivots:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     index, stats = build_index(vectors.withColumn("is_query", F.lit(False)), pivots)
-    dim = pivots.shape[1]
-    asked = kept(queries.filter(F.size("v") == dim).withColumn("is_query", F.lit(True))
-                 .mapInPandas(key_batches(pivots), KEYED).select("vec_id", "v"))
-    cells = spark.createDataFrame(stats[["pivot", "ring", "cells"]])
-    schema = "query_id long, q binary, pivot int, ring int"
+    asked = kept(queries.withColumn("is_query", F.lit(True))
+                 .mapInPandas(key_batches(pivots), KEYED).select("vec_id", "v", "dim"))
+    cells = spark.createDataFrame(stats[["dim", "pivot", "ring", "cells"]])
+    schema = "query_id long, q binary, dim int, pivot int, ring int"
+    ring = ["dim", "pivot", "ring"]
 
     def search(asked: DataFrame, beyond: bool) -> DataFrame:
-        visit = (asked.mapInPandas(visits(pivots, stats, k, beyond), schema)
-                 .join(F.broadcast(cells), ["pivot", "ring"])
-                 .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))))
-        blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-        visit = visit.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-        data = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        by = ("pivot", "ring", "cell", "part")
+        visit = asked.mapInPandas(visits(pivots, stats, k, beyond), schema)
+        # blocks of queries by ring: rings that nobody visits are not sent
+        parts = kept(visit.groupBy(*ring).agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("parts"))
+                     .join(cells, ring))
+        by = (*ring, "cell", "part")
+        met = (visit.join(parts, ring)
+               .withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int"))
+               .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))))
+        data = (index.select("vec_id", "v", *ring).join(parts, ring)
+                .withColumn("cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int"))
+                .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
         return (data.select("vec_id", "v", *by).groupBy(*by)
-                .cogroup(visit.select("query_id", "q", *by).groupBy(*by))
+                .cogroup(met.select("query_id", "q", *by).groupBy(*by))
                 .applyInPandas(search_cell(k), HITS))
 
     early = kept(best(search(asked, False), k))
     need = early.filter(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("need"))
-    left = asked.join(need, F.col("vec_id") == F.col("_q"), "left").select("vec_id", "v", "need")
+    left = asked.join(need, F.col("vec_id") == F.col("_q"), "left").select("vec_id", "v", "dim", "need")
     late = search(kept(left), True)
     return best(early.drop("rank").unionByName(late), k).select("query_id", "rank", "vec_id", "score")

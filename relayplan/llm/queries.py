@@ -74,7 +74,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
                WHERE embedding IS NOT NULL AND len(embedding) > 0
                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
          s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
-               FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 100 = 0)
+               FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 100 = 0)
     SELECT query_id, rank, vec_id, score FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
     WHERE rank <= 10""")

@@ -12,13 +12,18 @@ from relayplan.llm import pivot_search
 SCHEMA = "vec_id long, embedding array<float>, rank int, pivot string"
 
 
+def cut(x, size):
+    return max(-size, min(x, size if size < 1 << 63 else size - 1))
+
+
 def brute(rows, k=10, every=100):
-    ok = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows
+    ok = [(i, [cut(math.floor(1024 * float(np.float32(x))), 1 << 62) for x in v]) for i, v in rows
           if v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for i, q in ok:
         if i is not None and i % every == 0:
-            s = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in ok if j != i)
+            s = sorted((-cut(sum(a * b for a, b in zip(q, v, strict=True)), 1 << 63), j)
+                       for j, v in ok if j != i and len(v) == len(q))
             out += [(i, n + 1, j, -x) for n, (x, j) in enumerate(s[:k])]
     return sorted(out)
 
@@ -58,6 +63,33 @@ def test_bad_vectors_take_no_part(spark):
     assert got(spark, rows, 20) == brute(rows, every=20)
 
 
+def test_widths_and_large_components(spark, monkeypatch):
+    """Each width is searched by itself, also one that the sample misses;
+    components of any finite size take part."""
+    monkeypatch.setattr(pivot_search, "SAMPLE", 60)
+    monkeypatch.setattr(pivot_search, "CELL_ROWS", 20)
+    monkeypatch.setattr(pivot_search, "QUERY_BLOCK", 4)
+    rnd = np.random.default_rng(5)
+    rows = [(i, (rnd.normal(size=4 if i % 3 else 8) * 10.0 ** rnd.integers(-2, 3)).tolist()) for i in range(400)]
+    rows += [(400 + i, rnd.normal(size=3).tolist()) for i in range(0, 50, 5)]  # few rows of a third width
+    rows += [(1000 + i, [float(x) for x in rnd.choice([-1e17, -3e12, 0.0, 2e16, 5e30], 4)]) for i in range(0, 60, 5)]
+    assert got(spark, rows, 20) == brute(rows, every=20)
+
+
+def test_cells_are_sent_to_the_blocks_that_visit_them(spark):
+    """Rows of the index meet the blocks of their ring only."""
+    rows = vectors(600, 6, 3, "clusters")
+    df = spark.createDataFrame([(i, v, 1, "p") for i, v in rows], SCHEMA)
+    v = pivot_search.quantise(df)
+    pivots = pivot_search.choose_pivots(v)
+    index, stats = pivot_search.build_index(v.withColumn("is_query", pivot_search.F.lit(False)), pivots)
+    q = index.filter("vec_id < 5").select("vec_id", "v", "dim").toPandas()
+    first = next(pivot_search.visits(pivots, stats, 10, False)(iter([q])))
+    assert index.count() == 600 and first["query_id"].nunique() == 5
+    seen = first[["dim", "pivot", "ring"]].drop_duplicates().merge(stats)["n"].sum()
+    assert seen < 300  # of 600 rows, by five queries
+
+
 def test_nothing(spark):
     assert got(spark, []) == []
     assert got(spark, [(1, [1.0, 2.0])]) == []
