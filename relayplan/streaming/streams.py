@@ -208,6 +208,41 @@ def first_deliveries(events: DataFrame, within: str = TTL) -> DataFrame:
     return events.withWatermark("ts", within).dropDuplicatesWithinWatermark(["job_id", "status"])
 
 
+#: Hash buckets of the keys that a stream has written.
+SEEN_BUCKETS = 64
+
+
+def first_rows_sink(out_path: str, seen_path: str, keys: list[str], buckets: int = SEEN_BUCKETS):
+    """T-10, S-11: foreachBatch writer of the rows whose key no earlier batch
+    wrote, however long ago; of equal keys within a batch one row. What the
+    stream's state has forgotten lies in hash buckets at ``seen_path``: a batch
+    reads the keys of its own buckets and adds its new ones. A replayed batch
+    looks at earlier batches only, so it decides the same."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        types = {f.name: f.dataType for f in batch.schema.fields}
+        b = (batch.dropDuplicates(keys)
+             .withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist())
+        try:
+            new = b
+            if path_exists(spark, seen_path):
+                touched = [r.bucket for r in b.select("bucket").distinct().collect()]  # at most ``buckets``
+                stored = T.StructType([T.StructField(k, types[k]) for k in keys]
+                                      + [T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())])
+                old = (spark.read.schema(stored).parquet(seen_path)
+                       .filter(F.col("bucket").isin(touched) & (F.col("batch") < batch_id)).alias("old"))
+                same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
+                new = b.alias("new").join(old, same, "left_anti")
+            out = f"{out_path}/batch={batch_id}"
+            new.write.mode("overwrite").parquet(out)
+            (spark.read.schema(b.schema).parquet(out).select(*keys, "bucket", F.lit(batch_id).cast("long").alias("batch"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket", "batch").parquet(seen_path))
+        finally:
+            b.unpersist()
+    return write
+
+
 def match_stream(statuses: DataFrame, registrations: DataFrame, ttl: str = TTL, hold: str = HOLD,
                  lateness: str = LATENESS) -> DataFrame:
     """T-6: each (job, state) against the stream of registrations, whichever
@@ -231,7 +266,10 @@ def stream_match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     clock = closing(t, TTL, TTL, HOLD)
     res = match_stream(first_deliveries(status_stream(t, clock)), registration_stream(t, clock))
-    return without_clock(read_sink(spark, run_to_completion(res, "match-status"), MATCH_OUT))
+    out = scratch_path(spark, "match-out")
+    drain(res, first_rows_sink(out, scratch_path(spark, "match-seen"), ["job_id", "status"]),
+          scratch_path(spark, "match-ckpt"))
+    return without_clock(read_sink(spark, out, MATCH_OUT))
 
 
 # -- T-3 / T-7: release waiting jobs ------------------------------------------------------

@@ -187,6 +187,33 @@ def test_duplicates_do_not_depend_on_batch_cuts(spark, tmp_path):
         assert spark.read.parquet(out).count() == 1
 
 
+def test_first_rows_are_known_for_ever(spark, tmp_path):
+    """Repeats that the state has forgotten are found in the stored keys; a
+    replayed batch writes what it wrote; null keys are keys."""
+    import glob
+
+    out, seen = str(tmp_path / "out"), str(tmp_path / "seen")
+    write = S.first_rows_sink(out, seen, ["job_id", "status"], buckets=4)
+
+    def frame(*rows):
+        return spark.createDataFrame(rows, "job_id string, status string, n int")
+
+    def wrote(k):
+        return sorted(((r.job_id, r.status, r.n) for r in spark.read.parquet(f"{out}/batch={k}").collect()), key=str)
+
+    write(frame(("a", "FAILED", 1), ("a", "FAILED", 1), ("b", None, 2)), 0)
+    second = frame(("a", "FAILED", 3), ("a", "RUNNING", 4), ("b", None, 5), (None, None, 6))
+    for _ in range(2):
+        write(second, 1)
+        assert wrote(1) == [("a", "RUNNING", 4), (None, None, 6)]
+    write(frame(("c", "FAILED", 7)), 2)
+    write(frame(("c", "FAILED", 8), (None, None, 9)), 3)
+    write(second, 1)  # replayed late: later batches do not count
+    assert wrote(0) == [("a", "FAILED", 1), ("b", None, 2)] and wrote(1) == [("a", "RUNNING", 4), (None, None, 6)]
+    assert wrote(2) == [("c", "FAILED", 7)] and wrote(3) == []
+    assert len(glob.glob(f"{seen}/bucket=*/batch=3")) == 0
+
+
 def test_timeouts_over_batches(spark, tmp_path):
     """Waits longer than the limit between signs of life, across micro-batches
     and out of order within the lateness; a wait of just the limit is none."""
