@@ -12,7 +12,7 @@ from relayplan.sources import events as EV
 from relayplan.sources.request_events import request_event_bodies
 from relayplan.sources.tables import Tables
 
-PAT = "^(icav2|s3)://[a-zA-Z0-9_-]*/[a-zA-Z0-9_/-]*"
+PAT = K.URI_PATTERN
 
 LISTS_SQL = """
 srcl as (select request_id, row_number() over (partition by request_id order by pos, source_uri) - 1 as i,

@@ -136,6 +136,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df):
+    """``df`` written once to the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_scratch(spark: SparkSession) -> int:
     """Delete what this application wrote under ``scratch_path`` (stream
     outputs, checkpoints, stored tables). Call it when results are written;

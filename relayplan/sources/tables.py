@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from relayplan import constants as K
 from relayplan.functions import uri as U
+from relayplan.session import stored
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -91,6 +92,15 @@ class Tables:
     def raw(self, name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, cols)
 
+    def stored(self, *names: str) -> Tables:
+        """These tables with the named ones written once to the shared folder,
+        for queries that use them many times: everything derived from them
+        reads the stored rows, and a lost executor costs a read, not a join."""
+        out = Tables(self.spark, self.sf_dir)
+        for name in names:
+            out.__dict__[name] = stored(getattr(out, name))
+        return out
+
     # -- requests -------------------------------------------------------------
     @cached_property
     def requests(self) -> DataFrame:
