@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from relayplan.llm.common import aside, kept, text_key, words
 
 WIDTH = 5
-# a side of at most so many rows is broadcast, a larger one is joined by shuffle
-BROADCAST_ROWS = 1_000_000
+# a side of at most so many bytes is broadcast, a larger one is joined by shuffle
+BROADCAST_BYTES = 32 << 20
 
 
 def shingles(w: Column, width: int) -> Column:
@@ -42,9 +42,12 @@ def shingle_hashes(w: Column, width: int) -> Column:
         lambda i: F.xxhash64(F.lit(width), F.slice(w, i, width)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A materialised side: broadcast if it has at most ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def checked(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A materialised side: broadcast if its values, as text and 16 bytes each,
+    take at most ``limit`` bytes. Without that, what it is joined with, the
+    shingles of all documents, would be exchanged before Spark knows its size."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
 
 
 def item_shingles(items: DataFrame, threshold: float) -> DataFrame:

@@ -17,7 +17,9 @@ How the join is spread over the cluster, without losing a link:
 2. Documents with equal sets become one. Each remaining set is posted under
    its smallest ``floor((1 - T) n) + 1`` fingerprints: linked sets share one
    of these (prefix rule). Within a posting an R-tree finds the pairs; each
-   receiver returns stars of connected sets, not pairs.
+   receiver returns stars of connected sets, not pairs. Postings are counted
+   first: one of more than ``POSTING`` sets is cut into chunks by hash, and each
+   pair of chunks is a group of its own, so that no task takes it whole.
 3. The stars' connected components are candidate clusters. A cluster's sets
    meet in blocks of bounded size, each pair of blocks in one task; an R-tree
    finds pairs that are not yet connected and can link, and the sets decide.
@@ -56,9 +58,15 @@ LEAF = 32
 CLUSTER_BLOCK = 2048
 #: Postings up to this size are joined pair by pair.
 SMALL = 8
+#: Sets of a posting that make a chunk; larger postings are cut.
+POSTING = 4096
+#: Sets that post together, as a power of two.
+POST_BITS = 8
 
 ASK = "bucket int, block long, data binary"
 ANSWER = "block long, kind int, bucket int, data binary"
+HOT = "block long, data binary"
+POSTED = "bucket int, own long, data binary"
 SETS = "id long, key binary, n long, d1 long, d2 long, data binary"
 EDGE = "a long, b long"
 
@@ -241,33 +249,91 @@ class RTree:
         return self.order[boxes[self.fits(q, size, self.points[boxes], n, n)]]
 
 
-def post_batches(buckets: int):
-    """Sets under their prefix fingerprints, one array row per receiver."""
+def prefix_keys(data: bytes) -> np.ndarray:
+    return unpack(data)[1] >> np.uint64(16)
+
+
+def receiver(key: np.ndarray, buckets: int) -> np.ndarray:
+    # keys are the smallest fingerprints: spread them again
+    return (mix(key) % np.uint64(buckets)).astype(np.int64)
+
+
+def count_keys(buckets: int):
+    """How many sets of each block post under a key."""
     def run(batches):
         for b in batches:
-            keys, ids, ns, points = [], [], [], []
-            for i, n, data in zip(b["id"], b["n"], b["data"], strict=True):
-                _, prefix, point = unpack(data)
-                keys.append(prefix >> np.uint64(16))
-                ids.append(np.full(len(prefix), i, np.int64))
-                ns.append(np.full(len(prefix), n, np.int32))
-                points.append(np.repeat(point[None, :], len(prefix), axis=0))
-            if not keys:
-                continue
-            key, i, n, point = (np.concatenate(x) for x in (keys, ids, ns, points))
-            # keys are the smallest fingerprints: spread them again
-            to = (mix(key) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(to, kind="stable")
-            cuts = np.searchsorted(to[by], np.arange(buckets + 1))
             rows = []
-            for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
-                s = by[cuts[k]:cuts[k + 1]]
-                rows.append((int(k), int(i[s[0]]), pack(key[s], i[s], n[s], point[s].ravel())))
+            for block, own in b.groupby("block", sort=False):
+                key, n = np.unique(np.concatenate([prefix_keys(d) for d in own["data"]]), return_counts=True)
+                to = receiver(key, buckets)
+                by = np.argsort(to, kind="stable")
+                cuts = np.searchsorted(to[by], np.arange(buckets + 1))
+                rows += [(int(k), int(block), pack(key[by[cuts[k]:cuts[k + 1]]], n[by[cuts[k]:cuts[k + 1]]]))
+                         for k in np.flatnonzero(cuts[1:] > cuts[:-1])]
             yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
         tidy()
     return run
 
 
+def hot_keys(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Keys of postings that are cut, and their numbers of chunks, for each
+    block that has them."""
+    parts = [unpack(d) for d in pdf["data"]]
+    key, no = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    total = np.zeros(len(key), np.int64)
+    np.add.at(total, no, np.concatenate([p[1] for p in parts]))
+    chunks = -(-total // POSTING)
+    out, at = [], 0
+    for block, p in zip(pdf["block"], parts, strict=True):
+        mine = chunks[no[at:at + len(p[0])]]
+        at += len(p[0])
+        if (mine > 1).any():
+            out.append((block, pack(p[0][mine > 1], mine[mine > 1])))
+    tidy()
+    return pd.DataFrame(out, columns=["block", "data"])
+
+
+def post_sets(buckets: int):
+    """Sets under their prefix fingerprints, one array row per receiver; under
+    a key that is cut, one row per pair of chunks (``own`` names the pair)."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        keys = [prefix_keys(d) for d in left["data"]]
+        size = [len(k) for k in keys]
+        key = np.concatenate([np.zeros(0, np.uint64), *keys])
+        i, n = (np.repeat(left[c].to_numpy(), size) for c in ("id", "n"))
+        point = [unpack(d)[2] for d in left["data"]]
+        which = np.repeat(np.arange(len(size)), size)
+        hot = [unpack(d) for d in right["data"]]
+        hot_key = np.concatenate([np.zeros(0, np.uint64), *[h[0] for h in hot]])
+        cut_into = np.concatenate([np.zeros(0, np.int64), *[h[1] for h in hot]])
+        # a key has one receiver, but a block may have told it in several batches
+        hot_key, first = np.unique(hot_key, return_index=True)
+        cut_into = cut_into[first]
+        chunks = np.ones(len(key), np.int64)
+        if len(hot_key):
+            at = np.minimum(np.searchsorted(hot_key, key), len(hot_key) - 1)
+            chunks = np.where(hot_key[at] == key, cut_into[at], 1)
+        # entries go to each pair of their own chunk and another
+        row = np.repeat(np.arange(len(key)), chunks)
+        other = np.arange(len(row)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+        mine = (mix(i[row].astype(np.uint64)) % chunks[row].astype(np.uint64)).astype(np.int64)
+        pair = np.minimum(mine, other) * chunks[row] + np.maximum(mine, other)
+        group = np.where(chunks[row] > 1, mix(key[row] + mix(pair.astype(np.uint64))).astype(np.int64), 0)
+        to = np.where(group != 0, receiver(group.astype(np.uint64), buckets), receiver(key[row], buckets))
+        by = np.lexsort((group, to))
+        row, group, to = row[by], group[by], to[by]
+        starts = np.flatnonzero(np.concatenate(([True], (to[1:] != to[:-1]) | (group[1:] != group[:-1])))) if len(
+            by) else np.zeros(0, np.int64)
+        rows = []
+        for s, e in zip(starts.tolist(), np.append(starts[1:], len(by)).tolist(), strict=True):
+            r = row[s:e]
+            rows.append((int(to[s]), int(group[s]), pack(
+                key[r], i[r], n[r].astype(np.int32), np.stack([point[w] for w in which[r]]).ravel())))
+        tidy()
+        return pd.DataFrame(rows, columns=["bucket", "own", "data"])
+    return run
+
+
 def join_postings(pdf: pd.DataFrame) -> pd.DataFrame:
     """Stars of sets that may link, over all postings of a receiver."""
     parts = [unpack(d) for d in pdf["data"]]
@@ -388,8 +454,11 @@ def labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = kept(may.groupBy("d1", "d2").agg(F.min(F.struct("id", "key")).alias("least"), F.first("n").alias("n"),
                                            F.first("data").alias("data"))
                .withColumn("id", F.monotonically_increasing_id()))
-    stars = (one.select("id", "n", "data").mapInPandas(post_batches(buckets), ASK)
-             .groupBy("bucket").applyInPandas(join_postings, EDGE))
+    post = one.select(F.shiftright("id", POST_BITS).alias("block"), "id", "n", "data")
+    cut = (post.select("block", "data").mapInPandas(count_keys(buckets), ASK)
+           .groupBy("bucket").applyInPandas(hot_keys, HOT))
+    stars = (post.groupBy("block").cogroup(cut.groupBy("block")).applyInPandas(post_sets(buckets), POSTED)
+             .groupBy("bucket", "own").applyInPandas(join_postings, EDGE))
     cluster = components(stars)
     named = cluster.unionByName(cluster.select(F.col("root").alias("id"), "root").distinct())
     held = one.select("id", "n", "data").join(named.withColumnRenamed("root", "cluster"), "id")

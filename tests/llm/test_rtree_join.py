@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 
@@ -77,6 +78,43 @@ def test_link_is_brute_force(spark, monkeypatch, seed, repeat, small):
     assert got(spark, docs) == brute(docs)
 
 
+def test_hot_postings_are_cut(spark, monkeypatch):
+    """A third of all sets and more share prefix shingles: no group takes more
+    than two chunks of them, and the components are the same."""
+    monkeypatch.setattr(rtree_join, "POSTING", 10)
+    monkeypatch.setattr(rtree_join, "POST_BITS", 3)
+    docs = near(6, 160, 3000)
+    rnd = random.Random(8)
+    base = [f"h{i}" for i in range(60)]
+    for i in range(90):  # near copies of one text, all different
+        w = list(base)
+        w[rnd.randrange(60)] = f"x{i}"
+        docs.append((1000 + i, " ".join(w)))
+    assert got(spark, docs) == brute(docs)
+
+
+@pytest.mark.parametrize("n,posting", [(300, 13), (40, 13), (1, 13), (13, 13), (14, 13)])
+def test_groups_of_a_cut_posting(monkeypatch, n, posting):
+    """Every pair of a posting's sets meets in a group, and groups are bounded."""
+    monkeypatch.setattr(rtree_join, "POSTING", posting)
+    key = np.array([77 << 16], np.uint64)
+    sets = pd.DataFrame({"block": np.arange(n) // 4, "id": np.arange(n), "n": 5, "data": [
+        blocks.pack(key, key, np.full(rtree_join.GROUPS, i, np.int32)) for i in range(n)]})
+    asked = pd.concat(rtree_join.count_keys(3)([sets[["block", "data"]]]))
+    cut = pd.concat([rtree_join.hot_keys(g) for _, g in asked.groupby("bucket")])
+    assert (len(cut) > 0) == (n > posting)
+    sent = pd.concat([rtree_join.post_sets(3)(g, cut[cut["block"] == b]) for b, g in sets.groupby("block")])
+    met, largest = set(), 0
+    for _, g in sent.groupby(["bucket", "own"]):
+        ids = sorted({int(x) for d in g["data"] for x in blocks.unpack(d)[1]})
+        for d in g["data"]:
+            assert (blocks.unpack(d)[3].reshape(-1, rtree_join.GROUPS)[:, 0] == blocks.unpack(d)[1]).all()
+        largest = max(largest, len(ids))
+        met |= {(a, b) for a in ids for b in ids if a < b}
+    assert met == {(a, b) for a in range(n) for b in range(n) if a < b}
+    assert largest <= 4 * posting  # two chunks, of sizes that vary with the hash
+
+
 def test_link_of_files(spark, sf_small):
     rows = pq.read_table(f"{sf_small}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
     docs = [(r["doc_id"], r["text"]) for r in rows]
