@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relayplan.operators import expand as X
+from relayplan.operators import rename as N
 from relayplan.operators import resolve as R
 from relayplan.session import scratch_path
 from relayplan.sources import layout as L
@@ -111,3 +112,22 @@ def test_bucketed_lookup_exchanges_the_keys_only(spark, sf_small, no_broadcast,
     for x in executed(got):
         if "Exchange" in x.getClass().getSimpleName():
             assert table not in x.toString()
+
+
+def test_stored_tables_are_scanned_and_not_derived_again(spark, sf_small):
+    t = Tables(spark, sf_small)
+    stored = t.stored("files")
+    assert rows(stored.files) == rows(t.files)
+    assert not any("lineitem" in f for f in stored.inventory.inputFiles())
+    assert any("lineitem" in f for f in t.inventory.inputFiles())
+
+
+def test_items_with_their_objects(spark):
+    items = spark.createDataFrame([(1, 1, "a", None), (1, 2, None, "s3://b/c"), (1, 3, "x", None), (1, 4, "fold", None),
+                                   (2, 1, "a", None)], "request_id long, item int, data_id string, input_uri string")
+    inv = spark.createDataFrame([("a", "FILE", "p", "/r/a.txt", "a.txt", 7), ("fold", "FOLDER", "p", "/r/", "r", None)],
+                                "data_id string, data_type string, owning_project_id string, path string, name string, size long")
+    got = {(r.request_id, r.item): (r.obj_project, r.obj_path, r.obj_name, r.obj_size)
+           for r in N.item_objects(items, inv).collect()}
+    hit, none = ("p", "/r/a.txt", "a.txt", 7), (None,) * 4
+    assert got == {(1, 1): hit, (1, 2): none, (1, 3): none, (1, 4): none, (2, 1): hit}
