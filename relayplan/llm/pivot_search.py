@@ -23,7 +23,7 @@ for each block of the queries that visit its ring.
 Defined cases: vectors that are null, empty or hold null, infinite or undefined
 components take no part; a query's candidates are the rows of its width; ties
 go to the smaller id, null ids last; with fewer than k candidates all are
-returned; components beyond 2**28 in size are multiplied in exact integers and
+returned; products that may leave 64 bits are summed in exact integers and
 scores cut to 64 bits; quantised components are cut at 2**62 in size, which
 matters for values above 4.5e15 only; an empty table gives no rows. ``vec_id`` is taken as unique: a
 query's candidates are the rows with another id.
@@ -113,7 +113,7 @@ def inner(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     big = max(int(np.abs(q).max(initial=0)), int(np.abs(x).max(initial=0)))
     if big * big * q.shape[1] < 1 << 53:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    if big < 1 << 28:
+    if big * big * q.shape[1] < 1 << 63:
         return q @ x.T
     low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
     return np.clip(q.astype(object) @ x.astype(object).T, low, high).astype(np.int64)
@@ -212,7 +212,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     index, stats = build_index(vectors.withColumn("is_query", F.lit(False)), pivots)
     asked = kept(queries.withColumn("is_query", F.lit(True))
                  .mapInPandas(key_batches(pivots), KEYED).select("vec_id", "v", "dim"))
-    cells = spark.createDataFrame(stats[["dim", "pivot", "ring", "cells"]])
+    # both sides of the cogroup need keys of one type: an int and a long of the
+    # same value fall into different partitions
+    cells = spark.createDataFrame(stats[["dim", "pivot", "ring", "cells"]]).select(
+        *[F.col(c).cast("int").alias(c) for c in ("dim", "pivot", "ring", "cells")])
     schema = "query_id long, q binary, dim int, pivot int, ring int"
     ring = ["dim", "pivot", "ring"]
 

@@ -106,3 +106,15 @@ def test_large_components_are_exact():
     a = np.array([[1 << 40, 3]], np.int64)
     assert pivot_search.inner(a, np.array([[5, 7]], np.int64))[0, 0] == (5 << 40) + 21
     assert pivot_search.inner(a, a)[0, 0] == np.iinfo(np.int64).max
+
+
+def test_search_over_many_partitions(spark):
+    """Cells and the queries that visit them meet, however many partitions the
+    exchange has."""
+    key, rows = "spark.sql.adaptive.coalescePartitions.enabled", vectors(300, 6, 4, "hot")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert got(spark, rows, 20) == brute(rows, every=20)
+    finally:
+        spark.conf.set(key, before)
