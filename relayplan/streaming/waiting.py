@@ -90,12 +90,12 @@ def _processor(hold: int, ttl: int | None):
             return
         kept = json.loads(state.get[0]) if state.exists else {"regs": [], "states": []}
         for f in frames:
-            for is_reg, us, event, status, token in zip(
-                    f["is_reg"], f["us"], f["event_id"], f["status"], f["task_token"], strict=True):
-                if is_reg:
-                    kept["regs"].append([int(us), token, False])
+            for text in f["row"].tolist():
+                row = json.loads(text)
+                if row["is_reg"]:
+                    kept["regs"].append([row["us"], row.get("task_token"), False])
                 else:
-                    kept["states"].append([int(us), int(event), status])
+                    kept["states"].append([row["us"], row["event_id"], row.get("status")])
         kept["regs"].sort(key=lambda r: r[0])
         kept["states"].sort()
         now_ms = state.getCurrentWatermarkMs()
@@ -107,8 +107,9 @@ def _processor(hold: int, ttl: int | None):
         elif state.exists:
             state.remove()
         if rows:
-            yield pd.DataFrame([(m, key[0], *r) for m, *r in rows], columns=MOVES.fieldNames()).astype(
-                {"reg_us": "Int64", "ts_us": "Int64", "event_id": "Int64"})
+            names = MOVES.fieldNames()
+            yield pd.DataFrame({"moves": [json.dumps([dict(zip(names, (m, key[0], *r), strict=True))
+                                                      for m, *r in rows])]})
     return run
 
 
@@ -118,16 +119,18 @@ def waiting_jobs(registrations: DataFrame, statuses: DataFrame, hold: str, ttl:
     (job_id, status, ts, event_id) to rows of ``MOVES``: a job's wait was opened,
     released by a state, or expired."""
     us = F.unix_micros("ts").alias("us")
-    null = lambda kind: F.lit(None).cast(kind)
+
+    def packed(*more):  # one text a row: a column costs more than its values where a call gets a row or two
+        return F.to_json(F.struct(us, *more)).alias("row")
+
     r = registrations.withWatermark("ts", lateness).select(
-        "job_id", "ts", F.lit(True).alias("is_reg"), us, null("long").alias("event_id"), null("string").alias("status"),
-        "task_token")
+        "job_id", "ts", packed(F.lit(True).alias("is_reg"), "task_token"))
     s = statuses.withWatermark("ts", lateness).filter((F.col("job_id") == CLOCK) | ~non_terminal("status")).select(
-        "job_id", "ts", F.lit(False).alias("is_reg"), us, F.col("event_id").cast("long").alias("event_id"), "status",
-        null("string").alias("task_token"))
+        "job_id", "ts", packed(F.lit(False).alias("is_reg"), F.col("event_id").cast("long").alias("event_id"), "status"))
     ttl_us = None if ttl is None else interval_micros(ttl)
-    return (r.unionByName(s).groupBy("job_id").applyInPandasWithState(
-        _processor(interval_micros(hold), ttl_us), MOVES, STATE, "append", GroupStateTimeout.EventTimeTimeout))
+    moves = r.unionByName(s).groupBy("job_id").applyInPandasWithState(
+        _processor(interval_micros(hold), ttl_us), "moves string", STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return moves.select(F.inline(F.from_json("moves", T.ArrayType(MOVES))))
 
 
 def intervals(moves: DataFrame) -> DataFrame:

@@ -326,3 +326,10 @@ def test_registry_replaces_touched_buckets_only(spark, tmp_path):
     assert rows() == sorted([*want, ("j5", "JOB_ID", "again")])
     put(3, [(f"j{i}", "JOB_ID", "t", day(1), day(9)) for i in range(2000)])
     assert rows() == [] and C.read_registry(spark, path, "OTHER").count() == 0
+
+
+def test_large_event_ids_are_exact(spark, tmp_path):
+    """A state that comes in one batch with its registration keeps its id."""
+    big = 2**53 + 1
+    got = released(spark, tmp_path, [[("j", "2024-01-01 00:00:00")]], [[("j", "FAILED", "2024-01-01 00:00:01", big)]])
+    assert got == [("j", "FAILED", big)]
