@@ -131,3 +131,18 @@ def test_items_with_their_objects(spark):
            for r in N.item_objects(items, inv).collect()}
     hit, none = ("p", "/r/a.txt", "a.txt", 7), (None,) * 4
     assert got == {(1, 1): hit, (1, 2): none, (1, 3): none, (1, 4): none, (2, 1): hit}
+
+
+def test_exchanges_grow_with_the_input(spark):
+    """More partitions for a large input, the session's own for a small one; a
+    number that the session has chosen stays."""
+    from relayplan import session as SE
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert SE.size_exchanges(spark, (least + 5) * SE.EXCHANGE_INPUT) == least + 5
+        assert spark.range(10).repartition("id").rdd.getNumPartitions() <= least + 5
+        assert SE.size_exchanges(spark, 10) == least
+        spark.conf.set(SE.INITIAL, "31")
+        assert SE.size_exchanges(spark, 1 << 40) == 31
+    finally:
+        spark.conf.unset(SE.INITIAL)
