@@ -142,3 +142,13 @@ def test_scratch_is_cleaned(spark):
         assert SE.clean_scratch(spark) == 0
     finally:
         SE._SCRATCH[spark.sparkContext.applicationId] = other
+
+
+def test_verify_transfer_reads_its_checks_once(spark, sf_small):
+    """Every mode goes through the same lookups; checks are not built for each."""
+    t = Tables(spark, sf_small)
+    checks = spark.read.parquet(f"{sf_small}/customer.parquet").selectExpr(
+        "c_custkey as check_id", "cast(c_custkey as long) as file_size", "concat('icav2://p/', c_name) as output_uri",
+        "c_name as destination_uri", "c_name as source_uri")
+    plan = V.verify_transfer(checks, t.files, t.external_objects)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("c_custkey#") and plan.count("Relation [c_custkey") == 1
