@@ -146,3 +146,20 @@ def test_exchanges_grow_with_the_input(spark):
         assert SE.size_exchanges(spark, 1 << 40) == 31
     finally:
         spark.conf.unset(SE.INITIAL)
+
+
+def test_a_task_does_not_grow_with_the_input(spark):
+    """Adaptive execution puts partitions together up to a size of ours, unless the
+    session has chosen its own."""
+    from relayplan import session as SE
+    before = spark.conf.get(SE.ADVISORY, None)
+    try:
+        spark.conf.unset(SE.ADVISORY)
+        SE.size_exchanges(spark, 10)
+        assert int(spark.conf.get(SE.ADVISORY)) == SE.EXCHANGE_OUTPUT < 64 << 20
+        spark.conf.set(SE.ADVISORY, "17MB")
+        SE.size_exchanges(spark, 1 << 40)
+        assert spark.conf.get(SE.ADVISORY) == "17MB"
+    finally:
+        spark.conf.unset(SE.INITIAL)
+        spark.conf.unset(SE.ADVISORY) if before is None else spark.conf.set(SE.ADVISORY, before)
