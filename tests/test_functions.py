@@ -166,3 +166,17 @@ def test_pair_destination_compat_quirks(spark):
                   pair_destination(F.col("d"), F.col("s"), compat=True).alias("compat")).collect()
     assert (r[0].norm, r[0].compat) == ("icav2://p/d/f.txt", "icav2://p/df.txt")     # Q10
     assert (r[1].norm, r[1].compat) == ("icav2://p/d/a#b?c", "icav2://p/d/a")        # Q19
+
+
+def test_path_functions_agree_with_their_definitions(spark):
+    """Base name, parent, folder form and normal form equal the plain patterns."""
+    paths = ["", "/", "//", "a", "a/", "/a", "/a/", "/a//", "/a/b", "/a//b", "/a/./b", "/a/././b//", "./a", "/./", "/.//b",
+             "/a/b/c.txt", "a//b//", "/\n/b", "/x\n", None]
+    df = spark.createDataFrame([(p,) for p in paths], "v string")
+    got = df.select("v", U.basename("v").alias("b"), F.regexp_extract("v", r"([^/]+)/*\z", 1).alias("b0"),
+                    U.parent("v").alias("p"), F.regexp_replace("v", r"[^/]+/?\z", "").alias("p0"),
+                    U.as_folder("v").alias("f"), F.regexp_replace(F.concat("v", F.lit("/")), r"/+\z", "/").alias("f0"),
+                    U.normalise_path("v").alias("n"),
+                    F.regexp_replace(F.regexp_replace("v", r"/(\./)+", "/"), "/+", "/").alias("n0")).collect()
+    for r in got:
+        assert (r.b, r.p, r.f, r.n) == (r.b0, r.p0, r.f0, r.n0), r.v

@@ -163,3 +163,11 @@ def test_a_task_does_not_grow_with_the_input(spark):
     finally:
         spark.conf.unset(SE.INITIAL)
         spark.conf.unset(SE.ADVISORY) if before is None else spark.conf.set(SE.ADVISORY, before)
+
+
+@pytest.mark.parametrize("name", ["transfer_action"])
+def test_plans_derive_files_once(spark, sf_small, name):
+    """The result reads stored files and sources; it derives neither again."""
+    from relayplan import plans
+    read = plans.QUERIES[name](spark, sf_small).inputFiles()
+    assert not any("lineitem" in f for f in read) and any("stored-" in f for f in read)

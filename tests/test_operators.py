@@ -250,3 +250,24 @@ def test_empty_destination_folder_is_not_missing(spark):
                       (3, "icav2://d/new/", "p", "/"), (4, "icav2://d/new", "p", "/")])
     got = sorted((r.project_id, r.path) for r in R.missing_destinations(rq, dest).collect())
     assert got == [("d", "/new/")]     # request 4 lacks the final '/': a validation error, not a folder
+
+
+def test_expansion_meets_folders_at_their_levels(spark):
+    """With the levels of the sources an expansion has the same rows, of fewer ancestors."""
+    inventory = inv(spark, [
+        ("p", "fol.a", "FOLDER", "/a/", None, None), ("p", "fol.b", "FOLDER", "/a/b/", None, None),
+        ("p", "fol.e", "FOLDER", "/a/b/empty/", None, None), ("q", "fol.q", "FOLDER", "/a/", None, None),
+        ("p", "fil.1", "FILE", "/a/1.dat", 1, "e"), ("p", "fil.2", "FILE", "/a/b/c/d/2.dat", 2, "e"),
+        ("q", "fil.3", "FILE", "/a/b/3.dat", 3, "e"), (None, "fil.4", "FILE", "/a/b/4.dat", 4, "e")])
+    sources = spark.createDataFrame([(1, 0, "icav2://p/a/b/"), (2, 0, "icav2://p/a/"), (2, 1, "icav2://p/a/b/"),
+                                     (3, 0, "icav2://p/a/1.dat"), (4, 0, "icav2://r/a/")],
+                                    "request_id long, pos int, source_uri string")
+    rq = reqs(spark, [(i, "icav2://dst/x/", "p", "/") for i in (1, 2, 3, 4)])
+    resolved = R.resolve_sources(sources, inventory)
+    levels = X.source_levels(resolved)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = rows(X.expand_recursive(resolved, rq, inventory))
+    assert len(want) == 4 and rows(X.expand_recursive(resolved, rq, inventory, levels=levels)) == want
+    assert rows(X.expand_recursive(resolved, rq, inventory, salt=3, levels=levels)) == want
+    assert rows(X.folder_tree(resolved, rq, inventory, levels)) == rows(X.folder_tree(resolved, rq, inventory)) != []
+    assert X.file_ancestors(inventory, levels).count() == 3 < X.file_ancestors(inventory).count() == 13
