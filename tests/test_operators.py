@@ -271,3 +271,26 @@ def test_expansion_meets_folders_at_their_levels(spark):
     assert rows(X.expand_recursive(resolved, rq, inventory, salt=3, levels=levels)) == want
     assert rows(X.folder_tree(resolved, rq, inventory, levels)) == rows(X.folder_tree(resolved, rq, inventory)) != []
     assert X.file_ancestors(inventory, levels).count() == 3 < X.file_ancestors(inventory).count() == 13
+
+
+def test_size_lookup_joins_once(spark):
+    """Project and external sizes come from one join; repeated objects repeat a check,
+    and odd URIs find nothing."""
+    from relayplan.operators import verify as V
+    objects = spark.createDataFrame([("p", "/a", "FILE", 1), ("p", "/twice", "FILE", 2), ("p", "/twice", "FILE", 2),
+                                     ("p", "/fold", "FOLDER", None), ("p", "/null", "FILE", None), (None, "/a", "FILE", 9),
+                                     ("", "s3://b/k", "FILE", 8)],
+                                    "project_id string, path string, data_type string, size long")
+    ext = spark.createDataFrame([(1, "s3://b/k", 5, True), (2, "s3://b/k", 6, True), (3, "s3://b/old", 7, False),
+                                 (4, None, 1, True), (5, "icav2://p/a", 3, True)],
+                                "s3_object_id long, uri string, size long, current_state boolean").selectExpr(
+        "*", "'e' etag", "'b' bucket", "'k' key")
+    uris = ["icav2://p/a", "icav2://p/twice", "icav2://p/fold", "icav2://p/null", "s3://b/k", "s3://b/old", "gs://p/a",
+            "icav2://p", "", None]
+    checks = spark.createDataFrame([(i, u) for i, u in enumerate(uris)], "id long, u string")
+    j = V.size_lookup(checks, "u", "n", objects, ext)
+    assert j.columns == ["id", "u", "n", "n_found"]
+    assert sorted((r.id, r.n, r.n_found) for r in j.collect()) == [
+        (0, 1, True), (1, 2, True), (1, 2, True), (2, None, False), (3, None, True), (4, 5, True), (5, None, False),
+        (6, None, False), (7, None, False), (8, None, False), (9, None, False)]
+    assert j._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
