@@ -165,9 +165,24 @@ def test_a_task_does_not_grow_with_the_input(spark):
         spark.conf.unset(SE.ADVISORY) if before is None else spark.conf.set(SE.ADVISORY, before)
 
 
-@pytest.mark.parametrize("name", ["transfer_action", "recursive_jobs", "verify_pair"])
+@pytest.mark.parametrize("name", ["transfer_action", "recursive_jobs", "verify_pair", "touched_inventory"])
 def test_plans_derive_files_once(spark, sf_small, name):
     """The result reads stored files and sources; it derives neither again."""
     from relayplan import plans
     read = plans.QUERIES[name](spark, sf_small).inputFiles()
     assert not any("lineitem" in f for f in read) and any("stored-" in f for f in read)
+
+
+def test_touched_objects_of_odd_paths(spark, tmp_path):
+    """Only ancestors as deep as a named folder are met; a named file, and objects of a
+    project with no named folder, are still found."""
+    from relayplan.functions import uri as U
+    named = spark.createDataFrame([("p", "/a/b/"), ("p", "/a/b/"), ("q", "/x.txt"), ("p", "/"), (None, "/a/")],
+                                  "project_id string, path string")
+    levels = {r.project_id: sorted(r._levels) for r in X.folder_levels(named.filter(F.col("path").endswith("/"))).collect()}
+    assert levels == {"p": [1, 3], None: [2]}
+    got = spark.createDataFrame([("/a/b/c/d.txt",), ("/a/b/",), ("/",), ("a/b/c",), ("/a//b",), (None,)], "path string").select(
+        "path", U.ancestors("path", F.array(F.lit(1), F.lit(3), F.lit(9))).alias("some"), U.ancestors("path").alias("all"))
+    assert {r.path: (r.some, r.all) for r in got.collect()} == {
+        "/a/b/c/d.txt": (["/", "/a/b/"], ["/", "/a/", "/a/b/", "/a/b/c/"]), "/a/b/": (["/"], ["/", "/a/"]),
+        "/": ([], []), "a/b/c": (["a/"], ["a/", "a/b/"]), "/a//b": (["/", "/a//"], ["/", "/a/", "/a//"]), None: ([], [])}
