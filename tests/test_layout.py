@@ -165,7 +165,7 @@ def test_a_task_does_not_grow_with_the_input(spark):
         spark.conf.unset(SE.ADVISORY) if before is None else spark.conf.set(SE.ADVISORY, before)
 
 
-@pytest.mark.parametrize("name", ["transfer_action", "recursive_jobs", "verify_pair", "touched_inventory"])
+@pytest.mark.parametrize("name", ["transfer_action", "recursive_jobs", "verify_pair", "touched_inventory", "resolve_renames"])
 def test_plans_derive_files_once(spark, sf_small, name):
     """The result reads stored files and sources; it derives neither again."""
     from relayplan import plans
