@@ -294,3 +294,23 @@ def test_size_lookup_joins_once(spark):
         (0, 1, True), (1, 2, True), (1, 2, True), (2, None, False), (3, None, True), (4, 5, True), (5, None, False),
         (6, None, False), (7, None, False), (8, None, False), (9, None, False)]
     assert j._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_part_split_lists_every_id(spark):
+    """A-3: the lists are whole: a long one goes on in further rows, a row of a
+    request without id counts as a file, equal ids stay."""
+    files = [(1, f"m{i:03d}", "a-2", 10) for i in range(25)] + [(1, "s1", "a", 1), (1, "s1", "b", 2), (1, "u", None, 5)]
+    files += [(2, None, "a", 7), (3, "x", "c-1", None), (None, "n2", "a", 1), (None, "n1", "a", 1)]
+    df = spark.createDataFrame(files, "request_id long, data_id string, etag string, size long")
+    got = {(r.request_id, r.part_class, r.part): (r.files, r.bytes, r.first_id, r.last_id, r.ids)
+           for r in A.split_parts(df, max_items=10).collect()}
+    lines = lambda a, b: "\n".join(f"m{i:03d}" for i in range(a, b))
+    assert got == {
+        (1, "MULTI", 0): (25, 250, "m000", "m024", lines(0, 10)), (1, "MULTI", 1): (25, 250, "m000", "m024", lines(10, 20)),
+        (1, "MULTI", 2): (25, 250, "m000", "m024", lines(20, 25)), (1, "SINGLE", 0): (2, 3, "s1", "s1", "s1\ns1"),
+        (1, "UNKNOWN", 0): (1, 5, "u", "u", "u"), (2, "SINGLE", 0): (1, 7, None, None, None),
+        (3, "MULTI", 0): (1, None, "x", "x", "x"), (None, "SINGLE", 0): (2, 2, "n1", "n2", "n1\nn2")}
+    # whatever the partitions of a list
+    many = A.split_parts(df.repartition(7), max_items=1).collect()
+    assert len(many) == len(files) and sorted(r.ids for r in many if r.part_class == "MULTI") == [
+        *(f"m{i:03d}" for i in range(25)), "x"]
