@@ -1,7 +1,8 @@
 """T-3, T-7: the jobs that wait, as keyed state of a stream.
 
 A job waits from its registration until its first terminal state. State is kept
-per job: registrations not yet released, and terminal states that came early.
+per job, or for some jobs together: registrations not yet released, and terminal
+states that came early.
 All decisions are made in event time, when the watermark has passed them, so
 that they are the same whichever of the two streams comes first and however
 their rows are cut into batches:
@@ -15,7 +16,7 @@ their rows are cut into batches:
 Rows that come later than the watermark allows are dropped by Spark.
 
 Registered again while it waits, a job keeps its wait and has the newest token.
-What a key keeps is its open registrations and the terminal states of the last
+What is kept of a job is its open registrations and the terminal states of the last
 ``hold``; non-terminal states never reach the state.
 """
 
@@ -85,50 +86,80 @@ def settle(kept: dict, now: int, hold: int, ttl: int | None) -> tuple[list[tuple
 
 
 def _processor(hold: int, ttl: int | None):
+    """The function of a key: a job, or the jobs of a bucket. Its state is one text:
+    what each of its jobs keeps, and when to look at that again."""
+    names = MOVES.fieldNames()
+
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if not key[0]:  # the clock
-            return
-        kept = json.loads(state.get[0]) if state.exists else {"regs": [], "states": []}
+        jobs = json.loads(state.get[0]) if state.exists else {}
+        touched = set()
         for f in frames:
             for text in f["row"].tolist():
                 row = json.loads(text)
+                job = row.get("job_id")
+                if not job:  # the clock
+                    continue
+                kept = jobs.setdefault(job, {"regs": [], "states": [], "due": None})
+                touched.add(job)
                 if row["is_reg"]:
                     kept["regs"].append([row["us"], row.get("task_token"), False])
                 else:
                     kept["states"].append([row["us"], row["event_id"], row.get("status")])
-        kept["regs"].sort(key=lambda r: r[0])
-        kept["states"].sort()
         now_ms = state.getCurrentWatermarkMs()
-        rows, due = settle(kept, now_ms * 1000, hold, ttl)
-        if kept["regs"] or kept["states"]:
-            state.update((json.dumps(kept),))
+        now, moves = now_ms * 1000, []
+        for job, kept in list(jobs.items()):
+            if job not in touched and (kept["due"] is None or kept["due"] > now):
+                continue
+            if job in touched:
+                kept["regs"].sort(key=lambda r: r[0])
+                kept["states"].sort()
+            rows, kept["due"] = settle(kept, now, hold, ttl)
+            moves += [dict(zip(names, (m, job, *r), strict=True)) for m, *r in rows]
+            if not (kept["regs"] or kept["states"]):
+                del jobs[job]
+        if jobs:
+            state.update((json.dumps(jobs, separators=(",", ":")),))
+            due = min((kept["due"] for kept in jobs.values() if kept["due"] is not None), default=None)
             if due is not None:
                 state.setTimeoutTimestamp(max(due // 1000 + 1, now_ms + 1))
         elif state.exists:
             state.remove()
-        if rows:
-            names = MOVES.fieldNames()
-            yield pd.DataFrame({"moves": [json.dumps([dict(zip(names, (m, key[0], *r), strict=True))
-                                                      for m, *r in rows])]})
+        if moves:
+            yield pd.DataFrame({"moves": [json.dumps(moves)]})
     return run
 
 
+#: Jobs of a bucket, about: what a call of the function costs besides its rows is
+#: shared by as many, and its state is read and written whole.
+BUCKET_JOBS = 128
+
+
 def waiting_jobs(registrations: DataFrame, statuses: DataFrame, hold: str, ttl: str | None = None,
-                 lateness: str = "10 minutes") -> DataFrame:
+                 lateness: str = "10 minutes", buckets: int | None = None) -> DataFrame:
     """Streams of registrations (job_id, task_token, ts) and notifications
     (job_id, status, ts, event_id) to rows of ``MOVES``: a job's wait was opened,
-    released by a state, or expired."""
+    released by a state, or expired.
+
+    State is kept per job, or with ``buckets`` per hash bucket of jobs: the rows are
+    the same. A micro-batch that has rows for many jobs takes a call for each key,
+    which costs far more than its rows, so streams of many jobs a batch should have
+    buckets of some ``BUCKET_JOBS``. Their number belongs to the checkpoint."""
     us = F.unix_micros("ts").alias("us")
+    key = "job_id" if buckets is None else "bucket"
 
     def packed(*more):  # one text a row: a column costs more than its values where a call gets a row or two
-        return F.to_json(F.struct(us, *more)).alias("row")
+        return F.to_json(F.struct(us, "job_id", *more)).alias("row")
+
+    def keyed(df, *more):
+        keys = [F.col("job_id") if buckets is None else
+                F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int").alias(key)]
+        return df.select(*keys, "ts", packed(*more))
 
-    r = registrations.withWatermark("ts", lateness).select(
-        "job_id", "ts", packed(F.lit(True).alias("is_reg"), "task_token"))
-    s = statuses.withWatermark("ts", lateness).filter((F.col("job_id") == CLOCK) | ~non_terminal("status")).select(
-        "job_id", "ts", packed(F.lit(False).alias("is_reg"), F.col("event_id").cast("long").alias("event_id"), "status"))
+    r = keyed(registrations.withWatermark("ts", lateness), F.lit(True).alias("is_reg"), "task_token")
+    s = keyed(statuses.withWatermark("ts", lateness).filter((F.col("job_id") == CLOCK) | ~non_terminal("status")),
+              F.lit(False).alias("is_reg"), F.col("event_id").cast("long").alias("event_id"), "status")
     ttl_us = None if ttl is None else interval_micros(ttl)
-    moves = r.unionByName(s).groupBy("job_id").applyInPandasWithState(
+    moves = r.unionByName(s).groupBy(key).applyInPandasWithState(
         _processor(interval_micros(hold), ttl_us), "moves string", STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return moves.select(F.inline(F.from_json("moves", T.ArrayType(MOVES))))
 

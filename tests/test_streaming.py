@@ -333,3 +333,31 @@ def test_large_event_ids_are_exact(spark, tmp_path):
     big = 2**53 + 1
     got = released(spark, tmp_path, [[("j", "2024-01-01 00:00:00")]], [[("j", "FAILED", "2024-01-01 00:00:01", big)]])
     assert got == [("j", "FAILED", big)]
+
+
+def test_jobs_in_buckets_move_alike(spark, tmp_path, monkeypatch):
+    """State per job and per bucket of jobs: the same moves, in one and in several
+    micro-batches; a call serves a bucket, however many jobs it has rows for."""
+    rnd = random.Random(7)
+    at = lambda: str(datetime(2024, 1, 1) + timedelta(minutes=rnd.randrange(20_000)))
+    regs = sorted(((f"j{rnd.randrange(60)}", at()) for _ in range(120)), key=lambda r: r[1])
+    states = sorted(((f"j{rnd.randrange(70)}", rnd.choice(["RUNNING", "FAILED", "SUCCEEDED"]), at(), i)
+                     for i in range(200)), key=lambda r: r[2])
+    one = lambda got: sorted(map(tuple, got), key=str)
+    more = {"hold": "5 hours", "ttl": "2 days"}
+    want = one(moves(spark, tmp_path / "jobs", [regs], [states], **more))
+    assert {m[0] for m in want} == {WT.OPENED, WT.RELEASED, WT.EXPIRED}
+    plain_jobs = WT.waiting_jobs
+    monkeypatch.setattr(WT, "waiting_jobs", lambda *a: plain_jobs(*a, buckets=3))
+    for n, a, b in ((1, 1, 1), (2, 4, 2)):
+        assert one(moves(spark, tmp_path / f"buckets{n}", cut(regs, a), cut(states, b), **more)) == want
+    # no ttl: what still waits stays, a row of state a bucket at most
+    moves(spark, tmp_path / "kept", cut(regs, 3), [states], hold="5 hours")
+    kept = spark.read.format("statestore").load(str(tmp_path / "kept" / "ckpt")).selectExpr("key.*").collect()
+    assert 1 <= len(kept) <= 3 and kept[0].asDict().keys() == {"bucket"}
+
+
+def test_registered_streams_call_once_for_many_jobs(spark, sf_small):
+    t = Tables(spark, sf_small)
+    jobs = t.job_status_events.select("job_id").unionByName(t.job_registry.selectExpr("id as job_id")).distinct().count()
+    assert 0.9 <= S.job_buckets(t) * WT.BUCKET_JOBS / jobs < 2
