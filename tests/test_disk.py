@@ -77,3 +77,56 @@ def test_file_rows_are_a_fraction_of_files(spark, sf_small):
     assert size(t.file_rows) * 3 < size(t.files)
     same = t.stored("file_rows").files
     assert same.columns == t.files.columns and same.exceptAll(t.files).isEmpty() and same.count() == t.files.count() > 0
+
+
+def test_event_lists_of_odd_requests(spark):
+    """A request that comes twice, one without lists, lists that start late or go on,
+    items without a position, and lists of requests that are not there."""
+    from relayplan.sources.request_events import event_lists
+    t = Tables.__new__(Tables)
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    t.__dict__.update(
+        requests=frame([(1,), (1,), (2,), (3,)], "request_id long"),
+        request_sources=frame([(1, 5, "e"), (1, 0, "a"), (1, 0, "a"), (3, 2, "c"), (3, None, "n"), (9, 0, "x")],
+                              "request_id long, pos int, source_uri string"),
+        renaming_map=frame([(1, 1, "u", None, "o"), (3, None, None, "d", "p")],
+                           "request_id long, item int, input_uri string, data_id string, output_file_name string"),
+        external_sources=frame([(1, 0, None)], "request_id long, pos int, uri string"))
+    got = sorted(((r.request_id, r.part, r._s and [x.source_uri for x in r._s], r._r and [x.item for x in r._r], r._x)
+                  for r in event_lists(t, 2).collect()), key=str)
+    one = (1, 0, ["a", "a"], [1], [])
+    assert got == sorted([one, one, (1, 2, ["e"], None, None), (2, 0, None, None, None), (3, 0, None, None, None),
+                          (3, 1, ["c"], None, None), (3, None, ["n"], None, None), (3, None, None, [None], None),
+                          (9, 0, ["x"], None, None)], key=str)
+
+
+def test_micro_batches_exchange_their_requests_only(spark, sf_small):
+    from relayplan.sources.request_events import request_event_bodies, stored_lists
+    t = Tables(spark, sf_small)
+    lists = stored_lists(t)
+    some = t.requests.filter("request_id % 5 = 0")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = request_event_bodies(t, requests=some, lists=lists)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "lineitem" not in plan and plan.count("Exchange") == plan.count("Exchange hashpartitioning(request_id") == 1
+    want = request_event_bodies(t, requests=some)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 0
+
+
+def test_streams_keep_only_their_outputs(spark, sf_small):
+    """stream_validate_requests: lists and the rows of files go when the stream ends."""
+    from relayplan.streaming import streams as S
+    spark_was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    known = len(session._SCRATCH.get(spark.sparkContext.applicationId, []))
+    try:
+        assert S.stream_validate_requests(spark, sf_small).count() > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", spark_was)
+    left = [p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in session._SCRATCH[spark.sparkContext.applicationId][known:]
+            if session.path_exists(spark, p)]
+    assert "stored" not in left and "lists" not in left and "validate-out" in left
