@@ -12,7 +12,7 @@ from relayplan.operators import expand as X
 from relayplan.operators import resolve as R
 from relayplan.operators.plan import write_plan
 from relayplan.plans.registry import query
-from relayplan.session import scratch_path
+from relayplan.session import scratch_path, stored
 from relayplan.sources import catalog as C
 from relayplan.sources import layout as L
 from relayplan.sources.tables import Tables
@@ -73,18 +73,22 @@ select distinct o.project_id, o.data_id, o.size from own o join named n on n.pro
 def q_touched_inventory(spark, d):
     """S-3 + T-1: objects that sources name or that lie below them, from the
     areas of a stored inventory that the sources touch."""
-    t = Tables(spark, d).stored("files", "request_sources")
+    t = Tables(spark, d).stored("file_rows")
     path = scratch_path(spark, "areas-inventory")
     L.write_areas(t.inventory, path)
     named = L.project_paths(t.request_sources, "source_uri")
-    inv = L.prune(L.read_areas(spark, path), L.touched_areas(named))
+    areas = L.read_areas(spark, path)
+    areas.stored_path = path
+    inv = L.prune(areas, L.touched_areas(named))
     # an object meets itself and its ancestors, which end in "/" and hold as many as a named folder
     levels = X.folder_levels(named.filter(F.col("path").endswith("/")))
     above = U.ancestors("path", F.coalesce("_levels", F.array().cast("array<int>")))
     keys = (inv.join(levels, "project_id", "left")
             .select("project_id", "data_id", "size", F.explode(F.concat(F.array("path"), above)).alias("key")))
-    return (keys.join(named.withColumnRenamed("path", "key").distinct(), ["project_id", "key"], "left_semi")
-            .select("project_id", "data_id", "size").distinct())
+    # an object may be met by its own path and by folders; written before these are told apart
+    met = stored(keys.join(named.withColumnRenamed("path", "key").distinct(), ["project_id", "key"], "left_semi")
+                 .select("project_id", "data_id", "size"), areas, t.file_rows)
+    return met.distinct()
 
 
 @query("stored_catalog", """

@@ -130,3 +130,49 @@ def test_streams_keep_only_their_outputs(spark, sf_small):
     left = [p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in session._SCRATCH[spark.sparkContext.applicationId][known:]
             if session.path_exists(spark, p)]
     assert "stored" not in left and "lists" not in left and "validate-out" in left
+
+
+def test_lookups_in_steps_find_the_same(spark):
+    """Rows without a URI, of another scheme, found twice, in the catalog: the same with
+    and without stored steps; what can meet nothing is not exchanged."""
+    from relayplan.operators import verify as V
+    objects = spark.createDataFrame([("p", "/a", "FILE", 1), ("p", "/a", "FILE", 2), ("p", "/d/a", "FILE", 1), ("p", "/f/", "FOLDER", None)],
+                                    "project_id string, path string, data_type string, size long")
+    ext = spark.createDataFrame([(1, "s3://b/k", "b", "k", 5, "e", True)],
+                                "s3_object_id long, uri string, bucket string, key string, size long, etag string, current_state boolean")
+    uris = ["icav2://p/a", "icav2://p/none", "s3://b/k", "gs://p/a", "bad", "", None, None]
+    checks = spark.createDataFrame([(i, i, u, "icav2://p/d/", u) for i, u in enumerate(uris)],
+                                   "check_id long, file_size long, output_uri string, destination_uri string, source_uri string")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    for f in (V.verify_transfer, V.verify_pair):
+        c = checks.withColumn("file_size", F.when(F.col("check_id") % 2 == 0, F.col("file_size")))
+        want = rows(f(c, objects, ext))
+        assert rows(f(c, objects, ext, store=session.stored)) == want and len(want) > len(uris)
+    seen = []
+    V.size_lookup(checks, "output_uri", "size", objects, ext, lambda df: seen.append(df) or df)
+    assert len(seen) == 1
+
+
+def test_uri_sizes_of_odd_items(spark):
+    """Items by URI, by id, with both or neither; a place that is there twice; an object
+    whose URI is a project's."""
+    from relayplan.operators import rename as N
+    inv = spark.createDataFrame([("p", "/a", "FILE", 1), ("p", "/a", "FILE", 2), ("p", "/f/", "FOLDER", 9)],
+                                "project_id string, path string, data_type string, size long")
+    ext = spark.createDataFrame([(1, "s3://b/k", "b", "k", 5, "e", True), (2, "icav2://p/a", "b", "k", 6, "e", True),
+                                 (3, "s3://b/old", "b", "old", 7, "e", False)],
+                                "s3_object_id long, uri string, bucket string, key string, size long, etag string, current_state boolean")
+    items = spark.createDataFrame([(1, 1, "icav2://p/a"), (1, 2, "s3://b/k"), (1, 3, None), (1, 4, "icav2://p/f/"),
+                                   (1, 5, "s3://b/old"), (1, 6, "")], "request_id long, item int, input_uri string")
+    got = sorted(((r.item, r.uri_size_inv, r.uri_size_ext) for r in N.uri_sizes(items, inv, ext).collect()), key=str)
+    assert got == [(1, 1, 6), (1, 2, 6), (2, None, 5), (3, None, None), (4, None, None), (5, None, None), (6, None, None)]
+
+
+def test_long_plans_keep_only_their_last_step(spark, sf_small):
+    for name, kept in (("verify_pair", 2), ("verify_transfer", 2), ("touched_inventory", 1), ("resolve_renames", 3),
+                       ("rename_plan", 2), ("event_transfer_summary", 2)):
+        known = len(session._SCRATCH.get(spark.sparkContext.applicationId, []))
+        read = QUERIES[name](spark, sf_small).inputFiles()
+        left = {p.rsplit("/", 1)[-1] for p in session._SCRATCH[spark.sparkContext.applicationId][known:]
+                if "/stored-" in p and session.path_exists(spark, p)}
+        assert {x for x in left if any(x in f for f in read)} and len(left) <= kept, (name, left)
